@@ -49,11 +49,18 @@ def _interpolated(at: Column, n: Column, rank: Column) -> Column:
     return F.when(weight < 0.5, a + (b - a) * weight).otherwise(b - (b - a) * (1 - weight))
 
 
-def quantile_edges(values: DataFrame, keys: list[str], value: str, q: int) -> DataFrame:
+def quantile_edges(
+    values: DataFrame,
+    keys: list[str],
+    value: str,
+    q: int,
+    most_groups: int | None = None,
+    most_rows: int | None = None,
+) -> DataFrame:
     """keys, ``n`` and ``edges``: the distinct quantiles i/q in ascending order, linearly interpolated."""
     check_bins(q)
     present = values.select(*[column(k) for k in keys], column(value)).filter(column(value).isNotNull())
-    stats = order_statistics(present, keys, value, lambda n: _positions(q, n))
+    stats = order_statistics(present, keys, value, lambda n: _positions(q, n), most_groups, most_rows)
     at, n = F.col("at"), F.col("n")
     quantiles = F.transform(_ranks(q, n), lambda rank: _interpolated(at, n, rank))
     return stats.select(*[column(k) for k in keys], "n", F.array_sort(F.array_distinct(quantiles)).alias("edges"))
@@ -71,40 +78,43 @@ def bin_number(value: Column, edges: Column) -> Column:
     return F.when(value.isNull() | (count == 0), count + 1).otherwise(position)
 
 
-def rounded_edges(edges: Column) -> Column:
-    """Edges as labels show them: the fewest decimals that keep them apart, the first one lowered
-    by one unit of the last decimal so that it lies outside the interval."""
-
-    def at(decimals: Column) -> Column:
-        return F.transform(edges, lambda edge: rounded_to_significant(edge, decimals))
-
+def label_decimals(edges: Column) -> Column:
+    """Fewest decimals, from three on, that keep the rounded edges apart; three if none does."""
     candidates = F.sequence(F.lit(LABEL_DECIMALS), F.lit(MOST_DECIMALS))
-    apart = F.filter(candidates, lambda decimals: F.size(F.array_distinct(at(decimals))) == F.size(edges))
-    decimals = F.coalesce(F.get(apart, F.lit(0)), F.lit(LABEL_DECIMALS))
-    lowered = F.pow(F.lit(10.0), -decimals.cast("double"))
-    return F.transform(at(decimals), lambda edge, i: F.when(i == 0, edge - lowered).otherwise(edge))
-
 
-def interval_labels(rounded: Column, as_percent: Column) -> Column:
-    """Array of ``left:right`` texts, one per interval, from rounded edges."""
+    def keeps_apart(decimals: Column) -> Column:
+        rounded = F.transform(edges, lambda edge: rounded_to_significant(edge, decimals))
+        return F.size(F.array_distinct(rounded)) == F.size(edges)
 
-    def label(edge: Column) -> Column:
-        return F.when(as_percent, F.concat(float_text(percent(edge)), F.lit("%"))).otherwise(float_text(edge))
-
-    texts = F.transform(rounded, label)
-    lefts = F.slice(texts, 1, F.greatest(F.size(rounded) - 1, F.lit(0)))
-    return F.transform(lefts, lambda left, i: F.concat(left, F.lit(":"), F.get(texts, i + 1)))
+    return F.coalesce(F.get(F.filter(candidates, keeps_apart), F.lit(0)), F.lit(LABEL_DECIMALS))
 
 
 def bin_grid(edges: DataFrame, keys: list[str], as_percent: Column) -> DataFrame:
-    """keys, ``bin``, ``left``, ``right``, ``interval``: every interval, also those without members."""
-    labelled = edges.select(*[column(k) for k in keys], "edges", as_percent.alias("as_percent"), rounded_edges(F.col("edges")).alias("rounded"))
-    texts = labelled.withColumn("labels", interval_labels(F.col("rounded"), F.col("as_percent")))
-    spread = texts.select(*[column(k) for k in keys], "edges", F.posexplode("labels").alias("i", "interval"))
-    return spread.select(
-        *[column(k) for k in keys],
+    """keys, ``bin``, ``left``, ``right``, ``interval``: every interval, also those without members.
+
+    Labels show rounded edges, the first one lowered by one unit of the last decimal so that it
+    lies outside the interval. Each step is a column of its own: written as one nested expression
+    over the edges array, the label text would be repeated dozens of times in the generated code.
+    """
+    groups = [column(k) for k in keys]
+    spread = (
+        edges.select(*groups, as_percent.alias("as_percent"), "edges", label_decimals(F.col("edges")).alias("decimals"))
+        .select(*groups, "as_percent", "edges", "decimals", F.posexplode("edges").alias("i", "left"))
+        .withColumn("right", F.get("edges", F.col("i") + 1))
+        .filter(F.col("right").isNotNull())
+    )
+    lowered = F.when(F.col("i") == 0, F.pow(F.lit(10.0), -F.col("decimals").cast("double"))).otherwise(0.0)
+    shown = spread.withColumn(
+        "low", rounded_to_significant(F.col("left"), F.col("decimals")) - lowered
+    ).withColumn("high", rounded_to_significant(F.col("right"), F.col("decimals")))
+    scaled = shown.withColumns(
+        {side: F.when(F.col("as_percent"), percent(F.col(side))).otherwise(F.col(side)) for side in ("low", "high")}
+    )
+    unit = F.when(F.col("as_percent"), "%").otherwise("")
+    return scaled.select(
+        *groups,
         (F.col("i") + 1).alias("bin"),
-        F.get("edges", F.col("i")).alias("left"),
-        F.get("edges", F.col("i") + 1).alias("right"),
-        "interval",
+        "left",
+        "right",
+        F.concat(float_text(F.col("low")), unit, F.lit(":"), float_text(F.col("high")), unit).alias("interval"),
     )

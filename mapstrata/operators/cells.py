@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mapstrata.functions.literals import unquoted
+from mapstrata.operators import order_stats
 from mapstrata.session import column
 
 
@@ -14,12 +15,15 @@ def unit_name(ids: list[str]) -> Column:
     return F.concat(*[F.coalesce(column(i).cast("string"), F.lit("nan")) for i in ids])
 
 
-def sliced_by_unit(scale: DataFrame, ids: list[str]) -> DataFrame:
+def sliced_by_unit(scale: DataFrame, ids: list[str], units: int) -> DataFrame:
     """Units in id order over the partitions, ``slice`` telling which part of that order a row is in.
 
-    The number of slices is set explicitly: a small table stays spread over the cores, since each
-    unit is multiplied by the number of requested variables afterwards.
+    The number of slices is set explicitly, so that the rows stay spread over the cores: each unit
+    is multiplied by the number of requested variables afterwards. A table proven small is one
+    slice and is not moved.
     """
+    if units <= order_stats.SMALL_GROUP:
+        return scale.withColumn("slice", F.lit(0))
     parts = int(scale.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return scale.repartitionByRange(parts, *[column(i) for i in ids]).withColumn("slice", F.spark_partition_id())
 

@@ -15,20 +15,48 @@ from pyspark.sql import functions as F
 
 from mapstrata.session import column, cut_lineage
 
+# Up to this many (group, slice) rows of a few hundred bytes are broadcast.
+BROADCAST_SLICES = 100_000
+
+# Groups proven to have no more rows than this are sorted as one array each.
+SMALL_GROUP = 50_000
+
 
 def order_statistics(
-    rows: DataFrame, keys: list[str], value: str, positions: Callable[[Column], Column]
+    rows: DataFrame,
+    keys: list[str],
+    value: str,
+    positions: Callable[[Column], Column],
+    most_groups: int | None = None,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Sorted values at chosen positions.
 
     ``positions`` maps a group's row count to an array of 0-based positions. ``rows`` must hold
     neither null keys nor null values. Result: keys, ``n`` and ``at``, a map position -> value.
 
+    ``most_groups`` is a proven bound of the number of groups, if the caller has one. Every range
+    limit adds at most one (group, slice) pair, so it also bounds the slice table, which is then
+    broadcast and rows of unneeded slices are dropped before the shuffle. Without a bound, both
+    sides are hash-partitioned the way the ranking window needs them anyway, and the hash table is
+    built on the slice table: it must never be the ranged rows, whose size Spark underestimates.
+
+    ``most_rows`` is a proven bound of the rows of any group. Small groups need no slices.
+
     The slice of a row comes from the partition it landed in, so the ranged rows are written to
     the shared folder: a lost executor must not lead to other slice limits on a second run.
     """
     groups = [column(key) for key in keys]
     x = column(value)
+    if most_rows is not None and most_rows <= SMALL_GROUP:
+        return (
+            rows.groupBy(*groups)
+            .agg(F.sort_array(F.collect_list(x)).alias("sorted"))
+            .select(*groups, F.size("sorted").cast("bigint").alias("n"), "sorted")
+            .withColumn("wanted", F.array_distinct(positions(F.col("n"))))
+            .withColumn("found", F.transform("wanted", lambda p: F.get("sorted", p)))
+            .select(*groups, "n", F.map_from_arrays("wanted", "found").alias("at"))
+        )
     tallies = rows.groupBy(*groups, x).agg(F.count(F.lit(1)).alias("copies"))
     ranged = cut_lineage(
         tallies.repartitionByRange(*groups, x).withColumn("slice", F.spark_partition_id())
@@ -52,6 +80,10 @@ def order_statistics(
         .drop("held")
     )
 
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounded = most_groups is not None and most_groups + parts <= BROADCAST_SLICES
+    slices = F.broadcast(slices) if bounded else slices.hint("shuffle_hash")
+
     upto = Window.partitionBy(*groups, "slice").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
     return (
         ranged.join(slices, [*keys, "slice"])

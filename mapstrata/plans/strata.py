@@ -16,7 +16,7 @@ from mapstrata.functions.numbers import as_double, finite_or_fail, is_numeric_ty
 from mapstrata.operators import binning, cells, translate
 from mapstrata.operators.columns import columns_by_regex, compiled
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
-from mapstrata.session import case_sensitive_names, column
+from mapstrata.session import case_sensitive_names, column, cut_lineage
 from mapstrata.sinks.files import write_table
 from mapstrata.sources import read_scale, read_translations
 
@@ -73,6 +73,7 @@ class Stratifier:
 
         self.scales = scales
         self.ids = ids
+        self._unit_counts: dict[str, int] = {}
         self.names = self._names_of_columns(dictionary, alias_column, names_column)
         present = {name for table in scales.values() for name in table.columns}
         self.missing_in_dictionary = sorted(present - set(self.names))
@@ -163,17 +164,28 @@ class Stratifier:
 
     # Bins
 
+    def _units(self, scale: str) -> int:
+        """Rows of a scale table, counted once; no variable has more values than that."""
+        if scale not in self._unit_counts:
+            self._unit_counts[scale] = self.scales[scale].count()
+        return self._unit_counts[scale]
+
     def _edges(self, scales: list[str], requests: list[Request], q: int) -> DataFrame:
+        """One row per scale and request. Labels and memberships both start from these few rows, so
+        they are written once instead of being worked out in both branches."""
         values = [self._values(self.scales[s], s, requests, []) for s in scales]
         keys = ["scale", "request", "as_percent"]
-        return binning.quantile_edges(reduce(DataFrame.unionByName, values), keys, "x", q)
+        most_groups = len(scales) * len(requests)
+        most_rows = max(self._units(s) for s in scales)
+        edges = binning.quantile_edges(reduce(DataFrame.unionByName, values), keys, "x", q, most_groups, most_rows)
+        return cut_lineage(edges)
 
     def _members(self, scales: list[str], requests: list[Request], edges: DataFrame, q: int, sliced: bool) -> DataFrame:
         """Every unit of every request with its bin."""
         extra = ["slice"] if sliced else []
         rows = [
             self._values(
-                cells.sliced_by_unit(self.scales[s], self.ids) if sliced else self.scales[s],
+                cells.sliced_by_unit(self.scales[s], self.ids, self._units(s)) if sliced else self.scales[s],
                 s,
                 requests,
                 [*self.ids, *extra],
@@ -237,7 +249,7 @@ class Stratifier:
 
     def _check_units(self, scales: list[str]) -> None:
         for scale in scales:
-            if self.scales[scale].count() > MOST_UNITS_PER_ROW:
+            if self._units(scale) > MOST_UNITS_PER_ROW:
                 raise ValueError(
                     f"scale {scale} has more than {MOST_UNITS_PER_ROW} units, too many to list in one row per bin; "
                     "use parts=True or members()"

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from mapstrata.operators import order_stats
 from mapstrata.operators.binning import bin_grid, quantile_edges
 from mapstrata.operators.order_stats import medians, order_statistics
 from mapstrata.plans.strata import Request, Stratifier
@@ -43,8 +44,10 @@ def expected_bins(series, q, as_percent):
     return numbers, labels
 
 
-@pytest.mark.parametrize(("seed", "rows", "q"), [(1, 97, 10), (2, 23, 4), (3, 300, 7)])
-def test_bins_equal_pandas(spark, seed, rows, q):
+@pytest.mark.parametrize(("seed", "rows", "q", "small"), [(1, 97, 10, 0), (2, 23, 4, 1000), (3, 300, 7, 1000)])
+def test_bins_equal_pandas(spark, monkeypatch, seed, rows, q, small):
+    """Once with every group treated as large, otherwise as small ones."""
+    monkeypatch.setattr(order_stats, "SMALL_GROUP", small)
     frame = random_columns(seed, rows)
     codes = list(frame.columns)
     frame.insert(0, "id", [f"{i:04d}" for i in range(rows)])
