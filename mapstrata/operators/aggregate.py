@@ -16,7 +16,7 @@ from mapstrata.functions.numbers import as_double
 from mapstrata.functions.text import stripped
 from mapstrata.operators.gate import numeric_variables
 from mapstrata.operators.order_stats import medians
-from mapstrata.session import column, cut_lineage
+from mapstrata.session import column, cut_lineage, exact_names
 
 # Code of the row count, and the aggregate operations by name.
 TOTAL_CODE = "conteo::total_datos"
@@ -36,6 +36,7 @@ def check_operation(operation: str) -> None:
         raise ValueError(f"unknown operation {operation!r}; known ones are {', '.join(OPERATIONS)}")
 
 
+@exact_names
 def known_units(df: DataFrame, ids: list[str]) -> DataFrame:
     """Rows of an identified geographic unit, ids stripped; rows without an id belong to none."""
     types = {field.name: field.dataType for field in df.schema}
@@ -56,6 +57,7 @@ def total_counts(df: DataFrame, ids: list[str]) -> DataFrame:
     return known_units(df, ids).groupBy(*[column(i) for i in ids]).agg(F.count(F.lit(1)).alias(TOTAL_CODE))
 
 
+@exact_names
 def melted(df: DataFrame, ids: list[str], variables: list[str]) -> DataFrame:
     """One row per unit and non-null value of each variable; an id is not a variable."""
     chosen = _others(ids, variables)
@@ -100,6 +102,7 @@ def ordered_codes(counts: DataFrame) -> list[str]:
     return codes
 
 
+@exact_names
 def widened_counts(counts: DataFrame, ids: list[str], codes: list[str]) -> DataFrame:
     """One column per code, zero where a unit has no such value."""
     units = [column(i) for i in ids]
@@ -109,6 +112,7 @@ def widened_counts(counts: DataFrame, ids: list[str], codes: list[str]) -> DataF
     return wide.select(*units, *[F.coalesce(column(c), F.lit(0)).cast("bigint").alias(c) for c in codes])
 
 
+@exact_names
 def categorical_wide(df: DataFrame, ids: list[str], variables: list[str]) -> DataFrame:
     """Wide counts. The counts are written to the shared folder, so that finding the columns and
     filling them reads the microdata once."""
@@ -146,6 +150,7 @@ def numeric_wide(df: DataFrame, ids: list[str], variables: list[str], operation:
     return numeric_blocks(df, ids, {operation: kept})
 
 
+@exact_names
 def numeric_blocks(
     df: DataFrame, ids: list[str], by_operation: dict[str, list[str]], with_total: bool = False
 ) -> DataFrame:
@@ -172,6 +177,7 @@ def numeric_blocks(
     return base
 
 
+@exact_names
 def lengthened(wide: DataFrame, ids: list[str], codes: list[str]) -> DataFrame:
     """Wide aggregates to ids, code, value; missing values have no row."""
     pairs = [F.struct(F.lit(c).alias("code"), column(c).cast("double").alias("value")) for c in codes]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.operators.columns import with_row_position
-from mapstrata.session import column
+from mapstrata.session import column, exact_names
 
 # Declared type names and the column type each one stands for.
 DECLARED_TYPES = {
@@ -36,6 +36,7 @@ def _cast_or_fail(value: Column, spark_type: str, name: str) -> Column:
     return F.when(value.isNotNull() & converted.isNull(), F.raise_error(message)).otherwise(converted)
 
 
+@exact_names
 def convert_types(df: DataFrame, metadata: DataFrame, names_column: str, types_column: str) -> DataFrame:
     """Cast the columns named in the metadata; a value that does not convert fails the job.
 

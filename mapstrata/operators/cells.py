@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from mapstrata.functions.literals import unquoted
 from mapstrata.operators import order_stats
 from mapstrata.session import column
 
+# Units listed by one task for one bin, at most about this many.
+UNITS_PER_SLICE = 200_000
+
 
 def unit_name(ids: list[str]) -> Column:
     """Ids of a unit joined without separator; a missing id reads ``nan``."""
@@ -18,13 +23,14 @@ def unit_name(ids: list[str]) -> Column:
 def sliced_by_unit(scale: DataFrame, ids: list[str], units: int) -> DataFrame:
     """Units in id order over the partitions, ``slice`` telling which part of that order a row is in.
 
-    The number of slices is set explicitly, so that the rows stay spread over the cores: each unit
-    is multiplied by the number of requested variables afterwards. A table proven small is one
-    slice and is not moved.
+    The number of slices is set explicitly and grows with the table: each unit is multiplied by the
+    number of requested variables afterwards, so the rows must stay spread over the cores, and the
+    list of one bin in one slice must stay small. A table proven small is one slice and not moved.
     """
     if units <= order_stats.SMALL_GROUP:
         return scale.withColumn("slice", F.lit(0))
-    parts = int(scale.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = int(scale.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(shuffled, math.ceil(units / UNITS_PER_SLICE))
     return scale.repartitionByRange(parts, *[column(i) for i in ids]).withColumn("slice", F.spark_partition_id())
 
 

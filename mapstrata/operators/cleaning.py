@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
 from mapstrata.functions.text import blank_to_null, stripped, zero_padded
-from mapstrata.session import column
+from mapstrata.session import column, exact_names
 
 
+@exact_names
 def _on_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     return df.select(
         *[
@@ -28,6 +29,7 @@ def strip_text(df: DataFrame) -> DataFrame:
     return _on_text(df, stripped)
 
 
+@exact_names
 def pad_columns(df: DataFrame, widths: dict[str, int]) -> DataFrame:
     """Zero-pad the named columns as text; missing values stay missing."""
     return df.select(

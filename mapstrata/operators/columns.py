@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mapstrata.session import column
+from mapstrata.session import column, exact_names
 
 # What an unnamed index column of a delimited file is called.
 INDEX_COLUMNS = ("Unnamed: 0", "_c0")
@@ -19,6 +19,7 @@ def drop_index_column(df: DataFrame) -> DataFrame:
     return df.drop(*present) if present else df
 
 
+@exact_names
 def project(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Named columns in the given order, repeated names once."""
     return df.select(*[column(name) for name in dict.fromkeys(names)])
@@ -49,19 +50,18 @@ def columns_by_class(
 ) -> list[str]:
     """Columns of ``df`` whose metadata class is (``keep``) or is not in ``values``, in metadata order.
 
-    The filter runs in Spark; what comes back is at most one name per metadata row that
-    describes an existing column.
+    The filter runs in Spark; what comes back is at most one row per existing column.
     """
     classified = column(class_column).isin(values) if values else F.lit(False)
     wanted = F.coalesce(classified, F.lit(False))
     rows = (
         with_row_position(metadata)
         .filter((wanted if keep else ~wanted) & column(names_column).isin(df.columns))
-        .select(column(names_column).alias("name"), "row_position")
-        .orderBy("row_position")
+        .groupBy(column(names_column).alias("name"))
+        .agg(F.min("row_position").alias("row_position"))
         .collect()
     )
-    return list(dict.fromkeys(row["name"] for row in rows))
+    return [row["name"] for row in sorted(rows, key=lambda row: row["row_position"])]
 
 
 def select_variables(
@@ -82,13 +82,14 @@ def select_variables(
     return sorted(chosen)
 
 
+@exact_names
 def rename_to_alias(df: DataFrame, metadata: DataFrame, names_column: str, alias_column: str) -> DataFrame:
     """Columns renamed by metadata; names without a column are ignored, the last duplicate wins."""
     rows = (
         with_row_position(metadata)
         .filter(column(names_column).isin(df.columns) & column(alias_column).isNotNull())
-        .select(column(names_column).alias("name"), column(alias_column).alias("alias"), "row_position")
-        .orderBy("row_position")
+        .groupBy(column(names_column).alias("name"))
+        .agg(F.max_by(column(alias_column), "row_position").alias("alias"))
         .collect()
     )
     return df.withColumnsRenamed({row["name"]: row["alias"] for row in rows})

@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from mapstrata.functions.numbers import is_number_text, is_numeric_type
 from mapstrata.functions.text import stripped
-from mapstrata.session import column
+from mapstrata.session import column, exact_names
 
 
+@exact_names
 def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
     """One row with, per text variable, how many of its non-null values are no number."""
     return df.select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mapstrata.operators import aggregate, casts, cleaning, columns, gate, translate
 from mapstrata.plans.spec import existing, expect, expect_texts, load_spec, required, required_column
-from mapstrata.session import case_sensitive_names, checkpoint_folder, column
+from mapstrata.session import case_sensitive_names, checkpoint_folder
 from mapstrata.sinks.files import write_dictionary, write_units
 from mapstrata.sources import read_metadata, read_microdata
 
@@ -172,8 +172,7 @@ def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Bloc
             order += [aggregate.numeric_code(block.operation, v) for v in block.variables if v in passed]
     if len(set(order)) < len(order):
         raise ValueError("two blocks give columns of the same name")
-    joined = aggregate.joined_on_units(parts, ids)
-    return joined.select(*[column(c) for c in [*ids, *order]]), skipped
+    return columns.project(aggregate.joined_on_units(parts, ids), [*ids, *order]), skipped
 
 
 def block_dictionaries(

@@ -16,7 +16,7 @@ from mapstrata.functions.numbers import as_double, finite_or_fail, is_numeric_ty
 from mapstrata.operators import binning, cells, translate
 from mapstrata.operators.columns import columns_by_regex, compiled
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
-from mapstrata.session import case_sensitive_names, column, cut_lineage
+from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table
 from mapstrata.sinks.files import write_table
 from mapstrata.sources import read_scale, read_translations
 
@@ -72,6 +72,7 @@ class Stratifier:
             compiled(pattern)
 
         self.scales = scales
+        self.sparkSession = dictionary.sparkSession
         self.ids = ids
         self._unit_counts: dict[str, int] = {}
         self.names = self._names_of_columns(dictionary, alias_column, names_column)
@@ -155,6 +156,7 @@ class Stratifier:
             F.inline(F.array(*entries) if entries else empty).alias("request", "as_percent", "x"),
         )
 
+    @exact_names
     def normalize(self, scale: str, code: str, base: str | None = None) -> DataFrame:
         """ids and ``value``: the variable, divided by its base if there is one."""
         self._check_in_scale(scale, Request(base, code))
@@ -207,6 +209,7 @@ class Stratifier:
             (F.col("x").isNull() | (intervals == 0)).alias("unclassified"),
         )
 
+    @exact_names
     def categorize(self, scale: str, code: str, base: str | None = None, q: int = DEFAULT_BINS) -> DataFrame:
         """ids, ``value``, ``bin`` and ``interval`` of every unit; no interval where unclassified."""
         self._check_in_scale(scale, Request(base, code))
@@ -223,6 +226,7 @@ class Stratifier:
         members = self._members(scales, requests, edges, q, sliced=False)
         return members.join(grid, ["scale", "request", "bin"], "left")
 
+    @exact_names
     def members(self, scales: list[str], requests: list[Request], q: int = DEFAULT_BINS) -> DataFrame:
         """Long form of any size: base, name, code, scale, bin, interval, ids, value; one row per unit."""
         self._check_scales(scales)
@@ -243,9 +247,9 @@ class Stratifier:
 
     def _request_table(self, requests: list[Request]) -> DataFrame:
         """One row per request, as long as the list the caller passed."""
-        spark = next(iter(self.scales.values())).sparkSession
         rows = [(n, r.base, self.names[r.code], r.code) for n, r in enumerate(requests)]
-        return spark.createDataFrame(rows, "request int, base string, name string, code string")
+        columns = ["request", "base", "name", "code"]
+        return local_table(self.sparkSession, columns, rows).withColumn("request", F.col("request").cast("int"))
 
     def _check_units(self, scales: list[str]) -> None:
         for scale in scales:
@@ -255,6 +259,7 @@ class Stratifier:
                     "use parts=True or members()"
                 )
 
+    @exact_names
     def cut(self, scales: list[str], requests: list[Request], q: int = DEFAULT_BINS, parts: bool = False) -> DataFrame:
         """request, base, name, code, bin and, per scale, the interval and its units.
 

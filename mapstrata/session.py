@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,17 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def local_table(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFrame:
+    """Small table of text and int columns known on the driver, as a local relation: Spark folds it
+    into the plan, no Python worker reads it."""
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    arrays = {
+        name: pa.array(values, pa.int32() if values and isinstance(values[0], int) else pa.string())
+        for name, values in zip(names, columns)
+    }
+    return spark.createDataFrame(pa.table(arrays))
+
+
 @contextmanager
 def case_sensitive_names(spark: SparkSession) -> Iterator[None]:
     """Column names such as ``x-a`` and ``x-A`` are different while this is active."""
@@ -54,3 +67,15 @@ def case_sensitive_names(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(setting, before)
+
+
+def exact_names(build: Callable) -> Callable:
+    """Resolve the columns of whatever ``build`` composes by exact name. Its first argument is a
+    session, a DataFrame or an object with a ``sparkSession``."""
+
+    @functools.wraps(build)
+    def wrapped(first, *args, **kwargs):
+        with case_sensitive_names(getattr(first, "sparkSession", first)):
+            return build(first, *args, **kwargs)
+
+    return wrapped

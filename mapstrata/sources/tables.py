@@ -10,11 +10,12 @@ from mapstrata.functions.numbers import as_double
 from mapstrata.functions.text import missing_to_null
 from mapstrata.operators.columns import drop_index_column
 from mapstrata.operators.gate import numeric_variables
-from mapstrata.session import column
+from mapstrata.session import column, exact_names
 
 CATALOG_COLUMNS = ("catalog", "pos", "clave", "clasificacion", "descripcion")
 
 
+@exact_names
 def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
     try:
         if path.rstrip("/").endswith(".parquet"):
@@ -52,6 +53,7 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, multiline=True)
 
 
+@exact_names
 def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool = True) -> DataFrame:
     """Wide aggregate table: ids stay text (leading zeros), number-like columns become double."""
     table = _read(spark, path, multiline)

@@ -1,0 +1,94 @@
+"""Readers and writers."""
+
+import pytest
+
+from mapstrata.session import case_sensitive_names
+from mapstrata.sinks.files import write_table, write_units
+from mapstrata.sinks.jdbc import column_types_option, create_table_statement, jdbc_options
+from mapstrata.sources import read_bin_table, read_catalogs, read_metadata, read_microdata, read_scale, read_translations
+
+
+def put(tmp_path, name, text):
+    path = tmp_path / name
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+def test_microdata_is_text_with_missing_values(spark, tmp_path):
+    path = put(tmp_path, "m.csv", ',ent,edad,a,A\n0,01,NA,x,X\n1,"",7,"NaN"," NA"\n2,09,1.0,"a\n""b""",null\n')
+    with case_sensitive_names(spark):
+        df = read_microdata(spark, path)
+        assert df.dtypes == [("ent", "string"), ("edad", "string"), ("a", "string"), ("A", "string")]
+        assert [tuple(r) for r in df.collect()] == [
+            ("01", None, "x", "X"),
+            (None, "7", None, " NA"),
+            ("09", "1.0", 'a\n"b"', None),
+        ]
+
+
+def test_split_reading_gives_the_same_rows(spark, tmp_path):
+    path = put(tmp_path, "m.csv", "ent,edad\n01,5\n02,NA\n")
+    assert read_microdata(spark, path, multiline=False).collect() == read_microdata(spark, path).collect()
+
+
+def test_metadata_keeps_line_breaks_and_blanks(spark, tmp_path):
+    path = put(tmp_path, "d.csv", 'var,obs,valores\nx,"uno\n""dos""","[\'SI \', \'NO\']"\ny, z ,[]\n')
+    assert [tuple(r) for r in read_metadata(spark, path).collect()] == [
+        ("x", 'uno\n"dos"', "['SI ', 'NO']"),
+        ("y", " z ", "[]"),
+    ]
+
+
+def test_missing_path(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_microdata(spark, str(tmp_path / "none.csv"))
+
+
+def test_scale_types(spark, tmp_path):
+    path = put(tmp_path, "s.csv", "ent,n,media::x,texto\n01,5,,a\n02,7,1e-3,b\n")
+    scale = read_scale(spark, path, ["ent"])
+    assert scale.dtypes == [("ent", "string"), ("n", "double"), ("media::x", "double"), ("texto", "string")]
+    assert [tuple(r) for r in scale.collect()] == [("01", 5.0, None, "a"), ("02", 7.0, 0.001, "b")]
+
+
+def test_required_columns(spark, tmp_path):
+    path = put(tmp_path, "t.csv", "variable,otra\na,b\n")
+    with pytest.raises(ValueError):
+        read_translations(spark, path, "traduccion", "variable")
+    with pytest.raises(ValueError):
+        read_catalogs(spark, path)
+
+
+def test_catalogs(spark, tmp_path):
+    path = put(tmp_path, "c.csv", "catalog,pos,clave,clasificacion,descripcion\nx,1,07,,d\n")
+    assert [tuple(r) for r in read_catalogs(spark, path).collect()] == [("x", 1, "07", None, "d")]
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_round_trip(spark, tmp_path, kind):
+    rows = [("02", 'say "x", y', None), ("01", " b ", "{1,2}")]
+    df = spark.createDataFrame(rows, "id string, `A` string, a string")
+    path = str(tmp_path / f"out.{kind}")
+    write_units(df, ["id"], path)
+    with case_sensitive_names(spark):
+        assert [tuple(r) for r in read_metadata(spark, path).collect()] == sorted(rows)
+
+
+def test_bin_table_round_trip(spark, tmp_path):
+    rows = [("n", "c", 1, "0.0:1.5", "{01,02}"), ("n", "c", 2, "Sin clasificar", "{}")]
+    df = spark.createDataFrame(rows, "name string, code string, bin int, interval_mun string, cells_mun string")
+    write_table(df.coalesce(1), str(tmp_path / "bins"))
+    found = read_bin_table(spark, str(tmp_path / "bins"))
+    assert found.schema == df.schema
+    assert [tuple(r) for r in found.collect()] == rows
+
+
+def test_database_types(spark):
+    df = spark.createDataFrame([], "name string, bin int, x double, ok boolean, big bigint, d date")
+    assert column_types_option(df) == "`bin` INTEGER, `x` FLOAT, `ok` BOOLEAN, `big` INTEGER"
+    assert create_table_statement(df, "bins").startswith("CREATE TABLE IF NOT EXISTS bins (\n    id SERIAL PRIMARY KEY,")
+    assert '"name" TEXT' in create_table_statement(df, "bins")
+    options = jdbc_options(df, "jdbc:x", "bins", True, 500, 4, {"user": "u"})
+    assert options["batchsize"] == "500" and options["numPartitions"] == "4" and options["user"] == "u"
+    assert "createTableColumnTypes" in options
+    assert "createTableColumnTypes" not in jdbc_options(df, "jdbc:x", "bins", False, 500, 4, {})

@@ -19,12 +19,13 @@ ranked AS (
 targets AS (
   SELECT request, scale, n, i, p * (n - 1)::DOUBLE AS r
   FROM (SELECT DISTINCT request, scale, n FROM ranked) CROSS JOIN ({levels_sql(q)})),
+sought AS (
+  SELECT request, scale, i, r, unnest([0, 1]) AS side, least(floor(r)::BIGINT + unnest([0, 1]), n - 1) AS place
+  FROM targets),
 corners AS (
-  SELECT t.request, t.scale, t.i, lo.x AS a, hi.x AS b, t.r - floor(t.r) AS f
-  FROM targets t
-  JOIN ranked lo ON lo.request = t.request AND lo.scale = t.scale AND lo.place = floor(t.r)::BIGINT
-  JOIN ranked hi ON hi.request = t.request AND hi.scale = t.scale
-                AND hi.place = least(floor(t.r)::BIGINT + 1, t.n - 1)),
+  SELECT s.request, s.scale, s.i, max(x) FILTER (side = 0) AS a, max(x) FILTER (side = 1) AS b, s.r - floor(s.r) AS f
+  FROM sought s JOIN ranked k ON k.request = s.request AND k.scale = s.scale AND k.place = s.place
+  GROUP BY s.request, s.scale, s.i, s.r),
 quantiles AS (
   SELECT request, scale, i, CASE WHEN f < 0.5e0 THEN a + (b - a) * f ELSE b - (b - a) * (1e0 - f) END AS edge
   FROM corners),

@@ -20,7 +20,7 @@ from mapstrata.operators import aggregate, binning, casts, cleaning, columns, ga
 from mapstrata.operators.order_stats import medians
 from mapstrata.plans.prepare import Block, Preparation, aggregate_blocks, block_dictionaries, resolve_block
 from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins
-from mapstrata.session import checkpoint_folder, column, cut_lineage
+from mapstrata.session import checkpoint_folder, column, cut_lineage, local_table
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
 from mapstrata.sources import read_bin_table, read_metadata, read_microdata, read_scale, read_translations
 from workload.tables import TOTAL, microdata, names, table, units
@@ -51,8 +51,7 @@ def described(spark: SparkSession) -> DataFrame:
         ("saldo", "Saldo", "abierta", "Float", "[]", "[]"),
         ("ausente", "Ausente", "options", "string", "[]", "[]"),
     ]
-    schema = "var string, alias string, clase string, tipo string, valores string, etiquetas string"
-    return spark.createDataFrame(rows, schema).coalesce(1)
+    return local_table(spark, ["var", "alias", "clase", "tipo", "valores", "etiquetas"], rows)
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,7 +134,7 @@ def zero_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = microdata(spark, sf_dir).select("folio", "estado", "precio", "saldo")
     types = [("folio", "Int64"), ("estado", "str"), ("precio", "float"), ("saldo", "float64")]
-    declared = spark.createDataFrame(types, "var string, tipo string")
+    declared = local_table(spark, ["var", "tipo"], types)
     return casts.convert_types(cleaning.blanks_to_null(rows), declared, "var", "tipo")
 
 
@@ -569,9 +568,7 @@ def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("event_type", "Evento", "options", "['click', 'error', 'purchase', 'view']", "['Clic', 'Error', 'Compra', 'Vista']"),
         ("value", "Valor", "abierta", "[]", "[]"),
     ]
-    described_events = spark.createDataFrame(
-        described_rows, "var string, alias string, clase string, valores string, etiquetas string"
-    ).coalesce(1)
+    described_events = local_table(spark, ["var", "alias", "clase", "valores", "etiquetas"], described_rows)
     padded = cleaning.pad_columns(rows, {"municipio": 4})
     preparation = Preparation(padded, described_events, "var", "valores").blanks_to_null()
     blocks = [resolve_block(preparation, block) for block in survey_blocks()]

@@ -6,12 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapstrata.functions.text import zero_padded
+from mapstrata.session import local_table
 
 TOTAL = "conteo::total_datos"
 
 
+# Columns of the given tables; declared, so that no job reads them from the files.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +140,7 @@ NAMES = [
 
 
 def names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(NAMES, "variable string, traduccion string").coalesce(1)
+    return local_table(spark, ["variable", "traduccion"], NAMES)
 
 
 def names_sql() -> str:
