@@ -171,7 +171,7 @@ def numeric_blocks(
     if middle:
         found = medians(numeric_values(df, ids, middle), [*ids, "variable"], "x")
         wide = found.groupBy(*units).agg(
-            *[F.max(F.when(F.col("variable") == v, F.col("median"))).alias(numeric_code(MEDIAN, v)) for v in middle]
+            *[F.max(F.when(F.col("variable") == v, F.col("_median"))).alias(numeric_code(MEDIAN, v)) for v in middle]
         )
         base = base.join(wide, ids, "left")
     return base

@@ -50,20 +50,15 @@ def _interpolated(at: Column, n: Column, rank: Column) -> Column:
 
 
 def quantile_edges(
-    values: DataFrame,
-    keys: list[str],
-    value: str,
-    q: int,
-    most_groups: int | None = None,
-    most_rows: int | None = None,
+    values: DataFrame, keys: list[str], value: str, q: int, most_rows: int | None = None
 ) -> DataFrame:
-    """keys, ``n`` and ``edges``: the distinct quantiles i/q in ascending order, linearly interpolated."""
+    """keys, ``_n`` and ``edges``: the distinct quantiles i/q in ascending order, linearly interpolated."""
     check_bins(q)
     present = values.select(*[column(k) for k in keys], column(value)).filter(column(value).isNotNull())
-    stats = order_statistics(present, keys, value, lambda n: _positions(q, n), most_groups, most_rows)
-    at, n = F.col("at"), F.col("n")
+    stats = order_statistics(present, keys, value, lambda n: _positions(q, n), most_rows)
+    at, n = F.col("_at"), F.col("_n")
     quantiles = F.transform(_ranks(q, n), lambda rank: _interpolated(at, n, rank))
-    return stats.select(*[column(k) for k in keys], "n", F.array_sort(F.array_distinct(quantiles)).alias("edges"))
+    return stats.select(*[column(k) for k in keys], "_n", F.array_sort(F.array_distinct(quantiles)).alias("edges"))
 
 
 def interval_count(edges: Column) -> Column:

@@ -1,9 +1,18 @@
 """Exact order statistics of any number of groups, whatever their sizes.
 
-Sorting a group in one task fails once one group holds a third of the table. Here equal values
-are first counted together, then all (group, value) pairs are range-partitioned, so that a large
-group is spread over many slices. The number of rows ahead of every slice gives exact global
-ranks, and only the slices that hold a wanted rank are sorted.
+Sorting a group in one task fails once one group holds a third of the table, and moving or writing
+every value of such a group is waste when only a few ranks are asked for. So large groups are
+narrowed down first:
+
+1. Count the groups (combined before the shuffle). Without large ones, go to step 4.
+2. Cut each large group in slices at approximate quantiles. The cuts need not be exact; they are
+   written to the shared folder, so that a lost executor cannot lead to other slices.
+3. Count the rows per slice (combined before the shuffle). This gives the exact rank at which
+   every slice starts, hence the slices that hold a wanted rank. All other rows are dropped where
+   they are read.
+4. Rank what is left: whole small groups and the wanted slices of large ones.
+
+Equal values are counted together before they are moved, so a value that fills a slice is one row.
 """
 
 from __future__ import annotations
@@ -15,90 +24,149 @@ from pyspark.sql import functions as F
 
 from mapstrata.session import column, cut_lineage
 
-# Up to this many (group, slice) rows of a few hundred bytes are broadcast.
-BROADCAST_SLICES = 100_000
-
 # Groups proven to have no more rows than this are sorted as one array each.
 SMALL_GROUP = 50_000
 
+# Groups with more rows than this are cut in slices of about this many rows each.
+LARGE_GROUP = 5_000_000
+
+# Most slices of a group, and the accuracy of the cuts between them.
+MOST_SLICES = 1024
+CUT_ACCURACY = 10 * MOST_SLICES
+
+# Cuts of a group are searched in blocks of this many.
+CUT_BLOCK = 32
+
+# Up to this many large groups (out of at least LARGE_GROUP times as many rows) their cuts are
+# broadcast; more of them are joined with salted keys.
+BROADCAST_GROUPS = 100_000
+SALTS = 64
+
 
 def order_statistics(
     rows: DataFrame,
     keys: list[str],
     value: str,
     positions: Callable[[Column], Column],
-    most_groups: int | None = None,
     most_rows: int | None = None,
 ) -> DataFrame:
     """Sorted values at chosen positions.
 
     ``positions`` maps a group's row count to an array of 0-based positions. ``rows`` must hold
-    neither null keys nor null values. Result: keys, ``n`` and ``at``, a map position -> value.
-
-    ``most_groups`` is a proven bound of the number of groups, if the caller has one. Every range
-    limit adds at most one (group, slice) pair, so it also bounds the slice table, which is then
-    broadcast and rows of unneeded slices are dropped before the shuffle. Without a bound, both
-    sides are hash-partitioned the way the ranking window needs them anyway, and the hash table is
-    built on the slice table: it must never be the ranged rows, whose size Spark underestimates.
-
-    ``most_rows`` is a proven bound of the rows of any group. Small groups need no slices.
-
-    The slice of a row comes from the partition it landed in, so the ranged rows are written to
-    the shared folder: a lost executor must not lead to other slice limits on a second run.
+    neither null keys nor null values. ``most_rows`` is a proven bound of the rows of any group,
+    if the caller has one. Result: keys, ``_n`` and ``_at``, a map position -> value.
     """
     groups = [column(key) for key in keys]
     x = column(value)
+    present = rows.select(*groups, x)
     if most_rows is not None and most_rows <= SMALL_GROUP:
-        return (
-            rows.groupBy(*groups)
-            .agg(F.sort_array(F.collect_list(x)).alias("sorted"))
-            .select(*groups, F.size("sorted").cast("bigint").alias("n"), "sorted")
-            .withColumn("wanted", F.array_distinct(positions(F.col("n"))))
-            .withColumn("found", F.transform("wanted", lambda p: F.get("sorted", p)))
-            .select(*groups, "n", F.map_from_arrays("wanted", "found").alias("at"))
-        )
-    tallies = rows.groupBy(*groups, x).agg(F.count(F.lit(1)).alias("copies"))
-    ranged = cut_lineage(
-        tallies.repartitionByRange(*groups, x).withColumn("slice", F.spark_partition_id())
-    )
+        return _from_arrays(present, groups, x, positions)
 
-    group = Window.partitionBy(*groups)
-    ahead = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        ranged.groupBy(*groups, "slice")
-        .agg(F.sum("copies").alias("held"))
-        .withColumn("skipped", F.coalesce(F.sum("held").over(ahead), F.lit(0)))
-        .withColumn("n", F.sum("held").over(group))
-        .withColumn(
-            "wanted",
-            F.filter(
-                F.array_distinct(positions(F.col("n"))),
-                lambda p: (p >= F.col("skipped")) & (p < F.col("skipped") + F.col("held")),
-            ),
+    nothing = F.lit(None).cast("bigint")
+    sliced = present.withColumn("_slice", F.lit(0)).withColumn("_skipped", nothing).withColumn("_size", nothing)
+    if most_rows is None or most_rows > LARGE_GROUP:
+        large = cut_lineage(
+            present.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > LARGE_GROUP)
         )
-        .filter(F.size("wanted") > 0)
-        .drop("held")
+        count = large.count()
+        if count:
+            sliced = _wanted_slices(present, large, count, keys, x, positions)
+
+    tallies = sliced.groupBy(*groups, "_slice", "_skipped", "_size", x).agg(F.count(F.lit(1)).alias("_copies"))
+    piece = Window.partitionBy(*groups, "_slice")
+    upto = F.sum("_copies").over(piece.orderBy(x).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (
+        tallies.withColumn("_n", F.coalesce("_size", F.sum("_copies").over(piece)))
+        .withColumn("_upto", F.coalesce("_skipped", F.lit(0)) + upto)
+        .withColumn("_from", F.col("_upto") - F.col("_copies"))
+    )
+    here = F.filter(positions(F.col("_n")), lambda p: (p >= F.col("_from")) & (p < F.col("_upto")))
+    return (
+        ranked.select(*groups, "_n", x, F.explode(F.array_distinct(here)).alias("_position"))
+        .groupBy(*groups)
+        .agg(F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_position", x))).alias("_at"))
     )
 
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounded = most_groups is not None and most_groups + parts <= BROADCAST_SLICES
-    slices = F.broadcast(slices) if bounded else slices.hint("shuffle_hash")
 
-    upto = Window.partitionBy(*groups, "slice").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+def _from_arrays(
+    present: DataFrame, groups: list[Column], x: Column, positions: Callable[[Column], Column]
+) -> DataFrame:
     return (
-        ranged.join(slices, [*keys, "slice"])
-        .withColumn("upto", F.col("skipped") + F.sum("copies").over(upto))
-        .withColumn(
-            "position",
-            F.explode(
-                F.filter("wanted", lambda p: (p >= F.col("upto") - F.col("copies")) & (p < F.col("upto")))
-            ),
-        )
+        present.groupBy(*groups)
+        .agg(F.sort_array(F.collect_list(x)).alias("_sorted"))
+        .withColumn("_n", F.size("_sorted").cast("bigint"))
+        .withColumn("_wanted", F.array_distinct(positions(F.col("_n"))))
+        .withColumn("_found", F.transform("_wanted", lambda p: F.get("_sorted", p)))
+        .select(*groups, "_n", F.map_from_arrays("_wanted", "_found").alias("_at"))
+    )
+
+
+def _joined(rows: DataFrame, few: DataFrame, keys: list[str], x: Column, count: int) -> DataFrame:
+    """Left join that never gathers a large group: by broadcast, or salted by the value."""
+    if count <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(few), keys, "left")
+    spread = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(x), F.lit(SALTS)).cast("int"))
+    return salted.join(spread, [*keys, "_salt"], "left").drop("_salt")
+
+
+def _cuts(present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column) -> DataFrame:
+    """keys, ``_size``, ``_cuts`` and every CUT_BLOCK-th of them in ``_blocks``, for each large group.
+
+    A group gets as many slices as its size asks for, so all cuts together are at most as many as
+    the table has rows, divided by LARGE_GROUP.
+    """
+    groups = [column(key) for key in keys]
+    levels = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
+    slices = F.least(F.ceil(F.col("_size") / LARGE_GROUP), F.lit(MOST_SLICES)).cast("int")
+    picked = F.transform(
+        F.sequence(F.lit(1), slices - 1),
+        lambda i: F.get("_levels", F.floor(i * MOST_SLICES / slices).cast("int") - 1),
+    )
+    cuts = (
+        _joined(present, large, keys, x, count)
+        .filter(F.col("_size").isNotNull())
         .groupBy(*groups)
-        .agg(
-            F.first("n").alias("n"),
-            F.map_from_entries(F.collect_list(F.struct("position", x))).alias("at"),
-        )
+        .agg(F.first("_size").alias("_size"), F.percentile_approx(x, levels, CUT_ACCURACY).alias("_levels"))
+        .select(*groups, "_size", F.array_distinct(picked).alias("_cuts"))
+    )
+    return cut_lineage(
+        cuts.withColumn("_blocks", F.filter("_cuts", lambda _, i: (i + 1) % CUT_BLOCK == 0))
+    )
+
+
+def _slice_of(x: Column) -> Column:
+    """Number of cuts below a value: whole blocks first, then within the block; 0 without cuts."""
+    blocks = F.size(F.filter("_blocks", lambda cut: cut < x))
+    rest = F.slice("_cuts", blocks * CUT_BLOCK + 1, CUT_BLOCK)
+    return F.when(F.col("_cuts").isNull(), 0).otherwise(
+        blocks * CUT_BLOCK + F.size(F.filter(rest, lambda cut: cut < x))
+    )
+
+
+def _wanted_slices(
+    present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column, positions: Callable[[Column], Column]
+) -> DataFrame:
+    """Rows of small groups, and of the slices of large ones that hold a wanted position."""
+    groups = [column(key) for key in keys]
+    located = _joined(present, _cuts(present, large, count, keys, x), keys, x, count).withColumn("_slice", _slice_of(x))
+
+    group = Window.partitionBy(*groups)
+    ahead = F.sum("_held").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    starts = (
+        located.filter(F.col("_size").isNotNull())
+        .groupBy(*groups, "_slice", "_size")
+        .agg(F.count(F.lit(1)).alias("_held"))
+        .withColumn("_skipped", F.coalesce(ahead, F.lit(0)))
+    )
+    held = F.filter(
+        positions(F.col("_size")), lambda p: (p >= F.col("_skipped")) & (p < F.col("_skipped") + F.col("_held"))
+    )
+    wanted = starts.filter(F.size(held) > 0).select(*groups, "_slice", "_skipped")
+    return (
+        _joined(located, wanted, [*keys, "_slice"], x, count)
+        .filter(F.col("_size").isNull() | F.col("_skipped").isNotNull())
+        .select(*groups, x, "_slice", "_skipped", "_size")
     )
 
 
@@ -112,6 +180,6 @@ def medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
         return F.floor(n / 2)
 
     stats = order_statistics(rows, keys, value, lambda n: F.array(lower(n), upper(n)))
-    at = F.col("at")
-    middle = (F.element_at(at, lower(F.col("n"))) + F.element_at(at, upper(F.col("n")))) / 2
-    return stats.select(*[column(k) for k in keys], middle.alias("median"))
+    at, n = F.col("_at"), F.col("_n")
+    middle = (F.element_at(at, lower(n)) + F.element_at(at, upper(n))) / 2
+    return stats.select(*[column(k) for k in keys], middle.alias("_median"))

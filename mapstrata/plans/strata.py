@@ -177,9 +177,8 @@ class Stratifier:
         they are written once instead of being worked out in both branches."""
         values = [self._values(self.scales[s], s, requests, []) for s in scales]
         keys = ["scale", "request", "as_percent"]
-        most_groups = len(scales) * len(requests)
         most_rows = max(self._units(s) for s in scales)
-        edges = binning.quantile_edges(reduce(DataFrame.unionByName, values), keys, "x", q, most_groups, most_rows)
+        edges = binning.quantile_edges(reduce(DataFrame.unionByName, values), keys, "x", q, most_rows)
         return cut_lineage(edges)
 
     def _members(self, scales: list[str], requests: list[Request], edges: DataFrame, q: int, sliced: bool) -> DataFrame:

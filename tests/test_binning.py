@@ -48,6 +48,7 @@ def expected_bins(series, q, as_percent):
 def test_bins_equal_pandas(spark, monkeypatch, seed, rows, q, small):
     """Once with every group treated as large, otherwise as small ones."""
     monkeypatch.setattr(order_stats, "SMALL_GROUP", small)
+    monkeypatch.setattr(order_stats, "LARGE_GROUP", max(small, 10))
     frame = random_columns(seed, rows)
     codes = list(frame.columns)
     frame.insert(0, "id", [f"{i:04d}" for i in range(rows)])
@@ -79,24 +80,37 @@ def test_edges_bit_equal_numpy(spark):
         assert found[g] == sorted(set(pd.Series(values).quantile(np.linspace(0, 1, 11))))
 
 
-def test_one_group_larger_than_all_slices(spark):
-    """One key holds most rows; its values are spread over several slices and still ranked exactly."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        rows = spark.range(40_000).select(
-            F.when(F.col("id") % 10 < 7, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("g"),
-            ((F.col("id") * 7919) % 20011).cast("double").alias("x"),
-        )
-        stats = order_statistics(rows, ["g"], "x", lambda n: F.array(F.lit(0), F.floor(n / 3), n - 1)).collect()
-        middle = {r["g"]: r["median"] for r in medians(rows, ["g"], "x").collect()}
-        frame = rows.toPandas()
-        for row in stats:
-            values = np.sort(frame[frame.g == row["g"]].x.to_numpy())
-            assert row["n"] == len(values)
-            assert row["at"] == {p: values[p] for p in {0, len(values) // 3, len(values) - 1}}
-        assert middle == frame.groupby("g").x.median().to_dict()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+@pytest.mark.parametrize("broadcast", [100, 0])
+def test_one_group_larger_than_all_slices(spark, monkeypatch, broadcast):
+    """One key holds most rows, one value a third of them; both are cut in slices and ranked exactly."""
+    monkeypatch.setattr(order_stats, "LARGE_GROUP", 300)
+    monkeypatch.setattr(order_stats, "BROADCAST_GROUPS", broadcast)
+    place = F.col("id")
+    rows = spark.range(40_000).select(
+        F.when(place % 10 < 7, "hot").otherwise(F.concat(F.lit("k"), place % 97)).alias("g"),
+        F.when(place % 3 == 0, 777.0).otherwise(((place * 7919) % 20011).cast("double")).alias("x"),
+    )
+    stats = order_statistics(rows, ["g"], "x", lambda n: F.array(F.lit(0), F.floor(n / 3), F.floor(n / 2), n - 1))
+    middle = {r["g"]: r["_median"] for r in medians(rows, ["g"], "x").collect()}
+    frame = rows.toPandas()
+    found = stats.collect()
+    assert len(found) == frame.g.nunique()
+    for row in found:
+        values = np.sort(frame[frame.g == row["g"]].x.to_numpy())
+        n = len(values)
+        assert row["_n"] == n
+        assert row["_at"] == {p: values[p] for p in {0, n // 3, n // 2, n - 1}}
+    assert middle == frame.groupby("g").x.median().to_dict()
+
+
+def test_slices_cover_a_group_evenly(spark, monkeypatch):
+    """Only wanted slices are ranked: far fewer rows than the group has."""
+    monkeypatch.setattr(order_stats, "LARGE_GROUP", 100)
+    rows = spark.range(50_000).select(F.lit("hot").alias("g"), F.sqrt("id").alias("x"))
+    large = rows.groupBy("g").agg(F.count("*").alias("_size"))
+    kept = order_stats._wanted_slices(rows, large, 1, ["g"], F.col("x"), lambda n: F.array(F.floor(n / 2)))
+    assert 0 < kept.count() < 50_000 / 50
+    assert kept.select("_slice").distinct().count() == 1
 
 
 def test_grid_keeps_empty_intervals(spark):

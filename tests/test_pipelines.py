@@ -289,6 +289,7 @@ def test_large_scale_path_gives_the_same_rows(spark, stratifier, monkeypatch):
     chosen = {None: ["x", "y"], "y": ["x"]}
     small = sorted(stratifier.process_list(["mun", "ent"], chosen, 5).collect(), key=lambda r: (r["request"], r["bin"]))
     monkeypatch.setattr(order_stats, "SMALL_GROUP", 0)
+    monkeypatch.setattr(order_stats, "LARGE_GROUP", 7)
     large = sorted(stratifier.process_list(["mun", "ent"], chosen, 5).collect(), key=lambda r: (r["request"], r["bin"]))
     assert small == large
 
