@@ -31,7 +31,7 @@ def stripped(text: Column) -> Column:
 
 
 def blank_to_null(text: Column) -> Column:
-    return F.when(stripped(text) != "", text)
+    return F.when(F.ltrim(text, F.lit(WHITE_SPACE)) != "", text)
 
 
 def zero_padded(text: Column, width: int) -> Column:

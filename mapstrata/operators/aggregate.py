@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from mapstrata.functions.numbers import as_double
 from mapstrata.functions.text import stripped
-from mapstrata.operators.gate import numeric_variables
+from mapstrata.operators.gate import passed_gate
 from mapstrata.operators.order_stats import medians
 from mapstrata.session import column, cut_lineage, exact_names
 
@@ -139,24 +139,27 @@ def numeric_long(df: DataFrame, ids: list[str], variables: list[str], operation:
     return lengthened(wide, ids, codes)
 
 
-def numeric_wide(df: DataFrame, ids: list[str], variables: list[str], operation: str, gated: bool = False) -> DataFrame:
+def numeric_wide(df: DataFrame, ids: list[str], variables: list[str], operation: str) -> DataFrame:
     """One column ``operation::variable`` per variable that holds numbers only.
 
     Variables with any other text are left out; with none left, the distinct units remain.
     """
     check_operation(operation)
-    candidates = _others(ids, variables)
-    kept = candidates if gated else numeric_variables(df, candidates)
-    return numeric_blocks(df, ids, {operation: kept})
+    kept, rows = passed_gate(df, _others(ids, variables))
+    return numeric_blocks(df, ids, {operation: kept}, most_rows=rows)
 
 
 @exact_names
 def numeric_blocks(
-    df: DataFrame, ids: list[str], by_operation: dict[str, list[str]], with_total: bool = False
+    df: DataFrame,
+    ids: list[str],
+    by_operation: dict[str, list[str]],
+    with_total: bool = False,
+    most_rows: int | None = None,
 ) -> DataFrame:
     """Totals, sums and means of all variables in one aggregation; medians are joined to it.
 
-    The median shuffle is keyed by unit and value, so it never gathers one unit in one task.
+    ``most_rows`` bounds the rows of the table, hence of any unit, if that is known.
     """
     types = {field.name: field.dataType for field in df.schema}
     units = [column(i) for i in ids]
@@ -169,7 +172,7 @@ def numeric_blocks(
     base = known.groupBy(*units).agg(*aggregates) if aggregates else known.select(*units).distinct()
     middle = by_operation.get(MEDIAN, [])
     if middle:
-        found = medians(numeric_values(df, ids, middle), [*ids, "variable"], "x")
+        found = medians(numeric_values(df, ids, middle), [*ids, "variable"], "x", most_rows)
         wide = found.groupBy(*units).agg(
             *[F.max(F.when(F.col("variable") == v, F.col("_median"))).alias(numeric_code(MEDIAN, v)) for v in middle]
         )

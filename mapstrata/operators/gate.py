@@ -12,9 +12,10 @@ from mapstrata.session import column, exact_names
 
 
 @exact_names
-def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
+def non_numeric_counts(df: DataFrame, variables: list[str], with_rows: bool = False) -> DataFrame:
     """One row with, per text variable, how many of its non-null values are no number."""
     return df.select(
+        *([F.count(F.lit(1)).alias("_rows")] if with_rows else []),
         *[
             F.count_if(column(v).isNotNull() & ~is_number_text(stripped(column(v)))).alias(v)
             for v in dict.fromkeys(variables)
@@ -22,14 +23,22 @@ def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
     )
 
 
-def numeric_variables(df: DataFrame, variables: list[str]) -> list[str]:
-    """Variables whose every non-null value is a number, in the given order.
+def passed_gate(df: DataFrame, variables: list[str]) -> tuple[list[str], int | None]:
+    """Variables whose every non-null value is a number, in the given order, and the rows of the
+    table if they had to be read.
 
-    Typed numeric columns pass by their type. All text columns are checked in one aggregate,
-    and one row of counts is all that reaches the driver.
+    Typed numeric columns pass by their type. All text columns are checked in one aggregate, and
+    one row of counts is all that reaches the driver.
     """
     types = {field.name: field.dataType for field in df.schema}
     texts = [v for v in dict.fromkeys(variables) if isinstance(types[v], T.StringType)]
-    bad = non_numeric_counts(df, texts).first() if texts else []
+    rows, bad = None, []
+    if texts:
+        counts = non_numeric_counts(df, texts, with_rows=True).first()
+        rows, bad = counts[0], counts[1:]
     passed = {v for v, count in zip(texts, bad) if count == 0}
-    return [v for v in variables if v in passed or is_numeric_type(types[v])]
+    return [v for v in variables if v in passed or is_numeric_type(types[v])], rows
+
+
+def numeric_variables(df: DataFrame, variables: list[str]) -> list[str]:
+    return passed_gate(df, variables)[0]

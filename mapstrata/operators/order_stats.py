@@ -170,7 +170,7 @@ def _wanted_slices(
     )
 
 
-def medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+def medians(rows: DataFrame, keys: list[str], value: str, most_rows: int | None = None) -> DataFrame:
     """Exact median per group: the middle value, or the mean of the two middle values."""
 
     def lower(n: Column) -> Column:
@@ -179,7 +179,7 @@ def medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     def upper(n: Column) -> Column:
         return F.floor(n / 2)
 
-    stats = order_statistics(rows, keys, value, lambda n: F.array(lower(n), upper(n)))
+    stats = order_statistics(rows, keys, value, lambda n: F.array(lower(n), upper(n)), most_rows)
     at, n = F.col("_at"), F.col("_n")
     middle = (F.element_at(at, lower(n)) + F.element_at(at, upper(n))) / 2
     return stats.select(*[column(k) for k in keys], middle.alias("_median"))

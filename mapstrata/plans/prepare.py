@@ -151,7 +151,7 @@ def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Bloc
     if len(set(pairs)) < len(pairs):
         raise ValueError("the same operation is asked for twice on one variable")
     candidates = list(dict.fromkeys(v for _, v in pairs))
-    passed = gate.numeric_variables(df, candidates) if candidates else []
+    passed, rows = gate.passed_gate(df, candidates)
     skipped = [v for v in candidates if v not in passed]
     for variable in skipped:
         log.warning("%s holds values that are not numbers and is not aggregated", variable)
@@ -160,7 +160,7 @@ def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Bloc
     for operation, variable in pairs:
         if variable in passed:
             by_operation.setdefault(operation, []).append(variable)
-    base = aggregate.numeric_blocks(df, ids, by_operation, with_total=True)
+    base = aggregate.numeric_blocks(df, ids, by_operation, with_total=True, most_rows=rows)
 
     parts, order = [base], [aggregate.TOTAL_CODE]
     for block in blocks:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,14 @@ from mapstrata.functions.text import (
 )
 from mapstrata.operators import aggregate, binning, casts, cleaning, columns, gate, metadata, translate
 from mapstrata.operators.order_stats import medians
-from mapstrata.plans.prepare import Block, Preparation, aggregate_blocks, block_dictionaries, resolve_block
+from mapstrata.plans.prepare import (
+    Block,
+    Preparation,
+    aggregate_blocks,
+    block_dictionaries,
+    resolve_block,
+    staged,
+)
 from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins
 from mapstrata.session import checkpoint_folder, column, cut_lineage, local_table
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
@@ -58,8 +66,12 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.blanks_to_null(microdata(spark, sf_dir))
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> Preparation:
-    return Preparation(microdata(spark, sf_dir), described(spark), "var", "valores").blanks_to_null()
+def prepared(spark: SparkSession, sf_dir: str, *passes_over: str) -> Preparation:
+    """Cleaned microdata; the columns that several passes read are written once, as the pipeline does."""
+    preparation = Preparation(microdata(spark, sf_dir), described(spark), "var", "valores").blanks_to_null()
+    if passes_over:
+        return replace(preparation, df=staged(columns.project(preparation.df, passes_over)))
+    return preparation
 
 
 def stratifier(spark: SparkSession, sf_dir: str, *levels: str, **options: list[str]) -> Stratifier:
@@ -211,7 +223,8 @@ def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def numeric_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo", "ent"], "mediana")
+    preparation = prepared(spark, sf_dir, *IDS, "precio", "saldo")
+    return preparation.group_numeric(IDS, ["precio", "saldo", "ent"], "mediana")
 
 
 @query
@@ -223,7 +236,8 @@ def numeric_median_few_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def numeric_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregate.numeric_long(cleaned(spark, sf_dir), IDS, ["precio", "saldo"], "mediana")
+    preparation = prepared(spark, sf_dir, *IDS, "precio", "saldo")
+    return aggregate.numeric_long(preparation.df, IDS, ["precio", "saldo"], "mediana")
 
 
 @query
@@ -251,7 +265,7 @@ REGISTRY_BLOCKS = [
 
 
 def registry_wide(spark: SparkSession, sf_dir: str) -> tuple[Preparation, list[Block], DataFrame]:
-    preparation = prepared(spark, sf_dir)
+    preparation = prepared(spark, sf_dir, *IDS, *CATEGORIES, "precio", "nota", "folio")
     blocks = [resolve_block(preparation, block) for block in REGISTRY_BLOCKS]
     return preparation, blocks, aggregate_blocks(preparation, IDS, blocks)[0]
 
