@@ -28,37 +28,33 @@ def _quantile_levels(q: int) -> list[float]:
     return [(i * step) * 100 / 100 for i in range(q)] + [1.0]
 
 
-def _ranks(q: int, n: Column) -> Column:
-    """Fractional 0-based rank of each level in ``n`` sorted values."""
-    levels = F.array(*[F.lit(level) for level in _quantile_levels(q)])
-    return F.transform(levels, lambda level: level * (n - 1).cast("double"))
+def _positions(q: int) -> list[str]:
+    """Positions below, then above the fractional rank ``level * (_n - 1)`` of every level."""
+    below = [f"cast(floor({level!r}D * (_n - 1)) AS bigint)" for level in _quantile_levels(q)]
+    return below + [f"least({position} + 1, _n - 1)" for position in below]
 
 
-def _positions(q: int, n: Column) -> Column:
-    """Positions on both sides of every fractional rank."""
-    below = F.transform(_ranks(q, n), lambda rank: F.floor(rank))
-    above = F.transform(below, lambda low: F.least(low + 1, n - 1))
-    return F.concat(below, above)
+def _interpolated(q: int) -> Column:
+    """Quantiles of all levels from the values on both sides of their ranks."""
 
+    def quantile(level: Column, i: Column) -> Column:
+        rank = level * (F.col("_n") - 1).cast("double")
+        weight = rank - F.floor(rank)
+        a, b = F.get("_found", i), F.get("_found", i + (q + 1))
+        return F.when(weight < 0.5, a + (b - a) * weight).otherwise(b - (b - a) * (1 - weight))
 
-def _interpolated(at: Column, n: Column, rank: Column) -> Column:
-    low = F.floor(rank)
-    weight = rank - low
-    a = F.element_at(at, low)
-    b = F.element_at(at, F.least(low + 1, n - 1))
-    return F.when(weight < 0.5, a + (b - a) * weight).otherwise(b - (b - a) * (1 - weight))
+    return F.transform(F.array(*[F.lit(level) for level in _quantile_levels(q)]), quantile)
 
 
 def quantile_edges(
     values: DataFrame, keys: list[str], value: str, q: int, most_rows: int | None = None
 ) -> DataFrame:
-    """keys, ``_n`` and ``edges``: the distinct quantiles i/q in ascending order, linearly interpolated."""
+    """keys and ``edges``: the distinct quantiles i/q in ascending order, linearly interpolated."""
     check_bins(q)
     present = values.select(*[column(k) for k in keys], column(value)).filter(column(value).isNotNull())
-    stats = order_statistics(present, keys, value, lambda n: _positions(q, n), most_rows)
-    at, n = F.col("_at"), F.col("_n")
-    quantiles = F.transform(_ranks(q, n), lambda rank: _interpolated(at, n, rank))
-    return stats.select(*[column(k) for k in keys], "_n", F.array_sort(F.array_distinct(quantiles)).alias("edges"))
+    stats = order_statistics(present, keys, value, _positions(q), most_rows)
+    edges = F.array_sort(F.array_distinct(_interpolated(q)))
+    return stats.select(*[column(k) for k in keys], edges.alias("edges"))
 
 
 def interval_count(edges: Column) -> Column:

@@ -17,8 +17,6 @@ Equal values are counted together before they are moved, so a value that fills a
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,17 +42,15 @@ SALTS = 64
 
 
 def order_statistics(
-    rows: DataFrame,
-    keys: list[str],
-    value: str,
-    positions: Callable[[Column], Column],
-    most_rows: int | None = None,
+    rows: DataFrame, keys: list[str], value: str, positions: list[str], most_rows: int | None = None
 ) -> DataFrame:
     """Sorted values at chosen positions.
 
-    ``positions`` maps a group's row count to an array of 0-based positions. ``rows`` must hold
-    neither null keys nor null values. ``most_rows`` is a proven bound of the rows of any group,
-    if the caller has one. Result: keys, ``_n`` and ``_at``, a map position -> value.
+    ``positions`` are SQL expressions of 0-based positions in terms of ``_n``, the row count of a
+    group; they are evaluated for every distinct value, hence plain generated code and no lambdas.
+    ``rows`` must hold neither null keys nor null values. ``most_rows`` is a proven bound of the
+    rows of any group, if the caller has one. Result: keys, ``_n`` and ``_found``, the values in
+    the order of ``positions``.
     """
     groups = [column(key) for key in keys]
     x = column(value)
@@ -80,24 +76,25 @@ def order_statistics(
         .withColumn("_upto", F.coalesce("_skipped", F.lit(0)) + upto)
         .withColumn("_from", F.col("_upto") - F.col("_copies"))
     )
-    here = F.filter(positions(F.col("_n")), lambda p: (p >= F.col("_from")) & (p < F.col("_upto")))
+    found = F.sort_array(F.collect_list(F.struct("_i", x)))
     return (
-        ranked.select(*groups, "_n", x, F.explode(F.array_distinct(here)).alias("_position"))
+        ranked.select(*groups, "_n", "_from", "_upto", x, F.posexplode(_array(positions)).alias("_i", "_position"))
+        .filter("_position >= _from AND _position < _upto")
         .groupBy(*groups)
-        .agg(F.first("_n").alias("_n"), F.map_from_entries(F.collect_list(F.struct("_position", x))).alias("_at"))
+        .agg(F.first("_n").alias("_n"), F.transform(found, lambda entry: entry[value]).alias("_found"))
     )
 
 
-def _from_arrays(
-    present: DataFrame, groups: list[Column], x: Column, positions: Callable[[Column], Column]
-) -> DataFrame:
+def _array(expressions: list[str]) -> Column:
+    return F.expr(f"array({', '.join(expressions)})")
+
+
+def _from_arrays(present: DataFrame, groups: list[Column], x: Column, positions: list[str]) -> DataFrame:
     return (
         present.groupBy(*groups)
         .agg(F.sort_array(F.collect_list(x)).alias("_sorted"))
         .withColumn("_n", F.size("_sorted").cast("bigint"))
-        .withColumn("_wanted", F.array_distinct(positions(F.col("_n"))))
-        .withColumn("_found", F.transform("_wanted", lambda p: F.get("_sorted", p)))
-        .select(*groups, "_n", F.map_from_arrays("_wanted", "_found").alias("_at"))
+        .select(*groups, "_n", _array([f"get(_sorted, cast({p} AS int))" for p in positions]).alias("_found"))
     )
 
 
@@ -145,7 +142,7 @@ def _slice_of(x: Column) -> Column:
 
 
 def _wanted_slices(
-    present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column, positions: Callable[[Column], Column]
+    present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column, positions: list[str]
 ) -> DataFrame:
     """Rows of small groups, and of the slices of large ones that hold a wanted position."""
     groups = [column(key) for key in keys]
@@ -153,16 +150,16 @@ def _wanted_slices(
 
     group = Window.partitionBy(*groups)
     ahead = F.sum("_held").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    starts = (
+    wanted = (
         located.filter(F.col("_size").isNotNull())
-        .groupBy(*groups, "_slice", "_size")
+        .groupBy(*groups, "_slice", F.col("_size").alias("_n"))
         .agg(F.count(F.lit(1)).alias("_held"))
         .withColumn("_skipped", F.coalesce(ahead, F.lit(0)))
+        .withColumn("_position", F.explode(_array(positions)))
+        .filter("_position >= _skipped AND _position < _skipped + _held")
+        .select(*groups, "_slice", "_skipped")
+        .distinct()
     )
-    held = F.filter(
-        positions(F.col("_size")), lambda p: (p >= F.col("_skipped")) & (p < F.col("_skipped") + F.col("_held"))
-    )
-    wanted = starts.filter(F.size(held) > 0).select(*groups, "_slice", "_skipped")
     return (
         _joined(located, wanted, [*keys, "_slice"], x, count)
         .filter(F.col("_size").isNull() | F.col("_skipped").isNotNull())
@@ -172,14 +169,5 @@ def _wanted_slices(
 
 def medians(rows: DataFrame, keys: list[str], value: str, most_rows: int | None = None) -> DataFrame:
     """Exact median per group: the middle value, or the mean of the two middle values."""
-
-    def lower(n: Column) -> Column:
-        return F.floor((n - 1) / 2)
-
-    def upper(n: Column) -> Column:
-        return F.floor(n / 2)
-
-    stats = order_statistics(rows, keys, value, lambda n: F.array(lower(n), upper(n)), most_rows)
-    at, n = F.col("_at"), F.col("_n")
-    middle = (F.element_at(at, lower(n)) + F.element_at(at, upper(n))) / 2
-    return stats.select(*[column(k) for k in keys], middle.alias("_median"))
+    stats = order_statistics(rows, keys, value, ["(_n - 1) div 2", "_n div 2"], most_rows)
+    return stats.select(*[column(k) for k in keys], F.expr("(_found[0] + _found[1]) / 2").alias("_median"))
