@@ -39,15 +39,9 @@ def as_double(value: Column, data_type: T.DataType) -> Column:
     return value.cast("double")
 
 
-def ratio(value: Column, base: Column) -> Column:
-    """Zero denominators give null, in any ANSI mode."""
-    return F.try_divide(value, F.nullif(base, F.lit(0.0)))
-
-
-def finite_or_fail(value: Column, what: str) -> Column:
-    return F.when(F.abs(value) == float("inf"), F.raise_error(F.lit(f"{what}: infinite values cannot be binned"))).otherwise(
-        value
-    )
+def finite_or_fail(value: Column) -> Column:
+    failure = F.raise_error(F.lit("infinite values cannot be binned"))
+    return F.when(F.abs(value) == float("inf"), failure).otherwise(value)
 
 
 def percent(value: Column) -> Column:

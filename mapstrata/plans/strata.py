@@ -12,11 +12,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapstrata.functions.numbers import as_double, finite_or_fail, is_numeric_type, ratio
+from mapstrata.functions.numbers import finite_or_fail, is_numeric_type
 from mapstrata.operators import binning, cells, translate
 from mapstrata.operators.columns import columns_by_regex, compiled
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
-from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table
+from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted
 from mapstrata.sinks.files import write_table
 from mapstrata.sources import read_scale, read_translations
 
@@ -129,40 +129,50 @@ class Stratifier:
 
     # Values
 
-    def _value(self, table: DataFrame, request: Request) -> Column:
-        types = {field.name: field.dataType for field in table.schema}
-        value = as_double(column(request.code), types[request.code])
-        if request.base is not None:
-            value = ratio(value, as_double(column(request.base), types[request.base]))
-        return value
+    def _value(self, request: Request) -> str:
+        """SQL of the variable, divided by its base; zero denominators give null in any ANSI mode."""
+        code = f"cast({quoted(request.code)} AS double)"
+        if request.base is None:
+            return code
+        return f"{code} / nullif(cast({quoted(request.base)} AS double), 0D)"
 
     def _values(self, table: DataFrame, scale: str, requests: list[Request], kept: list[str]) -> DataFrame:
         """One row per unit and request that this scale can answer; the base is in the same row, so
-        no join is needed to divide by it."""
+        no join is needed to divide by it.
+
+        With a thousand requests this expression decides how long planning takes: the row becomes
+        one array of plain quotients, and everything else about a value is done after it is spread.
+        """
         available = set(table.columns)
-        entries = [
-            F.struct(
-                F.lit(number).alias("request"),
-                F.lit(request.base is not None).alias("as_percent"),
-                finite_or_fail(self._value(table, request), request.code).alias("x"),
-            )
+        asked = [
+            (number, request)
             for number, request in enumerate(requests)
             if request.code in available and (request.base is None or request.base in available)
         ]
-        empty = F.array().cast("array<struct<request:int,as_percent:boolean,x:double>>")
-        return table.select(
+        if not asked:
+            numbers, shares, values = "array(0)", "array(false)", "cast(array() AS array<double>)"
+        else:
+            numbers = f"array({', '.join(str(number) for number, _ in asked)})"
+            shares = f"array({', '.join('false' if request.base is None else 'true' for _, request in asked)})"
+            values = f"array({', '.join(self._value(request) for _, request in asked)})"
+        spread = table.select(*[column(c) for c in kept], F.expr(f"posexplode({values})").alias("_i", "_x"))
+        number = F.when(~F.isnan("_x"), F.col("_x"))
+        return spread.select(
             F.lit(scale).alias("scale"),
             *[column(c) for c in kept],
-            F.inline(F.array(*entries) if entries else empty).alias("request", "as_percent", "x"),
+            F.expr(f"get({numbers}, _i)").alias("request"),
+            F.expr(f"get({shares}, _i)").alias("as_percent"),
+            finite_or_fail(number).alias("x"),
         )
 
     @exact_names
     def normalize(self, scale: str, code: str, base: str | None = None) -> DataFrame:
         """ids and ``value``: the variable, divided by its base if there is one."""
         self._check_in_scale(scale, Request(base, code))
-        table = self.scales[scale]
-        value = self._value(table, Request(base, code))
-        return table.select(*[column(i) for i in self.ids], value.alias("value"))
+        value = F.expr(self._value(Request(base, code)))
+        return self.scales[scale].select(
+            *[column(i) for i in self.ids], F.when(~F.isnan(value), value).alias("value")
+        )
 
     # Bins
 

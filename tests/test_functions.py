@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapstrata.functions.literals import array_literal, list_from_text, list_to_text, options_from_text
-from mapstrata.functions.numbers import float_text, is_number_text, percent, ratio
+from mapstrata.functions.numbers import float_text, is_number_text, percent
 from mapstrata.functions.text import (
     WHITE_SPACE,
     accents_folded,
@@ -74,12 +74,10 @@ def test_float_texts(spark):
     assert apply(spark, float_text, values, "double") == [str(v) for v in values]
 
 
-def test_percent_and_ratio(spark):
+def test_percent(spark):
     values = [0.12345, -0.0004, 0.0005, 1.0, 0.25050000000000006]
     found = apply(spark, lambda c: float_text(percent(c)), values, "double")
     assert found == [str(float(math.copysign(round(v * 100 * 10) / 10, v))) for v in values]
-    df = spark.createDataFrame([(4.0, 2.0), (1.0, 0.0), (None, 1.0)], "a double, b double")
-    assert [r[0] for r in df.select(ratio(F.col("a"), F.col("b"))).collect()] == [2.0, None, None]
 
 
 def test_list_texts(spark):
