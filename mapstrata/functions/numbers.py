@@ -20,7 +20,8 @@ def is_number_text(text: Column) -> Column:
     """True when already stripped text reads as a number in range."""
     finite = F.abs(text.try_cast("double")) < float("inf")
     lowest, highest = (F.lit(bound).cast("decimal(38,0)") for bound in (SMALLEST_INTEGER, LARGEST_INTEGER))
-    integer_in_range = F.coalesce(text.try_cast("decimal(38,0)").between(lowest, highest), F.lit(False))
+    integer = text.try_cast("decimal(38,0)")
+    integer_in_range = F.coalesce((integer >= lowest) & (integer <= highest), F.lit(False))
     in_range = F.when(text.rlike(INTEGER_PATTERN), integer_in_range).otherwise(finite)
     return F.when(text.rlike(NUMBER_PATTERN), in_range).otherwise(text.rlike(INFINITY_PATTERN))
 

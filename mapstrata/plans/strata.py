@@ -134,7 +134,8 @@ class Stratifier:
         code = f"cast({quoted(request.code)} AS double)"
         if request.base is None:
             return code
-        return f"{code} / nullif(cast({quoted(request.base)} AS double), 0D)"
+        base = f"cast({quoted(request.base)} AS double)"
+        return f"CASE WHEN {base} <> 0D THEN {code} / {base} END"
 
     def _values(self, table: DataFrame, scale: str, requests: list[Request], kept: list[str]) -> DataFrame:
         """One row per unit and request that this scale can answer; the base is in the same row, so
