@@ -16,13 +16,21 @@ SMALLEST_INTEGER = "-9223372036854775808"
 LARGEST_INTEGER = "18446744073709551615"
 
 
+# Any number below this size is in range, so that exact integers are rarely looked at.
+SURELY_IN_RANGE = 9.2e18
+
+
 def is_number_text(text: Column) -> Column:
     """True when already stripped text reads as a number in range."""
-    finite = F.abs(text.try_cast("double")) < float("inf")
+    size = F.abs(text.try_cast("double"))
     lowest, highest = (F.lit(bound).cast("decimal(38,0)") for bound in (SMALLEST_INTEGER, LARGEST_INTEGER))
     integer = text.try_cast("decimal(38,0)")
     integer_in_range = F.coalesce((integer >= lowest) & (integer <= highest), F.lit(False))
-    in_range = F.when(text.rlike(INTEGER_PATTERN), integer_in_range).otherwise(finite)
+    in_range = (
+        F.when(size < SURELY_IN_RANGE, True)
+        .when(text.rlike(INTEGER_PATTERN), integer_in_range)
+        .otherwise(size < float("inf"))
+    )
     return F.when(text.rlike(NUMBER_PATTERN), in_range).otherwise(text.rlike(INFINITY_PATTERN))
 
 
