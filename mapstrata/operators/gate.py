@@ -12,14 +12,23 @@ from mapstrata.session import column, exact_names
 
 
 @exact_names
-def non_numeric_counts(df: DataFrame, variables: list[str], with_rows: bool = False) -> DataFrame:
-    """One row with, per text variable, how many of its non-null values are no number."""
-    return df.select(
-        *([F.count(F.lit(1)).alias("_rows")] if with_rows else []),
-        *[
-            F.count_if(column(v).isNotNull() & ~is_number_text(stripped(column(v)))).alias(v)
-            for v in dict.fromkeys(variables)
-        ]
+def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
+    """``variable``, ``rejected``, ``rows``: how many non-null values of a text variable are no number,
+    and the rows of the table.
+
+    The cells are spread and counted per variable instead of one aggregate column each: with
+    hundreds of variables those no longer compile to one piece of code.
+    """
+    names = list(dict.fromkeys(variables))
+    cells = df.select(F.posexplode(F.array(*[column(v) for v in names])).alias("_i", "_raw"))
+    texts = cells.select("_i", stripped(F.col("_raw")).alias("_text"))
+    return (
+        texts.groupBy("_i")
+        .agg(
+            F.count_if(F.col("_text").isNotNull() & ~is_number_text(F.col("_text"))).alias("rejected"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+        .select(F.get(F.array(*[F.lit(v) for v in names]), F.col("_i")).alias("variable"), "rejected", "rows")
     )
 
 
@@ -28,15 +37,14 @@ def passed_gate(df: DataFrame, variables: list[str]) -> tuple[list[str], int | N
     table if they had to be read.
 
     Typed numeric columns pass by their type. All text columns are checked in one aggregate, and
-    one row of counts is all that reaches the driver.
+    one row of counts per variable is all that reaches the driver.
     """
     types = {field.name: field.dataType for field in df.schema}
     texts = [v for v in dict.fromkeys(variables) if isinstance(types[v], T.StringType)]
-    rows, bad = None, []
-    if texts:
-        counts = non_numeric_counts(df, texts, with_rows=True).first()
-        rows, bad = counts[0], counts[1:]
-    passed = {v for v, count in zip(texts, bad) if count == 0}
+    counts = non_numeric_counts(df, texts).collect() if texts else []
+    rejected = {row["variable"] for row in counts if row["rejected"]}
+    passed = set(texts) - rejected
+    rows = max((row["rows"] for row in counts), default=0) if texts else None
     return [v for v in variables if v in passed or is_numeric_type(types[v])], rows
 
 
