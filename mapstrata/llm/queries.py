@@ -9,9 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapstrata.llm import rules
+from mapstrata.llm import ann, quality_classifier, rules
+from mapstrata.llm.line_dedup import dedup_lines
 from mapstrata.llm.mixing import allocated, mix_plan, sized
+from mapstrata.llm.near_dedup import near_duplicates
 from mapstrata.llm.packing import pack
+from mapstrata.llm.substring_dedup import remove_repeats
 from mapstrata.llm.token_files import read_token_files, write_token_files
 from mapstrata.llm.tokens import crc32_of, vocabulary_dtype
 from mapstrata.llm.url_filters import Rule, judge_urls
@@ -41,6 +44,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = quality_classifier.described(table(spark, sf_dir, "documents"))
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.scored(docs, model).withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sized(table(spark, sf_dir, "documents"))
@@ -56,6 +77,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", crc32_of("ids", vocabulary_dtype(path)).alias("ids_crc32"))
 
 
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("__removed").alias("n_removed"), F.length("text").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 @query
 def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
@@ -65,6 +92,13 @@ def op7_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = ann.search(vectors, vectors.where("id % 20 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = rules.quality_ledger(table(spark, sf_dir, "documents"), ["doc_id"])

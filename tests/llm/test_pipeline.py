@@ -1,0 +1,88 @@
+"""The corpus pipeline against brute-force versions of its stages, each on its own input."""
+
+import collections
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline  # noqa: E402
+from test_dedup import brute_classes, brute_lines  # noqa: E402
+from test_rules_and_mixing import brute_measures, brute_targets  # noqa: E402
+
+from mapstrata.llm import line_dedup, rules  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    out = {"documents": docs}
+    folder = tmp_path_factory.mktemp("corpus")
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_DIR).write.parquet(f"{folder}/{name}")
+        docs = out[name] = spark.read.parquet(f"{folder}/{name}")
+    return {name: (df.columns, df.collect()) for name, df in out.items()}
+
+
+def test_columns(stages):
+    for name in ("quality_rules", "line_dedup", "near_dedup", "source_mix"):
+        assert stages[name][0] == stages["documents"][0]
+
+
+def test_quality_rules(stages):
+    def rejected(text):
+        m = dict(zip(rules.MEASURES, brute_measures(text)))
+        return any(eval(r.fails.replace(" = ", " == "), {}, m) for r in rules.RULES)
+
+    kept = [r for r in stages["documents"][1] if not rejected(r.text)]
+    assert sorted(stages["quality_rules"][1]) == sorted(kept)
+
+
+def test_line_dedup(stages):
+    before = [(r.doc_id, r.text) for r in stages["quality_rules"][1]]
+    cut = brute_lines(before, line_dedup.RARE, line_dedup.LEAST_WORDS)
+    found = stages["line_dedup"][1]
+    assert sorted((r.doc_id, r.text) for r in found) == sorted((i, t) for i, t, n in cut if not n or t.split())
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_near_dedup(stages):
+    rows = [(r.doc_id, r.text) for r in stages["line_dedup"][1]]
+    assert sorted(r.doc_id for r in stages["near_dedup"][1]) == sorted(i for i, c in brute_classes(rows) if i == c)
+
+
+def test_source_mix(stages):
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in stages["near_dedup"][1]:
+        sizes[r.source] += len(r.text.encode().split())
+    for r in stages["source_mix"][1]:
+        taken[r.source] += len(r.text.encode().split())
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken[source] - target) <= 1
+    texts = {r.doc_id: r.text for r in stages["near_dedup"][1]}
+    assert all(texts[r.doc_id].startswith(r.text) for r in stages["source_mix"][1])
+
+
+def test_packing(stages):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    wanted, found, ends = collections.Counter(), collections.Counter(), collections.defaultdict(int)
+    for r in stages["source_mix"][1]:
+        wanted.update(library.encode(r.text, add_special_tokens=False).ids + [1])
+    for r in stages["packing"][1]:
+        found.update(np.frombuffer(r.ids, "<u2").tolist())
+        ends[r.sequence_id] += r.length
+    assert found == wanted and max(ends.values()) <= 2048
+
+
+def test_run_is_the_stages(spark, stages):
+    found = corpus_pipeline.run(spark, SF_DIR).collect()
+    count = lambda rows: collections.Counter((r.doc_id, r.start, r.length, bytes(r.ids)) for r in rows)
+    assert count(found) == count(stages["packing"][1])
