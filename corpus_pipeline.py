@@ -18,6 +18,7 @@ from mapstrata.llm.line_dedup import dedup_lines
 from mapstrata.llm.mixing import mix_documents
 from mapstrata.llm.near_dedup import drop_near_duplicates
 from mapstrata.llm.packing import pack
+from mapstrata.llm.words import small_batches
 from mapstrata.session import checkpoint_folder
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 1
@@ -25,6 +26,7 @@ TOKENIZER, END_ID = "byte_bpe_50k.json", 1
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps."""
+    small_batches(spark)
     ledger = rules.quality_ledger(docs.withColumn("__raw", F.col("text")), docs.columns, text="__raw")
     return ledger.where(~rules.fails(rules.POLICY)).select(*docs.columns)
 

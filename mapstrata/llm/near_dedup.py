@@ -6,10 +6,10 @@ more documents need a table, of at most ``1 / COMMON`` times the mean number of
 Samples (Ioffe's scheme) fall in ``BANDS`` bands of ``ROWS``; documents that agree on a band are candidates, and a
 link needs an exact weighted Jaccard similarity of ``SIMILARITY`` or more. Classes are connected components.
 
-Texts of equal words are one text from the start. In a bucket every text is first compared with the bucket's smallest
-one; then, where a bucket still falls in several classes, each text outside the class of the smallest one is compared
-with all texts of other classes. So a large group costs about one comparison a text, and no candidate
-that could join two classes is left out.
+Texts of equal words are one text from the start. In a bucket every text is first compared with the bucket's most central
+one. Where a bucket still falls in several classes, its texts are compared in blocks, all with all of other classes; a
+block returns only links that join classes. So a group of copies costs about one comparison a text, no pairs of a
+group are written, and no candidate that could join two classes is left out.
 
 Texts of fewer than five words are one shingle. Null texts and texts without words belong to no other document.
 Rows that repeat a doc_id are told apart by their texts. Rows without doc_id take part; a class of such rows alone has
@@ -18,7 +18,7 @@ no class id. Other columns are not read. An empty table gives no row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mapstrata.llm.components import connected_components
+from mapstrata.llm.storage import release
 from mapstrata.llm.words import Rolling, as_bytes, map_rows, mixed, signed, split_words, word_hashes, worker_state
 from mapstrata.session import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 3, 12
 COMMON = 0.01
+BLOCK = 256  # texts of a bucket that a task compares with as many others at a time
 BAND_NAMES = [f"band{i}" for i in range(BANDS)]
 
 
@@ -77,8 +79,13 @@ class Weights:
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingles and their weights."""
+        shingles, counts, values = self.counted(words)
+        return shingles, counts * values
+
+    def counted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct shingles, how often they occur, and the value of one occurrence."""
         if not words:
-            return np.zeros(0, np.uint64), np.zeros(0)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
         hashes = word_hashes(words)
         at = np.searchsorted(self.words[:-1], hashes)
         idf = np.where(self.words[at] == hashes, self.idf[at], self.rare)
@@ -88,7 +95,7 @@ class Weights:
         sums = np.concatenate([[0.0], np.cumsum(idf)])
         mean = (sums[width:] - sums[:-width]) / width
         distinct, first, n = np.unique(shingles, return_index=True, return_counts=True)
-        return distinct, n * mean[first]
+        return distinct, n, mean[first]
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -111,7 +118,6 @@ class Sampler:
             low, high = np.where(less, mid, low), np.where(less, high, mid)
         self.r = low.astype(np.float32)
         self.log_c = np.log(low).astype(np.float32)
-        self.beta = p.astype(np.float32)
         k = ROWS * BANDS
         self.factors = (mixed(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 
@@ -119,12 +125,13 @@ class Sampler:
         k = len(self.factors)
         best, pick, level = np.full(k, np.inf, np.float32), np.zeros(k, np.uint64), np.zeros(k, np.float32)
         logs = np.log(weights).astype(np.float32)
-        for at in range(0, len(shingles), 1024):  # blocks that stay in a core's cache
-            s, log_w = shingles[at : at + 1024], logs[at : at + 1024]
+        for at in range(0, len(shingles), 512):  # blocks that stay in a core's cache
+            s, log_w = shingles[at : at + 512], logs[at : at + 512]
             bits = (s * self.factors).view(np.uint16).reshape(k, len(s), 4)
-            r = self.r[bits[:, :, 3]]
-            t = np.floor(log_w / r + self.beta[bits[:, :, 1]])
-            log_a = self.log_c[bits[:, :, 2]] - r * (t - self.beta[bits[:, :, 1]] + 1)
+            beta = bits[:, :, 1] * np.float32(2**-16)
+            r = self.r.take(bits[:, :, 3])
+            t = np.floor(log_w / r + beta)
+            log_a = (beta - t - 1) * r + self.log_c.take(bits[:, :, 2])
             i = log_a.argmin(axis=1)
             row = np.arange(k)
             better = log_a[row, i] < best
@@ -202,6 +209,88 @@ def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("print", F.col("text").cast("binary").alias("text")).dropDuplicates(["print"])
 
 
+def block_links(texts: list[bytes], classes: list, sides: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
+    """Links that join classes of one block: a spanning set of the similar pairs, one from either side of the block (or
+    any, where it has one side only). Intersections of all pairs come from products of a few thousand shingles at
+    a time; the second occurrence of a shingle in a text is a feature of its own, so that sums of minima are exact."""
+    features, rows, values, totals = [], [], [], np.zeros(len(texts))
+    for row, text in enumerate(texts):
+        shingles, counts, value = weights.counted(split_words(text))
+        totals[row] = float((counts * value).sum())
+        levels = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        features.append(mixed(np.repeat(shingles, counts) + mixed(levels)))
+        values.append(np.repeat(value, counts))
+        rows.append(np.full(len(levels), row))
+    _, number, n = np.unique(np.concatenate(features), return_inverse=True, return_counts=True)
+    shared = n[number] > 1
+    number, row, value = number[shared], np.concatenate(rows)[shared], np.concatenate(values)[shared]
+    order = np.argsort(number, kind="stable")
+    number, row, value = number[order], row[order], np.sqrt(value[order])
+    both = np.zeros((len(texts), len(texts)))
+    steps = np.flatnonzero(np.diff(number, prepend=-1))  # where each feature begins
+    for at in range(0, len(steps), 4096):
+        part = slice(steps[at], steps[at + 4096] if at + 4096 < len(steps) else len(number))
+        column = np.cumsum(np.diff(number[part], prepend=number[part.start]) > 0)
+        table = np.zeros((len(texts), 4096))
+        table[row[part], column] = value[part]
+        both += table @ table.T
+    similar = np.triu(both >= SIMILARITY * (totals[:, None] + totals[None, :] - both), 1)
+    if sides.any() and not sides.all():
+        similar &= sides[:, None] != sides[None, :]
+    parent = {c: c for c in classes}
+
+    def find(c: object) -> object:
+        while parent[c] != c:
+            c = parent[c]
+        return c
+
+    out = []
+    for i, j in zip(*np.nonzero(similar)):
+        a, b = find(classes[i]), find(classes[j])
+        if a != b:
+            parent[a] = b
+            out.append((int(i), int(j)))
+    return out
+
+
+def _linking(weights: Weights) -> Callable[[tuple, pa.Table], pa.Table]:
+    def link(key: tuple, block: pa.Table) -> pa.Table:
+        prints = block.column("print").to_pylist()
+        sides = block.column("chunk").to_numpy() == key[2].as_py()
+        found = block_links(block.column("text").to_pylist(), block.column("c").to_pylist(), sides, weights)
+        return pa.table({"a": pa.array([prints[i] for i, _ in found], pa.binary()), "b": pa.array([prints[j] for _, j in found], pa.binary())})
+
+    return link
+
+
+def _links_within(open_members: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
+    """Links inside buckets of any size: members (band, key, n, print, c) are dealt to chunks, and every pair of chunks
+    is one block of a task, which compares all texts of different classes and returns the links that join classes."""
+    parts = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = open_members.withColumn("chunk", F.pmod(F.xxhash64("print"), parts).cast("int"))
+    dealt = dealt.select("band", "key", "print", "c", "chunk", F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = dealt.select("band", "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "print", "c", "chunk")
+    blocks = dealt.join(texts, "print")
+    # i is the third key: the side of a block that a text is on
+    return blocks.groupBy("band", "key", "i", "j").applyInArrow(_linking(weights), "a binary, b binary")
+
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """(band, key, n, print, weight, hub) for every text of every bucket of two texts or more. The hub of a bucket is the
+    text that meets the most others in all its buckets: in a family of copies, the one they come from."""
+    members = texts.select("print", "weight", F.posexplode(F.array(*BAND_NAMES)).alias("band", "key"))
+    sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = cut_lineage(members.join(sizes, ["band", "key"]))
+    central = members.groupBy("print").agg(F.sum("n").alias("met"))
+    hubs = members.join(central, "print").groupBy("band", "key").agg(F.max(F.struct("met", "print")).alias("hub"))
+    return cut_lineage(members.join(hubs, ["band", "key"]).withColumn("hub", F.col("hub.print")))
+
+
+def _with_classes(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    classes = connected_components(links).select(F.col("node").alias("print"), F.col("component").alias("c"))
+    return classes, members.join(classes, "print", "left").withColumn("c", F.coalesce("c", "print"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, print, class_id, first_print) for every row of ``docs``. ``class_id`` is the smallest doc_id of the
     class; ``first_print`` the print of the text that stands for it."""
@@ -211,44 +300,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), *(F.first(b).alias(b) for b in BAND_NAMES)
     )
     texts = cut_lineage(texts)
+    named = texts.select("print", "doc_id")
+    members = _buckets(texts)
 
-    members = texts.select(
-        "print",
-        "weight",
-        F.posexplode(F.array(*BAND_NAMES)).alias("band", "key"),
-    )
-    hubs = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("hub"))
-    members = cut_lineage(members.join(hubs.where("n > 1").drop("n"), ["band", "key"]))
-
-    near = F.least("weight", "other_weight") >= SIMILARITY * 0.999999 * F.greatest("weight", "other_weight")
-    hub_weight = texts.select(F.col("print").alias("hub"), F.col("weight").alias("other_weight"))
+    # first every text of a bucket with its hub
+    near = F.least("weight", "hub_weight") >= SIMILARITY * 0.999999 * F.greatest("weight", "hub_weight")
+    hub_weight = texts.select(F.col("print").alias("hub"), F.col("weight").alias("hub_weight"))
     star = members.where("print <> hub").select("print", "hub", "weight").distinct().join(hub_weight, "hub")
     star = cut_lineage(star.where(near).select(F.col("print").alias("a"), F.col("hub").alias("b")))
-    involved = star.select(F.col("a").alias("print")).union(star.select("b")).distinct().join(texts.select("print", "doc_id"), "print")
+    involved = star.select(F.col("a").alias("print")).union(star.select("b")).distinct().join(named, "print")
     links = cut_lineage(_verified(star, _texts_of(docs, involved), weights))
-    classes = connected_components(links)
-
-    # buckets whose members are not yet in one class
-    of_print = classes.select(F.col("node").alias("print"), F.col("component").alias("c"))
-    of_hub = classes.select(F.col("node").alias("hub"), F.col("component").alias("hub_c"))
-    placed = members.join(of_print, "print", "left").join(of_hub, "hub", "left")
-    placed = placed.withColumn("c", F.coalesce("c", "print")).withColumn("hub_c", F.coalesce("hub_c", "hub"))
-    apart = cut_lineage(placed.where("c <> hub_c").select("band", "key", "print", "weight", "c"))
-    if not apart.isEmpty():
-        open_buckets = apart.select("band", "key").distinct()
-        others = placed.join(open_buckets, ["band", "key"]).select(
-            "band", "key", "hub", F.col("print").alias("other"), F.col("weight").alias("other_weight"), F.col("c").alias("other_c")
-        )
-        cross = apart.join(others, ["band", "key"]).where((F.col("c") != F.col("other_c")) & (F.col("other") != F.col("hub")) & near)
-        cross = cross.select(F.greatest("print", "other").alias("a"), F.least("print", "other").alias("b")).distinct()
-        cross = cut_lineage(cross)
-        involved = cross.select(F.col("a").alias("print")).union(cross.select("b")).distinct().join(texts.select("print", "doc_id"), "print")
-        more = cut_lineage(_verified(cross, _texts_of(docs, involved), weights))
+    release(docs.sparkSession)
+    classes, placed = _with_classes(members, links)
+
+    # then the buckets whose texts are not yet in one class; of two texts both have been compared
+    apart = placed.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    still_open = placed.where("n > 2").join(apart, ["band", "key"], "left_semi").select("band", "key", "n", "print", "c")
+    still_open = cut_lineage(still_open)
+    if not still_open.isEmpty():
+        involved = still_open.select("print").distinct().join(named, "print")
+        more = cut_lineage(_links_within(still_open, _texts_of(docs, involved), weights))
+        release(docs.sparkSession)
         if not more.isEmpty():
-            classes = connected_components(links.union(more))
-            of_print = classes.select(F.col("node").alias("print"), F.col("component").alias("c"))
+            classes, _ = _with_classes(members, links.union(more))
 
-    named = texts.select("print", "doc_id").join(of_print, "print", "left").withColumn("c", F.coalesce("c", "print"))
+    named = named.join(classes, "print", "left").withColumn("c", F.coalesce("c", "print"))
     first = named.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("print"))).alias("first"))
     named = named.join(first, "c").select("print", F.col("first.doc_id").alias("class_id"), F.col("first.print").alias("first_print"))
     return rows.select("doc_id", "print").join(named, "print", "left").select(

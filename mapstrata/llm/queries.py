@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -18,6 +19,7 @@ from mapstrata.llm.substring_dedup import remove_repeats
 from mapstrata.llm.token_files import read_token_files, write_token_files
 from mapstrata.llm.tokens import crc32_of, vocabulary_dtype
 from mapstrata.llm.url_filters import Rule, judge_urls
+from mapstrata.llm.words import small_batches
 from mapstrata.session import checkpoint_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,8 +38,13 @@ URL_RULES = [
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

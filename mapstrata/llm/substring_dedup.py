@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mapstrata.llm.storage import release
 from mapstrata.llm.words import Rolling, as_bytes, map_rows, signed, split_words, word_hashes
 from mapstrata.session import cut_lineage
 
@@ -165,10 +166,8 @@ def _kept(found: DataFrame, window: int) -> DataFrame:
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, node_words: int = NODE_WORDS) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) for every row of ``docs``; kept words are joined by one space."""
-    # the text's hash tells rows of one doc_id apart
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+def _shared_parts(keyed: DataFrame, window: int, node_words: int) -> DataFrame:
+    """What ``_spans_and_windows`` finds, for the documents that share an anchor with another one."""
     seen = _occurrences(keyed, window, node_words)
     nodes = (
         seen.groupBy("node")
@@ -187,10 +186,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, node_words: int = NODE
         .groupBy("doc_id", "text_key")
         .agg(F.collect_list(F.struct("at", "first_doc", "one_after", "one_before")).alias("nodes"))
     )
-    # rows that repeat both doc_id and text would give their windows twice
     marked = keyed.join(lists, ["doc_id", "text_key"])
-    found = cut_lineage(_spans_and_windows(marked, window, node_words))
+    return cut_lineage(_spans_and_windows(marked, window, node_words))
+
 
+def _removals(found: DataFrame) -> DataFrame:
+    """(doc_id, text_key, window_at, span_begins, span_ends) of the documents that lose words."""
     windows = found.select("doc_id", "text_key", F.explode(F.arrays_zip("window_at", "window_hash")).alias("w"))
     windows = windows.select("doc_id", "text_key", F.col("w.window_at").alias("at"), F.col("w.window_hash").alias("hash"))
     first = windows.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
@@ -198,9 +199,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, node_words: int = NODE
         windows.join(first.where("first_doc < last_doc").drop("last_doc"), "hash")
         .where("first_doc < doc_id")
         .groupBy("doc_id", "text_key")
+        # rows that repeat both doc_id and text give their windows twice
         .agg(F.collect_set("at").alias("window_at"))
     )
     spans = found.where(F.size("span_begins") > 0).select("doc_id", "text_key", "span_begins", "span_ends")
     spans = spans.dropDuplicates(["doc_id", "text_key"])
-    removals = repeated.join(spans, ["doc_id", "text_key"], "full")
+    return cut_lineage(repeated.join(spans, ["doc_id", "text_key"], "full"))
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, node_words: int = NODE_WORDS) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept) for every row of ``docs``; kept words are joined by one space."""
+    # the text's hash tells rows of one doc_id apart
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    found = _shared_parts(keyed, window, node_words)
+    release(docs.sparkSession)
+    removals = _removals(found)
+    del found
+    release(docs.sparkSession)
     return _kept(keyed.join(removals, ["doc_id", "text_key"], "left"), window)

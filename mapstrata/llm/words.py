@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -116,6 +116,11 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Whole documents are larger rows than Spark's default batch of 10,000 is made for."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def word_count(column: str) -> Column:
     """Number of words of a text column; null counts 0."""
 

@@ -237,3 +237,12 @@ def test_samples_estimate_weighted_similarity():
         expected.append(near_dedup.weighted_jaccard((shingles, a), (shingles, b)) ** near_dedup.ROWS)
         agree.append((sampler.bands(shingles, a) == sampler.bands(shingles, b)).mean())
     assert np.mean(agree) == pytest.approx(np.mean(expected), abs=0.02)
+
+
+@pytest.mark.parametrize("block", [3, 16])
+def test_blocks_of_a_bucket_lose_no_link(spark, documents, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rows = near_rows(11) + [(i + 2000, t) for i, t in near_rows(12) if i is not None]
+    found = near_dedup.near_duplicates(documents([(i, t, "s") for i, t in rows])).collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)
+    assert sorted(((r.doc_id, r.class_id) for r in found), key=key) == sorted(brute_classes(rows), key=key)
