@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -13,33 +14,64 @@ from pyspark.sql import functions as F
 
 from mapstrata.llm.words import worker_state
 
-MOST_CACHED = 400_000
+MOST_CACHED = 250_000
 INNER_SPACE = re.compile(r"(?<!\s) (?!\s)")
+MARKS = ".,;:!?#*$%&|"
+# Letters up to here are letters in every version of Unicode.
+LAST_LETTER = "\u024f"
+
+
+def byte_characters() -> dict[int, str]:
+    """The public byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
 
 
 class _Words(dict):
     """Ids, as bytes, of words with ``prefix`` before them; None for words that touch other white space.
-    Forgets all when it holds ``MOST_CACHED`` words."""
+    Holds two generations of ``MOST_CACHED`` words and forgets the older one when the younger is full."""
 
-    def __init__(self, encode, prefix: str) -> None:
+    def __init__(self, owner: ByteLevelEncoder, prefix: str) -> None:
         super().__init__()
-        self.encode, self.prefix = encode, prefix
+        self.owner, self.prefix, self.older = owner, prefix, {}
 
     def __missing__(self, word: str) -> bytes | None:
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
+        value = self.older.get(word)
+        if value is None:
+            value = self._encoded(word)
+            if value is None:
+                return None
         if len(self) >= MOST_CACHED:
+            self.older = dict(self)
             self.clear()
-        value = self[word] = self.encode(self.prefix + word)
+        self[word] = value
         return value
 
+    def _encoded(self, word: str) -> bytes | None:
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        if word.isalpha() and max(word) <= LAST_LETTER:
+            return self.owner.letters(self.prefix + word)
+        head = word.rstrip(MARKS)
+        if head and head != word and head[-1].isalpha() and head[-1] <= LAST_LETTER:
+            marks = self.owner.first[word[len(head) :]]  # a run of marks after a letter is a token of its own
+            stem = self[head]
+            return None if stem is None else stem + marks
+        if "\n" in word:
+            lines = word.split("\n")
+            parts = [self[lines[0]], *(self.owner.first[x] for x in lines[1:])]
+            return self.owner.library(self.prefix + word) if None in parts else self.owner.newline.join(parts)
+        return self.owner.library(self.prefix + word)
+
 
 class ByteLevelEncoder:
     """Encodes with a byte-level BPE file of the tokenizers library, without special tokens.
 
-    Its splitting never joins a visible character with a space or line break that follows it, so a
-    text may be cut at single spaces and at single line breaks between visible characters, and each
-    part is encoded once per worker. Other texts and parts go to the library as they are.
+    Its splitting never joins a visible character with a space or line break that follows it, nor a letter with a mark
+    that follows it. So a text may be cut at single spaces and single line breaks between visible characters and before
+    a word's last marks, and each part is encoded once per worker. Words of letters go to the library's BPE model,
+    other parts to the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -47,37 +79,39 @@ class ByteLevelEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.first = _Words(self._library, "")
-        self.spaced = _Words(self._spaced, " ")
-        self.newline = self._library("\n")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.alphabet = {chr(b): c for b, c in byte_characters().items()}
+        self.alphabet = str.maketrans(self.alphabet)
+        self.newline = self.library("\n")
+        self.first = _Words(self, "")
+        self.spaced = _Words(self, " ")
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
-    def _library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+    def library(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _spaced(self, text: str) -> bytes:
-        head, *lines = text.split("\n")
-        if not lines:
-            return self._library(text)
-        parts = [self.spaced[head[1:]], *(self.first[x] for x in lines)]
-        return self._library(text) if None in parts else self.newline.join(parts)
+    def letters(self, word: str) -> bytes:
+        """Ids of a word of letters, which is one part to the tokenizer."""
+        return self._packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
 
     def __call__(self, text: str | None) -> bytes:
         """The ids as little-endian bytes of ``dtype``; null and empty texts have none."""
         if not text:
             return b""
-        parts = text.split(" ")
-        found = [self._head(parts[0]), *map(self.spaced.__getitem__, parts[1:])]
-        if None in found:
-            parts = INNER_SPACE.split(text)
-            found = [self._library(parts[0])]
-            for part in parts[1:]:
-                found.append(self.spaced[part] or self._library(" " + part))
-        return b"".join(found)
-
-    def _head(self, text: str) -> bytes | None:
-        parts = [self.first[x] for x in text.split("\n")]
-        return None if None in parts else self.newline.join(parts)
+        head, *parts = text.split(" ")
+        try:
+            return b"".join([self.first[head], *map(self.spaced.__getitem__, parts)])
+        except TypeError:  # a part is None
+            head, *parts = INNER_SPACE.split(text)
+            found = [self.library(head)]
+            for part in parts:
+                ids = self.spaced[part]
+                found.append(self.library(" " + part) if ids is None else ids)
+            return b"".join(found)
 
 
 def encoder(path: str) -> ByteLevelEncoder:
