@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mapstrata.llm.storage import release
-from mapstrata.llm.words import Rolling, as_bytes, map_rows, signed, split_words, word_hashes
+from mapstrata.llm.words import Rolling, as_bytes, map_rows, mixed, signed, split_words, word_hashes
 from mapstrata.session import cut_lineage
 
 WINDOW, NODE_WORDS = 50, 12
@@ -56,13 +56,22 @@ class Anchored:
             self.at = np.zeros(0, dtype=np.int64)
         self.hashes = nodes[self.at]
 
-    def edges(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of what follows and of what precedes each anchor; 0 where the document ends."""
+    def nodes(self, salt: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchors, and hashes of what follows and of what precedes them: 0 where the document ends, and a
+        number that no other document has where the document itself goes on in several ways."""
         after = np.zeros(len(self.at), dtype=np.uint64)
         before = np.zeros(len(self.at), dtype=np.uint64)
         if len(self.at) > 1:
             after[:-1] = before[1:] = self.rolling.runs(self.at[:-1], np.diff(self.at) + self.node_words)
-        return after, before
+        order = np.argsort(self.hashes, kind="stable")
+        distinct, first = np.unique(self.hashes[order], return_index=True)
+        own = mixed(distinct + np.uint64(salt % (1 << 64)))
+        sides = []
+        for side in (after[order], before[order]):
+            low = np.minimum.reduceat(side, first) if len(first) else side
+            high = np.maximum.reduceat(side, first) if len(first) else side
+            sides.append(np.where(low == high, low, own))
+        return distinct, *sides
 
 
 def _long(values: np.ndarray) -> pa.Array:
@@ -70,7 +79,7 @@ def _long(values: np.ndarray) -> pa.Array:
 
 
 def _occurrences(docs: DataFrame, window: int, node_words: int) -> DataFrame:
-    """(node, doc_id, text_key, at, after, before), a row per anchor of a document."""
+    """(node, doc_id, text_key, after, before), a row per distinct anchor of a document."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts, ids, keys = (batch.column(i).to_pylist() for i in range(3))
@@ -78,17 +87,17 @@ def _occurrences(docs: DataFrame, window: int, node_words: int) -> DataFrame:
         for text, doc_id, key in zip(texts, ids, keys):
             doc = Anchored(text, window, node_words)
             if len(doc.at):
-                n = len(doc.at)
-                found.append([doc.hashes, np.full(n, doc_id), np.full(n, key), doc.at, *doc.edges()])
+                node, after, before = doc.nodes(doc_id * 0x9E3779B97F4A7C15 + key)
+                found.append([node, np.full(len(node), doc_id), np.full(len(node), key), after, before])
         if found:
             yield pa.RecordBatch.from_arrays(
-                [_long(np.concatenate(c)) for c in zip(*found)], ["node", "doc_id", "text_key", "at", "after", "before"]
+                [_long(np.concatenate(c)) for c in zip(*found)], ["node", "doc_id", "text_key", "after", "before"]
             )
 
     return map_rows(
         docs.where("doc_id is not null").select(as_bytes("text"), "doc_id", "text_key"),
         rows,
-        "node long, doc_id long, text_key long, at long, after long, before long",
+        "node long, doc_id long, text_key long, after long, before long",
     )
 
 
@@ -100,13 +109,11 @@ def _spans_and_windows(marked: DataFrame, window: int, node_words: int) -> DataF
         out = []
         for text, doc_id, key, nodes in zip(*(c.to_pylist() for c in batch.columns)):
             doc = Anchored(text, window, node_words)
-            n = len(doc.at)
-            place = {int(at): i for i, at in enumerate(doc.at)}
-            shared, earlier, one_after, one_before = (np.zeros(n, dtype=bool) for _ in range(4))
-            for node in nodes:
-                i = place[node["at"]]
-                shared[i], earlier[i] = True, node["first_doc"] < doc_id
-                one_after[i], one_before[i] = node["one_after"], node["one_before"]
+            known = sorted((x["node"], x["first_doc"] < doc_id, x["one_after"], x["one_before"]) for x in nodes)
+            known_nodes = np.array([x[0] for x in known], dtype=np.int64)
+            at = np.searchsorted(known_nodes, signed(doc.hashes)).clip(max=len(known) - 1)
+            shared = known_nodes[at] == signed(doc.hashes)
+            earlier, one_after, one_before = (np.array([x[i] for x in known])[at] & shared for i in (1, 2, 3))
             joined = shared[:-1] & shared[1:] & one_after[:-1] & one_before[1:]
             starts = np.flatnonzero(shared & ~np.concatenate([[False], joined]))
             ends = np.flatnonzero(shared & ~np.concatenate([joined, [False]]))
@@ -181,10 +188,10 @@ def _shared_parts(keyed: DataFrame, window: int, node_words: int) -> DataFrame:
         .drop("last_doc")
     )
     lists = (
-        seen.select("node", "doc_id", "text_key", "at")
+        seen.select("node", "doc_id", "text_key")
         .join(nodes, "node")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("at", "first_doc", "one_after", "one_before")).alias("nodes"))
+        .agg(F.collect_list(F.struct("node", "first_doc", "one_after", "one_before")).alias("nodes"))
     )
     marked = keyed.join(lists, ["doc_id", "text_key"])
     return cut_lineage(_spans_and_windows(marked, window, node_words))
