@@ -20,6 +20,7 @@ from mapstrata.session import cut_lineage
 
 RANGE_DIGITS = 4  # hex digits of the key that name its range: 65,536 ranges per source
 WEIGHTS = (5, 2, 1)
+MOST_BROADCAST = 100_000
 
 
 def random_key(doc_id: Column, seed: str) -> Column:
@@ -99,7 +100,11 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: i
 
 def allocated(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Adds source_size, target, epochs, extra (words of the last, partial epoch) and taken to rows that have
-    source, size and key. The plan has one row per source; Spark broadcasts it below its own threshold."""
+    source, size and key. The plan, one row per source, is broadcast up to ``MOST_BROADCAST`` rows (counted); beyond
+    it Spark joins by source and splits the large ones."""
+    plan = cut_lineage(plan)
+    if plan.count() <= MOST_BROADCAST:
+        plan = F.broadcast(plan)
     plan = plan.select(F.col("source").alias("__s"), "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     extra = (
@@ -136,7 +141,7 @@ def first_words(text: Column, n: Column) -> Column:
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The mixed corpus: rows of ``docs`` once per whole epoch, and once more, whole or up to the last word
     that the budget holds, where the partial epoch takes them. Columns as in ``docs``."""
-    plan = cut_lineage(mix_plan(sized(docs, seed), weights, most_epochs))
+    plan = mix_plan(sized(docs, seed), weights, most_epochs)
     work = docs.withColumn("__size", word_count("text"))
     keyed = work.select(
         F.struct(*docs.columns).alias("__doc"), "source", F.col("__size").alias("size"), random_key(F.col("doc_id"), seed).alias("key")
