@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mapstrata.llm.words import worker_state
 
-MOST_CACHED = 250_000
+MOST_CACHED = 400_000
 INNER_SPACE = re.compile(r"(?<!\s) (?!\s)")
 MARKS = ".,;:!?#*$%&|"
 # Letters up to here are letters in every version of Unicode.
@@ -49,10 +49,10 @@ class _Words(dict):
         return value
 
     def _encoded(self, word: str) -> bytes | None:
+        if word.isalpha() and (word.isascii() or max(word) <= LAST_LETTER):
+            return self.owner.letters(self.prefix + word)
         if not word or word[0].isspace() or word[-1].isspace():
             return None
-        if word.isalpha() and max(word) <= LAST_LETTER:
-            return self.owner.letters(self.prefix + word)
         head = word.rstrip(MARKS)
         if head and head != word and head[-1].isalpha() and head[-1] <= LAST_LETTER:
             marks = self.owner.first[word[len(head) :]]  # a run of marks after a letter is a token of its own
@@ -81,7 +81,8 @@ class ByteLevelEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        self.packers = [struct.Struct(f"<{n}{code}").pack for n in range(64)]
         self.alphabet = {chr(b): c for b, c in byte_characters().items()}
         self.alphabet = str.maketrans(self.alphabet)
         self.newline = self.library("\n")
@@ -89,14 +90,15 @@ class ByteLevelEncoder:
         self.spaced = _Words(self, " ")
 
     def _packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        return self.packers[len(ids)](*ids) if len(ids) < len(self.packers) else np.array(ids, self.dtype).tobytes()
 
     def library(self, text: str) -> bytes:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def letters(self, word: str) -> bytes:
         """Ids of a word of letters, which is one part to the tokenizer."""
-        return self._packed([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))])
+        found = self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
+        return self._packed([token.id for token in found])
 
     def __call__(self, text: str | None) -> bytes:
         """The ids as little-endian bytes of ``dtype``; null and empty texts have none."""
