@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from mapstrata.llm.words import split_words, word_count
 from mapstrata.session import cut_lineage
 
-RANGE_DIGITS = 4  # hex digits of the key that name its range: 65,536 ranges per source
+RANGE_DIGITS = 3  # hex digits of the key that name its range: 4,096 ranges per source
 WEIGHTS = (5, 2, 1)
 MOST_BROADCAST = 100_000
 

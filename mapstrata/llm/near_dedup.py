@@ -163,7 +163,7 @@ def _signatures(docs: DataFrame, weights: Weights) -> DataFrame:
     """(doc_id, print, weight, band0...) of every row; only the id where there is no word."""
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sampler = worker_state("sampler", Sampler)
+        sampler = worker_state("words sampler", Sampler)
         prints, totals, bands = [], [], []
         for text in batch.column(0).to_pylist():
             words = split_words(text)

@@ -145,18 +145,19 @@ def _spans_and_windows(marked: DataFrame, window: int, node_words: int) -> DataF
 def _kept(found: DataFrame, window: int) -> DataFrame:
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         n_words, n_removed, kept = [], [], []
-        columns = [batch.column(c).to_pylist() for c in ("text", "span_begins", "span_ends", "window_at")]
-        for text, begins, ends, windows in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("text", "span_begins", "span_ends", "window_at", "window_hash", "gone_hash")]
+        for text, begins, ends, windows, hashes, gone in zip(*columns):
             words = split_words(text)
             removed = 0
-            if begins or windows:
+            if begins or gone:
                 steps = np.zeros(len(words) + 1, dtype=np.int64)
                 at = np.array(windows or [], dtype=np.int64)
+                at = at[np.isin(np.array(hashes or [], dtype=np.int64), np.array(gone or [], dtype=np.int64))]
                 np.add.at(steps, np.concatenate([np.array(begins or [], np.int64), at]), 1)
                 np.add.at(steps, np.concatenate([np.array(ends or [], np.int64), at + window]), -1)
-                gone = np.cumsum(steps[:-1]) > 0
-                removed = int(gone.sum())
-                words = [w for w, out in zip(words, gone) if not out]
+                covered = np.cumsum(steps[:-1]) > 0
+                removed = int(covered.sum())
+                words = [w for w, out in zip(words, covered) if not out]
             n_words.append(len(words) + removed)
             n_removed.append(removed)
             kept.append(b" ".join(words))
@@ -166,7 +167,7 @@ def _kept(found: DataFrame, window: int) -> DataFrame:
         )
 
     out = map_rows(
-        found.select(as_bytes("text"), "doc_id", "span_begins", "span_ends", "window_at"),
+        found.select(as_bytes("text"), "doc_id", "span_begins", "span_ends", "window_at", "window_hash", "gone_hash"),
         rows,
         "doc_id long, n_words long, n_removed long, kept binary",
     )
@@ -198,20 +199,22 @@ def _shared_parts(keyed: DataFrame, window: int, node_words: int) -> DataFrame:
 
 
 def _removals(found: DataFrame) -> DataFrame:
-    """(doc_id, text_key, window_at, span_begins, span_ends) of the documents that lose words."""
-    windows = found.select("doc_id", "text_key", F.explode(F.arrays_zip("window_at", "window_hash")).alias("w"))
-    windows = windows.select("doc_id", "text_key", F.col("w.window_at").alias("at"), F.col("w.window_hash").alias("hash"))
+    """Rows of ``found`` of the documents that lose words, with ``gone_hash``, the hashes of windows that go."""
+    # a window that a document holds many times is one row of it
+    windows = found.select("doc_id", "text_key", F.explode(F.array_distinct("window_hash")).alias("hash"))
     first = windows.groupBy("hash").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
     repeated = (
         windows.join(first.where("first_doc < last_doc").drop("last_doc"), "hash")
         .where("first_doc < doc_id")
         .groupBy("doc_id", "text_key")
-        # rows that repeat both doc_id and text give their windows twice
-        .agg(F.collect_set("at").alias("window_at"))
+        .agg(F.collect_set("hash").alias("gone_hash"))
     )
-    spans = found.where(F.size("span_begins") > 0).select("doc_id", "text_key", "span_begins", "span_ends")
-    spans = spans.dropDuplicates(["doc_id", "text_key"])
-    return cut_lineage(repeated.join(spans, ["doc_id", "text_key"], "full"))
+    once = found.dropDuplicates(["doc_id", "text_key"]).join(repeated, ["doc_id", "text_key"], "left")
+    once = once.where((F.size("span_begins") > 0) | F.col("gone_hash").isNotNull())
+    # positions are needed only where some of their windows go
+    for name in ("window_at", "window_hash"):
+        once = once.withColumn(name, F.when(F.col("gone_hash").isNotNull(), F.col(name)))
+    return cut_lineage(once)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, node_words: int = NODE_WORDS) -> DataFrame:

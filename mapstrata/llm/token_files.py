@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from mapstrata.llm.perfect_hash import PerfectHash
 from mapstrata.llm.tokens import encoder, vocabulary_dtype
-from mapstrata.llm.words import worker_state
 
 SHARD_BYTES = 256 << 20
 KEYS = "doc_id long, ordinal long, hash long, fingerprint int, shard string, writer int, number int, shard_ids long"
@@ -160,7 +159,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     placed = keys.select("doc_id", "ordinal", "hash", "fingerprint", "shard").join(begins, "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opened = worker_state("shards", dict)
+        opened: dict[str, ShardReader] = {}
         for batch in batches:
             names = np.array(batch.column("shard").to_pylist(), dtype=object)
             for name in dict.fromkeys(names):
@@ -185,6 +184,5 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                         ],
                         ["doc_id", "ordinal", "start", "n_tokens", "ids"],
                     )
-        opened.clear()
 
     return placed.mapInArrow(read, "doc_id long, ordinal long, start long, n_tokens long, ids binary")

@@ -17,13 +17,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-MOST_CACHED = 400_000
+MOST_CACHED = 200_000
 
 
 def worker_state(name: str, build: Callable[[], object]) -> object:
-    """What ``build`` makes, once per Python worker; tasks of one worker share it."""
+    """What ``build`` makes, once per Python worker; tasks of one worker share it. The part of the name before a space is
+    its family: a worker that turns to another family forgets the rest, so caches of one step do not weigh on the next."""
     state = sys.modules.setdefault("_mapstrata_worker", types.ModuleType("_mapstrata_worker"))
     if not hasattr(state, name):
+        family = name.split(" ")[0]
+        for other in [x for x in vars(state) if not x.startswith("__") and x.split(" ")[0] != family]:
+            delattr(state, other)
         setattr(state, name, build())
     return getattr(state, name)
 
@@ -43,7 +47,7 @@ class _WordHashes(dict):
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    cache = worker_state("word_hashes", _WordHashes)
+    cache = worker_state("words hashes", _WordHashes)
     return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
@@ -75,7 +79,7 @@ class Rolling:
 
     def __init__(self, hashes: np.ndarray) -> None:
         n = len(hashes)
-        known = worker_state("powers", lambda: {"up": _powers(BASE, 1), "down": _powers(INVERSE, 1)})
+        known = worker_state("words powers", lambda: {"up": _powers(BASE, 1), "down": _powers(INVERSE, 1)})
         if len(known["up"]) <= n:
             size = 1 << (n + 1).bit_length()
             known["up"], known["down"] = _powers(BASE, size), _powers(INVERSE, size)
