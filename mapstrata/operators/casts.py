@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from mapstrata.functions.numbers import is_number_text
+from mapstrata.functions.text import stripped
 from mapstrata.operators.columns import with_row_position
 from mapstrata.session import column, exact_names
 
@@ -30,10 +32,23 @@ DECLARED_TYPES = {
 }
 
 
-def _cast_or_fail(value: Column, spark_type: str, name: str) -> Column:
+INTEGERS = {"bigint", "int", "smallint", "tinyint"}
+
+
+def _cast_or_fail(value: Column, current: T.DataType, spark_type: str, name: str) -> Column:
+    """The value as ``spark_type``. A value that the type cannot hold as it is fails: a fraction as an integer, a text
+    that is no number, a number other than 0 and 1 as a truth value."""
     converted = value.try_cast(spark_type)
+    wrong = converted.isNull()
+    if spark_type in INTEGERS and isinstance(current, T.FractionalType):
+        wrong |= value != F.floor(value)
+    elif spark_type in ("double", "float") and isinstance(current, T.StringType):
+        text = stripped(value)
+        wrong |= ~(is_number_text(text) | (F.lower(text) == "nan"))
+    elif spark_type == "boolean" and isinstance(current, T.NumericType):
+        wrong |= ~value.isin(0, 1)
     message = F.concat(F.lit(f"column {name}: not a {spark_type}: "), value.cast("string"))
-    return F.when(value.isNotNull() & converted.isNull(), F.raise_error(message)).otherwise(converted)
+    return F.when(value.isNotNull() & wrong, F.raise_error(message)).otherwise(converted)
 
 
 @exact_names
@@ -59,5 +74,5 @@ def convert_types(df: DataFrame, metadata: DataFrame, names_column: str, types_c
             raise TypeError(f"type {declared} is not valid for column {name}")
         if spark_type == "boolean" and isinstance(current[name], T.StringType):
             raise TypeError(f"type {declared} is not valid for text column {name}")
-        casts[name] = _cast_or_fail(column(name), spark_type, name)
+        casts[name] = _cast_or_fail(column(name), current[name], spark_type, name)
     return df.select(*[casts.get(name, column(name)).alias(name) for name in df.columns])

@@ -48,13 +48,13 @@ def order_statistics(
 
     ``positions`` are SQL expressions of 0-based positions in terms of ``_n``, the row count of a
     group; they are evaluated for every distinct value, hence plain generated code and no lambdas.
-    ``rows`` must hold neither null keys nor null values. ``most_rows`` is a proven bound of the
+    ``rows`` must hold neither null keys nor null values; NaN counts as no value. ``most_rows`` is a proven bound of the
     rows of any group, if the caller has one. Result: keys, ``_n`` and ``_found``, the values in
     the order of ``positions``.
     """
     groups = [column(key) for key in keys]
     x = column(value)
-    present = rows.select(*groups, x)
+    present = rows.select(*groups, x).filter(~F.isnan(x))
     if most_rows is not None and most_rows <= SMALL_GROUP:
         return _from_arrays(present, groups, x, positions)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapstrata.functions.numbers import finite_or_fail, is_numeric_type
-from mapstrata.operators import binning, cells, translate
+from mapstrata.operators import binning, cells, order_stats, translate
 from mapstrata.operators.columns import columns_by_regex, compiled
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
 from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted
@@ -83,6 +83,8 @@ class Stratifier:
             for table in scales.values():
                 banned.update(columns_by_regex(table, pattern))
         self.excluded = sorted(banned | set(self.missing_in_dictionary))
+        self._excluded_names = set(self.excluded)
+        self._types = {scale: {f.name: f.dataType for f in table.schema} for scale, table in scales.items()}
         if self.missing_in_dictionary:
             log.warning("columns without a dictionary entry: %s", self.missing_in_dictionary)
 
@@ -101,7 +103,7 @@ class Stratifier:
                 raise ValueError(f"there is no table for scale {scale}")
 
     def _check_not_excluded(self, name: str) -> None:
-        if name in self.excluded:
+        if name in self._excluded_names:
             raise ValueError(f"variable {name} is excluded")
 
     def _check_request(self, scales: list[str], request: Request) -> None:
@@ -112,7 +114,7 @@ class Stratifier:
             expect(request.base, str, "a base")
             self._check_not_excluded(request.base)
         for name in filter(None, (request.code, request.base)):
-            types = [f.dataType for scale in scales for f in self.scales[scale].schema if f.name == name]
+            types = [self._types[scale][name] for scale in scales if name in self._types[scale]]
             if not types:
                 raise ValueError(f"variable {name} is in none of the scales")
             if not all(is_numeric_type(t) for t in types):
@@ -193,7 +195,8 @@ class Stratifier:
         return cut_lineage(edges)
 
     def _members(self, scales: list[str], requests: list[Request], edges: DataFrame, q: int, sliced: bool) -> DataFrame:
-        """Every unit of every request with its bin."""
+        """Every unit of every request with its bin, and its label where ``edges`` has ``labels``. A request has one row
+        per unit of a scale, so beyond the broadcast its edges are repeated per salt and no key gathers a scale."""
         extra = ["slice"] if sliced else []
         rows = [
             self._values(
@@ -204,10 +207,15 @@ class Stratifier:
             )
             for s in scales
         ]
-        limits = edges.select("scale", "request", "edges")
-        if len(scales) * len(requests) * (8 * (q + 1) + 100) <= BROADCAST_BYTES:
-            limits = F.broadcast(limits)
-        found = reduce(DataFrame.unionByName, rows).join(limits, ["scale", "request"], "left")
+        labelled = [c for c in ("labels",) if c in edges.columns]
+        limits = edges.select("scale", "request", "edges", *labelled)
+        each = reduce(DataFrame.unionByName, rows)
+        if len(scales) * len(requests) * (8 * (q + 1) + 100 + (64 * q if labelled else 0)) <= BROADCAST_BYTES:
+            found = each.join(F.broadcast(limits), ["scale", "request"], "left")
+        else:
+            salt = F.pmod(F.xxhash64(*[column(i) for i in self.ids]), F.lit(order_stats.SALTS)).cast("int")
+            limits = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(order_stats.SALTS - 1))))
+            found = each.withColumn("_salt", salt).join(limits, ["scale", "request", "_salt"], "left")
         intervals = binning.interval_count(F.col("edges"))
         return found.select(
             "scale",
@@ -217,6 +225,7 @@ class Stratifier:
             "x",
             binning.bin_number(F.col("x"), F.col("edges")).alias("bin"),
             (F.col("x").isNull() | (intervals == 0)).alias("unclassified"),
+            *labelled,
         )
 
     @exact_names
@@ -233,8 +242,12 @@ class Stratifier:
         grid = binning.bin_grid(edges, ["scale", "request"], F.col("as_percent")).select(
             "scale", "request", "bin", "interval"
         )
+        labels = grid.groupBy("scale", "request").agg(
+            F.sort_array(F.collect_list(F.struct("bin", "interval"))).alias("labels")
+        )
+        edges = cut_lineage(edges.join(labels, ["scale", "request"], "left"))
         members = self._members(scales, requests, edges, q, sliced=False)
-        return members.join(grid, ["scale", "request", "bin"], "left")
+        return members.withColumn("interval", F.get("labels", F.col("bin") - 1)["interval"]).drop("labels")
 
     @exact_names
     def members(self, scales: list[str], requests: list[Request], q: int = DEFAULT_BINS) -> DataFrame:
@@ -333,7 +346,7 @@ class Stratifier:
             expect(base, (str, type(None)), f"every key of {what}")
 
     def _usable(self, name: str | None) -> bool:
-        if name is not None and name in self.excluded:
+        if name is not None and name in self._excluded_names:
             log.warning("%s is excluded and not processed", name)
             return False
         return True
@@ -364,18 +377,26 @@ class Stratifier:
             requests += [Request(base, code) for code in sorted(matches) if self._usable(code)]
         return requests
 
-    def process_variable(self, scales: list[str], code: str, base: str | None = None, q: int = DEFAULT_BINS) -> DataFrame:
+    # ``parts``: one row per scale, bin and slice of units, for scales of any size, as in ``cut``.
+
+    def process_variable(
+        self, scales: list[str], code: str, base: str | None = None, q: int = DEFAULT_BINS, parts: bool = False
+    ) -> DataFrame:
         expect(scales, list, "scales")
-        return bin_table(self.cut(scales, [Request(base, code)], q))
+        return bin_table(self.cut(scales, [Request(base, code)], q, parts))
 
-    def process_list(self, scales: list[str], chosen: dict[str | None, list[str]], q: int = DEFAULT_BINS) -> DataFrame:
+    def process_list(
+        self, scales: list[str], chosen: dict[str | None, list[str]], q: int = DEFAULT_BINS, parts: bool = False
+    ) -> DataFrame:
         """Bins of all listed variables, with their ``request`` number and ``base``."""
         binning.check_bins(q)
-        return self.cut(scales, self.requests_from_lists(scales, chosen), q)
+        return self.cut(scales, self.requests_from_lists(scales, chosen), q, parts)
 
-    def process_regex(self, scales: list[str], chosen: dict[str | None, str], q: int = DEFAULT_BINS) -> DataFrame:
+    def process_regex(
+        self, scales: list[str], chosen: dict[str | None, str], q: int = DEFAULT_BINS, parts: bool = False
+    ) -> DataFrame:
         binning.check_bins(q)
-        return self.cut(scales, self.requests_from_regex(scales, chosen), q)
+        return self.cut(scales, self.requests_from_regex(scales, chosen), q, parts)
 
 
 def bin_table(cut: DataFrame) -> DataFrame:
@@ -421,9 +442,11 @@ def run_stratification(spark: SparkSession, spec: dict | str, write: bool = True
             requests += stratifier.requests_from_regex(list(scales), _with_no_base_last(by_regex))
         if by_list:
             requests += stratifier.requests_from_lists(list(scales), _with_no_base_last(by_list))
-        result = stratifier.cut(list(scales), requests, q)
+        parts = bool(spec.get("en_partes", False))
+        result = stratifier.cut(list(scales), requests, q, parts)
         if len(set(requests)) < len(requests) or len({r.code for r in requests}) < len(requests):
             log.warning("some variables are cut more than once; see duplicated_bins()")
         if write:
-            write_table(bin_table(result.orderBy("request", "bin")), output)
+            order = ["request", "bin", "scale", "part"] if parts else ["request", "bin"]
+            write_table(bin_table(result.orderBy(*order)), output)
     return result

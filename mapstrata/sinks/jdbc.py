@@ -14,7 +14,7 @@ DATABASE_TYPES = {
     T.ByteType: "INTEGER",
     T.ShortType: "INTEGER",
     T.IntegerType: "INTEGER",
-    T.LongType: "INTEGER",
+    T.LongType: "BIGINT",
     T.FloatType: "FLOAT",
     T.DoubleType: "FLOAT",
     T.BooleanType: "BOOLEAN",
@@ -30,7 +30,8 @@ def _identifier(name: str) -> str:
 
 
 def create_table_statement(df: DataFrame, table: str) -> str:
-    """Statement for a target table with a surrogate key, to be run once before loading."""
+    """Statement for a target table with a surrogate key, to be run once before loading; ``table`` may name a schema."""
+    table = ".".join(map(_identifier, table.split(".")))
     columns = ["id SERIAL PRIMARY KEY"]
     columns += [f"{_identifier(f.name)} {database_type(f.dataType)}" for f in df.schema]
     return f"CREATE TABLE IF NOT EXISTS {table} (\n    " + ",\n    ".join(columns) + "\n)"

@@ -117,3 +117,9 @@ def test_grid_keeps_empty_intervals(spark):
     values = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("a", 0.0), ("a", 10.0)], "g string, x double")
     grid = bin_grid(quantile_edges(values, ["g"], "x", 10), ["g"], F.lit(False))
     assert grid.count() == 4
+
+
+def test_nan_is_no_value(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", float("nan")), ("b", float("nan"))], "g string, x double")
+    assert {r["g"]: r["_median"] for r in medians(rows, ["g"], "x").collect()} == {"a": 1.5}
+    assert [r["edges"] for r in quantile_edges(rows, ["g"], "x", 2).collect()] == [[1.0, 1.5, 2.0]]

@@ -64,6 +64,23 @@ def test_casts(spark, df):
         convert_types(words, declared(("edad", "int")), "var", "tipo").collect()
 
 
+@pytest.mark.parametrize(
+    ("value", "kind", "declared", "expected"),
+    [
+        (1.7, "double", "int64", None), (2.0, "double", "int64", 2), ("1d", "string", "float", None), (" 1.5 ", "string", "float", 1.5),
+        (2, "int", "bool", None), (1, "int", "bool", True), (0.0, "double", "bool", False), (3, "int", "float", 3.0),
+    ],
+)
+def test_casts_that_would_change_a_value_fail(spark, value, kind, declared, expected):
+    df = spark.createDataFrame([(value,)], f"v {kind}")
+    metadata = spark.createDataFrame([("v", declared)], "var string, tipo string")
+    if expected is None:
+        with pytest.raises(Exception, match="column v"):
+            convert_types(df, metadata, "var", "tipo").collect()
+    else:
+        assert convert_types(df, metadata, "var", "tipo").collect()[0]["v"] == expected
+
+
 def test_padding_keeps_missing_values(spark):
     df = spark.createDataFrame([(1, "7"), (None, None)], "a int, b string")
     assert [tuple(r) for r in pad_columns(df, {"a": 2, "b": 3}).collect()] == [("01", "007"), (None, None)]

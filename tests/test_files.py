@@ -85,8 +85,8 @@ def test_bin_table_round_trip(spark, tmp_path):
 
 def test_database_types(spark):
     df = spark.createDataFrame([], "name string, bin int, x double, ok boolean, big bigint, d date")
-    assert column_types_option(df) == "`bin` INTEGER, `x` FLOAT, `ok` BOOLEAN, `big` INTEGER"
-    assert create_table_statement(df, "bins").startswith("CREATE TABLE IF NOT EXISTS bins (\n    id SERIAL PRIMARY KEY,")
+    assert column_types_option(df) == "`bin` INTEGER, `x` FLOAT, `ok` BOOLEAN, `big` BIGINT"
+    assert create_table_statement(df, "bins").startswith("CREATE TABLE IF NOT EXISTS \"bins\" (\n    id SERIAL PRIMARY KEY,")
     assert '"name" TEXT' in create_table_statement(df, "bins")
     options = jdbc_options(df, "jdbc:x", "bins", True, 500, 4, {"user": "u"})
     assert options["batchsize"] == "500" and options["numPartitions"] == "4" and options["user"] == "u"

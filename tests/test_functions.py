@@ -100,3 +100,22 @@ def test_options(spark):
 
 def test_array_literal_drops_quotes(spark):
     assert apply(spark, array_literal, [["a'b", 'c"'], [], ["x", "y z"]], "array<string>") == ["{ab,c}", "{}", "{x,y z}"]
+
+
+def test_words_in_quotes_stay(spark):
+    texts = ["['a, None, b', 'c']", "['True', None]", "['back\\\\xe1']", '["it\'s None, True"]']
+    assert apply(spark, list_from_text, texts) == [["a, None, b", "c"], ["True", "None"], ["back\\xe1"], ["it's None, True"]]
+    texts = ["{'options': {'1': 'a: None, b', '2': None}}", "{'options': {1: 'uno', -2.5: 'x, 3: y'}}"]
+    assert apply(spark, options_from_text, texts) == [{"1": "a: None, b", "2": None}, {"1": "uno", "-2.5": "x, 3: y"}]
+
+
+@pytest.mark.parametrize("parser", [list_from_text, options_from_text])
+@pytest.mark.parametrize("text", ["['1', '2'", "{'options': {'1': 'a'", "['a' 'b'", " "])
+def test_unreadable_texts_fail(spark, parser, text):
+    with pytest.raises(Exception):  # noqa: B017
+        apply(spark, parser, [text])
+
+
+def test_long_texts(spark):
+    items = ["x" * 50_000, "it's " * 2000]
+    assert apply(spark, list_from_text, [str(items)]) == [items]

@@ -309,6 +309,19 @@ def test_too_many_units_for_one_row(stratifier, monkeypatch):
     members = stratifier.members(["mun"], [Request(None, "x")], 5)
     assert members.count() == 60
     assert stratifier.cut(["mun"], [Request(None, "x")], 5, parts=True).count() == 5
+    assert stratifier.process_list(["mun"], {None: ["x"]}, 5, parts=True).count() == 5
+
+
+def test_members_without_broadcast(stratifier, monkeypatch):
+    """Beyond the broadcast, no join gathers all units of a request under one key, and the rows are the same."""
+    requests = [Request(None, "x"), Request("y", "x")]
+    usual = stratifier.members(["mun"], requests, 5)
+    monkeypatch.setattr(strata, "BROADCAST_BYTES", 0)
+    salted = stratifier.members(["mun"], requests, 5)
+    assert sorted(map(str, usual.collect())) == sorted(map(str, salted.collect()))
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
+    assert joins and all("_salt" in line for line in joins)
 
 
 def test_members_agree_with_cells(stratifier):
