@@ -11,11 +11,13 @@ table gives an empty result; a corpus without words has targets of 0. Other colu
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mapstrata.llm.words import split_words, word_count
+from mapstrata.llm.words import map_rows, split_words, word_count
 from mapstrata.session import cut_lineage
 
 RANGE_DIGITS = 3  # hex digits of the key that name its range: 4,096 ranges per source
@@ -98,18 +100,20 @@ def mix_plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: i
     return wanted.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
 
 
+def _small(plan: DataFrame) -> DataFrame:
+    plan = cut_lineage(plan)
+    return F.broadcast(plan) if plan.count() <= MOST_BROADCAST else plan
+
+
 def allocated(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Adds source_size, target, epochs, extra (words of the last, partial epoch) and taken to rows that have
     source, size and key. The plan, one row per source, is broadcast up to ``MOST_BROADCAST`` rows (counted); beyond
     it Spark joins by source and splits the large ones."""
-    plan = cut_lineage(plan)
-    if plan.count() <= MOST_BROADCAST:
-        plan = F.broadcast(plan)
-    plan = plan.select(F.col("source").alias("__s"), "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")
+    plan = _small(plan).select(F.col("source").alias("__s"), "source_size", "target", "epochs", "cut_key", "cut_size", "cut_words")
     joined = rows.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     extra = (
         F.when(F.col("key") < F.col("cut_key"), F.col("size"))
-        .when(F.col("key") == F.col("cut_key"), F.floor(F.col("size") * F.col("cut_words") / F.col("cut_size")))
+        .when(F.col("key") == F.col("cut_key"), F.expr("size * cut_words div cut_size"))
         .otherwise(0)
         .cast("long")
     )
@@ -120,43 +124,53 @@ def allocated(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
-def first_words(text: Column, n: Column) -> Column:
+def first_words(text: bytes, n: int) -> bytes:
     """The text up to the end of its ``n``-th word."""
-
-    @F.arrow_udf("binary")
-    def cut(texts: pa.Array, counts: pa.Array) -> pa.Array:
-        out = []
-        for x, k in zip(texts.to_pylist(), counts.to_pylist()):
-            if x is None or not k:
-                out.append(None if x is None else b"")
+    rest = text.split(None, n)
+    if len(rest) <= n:
+        return text
+    return text[: len(text) - len(rest[n])].rstrip(b" \t\n\r\x0b\x0c")
+
+
+def _copies(columns: list[str]) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """Rows as often as the plan takes them whole, then those that it takes in part."""
+
+    def copies(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        names = ("__epochs", "__cut_key", "__cut_size", "__cut_words", "__key")
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        whole: list[int] = []
+        partial: list[int] = []
+        shortened: list[bytes] = []
+        for i, (text, epochs, cut_key, cut_size, cut_words, key) in enumerate(zip(texts, *(batch.column(c).to_pylist() for c in names))):
+            size = len(split_words(text))
+            if not size:
                 continue
-            rest = x.split(None, k)
-            tail = rest[k] if len(rest) > k else b""
-            out.append(x[: len(x) - len(tail)].rstrip(b" \t\n\r\x0b\x0c") if tail else x)
-        return pa.array(out, pa.binary())
-
-    return cut(text.cast("binary"), n).cast("string")
+            extra = 0
+            if cut_key is not None:
+                extra = size if key < cut_key else size * cut_words // cut_size if key == cut_key else 0
+            whole += [i] * (epochs + (extra == size))
+            if 0 < extra < size:
+                partial.append(i)
+                shortened.append(first_words(text, extra))
+        docs = batch.select(columns)
+        if whole:
+            yield docs.take(pa.array(whole, pa.int64()))
+        if partial:
+            docs = docs.take(pa.array(partial, pa.int64()))
+            new = {"text": pa.array(shortened, pa.binary()).cast(pa.string())}
+            if "n_chars" in columns:
+                lengths = pa.array([len(x.decode("utf-8", "replace")) for x in shortened], pa.int64())
+                new["n_chars"] = lengths.cast(docs.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays([new.get(c, docs.column(c)) for c in columns], columns)
+
+    return copies
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The mixed corpus: rows of ``docs`` once per whole epoch, and once more, whole or up to the last word
-    that the budget holds, where the partial epoch takes them. Columns as in ``docs``."""
-    plan = mix_plan(sized(docs, seed), weights, most_epochs)
-    work = docs.withColumn("__size", word_count("text"))
-    keyed = work.select(
-        F.struct(*docs.columns).alias("__doc"), "source", F.col("__size").alias("size"), random_key(F.col("doc_id"), seed).alias("key")
-    )
-    taken = allocated(keyed, plan)
-    counts = F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), F.col("epochs").cast("int")),
-        F.when(F.col("extra") > 0, F.array(F.when(F.col("extra") < F.col("size"), F.col("extra")).otherwise(-1))).otherwise(
-            F.array().cast("array<bigint>")
-        ),
-    )
-    copies = taken.where("taken > 0").select("__doc", F.explode(counts).alias("__n"))
-    partial = copies.where("__n >= 0").withColumn("__text", first_words(F.col("__doc.text"), F.col("__n")))
-    whole = copies.where("__n < 0").withColumn("__text", F.col("__doc.text"))
-    out = whole.unionByName(partial).select("__doc.*", "__text")
-    columns = [F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    columns = [F.length("__text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else x for c, x in zip(docs.columns, columns)]
-    return out.select(*columns)
+    that the budget holds, where the partial epoch takes them. Columns as in ``docs``; documents without a word go."""
+    plan = _small(mix_plan(sized(docs, seed), weights, most_epochs))
+    plan = plan.select(F.col("source").alias("__s"), *(F.col(c).alias(f"__{c}") for c in ("epochs", "cut_key", "cut_size", "cut_words")))
+    keyed = docs.withColumn("__key", random_key(F.col("doc_id"), seed))
+    joined = keyed.join(plan, F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
+    return map_rows(joined, _copies(docs.columns), docs.schema)

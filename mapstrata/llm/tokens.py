@@ -30,11 +30,11 @@ def byte_characters() -> dict[int, str]:
 
 class _Words(dict):
     """Ids, as bytes, of words with ``prefix`` before them; None for words that touch other white space.
-    Holds two generations of ``MOST_CACHED`` words and forgets the older one when the younger is full."""
+    Holds two generations of ``most`` words and forgets the older one when the younger is full."""
 
-    def __init__(self, owner: ByteLevelEncoder, prefix: str) -> None:
+    def __init__(self, owner: ByteLevelEncoder, prefix: str, most: int) -> None:
         super().__init__()
-        self.owner, self.prefix, self.older = owner, prefix, {}
+        self.owner, self.prefix, self.most, self.older = owner, prefix, most, {}
 
     def __missing__(self, word: str) -> bytes | None:
         value = self.older.get(word)
@@ -42,7 +42,7 @@ class _Words(dict):
             value = self._encoded(word)
             if value is None:
                 return None
-        if len(self) >= MOST_CACHED:
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[word] = value
@@ -86,8 +86,8 @@ class ByteLevelEncoder:
         self.alphabet = {chr(b): c for b, c in byte_characters().items()}
         self.alphabet = str.maketrans(self.alphabet)
         self.newline = self.library("\n")
-        self.first = _Words(self, "")
-        self.spaced = _Words(self, " ")
+        self.first = _Words(self, "", MOST_CACHED // 5)
+        self.spaced = _Words(self, " ", MOST_CACHED)
 
     def _packed(self, ids: list[int]) -> bytes:
         return self.packers[len(ids)](*ids) if len(ids) < len(self.packers) else np.array(ids, self.dtype).tobytes()

@@ -6,6 +6,8 @@ reach the tasks as UTF-8 bytes and are never decoded.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -15,19 +17,32 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_CACHED = 200_000
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, which long-lived workers otherwise keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_state(name: str, build: Callable[[], object]) -> object:
     """What ``build`` makes, once per Python worker; tasks of one worker share it. The part of the name before a space is
     its family: a worker that turns to another family forgets the rest, so caches of one step do not weigh on the next."""
     state = sys.modules.setdefault("_mapstrata_worker", types.ModuleType("_mapstrata_worker"))
     if not hasattr(state, name):
         family = name.split(" ")[0]
-        for other in [x for x in vars(state) if not x.startswith("__") and x.split(" ")[0] != family]:
+        others = [x for x in vars(state) if not x.startswith("__") and x.split(" ")[0] != family]
+        for other in others:
             delattr(state, other)
+        if others:
+            _give_back()
         setattr(state, name, build())
     return getattr(state, name)
 
@@ -109,7 +124,7 @@ def as_bytes(column: str) -> Column:
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | None], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` with a generator per batch."""
 
