@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from mapstrata.session import cut_lineage
 
-PIVOTS, PREFIX, RERANK = 256, 128, 0.15
+PIVOTS, PREFIX, RERANK = 256, 128, 0.3
 LEAST_RERANKED = 512
 BLOCK, QUERY_BLOCK = 16384, 512
 
@@ -69,7 +69,7 @@ class Postings:
         keep = max(k, LEAST_RERANKED, int(np.ceil(share * len(sums))))
         best = np.argpartition(-sums, keep - 1)[:keep] if keep < len(sums) else np.arange(len(sums))
         best = np.union1d(best, self.always) if len(self.always) else best
-        scores = (self.vectors[best] * query).sum(axis=1)
+        scores = np.einsum("ij,j->i", self.vectors[best], query)
         order = np.lexsort((self.ids[best], -scores))[:k]
         return best[order], scores[order]
 
