@@ -48,6 +48,11 @@ def as_double(value: Column, data_type: T.DataType) -> Column:
     return value.cast("double")
 
 
+def as_integer(value: Column, data_type: T.DataType) -> Column:
+    """Exact integer of a column that holds integers only."""
+    return (stripped(value) if isinstance(data_type, T.StringType) else value).cast("decimal(20,0)")
+
+
 def finite_or_fail(value: Column) -> Column:
     failure = F.raise_error(F.lit("infinite values cannot be binned"))
     return F.when(F.abs(value) == float("inf"), failure).otherwise(value)

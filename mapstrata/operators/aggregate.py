@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mapstrata.functions.numbers import as_double
+from mapstrata.functions.numbers import as_double, as_integer
 from mapstrata.functions.text import stripped
 from mapstrata.operators.gate import passed_gate
 from mapstrata.operators.order_stats import medians
@@ -23,9 +23,6 @@ TOTAL_CODE = "conteo::total_datos"
 SUM, MEAN, MEDIAN = "suma", "media", "mediana"
 OPERATIONS = (SUM, MEAN, MEDIAN)
 
-# More columns than this are kept in long form only.
-WIDEST_TABLE = 20_000
-
 
 def numeric_code(operation: str, variable: str) -> str:
     return f"{operation}::{variable}"
@@ -90,14 +87,13 @@ def observed_values(counts: DataFrame) -> DataFrame:
     return counts.select("variable", "value").distinct()
 
 
-def ordered_codes(counts: DataFrame) -> list[str]:
-    """Codes of the observed pairs, ordered by variable, then value. They become column names, so
-    their number is limited by what a table can hold as columns."""
-    pairs = observed_values(counts).limit(WIDEST_TABLE + 1).collect()
-    if len(pairs) > WIDEST_TABLE:
-        raise ValueError(f"more than {WIDEST_TABLE} observed values; use the long counts")
-    codes = [f"{p['variable']}-{p['value']}" for p in sorted(pairs, key=lambda p: (p["variable"], p["value"]))]
-    if len(set(codes)) < len(codes):
+def ordered_codes(counts: DataFrame) -> dict[str, str]:
+    """Codes of the observed pairs with their variable, ordered by variable, then value. They become column names, which a table's schema
+    holds on the driver; the long forms never call this."""
+    pairs = observed_values(counts).collect()
+    ordered = sorted(pairs, key=lambda p: (p["variable"], p["value"]))
+    codes = {f"{p['variable']}-{p['value']}": p["variable"] for p in ordered}
+    if len(codes) < len(pairs):
         raise ValueError("two different (variable, value) pairs share one code")
     return codes
 
@@ -112,12 +108,26 @@ def widened_counts(counts: DataFrame, ids: list[str], codes: list[str]) -> DataF
     return wide.select(*units, *[F.coalesce(column(c), F.lit(0)).cast("bigint").alias(c) for c in codes])
 
 
+def long_counts(counts: DataFrame, ids: list[str]) -> DataFrame:
+    """ids, code, value of categorical counts; a count of zero has no row."""
+    return counts.select(*[column(i) for i in ids], value_code().alias("code"), F.col("n").cast("double").alias("value"))
+
+
+def units_with_all(counts: DataFrame, ids: list[str], blocks: list[list[str]]) -> DataFrame:
+    """Units with some value in every block of variables, from one row per unit, variable and value."""
+    seen = [F.bool_or(F.col("variable").isin(variables)).alias(f"_{n}") for n, variables in enumerate(blocks)]
+    units = counts.groupBy(*[column(i) for i in ids]).agg(*seen)
+    return units.filter(reduce(Column.__and__, [F.col(f"_{n}") for n in range(len(blocks))])).select(
+        *[column(i) for i in ids]
+    )
+
+
 @exact_names
 def categorical_wide(df: DataFrame, ids: list[str], variables: list[str]) -> DataFrame:
     """Wide counts. The counts are written to the shared folder, so that finding the columns and
     filling them reads the microdata once."""
     counts = cut_lineage(categorical_counts(df, ids, variables))
-    return widened_counts(counts, ids, ordered_codes(counts))
+    return widened_counts(counts, ids, list(ordered_codes(counts)))
 
 
 def numeric_values(df: DataFrame, ids: list[str], variables: list[str]) -> DataFrame:
@@ -142,11 +152,12 @@ def numeric_long(df: DataFrame, ids: list[str], variables: list[str], operation:
 def numeric_wide(df: DataFrame, ids: list[str], variables: list[str], operation: str) -> DataFrame:
     """One column ``operation::variable`` per variable that holds numbers only.
 
-    Variables with any other text are left out; with none left, the distinct units remain.
+    Variables with any other text are left out; with none left, the distinct units remain. Sums of
+    variables that hold integers only are exact and integers.
     """
     check_operation(operation)
-    kept, rows = passed_gate(df, _others(ids, variables))
-    return numeric_blocks(df, ids, {operation: kept}, most_rows=rows)
+    gate = passed_gate(df, _others(ids, variables))
+    return numeric_blocks(df, ids, {operation: gate.passed}, most_rows=gate.rows, integers=gate.integers)
 
 
 @exact_names
@@ -156,16 +167,22 @@ def numeric_blocks(
     by_operation: dict[str, list[str]],
     with_total: bool = False,
     most_rows: int | None = None,
+    integers: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """Totals, sums and means of all variables in one aggregation; medians are joined to it.
 
-    ``most_rows`` bounds the rows of the table, hence of any unit, if that is known.
+    ``most_rows`` bounds the rows of the table, hence of any unit, if that is known. ``integers`` names variables
+    that hold integers only; a sum of them beyond 64 bits fails.
     """
     types = {field.name: field.dataType for field in df.schema}
     units = [column(i) for i in ids]
     known = known_units(df, ids)
     aggregates: list[Column] = [F.count(F.lit(1)).alias(TOTAL_CODE)] if with_total else []
     for v in by_operation.get(SUM, []):
+        if v in integers:
+            total = F.coalesce(F.sum(as_integer(column(v), types[v])), F.lit(0)).cast("bigint")
+            aggregates.append(total.alias(numeric_code(SUM, v)))
+            continue
         aggregates.append(F.coalesce(F.sum(as_double(column(v), types[v])), F.lit(0.0)).alias(numeric_code(SUM, v)))
     for v in by_operation.get(MEAN, []):
         aggregates.append(F.avg(as_double(column(v), types[v])).alias(numeric_code(MEAN, v)))

@@ -13,6 +13,9 @@ from mapstrata.session import column, exact_names
 # What an unnamed index column of a delimited file is called.
 INDEX_COLUMNS = ("Unnamed: 0", "_c0")
 
+# Order of the rows of a metadata table or a dictionary.
+POSITION = "row_position"
+
 
 def drop_index_column(df: DataFrame) -> DataFrame:
     present = [name for name in INDEX_COLUMNS if name in df.columns]
@@ -41,8 +44,12 @@ def columns_by_regex(df: DataFrame, pattern: str) -> list[str]:
 
 
 def with_row_position(table: DataFrame) -> DataFrame:
-    """Metadata-sized tables are told apart by file order where a name occurs twice."""
-    return table.withColumn("row_position", F.monotonically_increasing_id())
+    """Rows of metadata with their order, which counts where a name occurs twice.
+
+    Tables read with ``positions`` carry it, as does any table with a sortable column of that name. For others it is
+    the order in which Spark holds the rows, which is the caller's own only without a shuffle and within one file.
+    """
+    return table if POSITION in table.columns else table.withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def columns_by_class(

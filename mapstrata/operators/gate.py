@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mapstrata.functions.numbers import is_number_text, is_numeric_type
+from mapstrata.functions.numbers import INTEGER_PATTERN, is_number_text, is_numeric_type
 from mapstrata.functions.text import stripped
 from mapstrata.session import column, exact_names
 
 
 @exact_names
 def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
-    """``variable``, ``rejected``, ``rows``: how many non-null values of a text variable are no number,
-    and the rows of the table.
+    """``variable``, ``rejected``, ``fractional``, ``rows``: how many non-null values of a text variable are no
+    number, how many are not written as an integer, and the rows of the table.
 
     The cells are spread and counted per variable instead of one aggregate column each: with
     hundreds of variables those no longer compile to one piece of code.
@@ -26,15 +28,24 @@ def non_numeric_counts(df: DataFrame, variables: list[str]) -> DataFrame:
         texts.groupBy("_i")
         .agg(
             F.count_if(F.col("_text").isNotNull() & ~is_number_text(F.col("_text"))).alias("rejected"),
+            F.count_if(~F.col("_text").rlike(INTEGER_PATTERN)).alias("fractional"),
             F.count(F.lit(1)).alias("rows"),
         )
-        .select(F.get(F.array(*[F.lit(v) for v in names]), F.col("_i")).alias("variable"), "rejected", "rows")
+        .select(F.get(F.array(*[F.lit(v) for v in names]), F.col("_i")).alias("variable"), "rejected", "fractional", "rows")
     )
 
 
-def passed_gate(df: DataFrame, variables: list[str]) -> tuple[list[str], int | None]:
-    """Variables whose every non-null value is a number, in the given order, and the rows of the
-    table if they had to be read.
+@dataclass(frozen=True)
+class Gate:
+    """Variables that hold numbers only, those of them that hold integers only, and the rows of the table if it was read."""
+
+    passed: list[str]
+    integers: frozenset[str]
+    rows: int | None
+
+
+def passed_gate(df: DataFrame, variables: list[str]) -> Gate:
+    """Variables whose every non-null value is a number, in the given order.
 
     Typed numeric columns pass by their type. All text columns are checked in one aggregate, and
     one row of counts per variable is all that reaches the driver.
@@ -45,8 +56,11 @@ def passed_gate(df: DataFrame, variables: list[str]) -> tuple[list[str], int | N
     rejected = {row["variable"] for row in counts if row["rejected"]}
     passed = set(texts) - rejected
     rows = max((row["rows"] for row in counts), default=0) if texts else None
-    return [v for v in variables if v in passed or is_numeric_type(types[v])], rows
+    kept = [v for v in variables if v in passed or is_numeric_type(types[v])]
+    whole = {row["variable"] for row in counts if not row["fractional"]}
+    integers = frozenset(v for v in kept if v in whole or isinstance(types[v], T.IntegralType))
+    return Gate(kept, integers, rows)
 
 
 def numeric_variables(df: DataFrame, variables: list[str]) -> list[str]:
-    return passed_gate(df, variables)[0]
+    return passed_gate(df, variables).passed

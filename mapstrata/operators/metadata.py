@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from mapstrata.functions.literals import list_to_text, options_from_text
 from mapstrata.functions.text import catalog_name_normalized, source_name_normalized
+from mapstrata.operators.joins import joined_with_few
+from mapstrata.operators.translate import first_description
 from mapstrata.session import column
 
 # Columns that the prepared metadata gets.
@@ -51,6 +53,33 @@ def with_catalog_values(metadata: DataFrame, source_column: str, catalogs: DataF
     )
 
 
+def catalog_dictionary(
+    metadata: DataFrame, names_column: str, alias_column: str, source_column: str, catalogs: DataFrame
+) -> DataFrame:
+    """``variable-key`` to ``alias-label`` of every variable and catalogue row its source points to, as
+    ``with_catalog_values`` and the categorical dictionary give it, but never holding a catalogue as one list.
+
+    Only the first metadata row of a variable counts, and the last row of a key in its catalogue.
+    """
+    described = first_description(metadata, names_column).select(
+        column(names_column).alias("name"),
+        column(alias_column).alias("alias"),
+        source_name_normalized(column(source_column)).alias("catalog"),
+    )
+    rows = catalogs.withColumn("catalog", catalog_name_normalized(F.col("catalog")))
+    filled = rows.groupBy("catalog").agg(
+        (F.count("clasificacion") > 0).alias("classified"), (F.count("descripcion") > 0).alias("described")
+    )
+    labelled = joined_with_few(rows, filled, ["catalog"], [F.col("pos")]).filter(F.col("classified") | F.col("described"))
+    label = F.when(F.col("classified"), F.col("clasificacion")).otherwise(F.col("descripcion"))
+    last = labelled.groupBy("catalog", F.coalesce("clave", F.lit("None")).alias("key")).agg(
+        F.max_by(F.coalesce(label, F.lit("None")), F.struct("pos", "clasificacion", "descripcion")).alias("label")
+    )
+    return joined_with_few(last, described, ["catalog"], [F.col("key")]).select(
+        F.concat_ws("-", "name", "key").alias("variable"), F.concat_ws("-", "alias", "label").alias("traduccion")
+    )
+
+
 def with_option_lists(
     metadata: DataFrame, values_column: str = "values", names_column: str = "var", types_column: str = "var_type",
     option_variables: tuple[str, ...] = ("municipio",),

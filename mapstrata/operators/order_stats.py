@@ -10,6 +10,8 @@ narrowed down first:
 3. Count the rows per slice (combined before the shuffle). This gives the exact rank at which
    every slice starts, hence the slices that hold a wanted rank. All other rows are dropped where
    they are read.
+   A group of more than MOST_SLICES times LARGE_GROUP rows has slices that are large themselves;
+   steps 2 and 3 are done again on those that are wanted, until they are not.
 4. Rank what is left: whole small groups and the wanted slices of large ones.
 
 Equal values are counted together before they are moved, so a value that fills a slice is one row.
@@ -17,6 +19,8 @@ Equal values are counted together before they are moved, so a value that fills a
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +32,7 @@ SMALL_GROUP = 50_000
 # Groups with more rows than this are cut in slices of about this many rows each.
 LARGE_GROUP = 5_000_000
 
-# Most slices of a group, and the accuracy of the cuts between them.
+# Most slices a group is cut in at a time, and the accuracy of the cuts between them.
 MOST_SLICES = 1024
 CUT_ACCURACY = 10 * MOST_SLICES
 
@@ -59,14 +63,26 @@ def order_statistics(
         return _from_arrays(present, groups, x, positions)
 
     nothing = F.lit(None).cast("bigint")
-    sliced = present.withColumn("_slice", F.lit(0)).withColumn("_skipped", nothing).withColumn("_size", nothing)
+    start = F.lit(0).cast("bigint")
+    sliced = present.withColumn("_slice", start).withColumn("_skipped", nothing).withColumn("_size", nothing)
     if most_rows is None or most_rows > LARGE_GROUP:
+        held = F.count(F.lit(1)).alias("_held")
+        counted = present.groupBy(*groups).agg(held).filter(F.col("_held") > LARGE_GROUP)
         large = cut_lineage(
-            present.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > LARGE_GROUP)
+            counted.select(*groups, start.alias("_slice"), "_held", F.col("_held").alias("_n"), start.alias("_base"))
         )
-        count = large.count()
-        if count:
-            sliced = _wanted_slices(present, large, count, keys, x, positions)
+        count, biggest = large.agg(F.count(F.lit(1)), F.max("_held")).first()
+        while count:
+            sliced = _wanted_slices(sliced, large, count, keys, x, positions)
+            biggest = math.ceil(biggest / MOST_SLICES)
+            if biggest <= LARGE_GROUP:
+                break
+            sliced = cut_lineage(sliced)
+            pieces = sliced.filter(F.col("_size").isNotNull()).groupBy(
+                *groups, "_slice", F.col("_size").alias("_n"), F.col("_skipped").alias("_base")
+            )
+            large = cut_lineage(pieces.agg(held).filter(F.col("_held") > LARGE_GROUP))
+            count = large.count()
 
     tallies = sliced.groupBy(*groups, "_slice", "_skipped", "_size", x).agg(F.count(F.lit(1)).alias("_copies"))
     piece = Window.partitionBy(*groups, "_slice")
@@ -107,25 +123,25 @@ def _joined(rows: DataFrame, few: DataFrame, keys: list[str], x: Column, count:
     return salted.join(spread, [*keys, "_salt"], "left").drop("_salt")
 
 
-def _cuts(present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column) -> DataFrame:
-    """keys, ``_size``, ``_cuts`` and every CUT_BLOCK-th of them in ``_blocks``, for each large group.
+def _cuts(rows: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column) -> DataFrame:
+    """keys, ``_n``, ``_base``, ``_cuts`` and every CUT_BLOCK-th of them in ``_blocks``, for each large piece.
 
-    A group gets as many slices as its size asks for, so all cuts together are at most as many as
+    A piece gets as many slices as its size asks for, so all cuts together are at most as many as
     the table has rows, divided by LARGE_GROUP.
     """
     groups = [column(key) for key in keys]
     levels = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
-    slices = F.least(F.ceil(F.col("_size") / LARGE_GROUP), F.lit(MOST_SLICES)).cast("int")
+    slices = F.least(F.ceil(F.col("_held") / LARGE_GROUP), F.lit(MOST_SLICES)).cast("int")
     picked = F.transform(
         F.sequence(F.lit(1), slices - 1),
         lambda i: F.get("_levels", F.floor(i * MOST_SLICES / slices).cast("int") - 1),
     )
     cuts = (
-        _joined(present, large, keys, x, count)
-        .filter(F.col("_size").isNotNull())
-        .groupBy(*groups)
-        .agg(F.first("_size").alias("_size"), F.percentile_approx(x, levels, CUT_ACCURACY).alias("_levels"))
-        .select(*groups, "_size", F.array_distinct(picked).alias("_cuts"))
+        _joined(rows, large, keys, x, count)
+        .filter(F.col("_n").isNotNull())
+        .groupBy(*groups, "_held", "_n", "_base")
+        .agg(F.percentile_approx(x, levels, CUT_ACCURACY).alias("_levels"))
+        .select(*groups, "_n", "_base", F.array_distinct(picked).alias("_cuts"))
     )
     return cut_lineage(
         cuts.withColumn("_blocks", F.filter("_cuts", lambda _, i: (i + 1) % CUT_BLOCK == 0))
@@ -142,28 +158,39 @@ def _slice_of(x: Column) -> Column:
 
 
 def _wanted_slices(
-    present: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column, positions: list[str]
+    rows: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column, positions: list[str]
 ) -> DataFrame:
-    """Rows of small groups, and of the slices of large ones that hold a wanted position."""
-    groups = [column(key) for key in keys]
-    located = _joined(present, _cuts(present, large, count, keys, x), keys, x, count).withColumn("_slice", _slice_of(x))
+    """Rows of all that is not large, and of the slices of large pieces that hold a wanted position.
 
-    group = Window.partitionBy(*groups)
-    ahead = F.sum("_held").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    ``rows``: keys, value, ``_slice``, ``_skipped`` (rows of the group below the slice), ``_size`` (rows of the group);
+    the last two are null in groups that were never cut. ``large``: keys, ``_slice``, ``_held`` (rows of the slice),
+    ``_n`` (rows of its group), ``_base`` (rows of the group below it).
+    """
+    groups, at = [column(key) for key in keys], [*keys, "_slice"]
+    located = _joined(rows, _cuts(rows, large, count, at, x), at, x, count).withColumn("_inner", _slice_of(x))
+
+    piece = Window.partitionBy(*groups, "_slice")
+    ahead = F.sum("_held").over(piece.orderBy("_inner").rowsBetween(Window.unboundedPreceding, -1))
     wanted = (
-        located.filter(F.col("_size").isNotNull())
-        .groupBy(*groups, "_slice", F.col("_size").alias("_n"))
+        located.filter(F.col("_n").isNotNull())
+        .groupBy(*groups, "_slice", "_inner", "_n", "_base")
         .agg(F.count(F.lit(1)).alias("_held"))
-        .withColumn("_skipped", F.coalesce(ahead, F.lit(0)))
+        .withColumn("_start", F.col("_base") + F.coalesce(ahead, F.lit(0)))
         .withColumn("_position", F.explode(_array(positions)))
-        .filter("_position >= _skipped AND _position < _skipped + _held")
-        .select(*groups, "_slice", "_skipped")
+        .filter("_position >= _start AND _position < _start + _held")
+        .select(*groups, "_slice", "_inner", "_start")
         .distinct()
     )
     return (
-        _joined(located, wanted, [*keys, "_slice"], x, count)
-        .filter(F.col("_size").isNull() | F.col("_skipped").isNotNull())
-        .select(*groups, x, "_slice", "_skipped", "_size")
+        _joined(located, wanted, [*at, "_inner"], x, count)
+        .filter(F.col("_n").isNull() | F.col("_start").isNotNull())
+        .select(
+            *groups,
+            x,
+            (F.col("_slice") * MOST_SLICES + F.col("_inner")).alias("_slice"),
+            F.coalesce("_start", "_skipped").alias("_skipped"),
+            F.coalesce("_n", "_size").alias("_size"),
+        )
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mapstrata.functions.literals import list_from_text
 from mapstrata.operators.aggregate import TOTAL_CODE, numeric_code
 from mapstrata.operators.columns import with_row_position
+from mapstrata.operators.joins import joined_with_few
 from mapstrata.session import column
 
 
@@ -89,8 +90,10 @@ def last_names(dictionary: DataFrame, code_column: str, name_column: str) -> Dat
 
 
 def named(rows: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows with the readable name of their ``code``; codes without one are left out."""
-    return rows.join(names, "code")
+    """Rows with the readable name of their ``code``; codes without one are left out. A code has a row per unit, so
+    names are broadcast after a count of their bytes, or the join is salted."""
+    others = [column(c) for c in rows.columns if c != "code"]
+    return joined_with_few(rows, names, ["code"], others or [column("code")])
 
 
 def codes_without_name(codes: DataFrame, dictionary: DataFrame, code_column: str) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mapstrata.operators import aggregate, casts, cleaning, columns, gate, translate
 from mapstrata.plans.spec import existing, expect, expect_texts, load_spec, required, required_column
-from mapstrata.session import case_sensitive_names, checkpoint_folder
-from mapstrata.sinks.files import write_dictionary, write_units
+from mapstrata.session import case_sensitive_names, checkpoint_folder, column, cut_lineage, exact_names
+from mapstrata.sinks.files import write_dictionary, write_table, write_units
 from mapstrata.sources import read_metadata, read_microdata
 
 log = logging.getLogger(__name__)
@@ -111,7 +111,8 @@ class Block:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Wide aggregates, their dictionary, and the variables left out as not numeric."""
+    """Aggregates (wide, or long where the specification says ``forma_larga``), their dictionary, and the variables
+    left out as not numeric."""
 
     wide: DataFrame
     dictionary: DataFrame
@@ -139,11 +140,13 @@ def resolve_block(preparation: Preparation, block: dict) -> Block:
     return Block(preparation.select_variables(listed, patterns, class_column, values), operation)
 
 
-def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Block]) -> tuple[DataFrame, list[str]]:
-    """All blocks joined on the units, with the variables that failed the numeric gate.
+def _aggregated(
+    preparation: Preparation, ids: list[str], blocks: list[Block]
+) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """Totals and numeric aggregates per unit, counts of all categorical blocks, and the variables that failed the gate.
 
     The microdata is read once for the gate of all numeric variables, once for totals, sums and
-    means together, once for all medians and once per categorical block.
+    means together, once for all medians and once for all categorical blocks.
     """
     df = preparation.df
     numeric = [b for b in blocks if b.operation is not None]
@@ -151,28 +154,69 @@ def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Bloc
     if len(set(pairs)) < len(pairs):
         raise ValueError("the same operation is asked for twice on one variable")
     candidates = list(dict.fromkeys(v for _, v in pairs))
-    passed, rows = gate.passed_gate(df, candidates)
-    skipped = [v for v in candidates if v not in passed]
+    checked = gate.passed_gate(df, candidates)
+    skipped = [v for v in candidates if v not in checked.passed]
     for variable in skipped:
         log.warning("%s holds values that are not numbers and is not aggregated", variable)
 
     by_operation: dict[str, list[str]] = {}
     for operation, variable in pairs:
-        if variable in passed:
+        if variable in checked.passed:
             by_operation.setdefault(operation, []).append(variable)
-    base = aggregate.numeric_blocks(df, ids, by_operation, with_total=True, most_rows=rows)
-
-    parts, order = [base], [aggregate.TOTAL_CODE]
+    base = aggregate.numeric_blocks(
+        df, ids, by_operation, with_total=True, most_rows=checked.rows, integers=checked.integers
+    )
+    categories = [v for block in blocks if block.operation is None for v in block.variables if v not in ids]
+    if len(set(categories)) < len(categories):
+        raise ValueError("two blocks give columns of the same name")
+    counts = None
+    if any(block.operation is None for block in blocks):
+        counts = cut_lineage(aggregate.categorical_counts(df, ids, categories))
+    return base, counts, skipped
+
+
+def _categorical(blocks: list[Block]) -> list[list[str]]:
+    return [block.variables for block in blocks if block.operation is None]
+
+
+@exact_names
+def _joined_blocks(base: DataFrame, counts: DataFrame | None, ids: list[str], blocks: list[Block]) -> DataFrame:
+    if counts is None:
+        joined, codes = base, {}
+    else:
+        pairs = aggregate.ordered_codes(counts)
+        units = aggregate.units_with_all(counts, ids, _categorical(blocks))
+        joined = aggregate.joined_on_units([base, aggregate.widened_counts(counts, ids, list(pairs)), units], ids)
+        codes = pairs
+    order = [aggregate.TOTAL_CODE]
     for block in blocks:
         if block.operation is None:
-            wide = aggregate.categorical_wide(df, ids, block.variables)
-            parts.append(wide)
-            order += [c for c in wide.columns if c not in ids]
+            order += [code for code, variable in codes.items() if variable in block.variables]
         else:
-            order += [aggregate.numeric_code(block.operation, v) for v in block.variables if v in passed]
+            made = [aggregate.numeric_code(block.operation, v) for v in block.variables]
+            order += [code for code in made if code in base.columns]
     if len(set(order)) < len(order):
         raise ValueError("two blocks give columns of the same name")
-    return columns.project(aggregate.joined_on_units(parts, ids), [*ids, *order]), skipped
+    return columns.project(joined, [*ids, *order])
+
+
+def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Block]) -> tuple[DataFrame, list[str]]:
+    """All blocks joined on the units, one column per code, with the variables that failed the numeric gate."""
+    base, counts, skipped = _aggregated(preparation, ids, blocks)
+    return _joined_blocks(base, counts, ids, blocks), skipped
+
+
+def aggregate_blocks_long(
+    preparation: Preparation, ids: list[str], blocks: list[Block]
+) -> tuple[DataFrame, list[str]]:
+    """The same values as ids, code, value, for any number of observed categories: no code becomes a column, so a
+    count of zero has no row."""
+    base, counts, skipped = _aggregated(preparation, ids, blocks)
+    long = aggregate.lengthened(base, ids, [c for c in base.columns if c not in ids])
+    if counts is not None:
+        units = aggregate.units_with_all(counts, ids, _categorical(blocks))
+        long = long.unionByName(aggregate.long_counts(counts, ids)).join(units, ids, "left_semi")
+    return long, skipped
 
 
 def block_dictionaries(
@@ -208,7 +252,7 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
 
     with case_sensitive_names(spark):
         df = read_microdata(spark, data_path, multiline=spec.get("multilinea", True))
-        metadata = read_metadata(spark, metadata_path)
+        metadata = read_metadata(spark, metadata_path, positions=True)
         names_column = required_column(spec, "columna_metadatos_nombres", metadata.columns)
         values_column = required_column(spec, "columna_metadatos_posibles_valores", metadata.columns)
         alias_column = required_column(spec, "columna_metadatos_alias", metadata.columns, names_column)
@@ -235,9 +279,13 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
             narrow = staged(narrow)
         preparation = replace(preparation, df=narrow)
 
-        wide, skipped = aggregate_blocks(preparation, ids, blocks)
+        long = spec.get("forma_larga", False)
+        wide, skipped = (aggregate_blocks_long if long else aggregate_blocks)(preparation, ids, blocks)
         dictionary = block_dictionaries(preparation, blocks, alias_column, value_alias_column)
         if write:
-            write_units(wide, ids, wide_path)
+            if long:
+                write_table(wide.orderBy(*[column(i) for i in ids], "code"), wide_path)
+            else:
+                write_units(wide, ids, wide_path)
             write_dictionary(dictionary, dictionary_path)
     return Prepared(wide, dictionary, skipped)

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapstrata.functions.numbers import finite_or_fail, is_numeric_type
-from mapstrata.operators import binning, cells, order_stats, translate
+from mapstrata.operators import binning, cells, translate
 from mapstrata.operators.columns import columns_by_regex, compiled
+from mapstrata.operators.joins import joined_with_few
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
 from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted
 from mapstrata.sinks.files import write_table
@@ -24,14 +25,6 @@ log = logging.getLogger(__name__)
 
 DEFAULT_BINS = 10
 
-# Edges are broadcast up to this many bytes: 8 per edge and a row overhead, times the requests.
-BROADCAST_BYTES = 64 * 1024 * 1024
-
-# A bin is one row that lists all its units as text; a scale with more units than this must be
-# asked for in parts (several rows per bin) or as members (one row per unit).
-MOST_UNITS_PER_ROW = 20_000_000
-
-
 @dataclass(frozen=True)
 class Request:
     """Cut ``code``, divided by ``base`` unless that is None."""
@@ -210,12 +203,9 @@ class Stratifier:
         labelled = [c for c in ("labels",) if c in edges.columns]
         limits = edges.select("scale", "request", "edges", *labelled)
         each = reduce(DataFrame.unionByName, rows)
-        if len(scales) * len(requests) * (8 * (q + 1) + 100 + (64 * q if labelled else 0)) <= BROADCAST_BYTES:
-            found = each.join(F.broadcast(limits), ["scale", "request"], "left")
-        else:
-            salt = F.pmod(F.xxhash64(*[column(i) for i in self.ids]), F.lit(order_stats.SALTS)).cast("int")
-            limits = limits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(order_stats.SALTS - 1))))
-            found = each.withColumn("_salt", salt).join(limits, ["scale", "request", "_salt"], "left")
+        # 8 bytes per edge and a row overhead, per scale and request.
+        size = len(scales) * len(requests) * (8 * (q + 1) + 100 + (64 * q if labelled else 0))
+        found = joined_with_few(each, limits, ["scale", "request"], [column(i) for i in self.ids], "left", size)
         intervals = binning.interval_count(F.col("edges"))
         return found.select(
             "scale",
@@ -274,23 +264,22 @@ class Stratifier:
         columns = ["request", "base", "name", "code"]
         return local_table(self.sparkSession, columns, rows).withColumn("request", F.col("request").cast("int"))
 
-    def _check_units(self, scales: list[str]) -> None:
-        for scale in scales:
-            if self._units(scale) > MOST_UNITS_PER_ROW:
-                raise ValueError(
-                    f"scale {scale} has more than {MOST_UNITS_PER_ROW} units, too many to list in one row per bin; "
-                    "use parts=True or members()"
-                )
-
     @exact_names
-    def cut(self, scales: list[str], requests: list[Request], q: int = DEFAULT_BINS, parts: bool = False) -> DataFrame:
-        """request, base, name, code, bin and, per scale, the interval and its units.
+    def cut(
+        self,
+        scales: list[str],
+        requests: list[Request],
+        q: int = DEFAULT_BINS,
+        units_per_part: int = cells.UNITS_PER_PART,
+    ) -> DataFrame:
+        """request, base, name, code, bin, part and, per scale, the interval and its units.
 
-        A scale with fewer bins than another has nulls in the last ones. With ``parts`` there is
-        one row per scale, bin and slice of units instead.
+        Part 0 of a bin lists its first ``units_per_part`` units in id order, part 1 the next ones, and so
+        on, for scales of any size. A scale with fewer bins or parts than another has nulls in the last ones.
         """
         self._check_scales(scales)
         binning.check_bins(q)
+        cells.check_units_per_part(units_per_part)
         for request in requests:
             self._check_request(scales, request)
         names = F.broadcast(self._request_table(requests))
@@ -298,25 +287,19 @@ class Stratifier:
         grid = binning.bin_grid(edges, ["scale", "request"], F.col("as_percent")).select(
             "scale", "request", "bin", "interval"
         )
-        if not parts:
-            self._check_units(scales)
-        members = self._members(scales, requests, edges, q, sliced=True)
-        slices = cells.cells_by_slice(members, ["scale", "request", "bin", "unclassified"], self.ids)
-        unclassified = F.when(F.col("unclassified"), binning.UNCLASSIFIED)
-        if parts:
-            found = (
-                slices.join(grid, ["scale", "request", "bin"], "full")
-                .withColumn("interval", F.coalesce(unclassified, "interval"))
-                .join(names, "request")
-            )
-            text = F.concat(F.lit("{"), F.coalesce("cells", F.lit("")), F.lit("}"))
-            return found.select(
-                "request", "base", "name", "code", "bin", "scale", F.col("slice").alias("part"), "interval",
-                text.alias("cells"),
-            )
-
-        listed = slices.select("scale", "request", "bin", unclassified.alias("interval"), "slice", "cells")
-        rows = listed.unionByName(grid, allowMissingColumns=True)
+        keys = ["scale", "request", "bin", "unclassified"]
+        slices = cells.units_by_slice(self._members(scales, requests, edges, q, sliced=True), keys, self.ids)
+        most_units = max(self._units(s) for s in scales)
+        pieces = cells.cells_by_part(slices, keys, units_per_part, most_units)
+        if most_units > units_per_part:
+            # Part 0 gets its interval from the grid below, the others from here.
+            size = len(scales) * len(requests) * q * 100
+            pieces = joined_with_few(pieces, grid, ["scale", "request", "bin"], [F.col("part")], "left", size)
+        else:
+            pieces = pieces.withColumn("interval", F.lit(None).cast("string"))
+        interval = F.when(F.col("unclassified"), binning.UNCLASSIFIED).otherwise(F.col("interval"))
+        listed = pieces.select("scale", "request", "bin", "part", interval.alias("interval"), "slice", "cells")
+        rows = listed.unionByName(grid.withColumn("part", F.lit(0).cast("bigint")), allowMissingColumns=True)
         per_scale: list[Column] = []
         for scale in scales:
             here = F.col("scale") == scale
@@ -327,15 +310,41 @@ class Stratifier:
                 F.when(interval.isNotNull(), members_here).alias(f"cells_{scale}"),
             ]
         return (
-            rows.groupBy("request", "bin")
+            rows.groupBy("request", "bin", "part")
             .agg(*per_scale)
             .join(names, "request")
             .select(
-                "request", "base", "name", "code", "bin",
+                "request", "base", "name", "code", "bin", "part",
                 *[column(f"{kind}_{scale}") for scale in scales for kind in ("interval", "cells")],
             )
         )
 
+    @exact_names
+    def bin_counts(self, scales: list[str], requests: list[Request], q: int = DEFAULT_BINS) -> DataFrame:
+        """request, base, name, code, scale, bin, interval, units: how many units every interval holds, also empty
+        ones. Units are counted before the shuffle and never listed."""
+        self._check_scales(scales)
+        binning.check_bins(q)
+        for request in requests:
+            self._check_request(scales, request)
+        edges = self._edges(scales, requests, q)
+        grid = binning.bin_grid(edges, ["scale", "request"], F.col("as_percent")).select(
+            "scale", "request", "bin", "interval", F.lit(0).cast("bigint").alias("units")
+        )
+        counted = (
+            self._members(scales, requests, edges, q, sliced=False)
+            .groupBy("scale", "request", "bin", "unclassified")
+            .agg(F.count(F.lit(1)).alias("units"))
+            .select("scale", "request", "bin", F.expr(f"if(unclassified, '{binning.UNCLASSIFIED}', null)").alias("interval"), "units")
+        )
+        return (
+            counted.unionByName(grid)
+            .groupBy("request", "scale", "bin")
+            .agg(F.max("interval").alias("interval"), F.sum("units").alias("units"))
+            .join(F.broadcast(self._request_table(requests)), "request")
+            .select("request", "base", "name", "code", "scale", "bin", "interval", "units")
+        )
+
     # Requests
 
     def _check_bases(self, chosen: dict, what: str) -> None:
@@ -377,36 +386,50 @@ class Stratifier:
             requests += [Request(base, code) for code in sorted(matches) if self._usable(code)]
         return requests
 
-    # ``parts``: one row per scale, bin and slice of units, for scales of any size, as in ``cut``.
+    # ``units_per_part`` as in ``cut``.
 
     def process_variable(
-        self, scales: list[str], code: str, base: str | None = None, q: int = DEFAULT_BINS, parts: bool = False
+        self,
+        scales: list[str],
+        code: str,
+        base: str | None = None,
+        q: int = DEFAULT_BINS,
+        units_per_part: int = cells.UNITS_PER_PART,
     ) -> DataFrame:
         expect(scales, list, "scales")
-        return bin_table(self.cut(scales, [Request(base, code)], q, parts))
+        return bin_table(self.cut(scales, [Request(base, code)], q, units_per_part))
 
     def process_list(
-        self, scales: list[str], chosen: dict[str | None, list[str]], q: int = DEFAULT_BINS, parts: bool = False
+        self,
+        scales: list[str],
+        chosen: dict[str | None, list[str]],
+        q: int = DEFAULT_BINS,
+        units_per_part: int = cells.UNITS_PER_PART,
     ) -> DataFrame:
         """Bins of all listed variables, with their ``request`` number and ``base``."""
         binning.check_bins(q)
-        return self.cut(scales, self.requests_from_lists(scales, chosen), q, parts)
+        return self.cut(scales, self.requests_from_lists(scales, chosen), q, units_per_part)
 
     def process_regex(
-        self, scales: list[str], chosen: dict[str | None, str], q: int = DEFAULT_BINS, parts: bool = False
+        self,
+        scales: list[str],
+        chosen: dict[str | None, str],
+        q: int = DEFAULT_BINS,
+        units_per_part: int = cells.UNITS_PER_PART,
     ) -> DataFrame:
         binning.check_bins(q)
-        return self.cut(scales, self.requests_from_regex(scales, chosen), q, parts)
+        return self.cut(scales, self.requests_from_regex(scales, chosen), q, units_per_part)
 
 
 def bin_table(cut: DataFrame) -> DataFrame:
-    """name, code, bin and the interval and cells of each scale."""
+    """name, code, bin, part and the interval and cells of each scale."""
     return cut.drop("request", "base")
 
 
 def duplicated_bins(bins: DataFrame) -> DataFrame:
-    """Pairs of code and bin that occur more than once, with their number of rows."""
-    return bins.groupBy("code", "bin").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    """Pairs of code and bin that occur more than once, with their number of rows; further parts of a bin do not count."""
+    first = bins.filter("part = 0") if "part" in bins.columns else bins
+    return first.groupBy("code", "bin").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
 def _with_no_base_last(chosen: dict[str, object]) -> dict[str | None, object]:
@@ -431,8 +454,9 @@ def run_stratification(spark: SparkSession, spec: dict | str, write: bool = True
     output = required(spec, "ruta_csv_salida", str)
 
     with case_sensitive_names(spark):
-        scales = {scale: read_scale(spark, path, ids) for scale, path in paths.items()}
-        dictionary = read_translations(spark, dictionary_path, names_column, alias_column)
+        multiline = spec.get("multilinea", True)
+        scales = {scale: read_scale(spark, path, ids, multiline) for scale, path in paths.items()}
+        dictionary = read_translations(spark, dictionary_path, names_column, alias_column, positions=True)
         stratifier = Stratifier(
             scales, dictionary, names_column, alias_column, ids,
             spec.get("variables_excluidas_list", []), spec.get("variables_excluidas_regex", []),
@@ -442,11 +466,10 @@ def run_stratification(spark: SparkSession, spec: dict | str, write: bool = True
             requests += stratifier.requests_from_regex(list(scales), _with_no_base_last(by_regex))
         if by_list:
             requests += stratifier.requests_from_lists(list(scales), _with_no_base_last(by_list))
-        parts = bool(spec.get("en_partes", False))
-        result = stratifier.cut(list(scales), requests, q, parts)
+        units_per_part = spec.get("unidades_por_parte", cells.UNITS_PER_PART)
+        result = stratifier.cut(list(scales), requests, q, units_per_part)
         if len(set(requests)) < len(requests) or len({r.code for r in requests}) < len(requests):
             log.warning("some variables are cut more than once; see duplicated_bins()")
         if write:
-            order = ["request", "bin", "scale", "part"] if parts else ["request", "bin"]
-            write_table(bin_table(result.orderBy(*order)), output)
+            write_table(bin_table(result.orderBy("request", "bin", "part")), output)
     return result

@@ -4,22 +4,31 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.functions.numbers import as_double
 from mapstrata.functions.text import missing_to_null
-from mapstrata.operators.columns import drop_index_column
+from mapstrata.operators.columns import POSITION, drop_index_column
 from mapstrata.operators.gate import numeric_variables
 from mapstrata.session import column, exact_names
 
 CATALOG_COLUMNS = ("catalog", "pos", "clave", "clasificacion", "descripcion")
 
 
+def _positioned(table: DataFrame) -> DataFrame:
+    """Rows with their place: file, split of the file, row within it. Files count in the order of their names, in which
+    the writers number them; Spark itself takes large files first."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return table.select("*", place.alias(POSITION))
+
+
 @exact_names
-def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+def _read(spark: SparkSession, path: str, multiline: bool, positions: bool = False) -> DataFrame:
     try:
         if path.rstrip("/").endswith(".parquet"):
-            return drop_index_column(spark.read.parquet(path))
+            table = spark.read.parquet(path)
+            return drop_index_column(_positioned(table) if positions else table)
         raw = spark.read.csv(
             path,
             header=True,
@@ -34,8 +43,11 @@ def _read(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no table at {path}") from None
         raise
-    texts = drop_index_column(raw)
-    return texts.select(*[missing_to_null(column(name)).alias(name) for name in texts.columns])
+    texts = drop_index_column(_positioned(raw) if positions else raw)
+    place = [POSITION] if positions else []
+    return texts.select(
+        *[missing_to_null(column(name)).alias(name) for name in texts.columns if name not in place], *place
+    )
 
 
 def read_microdata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
@@ -48,9 +60,10 @@ def read_microdata(spark: SparkSession, path: str, multiline: bool = True) -> Da
     return _read(spark, path, multiline)
 
 
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row per variable, all text; descriptions hold line breaks and doubled quotes."""
-    return _read(spark, path, multiline=True)
+def read_metadata(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
+    """One row per variable, all text; descriptions hold line breaks and doubled quotes. With ``positions`` a column
+    ``row_position`` keeps the file order, by which the first or last of equal names counts."""
+    return _read(spark, path, multiline=True, positions=positions)
 
 
 @exact_names
@@ -71,9 +84,11 @@ def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool =
     return table.select(*picked)
 
 
-def read_translations(spark: SparkSession, path: str, names_column: str, alias_column: str) -> DataFrame:
-    """Translation dictionary; both named columns must exist."""
-    table = _read(spark, path, multiline=True)
+def read_translations(
+    spark: SparkSession, path: str, names_column: str, alias_column: str, positions: bool = False
+) -> DataFrame:
+    """Translation dictionary; both named columns must exist. ``positions`` as for metadata."""
+    table = _read(spark, path, multiline=True, positions=positions)
     for required in (names_column, alias_column):
         if required not in table.columns:
             raise ValueError(f"the translation dictionary has no column {required}")
@@ -92,6 +107,7 @@ def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_bin_table(spark: SparkSession, path: str) -> DataFrame:
-    """Bin table as written by the stratification; ``bin`` is an integer, the rest text."""
+    """Bin table as written by the stratification; ``bin`` and ``part`` are integers, the rest text."""
     table = _read(spark, path, multiline=True)
-    return table.select(*[(column(c).cast("int") if c == "bin" else column(c)).alias(c) for c in table.columns])
+    whole = {"bin": "int", "part": "bigint"}
+    return table.select(*[(column(c).cast(whole[c]) if c in whole else column(c)).alias(c) for c in table.columns])

@@ -5,7 +5,7 @@ import pytest
 
 from mapstrata.operators import aggregate
 from mapstrata.operators.aggregate import TOTAL_CODE
-from mapstrata.plans.prepare import Block, Preparation, aggregate_blocks
+from mapstrata.plans.prepare import Block, Preparation, aggregate_blocks, aggregate_blocks_long
 
 ROWS = [
     # ent, mun, sexo, asma, edad, nota
@@ -124,3 +124,40 @@ def test_codes_that_collide_are_refused(spark):
     df = spark.createDataFrame([("u", "b-c", "c")], "id string, `a` string, `a-b` string")
     with pytest.raises(ValueError):
         aggregate.categorical_wide(df, ["id"], ["a", "a-b"])
+
+
+def test_long_blocks_equal_wide_ones(preparation):
+    blocks = [Block(["sexo"], None), Block(["edad", "nota"], "suma"), Block(["asma"], None)]
+    wide, skipped = aggregate_blocks(preparation, IDS, blocks)
+    long, also_skipped = aggregate_blocks_long(preparation, IDS, blocks)
+    assert skipped == also_skipped == ["nota"]
+    expected = {
+        (*unit, code): float(value)
+        for unit, values in rows(wide).items()
+        for code, value in values.items()
+        if value is not None and (value or "::" in code)
+    }
+    assert {(r["ent"], r["mun"], r["code"]): r["value"] for r in long.collect()} == expected
+
+
+def test_more_values_than_columns(spark):
+    """25,000 observed values in long form."""
+    df = spark.range(50_000).selectExpr("cast(id % 3 AS string) AS ent", "cast(id % 25000 AS string) AS v", "cast(id AS string) AS x")
+    metadata = spark.createDataFrame([("v", "[]")], "var string, valores string")
+    long, _ = aggregate_blocks_long(Preparation(df, metadata, "var", "valores"), ["ent"], [Block(["v"], None), Block(["x"], "suma")])
+    frame = df.toPandas()
+    counts = frame.groupby(["ent", "v"]).size()
+    expected = {(e, f"v-{v}"): float(n) for (e, v), n in counts.items()}
+    expected |= {(e, "conteo::total_datos"): float(n) for e, n in frame.groupby("ent").size().items()}
+    expected |= {(e, "suma::x"): float(n) for e, n in frame.astype({"x": int}).groupby("ent").x.sum().items()}
+    assert {(r["ent"], r["code"]): r["value"] for r in long.collect()} == expected
+
+
+def test_integer_sums_are_exact(spark):
+    df = spark.createDataFrame(
+        [("1", "9007199254740993", 2, "1.5"), ("1", "2", 2**62, None), ("2", None, None, "2")], "u string, a string, b bigint, c string"
+    )
+    found = {r["u"]: r for r in aggregate.numeric_wide(df, ["u"], ["a", "b", "c"], "suma").collect()}
+    assert (found["1"]["suma::a"], found["1"]["suma::b"], found["1"]["suma::c"]) == (9007199254740995, 2**62 + 2, 1.5)
+    assert (found["2"]["suma::a"], found["2"]["suma::b"], found["2"]["suma::c"]) == (0, 0, 2.0)
+    assert isinstance(found["1"]["suma::a"], int) and isinstance(found["1"]["suma::c"], float)

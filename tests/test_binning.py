@@ -80,9 +80,11 @@ def test_edges_bit_equal_numpy(spark):
         assert found[g] == sorted(set(pd.Series(values).quantile(np.linspace(0, 1, 11))))
 
 
-@pytest.mark.parametrize("broadcast", [100, 0])
-def test_one_group_larger_than_all_slices(spark, monkeypatch, broadcast):
-    """One key holds most rows, one value a third of them; both are cut in slices and ranked exactly."""
+@pytest.mark.parametrize(("broadcast", "slices"), [(100, 1024), (0, 1024), (100, 4), (0, 7)])
+def test_one_group_larger_than_all_slices(spark, monkeypatch, broadcast, slices):
+    """One key holds most rows, one value a third of them; both are cut in slices, with few slices a round several
+    times, and ranked exactly."""
+    monkeypatch.setattr(order_stats, "MOST_SLICES", slices)
     monkeypatch.setattr(order_stats, "LARGE_GROUP", 300)
     monkeypatch.setattr(order_stats, "BROADCAST_GROUPS", broadcast)
     place = F.col("id")
@@ -107,7 +109,11 @@ def test_slices_cover_a_group_evenly(spark, monkeypatch):
     """Only wanted slices are ranked: far fewer rows than the group has."""
     monkeypatch.setattr(order_stats, "LARGE_GROUP", 100)
     rows = spark.range(50_000).select(F.lit("hot").alias("g"), F.sqrt("id").alias("x"))
-    large = rows.groupBy("g").agg(F.count("*").alias("_size"))
+    start = F.lit(0).cast("bigint")
+    large = rows.groupBy("g").agg(F.count("*").alias("_held"))
+    large = large.select("g", start.alias("_slice"), "_held", F.col("_held").alias("_n"), start.alias("_base"))
+    unknown = F.lit(None).cast("bigint")
+    rows = rows.withColumn("_slice", start).withColumn("_skipped", unknown).withColumn("_size", unknown)
     kept = order_stats._wanted_slices(rows, large, 1, ["g"], F.col("x"), ["_n div 2"])
     assert 0 < kept.count() < 50_000 / 50
     assert kept.select("_slice").distinct().count() == 1

@@ -2,8 +2,10 @@
 
 import pytest
 
-from mapstrata.operators import metadata, translate
+from mapstrata.operators import joins, metadata, translate
 from mapstrata.session import local_table
+from mapstrata.sinks.files import write_table
+from mapstrata.sources import read_translations
 
 
 def test_catalog_values(spark):
@@ -83,3 +85,47 @@ def test_names_and_missing_codes(spark):
     names = translate.last_names(dictionary, "variable", "traduccion")
     assert [tuple(r) for r in translate.named(codes, names).collect()] == [("a", "A2")]
     assert [tuple(r) for r in translate.codes_without_name(codes, dictionary, "variable").collect()] == [("c",)]
+
+
+@pytest.mark.parametrize("broadcast", [None, 0])
+def test_catalog_dictionary_equals_the_lists(spark, monkeypatch, broadcast):
+    """Joined row by row, catalogues give what their lists give; also with a key twice and a catalogue without labels."""
+    if broadcast is not None:
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", broadcast)
+    catalogs = spark.createDataFrame(
+        [("Cat Uno", 1, "1", "a", "x"), ("Cat Uno", 2, "2", None, "y"), ("Cat Uno", 3, "1", "c", "z"),
+         ("Cat Dos", 1, "1", None, "p"), ("Cat Dos", 2, None, None, "q"), ("Cat Tres", 1, "1", None, None)],
+        "catalog string, pos bigint, clave string, clasificacion string, descripcion string",
+    )
+    rows = spark.createDataFrame(
+        [("v", "V", "CATÁLOGO: UNO"), ("w", "W", "CATÁLOGO: UNO"), ("x", "X", "CATÁLOGO: DOS"), ("y", "Y", "CATÁLOGO: TRES"), ("z", "Z", "-")],
+        "var string, alias string, fuente string",
+    ).coalesce(1)
+    found = metadata.catalog_dictionary(rows, "var", "alias", "fuente", catalogs)
+    lists = metadata.with_catalog_values(rows, "fuente", catalogs)
+    expected = translate.categorical_dictionary(lists, "var", metadata.KEYS, "alias", metadata.LABELS)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert found.count() == 6
+
+
+@pytest.mark.parametrize("broadcast", [None, 0])
+def test_names_join_gathers_no_code(spark, monkeypatch, broadcast):
+    if broadcast is not None:
+        monkeypatch.setattr(joins, "BROADCAST_BYTES", broadcast)
+    rows = spark.range(100).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id AS string)) AS code")
+    names = spark.createDataFrame([("hot", "H"), ("1", "one")], "code string, name string")
+    joined = translate.named(rows, names)
+    assert sorted((r["id"], r["name"]) for r in joined.collect()) == sorted([(i, "H") for i in range(0, 100, 3)] + [(1, "one")])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_salt" in line or "broadcast" in line for line in plan.split("\n") if "Join Inner" in line)
+
+
+@pytest.mark.parametrize("suffix", ["", ".parquet"])
+def test_order_over_files(spark, tmp_path, suffix):
+    """The second, larger file is read first by Spark; its rows still come last."""
+    path = f"{tmp_path}/several{suffix}"
+    order = spark.createDataFrame([(0, "x", "first"), (1, "x", "last" * 5000)], "n int, variable string, traduccion string")
+    write_table(order.repartitionByRange(2, "n").drop("n"), path)
+    table = read_translations(spark, path, "traduccion", "variable", positions=True)
+    assert translate.last_names(table, "variable", "traduccion").first()["name"] == "last" * 5000
+    assert translate.first_description(table, "variable").first()["traduccion"] == "first"

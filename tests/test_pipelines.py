@@ -8,8 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from mapstrata.operators import order_stats
-from mapstrata.plans import strata
+from mapstrata.operators import cells, joins, order_stats
 from mapstrata.plans.prepare import run_preparation
 from mapstrata.plans.strata import Request, Stratifier, duplicated_bins, run_stratification
 from mapstrata.session import local_table
@@ -119,7 +118,7 @@ def test_both_pipelines(spark, tmp_path, registry):
     }
     result = run_stratification(spark, cut_spec)
     bins = spark.read.csv(str(tmp_path / "bins"), header=True).toPandas()
-    assert list(bins.columns) == ["name", "code", "bin", "interval_mun", "cells_mun"]
+    assert list(bins.columns) == ["name", "code", "bin", "part", "interval_mun", "cells_mun"]
     order = list(dict.fromkeys(zip(bins.index, bins.code)))
     assert [c for _, c in order][0] == "SEXO-1"
     share = pd.qcut(wide["SEXO-1"] / wide["conteo::total_datos"], 5, duplicates="drop")
@@ -213,13 +212,13 @@ def test_scales_without_the_variable_are_null(stratifier):
 def test_base_in_another_scale_only_gives_nothing(stratifier):
     rows = stratifier.process_variable(["mun", "ent"], "x", "z", q=2)
     assert rows.collect() == []
-    assert rows.columns == ["name", "code", "bin", "interval_mun", "cells_mun", "interval_ent", "cells_ent"]
+    assert rows.columns == ["name", "code", "bin", "part", "interval_mun", "cells_mun", "interval_ent", "cells_ent"]
 
 
 def test_all_excluded_gives_an_empty_table(stratifier):
     for result in (stratifier.process_list(["mun"], {None: ["w"], "w": ["x"]}), stratifier.process_regex(["mun"], {None: "^w"})):
         assert result.collect() == []
-        assert result.columns == ["request", "base", "name", "code", "bin", "interval_mun", "cells_mun"]
+        assert result.columns == ["request", "base", "name", "code", "bin", "part", "interval_mun", "cells_mun"]
 
 
 def test_wrong_requests(stratifier):
@@ -293,35 +292,65 @@ def test_large_scale_path_gives_the_same_rows(spark, stratifier, monkeypatch):
     large = sorted(stratifier.process_list(["mun", "ent"], chosen, 5).collect(), key=lambda r: (r["request"], r["bin"]))
     assert small == large
 
-    parts = stratifier.cut(["mun"], [Request(None, "x")], 5, parts=True).collect()
-    assert len({r["part"] for r in parts}) > 1
-    strung = {}
-    for r in sorted(parts, key=lambda r: (r["bin"], r["part"])):
-        strung.setdefault(r["bin"], []).append(r["cells"].strip("{}"))
-    whole = {r["bin"]: r["cells_mun"].strip("{}") for r in small if r["request"] == 0}
-    assert {b: ",".join(p) for b, p in strung.items()} == whole
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_parts_of_bins(stratifier, monkeypatch, slices):
+    """Units of a bin over several rows, ranked across slices, equal the one row cut by hand."""
+    requests = [Request(None, "x"), Request("y", "x")]
+    whole = stratifier.cut(["mun", "ent"], requests, 5).collect()
+    if slices > 1:
+        monkeypatch.setattr(order_stats, "SMALL_GROUP", 0)
+        monkeypatch.setattr(cells, "UNITS_PER_SLICE", 12)
+    found = {}
+    for r in stratifier.cut(["mun", "ent"], requests, 5, units_per_part=7).collect():
+        for level in ("mun", "ent"):
+            if r[f"interval_{level}"] is not None:
+                found[r["request"], r["bin"], level, r["part"]] = (r[f"interval_{level}"], r[f"cells_{level}"])
+    expected = {}
+    for r in whole:
+        assert r["part"] == 0
+        for level in ("mun", "ent"):
+            if r[f"interval_{level}"] is None:
+                continue
+            units = r[f"cells_{level}"].strip("{}").split(",")
+            for part in range(0, len(units), 7):
+                text = "{" + ",".join(units[part : part + 7]) + "}"
+                expected[r["request"], r["bin"], level, part // 7] = (r[f"interval_{level}"], text)
+    assert found == expected
+    assert max(part for *_, part in found) > 0
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    salted = stratifier.cut(["mun", "ent"], requests, 5, units_per_part=7)
+    rows = stratifier.cut(["mun", "ent"], requests, 5, units_per_part=7).collect()
+    assert sorted(map(str, salted.collect())) == sorted(map(str, rows))
+    for wrong in (0, -1):
+        with pytest.raises(ValueError):
+            stratifier.cut(["mun"], requests, 5, units_per_part=wrong)
+    with pytest.raises(TypeError):
+        stratifier.cut(["mun"], requests, 5, units_per_part=2.5)
 
-def test_too_many_units_for_one_row(stratifier, monkeypatch):
-    monkeypatch.setattr(strata, "MOST_UNITS_PER_ROW", 10)
-    with pytest.raises(ValueError, match="members"):
-        stratifier.process_variable(["mun"], "x")
-    members = stratifier.members(["mun"], [Request(None, "x")], 5)
-    assert members.count() == 60
-    assert stratifier.cut(["mun"], [Request(None, "x")], 5, parts=True).count() == 5
-    assert stratifier.process_list(["mun"], {None: ["x"]}, 5, parts=True).count() == 5
+
+def test_bin_counts(stratifier):
+    requests = [Request(None, "x"), Request("y", "x")]
+    listed = {}
+    for r in stratifier.cut(["mun", "ent"], requests, 5).collect():
+        for level in ("mun", "ent"):
+            if r[f"interval_{level}"] is not None:
+                units = r[f"cells_{level}"].strip("{}")
+                listed[r["request"], level, r["bin"]] = (r[f"interval_{level}"], len(units.split(",")) if units else 0)
+    counted = stratifier.bin_counts(["mun", "ent"], requests, 5).collect()
+    assert {(r["request"], r["scale"], r["bin"]): (r["interval"], r["units"]) for r in counted} == listed
 
 
 def test_members_without_broadcast(stratifier, monkeypatch):
     """Beyond the broadcast, no join gathers all units of a request under one key, and the rows are the same."""
     requests = [Request(None, "x"), Request("y", "x")]
     usual = stratifier.members(["mun"], requests, 5)
-    monkeypatch.setattr(strata, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     salted = stratifier.members(["mun"], requests, 5)
     assert sorted(map(str, usual.collect())) == sorted(map(str, salted.collect()))
     plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
-    assert joins and all("_salt" in line for line in joins)
+    lines = [line for line in plan.split("\n") if "Join LeftOuter" in line]
+    assert lines and all("_salt" in line for line in lines)
 
 
 def test_members_agree_with_cells(stratifier):

@@ -101,7 +101,7 @@ def bin_table_sql(
     with_tables: dict[str, str], requests: list[tuple[str | None, str]], q: int, names: str,
     present: dict[str, set[str]] | None = None, keep_request: bool = False,
 ) -> str:
-    """Whole bin table, one interval and one cells column per scale."""
+    """Whole bin table, one interval and one cells column per scale; no bin of these tables needs a second part."""
     aliases = {scale: f"wide_{scale}" for scale in with_tables}
     wides = ", ".join(f"{aliases[s]} AS MATERIALIZED ({sql})" for s, sql in with_tables.items())
     asked = "VALUES " + ", ".join(f"({n}, {repr(b) if b else 'NULL::VARCHAR'}, '{c}')" for n, (b, c) in enumerate(requests))
@@ -116,6 +116,6 @@ WITH {wides}, {bins_ctes(values_sql(aliases, requests, present), q)},
 asked AS (SELECT * FROM ({asked}) AS t(request, base, code)),
 named AS (SELECT * FROM ({names}) AS t(code, name)),
 aligned AS (SELECT request, bin, {columns} FROM bins GROUP BY request, bin)
-SELECT {extra}name, asked.code AS code, bin, {outer}
+SELECT {extra}name, asked.code AS code, bin, 0::BIGINT AS part, {outer}
 FROM aligned b JOIN asked ON asked.request = b.request JOIN named ON named.code = asked.code
 """

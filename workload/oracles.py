@@ -101,6 +101,10 @@ WHERE ent IS NOT NULL AND mun IS NOT NULL"""
 ORACLES["numeric_sum"] = f"""
 WITH {KNOWN} SELECT ent, mun, round(coalesce(sum(precio::DECIMAL(18,2)), 0)::DOUBLE, 2) AS "suma::precio",
        round(coalesce(sum(saldo::DECIMAL(18,2)), 0)::DOUBLE, 2) AS "suma::saldo" FROM known GROUP BY ent, mun"""
+ORACLES["integer_sum"] = """
+SELECT l_returnflag, l_linestatus, sum(l_suppkey)::BIGINT AS "suma::l_suppkey", sum(l_linenumber)::BIGINT AS "suma::l_linenumber",
+       sum(l_orderkey * 1000000007::BIGINT + l_partkey)::BIGINT AS "suma::texto"
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 ORACLES["numeric_mean"] = f"""
 WITH {KNOWN} SELECT ent, mun, round(sum(precio::DECIMAL(18,2))::DOUBLE / count(precio), 5) AS "media::precio",
        round(sum(saldo::DECIMAL(18,2))::DOUBLE / count(saldo), 5) AS "media::saldo" FROM known GROUP BY ent, mun"""
@@ -138,6 +142,12 @@ ORACLES["joined_aggregates_long"] = f"WITH {WIDE} " + " UNION ALL ".join(
     f"SELECT ent, mun, '{c}' AS code, \"{c}\"::DOUBLE AS value FROM wide WHERE \"{c}\" IS NOT NULL" for c in WIDE_CODES
 )
 
+ORACLES["aggregates_long"] = f"WITH {WIDE} " + " UNION ALL ".join(
+    f"SELECT ent, mun, '{c}' AS code, \"{c}\"::DOUBLE AS value FROM wide WHERE \"{c}\" "
+    + ("<> 0" if c in COUNT_COLUMNS else "IS NOT NULL")
+    for c in WIDE_CODES
+)
+
 ORACLES["ratio"] = f"""
 SELECT unidad, "o_orderstatus-F"::DOUBLE / nullif("o_orderstatus-O"::DOUBLE, 0) AS value FROM ({units_sql("cus")})"""
 
@@ -178,6 +188,13 @@ SELECT l_orderkey, l_linenumber, (l_discount / 4096e0)::VARCHAR AS small, (l_ext
 
 ORACLES["cells_per_bin"] = bin_table_sql({"cus": units_sql("cus")}, [(None, "max::c_acctbal")], 4, names_sql())
 
+ORACLES["bin_parts"] = f"""
+WITH wide AS ({units_sql("cus")}), {bins_ctes(values_sql({"cus": "wide"}, [(None, "max::urgente")]), 4)},
+numbered AS (SELECT bin, unit, (row_number() OVER (PARTITION BY bin ORDER BY unit) - 1) // 7 AS part FROM members)
+SELECT 'max::precio urgente' AS name, 'max::urgente' AS code, d.bin, coalesce(part, 0)::BIGINT AS part,
+       interval_text AS interval_cus, '{{' || coalesce(string_agg(unit, ',' ORDER BY unit), '') || '}}' AS cells_cus
+FROM described d LEFT JOIN numbered r ON r.bin = d.bin GROUP BY d.bin, part, interval_text"""
+
 MEMBERS = [(None, "max::urgente"), (TOTAL, "o_orderstatus-P")]
 ORACLES["bin_members"] = f"""
 WITH wide_cus AS ({units_sql("cus")}), wide_mun AS ({units_sql("mun")}),
@@ -232,6 +249,25 @@ ORACLES["list_literals"] = f"""
 SELECT var, 0 AS i, p_brand AS value FROM ({PART}) WHERE p_size > 5
 UNION ALL SELECT var, 1, p_size::VARCHAR FROM ({PART}) WHERE p_size > 5
 UNION ALL SELECT var, 2, 'None' FROM ({PART}) WHERE p_size > 5"""
+ORACLES["literal_edge_cases"] = """
+SELECT p_partkey, 0 AS i, 'a, None, ' || p_brand AS value, 'item' AS key FROM part
+UNION ALL SELECT p_partkey, 1, 'True: ' || p_size || ']', 'item' FROM part
+UNION ALL SELECT p_partkey, 2, p_size::VARCHAR, 'item' FROM part
+UNION ALL SELECT p_partkey, 3, 'None', 'item' FROM part
+UNION ALL SELECT p_partkey, 4, chr(92) || 'xe1', 'item' FROM part
+UNION ALL SELECT p_partkey, 5, 'á', 'item' FROM part
+UNION ALL SELECT p_partkey, 0, 'uno: None, ' || p_type, p_size::VARCHAR FROM part
+UNION ALL SELECT p_partkey, 1, 'l''otro', '-1' FROM part
+UNION ALL SELECT p_partkey, 2, 'False', 'k, 2: x' FROM part"""
+ORACLES["dictionary_last_wins"] = """
+SELECT 'v' || p_partkey AS code, CASE WHEN p_partkey % 2 = 0 THEN repeat(p_name, 5) ELSE p_name END AS name FROM part"""
+ORACLES["metadata_first_wins"] = """
+SELECT 'suma::v' || p_partkey AS variable, 'suma::' || p_name AS traduccion FROM part"""
+ORACLES["catalog_dictionary"] = """
+WITH last AS (SELECT p_brand, p_size, arg_max(CASE WHEN p_brand NOT LIKE '%1' THEN p_type ELSE p_name END, p_partkey) AS label
+              FROM part GROUP BY p_brand, p_size)
+SELECT 'v' || n_nationkey || '-' || p_size AS variable, n_name || '-' || label AS traduccion
+FROM nation JOIN last ON upper(p_brand) = 'BRAND#' || (n_regionkey + 1) || (n_nationkey % 5 + 1)"""
 ORACLES["dictionary_categorical"] = CATEGORICAL_PART
 ORACLES["dictionary_file_scan"] = CATEGORICAL_PART
 ORACLES["dictionary_numeric"] = f"""

@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mapstrata.functions.literals import list_from_text
+from mapstrata.functions.literals import list_from_text, options_from_text
 from mapstrata.functions.numbers import float_text, percent
 from mapstrata.functions.text import (
     accents_folded,
@@ -23,6 +23,7 @@ from mapstrata.plans.prepare import (
     Block,
     Preparation,
     aggregate_blocks,
+    aggregate_blocks_long,
     block_dictionaries,
     resolve_block,
     staged,
@@ -30,7 +31,7 @@ from mapstrata.plans.prepare import (
 from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins
 from mapstrata.session import checkpoint_folder, column, cut_lineage, local_table
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
-from mapstrata.sources import read_bin_table, read_metadata, read_microdata, read_scale, read_translations
+from mapstrata.sources import read_bin_table, read_catalogs, read_metadata, read_microdata, read_scale, read_translations
 from workload.tables import TOTAL, microdata, names, table, units
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,6 +216,17 @@ def numeric_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(*IDS, *[F.round(column(c), 2).alias(c) for c in wide.columns if c not in IDS])
 
 
+@query
+def integer_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact sums beyond what a double holds, of typed and of text columns."""
+    big = F.col("l_orderkey") * 1_000_000_007 + F.col("l_partkey")
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", "l_linestatus", "l_suppkey", "l_linenumber",
+        F.concat(F.lit(" "), big.cast("string")).alias("texto"),
+    )
+    return aggregate.numeric_wide(rows, ["l_returnflag", "l_linestatus"], ["l_suppkey", "l_linenumber", "texto"], "suma")
+
+
 @query
 def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo"], "media")
@@ -279,6 +291,14 @@ def joined_aggregates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.lengthened(wide, IDS, [c for c in wide.columns if c not in IDS])
 
 
+@query
+def aggregates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks joined on the units without any code becoming a column; zero counts have no row."""
+    preparation = prepared(spark, sf_dir, *IDS, *CATEGORIES, "precio", "nota", "folio")
+    blocks = [resolve_block(preparation, block) for block in REGISTRY_BLOCKS]
+    return aggregate_blocks_long(preparation, IDS, blocks)[0]
+
+
 # Bins
 
 
@@ -303,9 +323,9 @@ def quantile_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bin_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Members of every interval, also of empty ones."""
     codes = ["o_orderstatus-F", TOTAL, "max::c_acctbal"]
-    cut = stratifier(spark, sf_dir, "cus").process_list(["cus"], {TOTAL: codes, None: codes}, 20)
-    size = F.when(F.col("cells_cus") == "{}", 0).otherwise(F.size(F.split("cells_cus", ",")))
-    return cut.select("request", "code", "bin", size.cast("bigint").alias("units"))
+    strata = stratifier(spark, sf_dir, "cus")
+    requests = strata.requests_from_lists(["cus"], {TOTAL: codes, None: codes})
+    return strata.bin_counts(["cus"], requests, 20).select("request", "code", "bin", "units")
 
 
 @query
@@ -344,6 +364,12 @@ def cells_per_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratifier(spark, sf_dir, "cus").process_variable(["cus"], "max::c_acctbal", q=4)
 
 
+@query
+def bin_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins whose units take several rows."""
+    return stratifier(spark, sf_dir, "cus").process_variable(["cus"], "max::urgente", q=4, units_per_part=7)
+
+
 @query
 def bin_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = [Request(None, "max::urgente"), Request(TOTAL, "o_orderstatus-P")]
@@ -439,6 +465,52 @@ def list_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("var", F.posexplode(list_from_text(F.col("valores"))).alias("i", "value"))
 
 
+@query
+def literal_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and punctuation inside quotes, number keys, and backslashes."""
+    size = F.col("p_size").cast("string")
+    listed = F.concat(
+        F.lit("['a, None, "), F.col("p_brand"), F.lit("', 'True: "), size, F.lit("]', "), size, F.lit(", None, '\\\\xe1', '\\xe1']")
+    )
+    options = F.concat(
+        F.lit("{'n': None, 'options': {"), size, F.lit(": 'uno: None, "), F.col("p_type"), F.lit("', -1: \"l'otro\", 'k, 2: x': 'False'}}")
+    )
+    rows = table(spark, sf_dir, "part")
+    items = rows.select("p_partkey", F.posexplode(list_from_text(listed)).alias("i", "value")).withColumn("key", F.lit("item"))
+    pairs = rows.select("p_partkey", F.posexplode(options_from_text(options)).alias("i", "key", "value"))
+    return items.unionByName(pairs)
+
+
+def as_several_files(rows: DataFrame, path: str) -> None:
+    """Rows in the order of ``n``, then ``variable``, over files of which the later ones are the larger ones."""
+    ordered = rows.repartitionByRange(4, "n", "variable").sortWithinPartitions("n", "variable")
+    write_table(ordered.drop("n"), path)
+
+
+def named_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part with its name, then those of even keys again with longer names."""
+    named = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("v"), F.col("p_partkey").cast("string")).alias("variable"), "p_partkey", F.col("p_name").alias("traduccion")
+    )
+    again = named.filter("p_partkey % 2 = 0").withColumn("traduccion", F.repeat("traduccion", 5))
+    return named.withColumn("n", F.lit(0)).unionByName(again.withColumn("n", F.lit(1))).drop("p_partkey")
+
+
+@query
+def dictionary_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "dictionary")
+    as_several_files(named_twice(spark, sf_dir), path)
+    dictionary = read_translations(spark, path, "traduccion", "variable", positions=True)
+    return translate.last_names(dictionary, "variable", "traduccion")
+
+
+@query
+def metadata_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{work_path(spark, 'metadata')}.parquet"
+    as_several_files(named_twice(spark, sf_dir), path)
+    return translate.numeric_dictionary(read_metadata(spark, path, positions=True), "variable", "traduccion", "suma")
+
+
 @query
 def dictionary_categorical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate.categorical_dictionary(part_metadata(spark, sf_dir), "var", "valores", "alias", "etiquetas")
@@ -502,6 +574,32 @@ def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def catalog_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue files to the dictionary of all variables that point to them: one catalogue per brand, in which a size
+    may have several parts, the last one counting."""
+    path = work_path(spark, "catalogs")
+    part = table(spark, sf_dir, "part")
+    write_table(
+        part.select(
+            F.concat(F.lit("Cat "), F.col("p_brand")).alias("catalog"),
+            F.col("p_partkey").alias("pos"),
+            F.col("p_size").cast("string").alias("clave"),
+            F.when(F.substring("p_brand", -1, 1) != "1", F.col("p_type")).alias("clasificacion"),
+            F.col("p_name").alias("descripcion"),
+        ),
+        path,
+    )
+    variables = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("v"), F.col("n_nationkey").cast("string")).alias("var"),
+        F.col("n_name").alias("alias"),
+        F.concat(
+            F.lit(" CATÁLOGO: BRAND#"), (F.col("n_regionkey") + 1).cast("string"), (F.col("n_nationkey") % 5 + 1).cast("string"), F.lit(":")
+        ).alias("fuente"),
+    )
+    return metadata.catalog_dictionary(variables, "var", "alias", "fuente", read_catalogs(spark, path))
+
+
 @query
 def normalize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.concat(F.lit("  Cat Árbol: "), F.col("p_name"), F.lit("  _ "), F.col("p_brand"), F.lit(" Ñandú "))
