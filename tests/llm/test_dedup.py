@@ -131,6 +131,42 @@ def test_query_lines(spark):
     assert found == {(i, n, hashlib.md5(t.encode()).hexdigest()) for i, t, n in expected}
 
 
+EVERY = 1 << 60  # holders of a line up to which brute_lines pairs all: every pair that shares a line
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("rare", [1, 3, 16])
+def test_common_lines_align_with_every_earlier_document(spark, documents, monkeypatch, seed, rare):
+    draw = random.Random(seed)
+    monkeypatch.setattr(line_dedup, "RARE", rare)
+    pool = [" ".join(f"{k}w{j}" for j in range(draw.choice([1, 2, 3, 6]))) for k in range(draw.choice([6, 12, 40]))]
+    own = lambda i: [f"{i} has a line that nobody else has {draw.random()}"]
+    rows = []
+    for i in range(1, 150):
+        lines = [x for _ in range(draw.randrange(1, 9)) for x in draw.choice([[draw.choice(pool)], [draw.choice(pool)], own(i), [""], pool[:3], pool[3:5][::-1]])]
+        rows.append((i, "\n".join(lines)))
+    rows += [(200, rows[3][1]), (201, rows[3][1]), (202, None), (203, "")]
+    found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows])).collect()
+    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, EVERY, 5))
+
+
+@pytest.mark.parametrize("first", ["B\nA", "A\nx\nA", "A", "A\nx\nB"])
+def test_first_holder_that_does_not_align(spark, documents, first):
+    """The first of 30 holders has the lines crossed, twice, in part, or apart; the second aligns with all others."""
+    lines = {"A": "three words here", "B": "and three more", "x": "another line of six words altogether"}
+    text = lambda s, i: "\n".join([f"begin {i} of a text of its own", *(lines[c] for c in s.split("\n")), f"end {i} of a text of its own"])
+    rows = [(0, text(first, 0)), *((i, text("A\nB", i)) for i in range(1, 30))]
+    found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows])).collect()
+    assert {r.doc_id: r["__removed"] for r in found} == {0: 0, 1: 0, **{i: 2 for i in range(2, 30)}}
+    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, EVERY, 5))
+
+
+def test_query_lines_whole(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    found = {(r.doc_id, r.n_removed, r.kept_md5) for r in QUERIES["op6_line_dedup"](spark, SF_DIR).collect()}
+    assert found == {(i, n, hashlib.md5(t.encode()).hexdigest()) for i, t, n in brute_lines(rows, EVERY, line_dedup.LEAST_WORDS)}
+
+
 def test_aligned_lines_agree_with_difflib_on_unique_lines():
     draw = random.Random(1)
     for _ in range(50):

@@ -51,6 +51,12 @@ def test_line_dedup(stages):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def test_line_dedup_whole(stages):
+    before = [(r.doc_id, r.text) for r in stages["quality_rules"][1]]
+    cut = brute_lines(before, len(before), line_dedup.LEAST_WORDS)  # pairs all holders of every line
+    assert sorted((r.doc_id, r.text) for r in stages["line_dedup"][1]) == sorted((i, t) for i, t, n in cut if not n or t.split())
+
+
 def test_near_dedup(stages):
     rows = [(r.doc_id, r.text) for r in stages["line_dedup"][1]]
     assert sorted(r.doc_id for r in stages["near_dedup"][1]) == sorted(i for i, c in brute_classes(rows) if i == c)
