@@ -6,7 +6,8 @@ nearest pivots, what the ranks say about the footrule distance, keeps the ``RERA
 ``LEAST_RERANKED`` vectors, with the smallest distance, and reranks it by the inner product of the original vectors in double precision. A vector that stands
 for half as many ids as a query wants, or more, is always reranked: to miss it would cost that many answers.
 
-Pivots are a bounded sample: the ``PIVOTS`` distinct vectors with the smallest hashes. Every vector is indexed.
+Pivots are a bounded sample: the ``PIVOTS`` distinct vectors with the smallest hashes, of each of the four most frequent
+lengths. Every vector is indexed; a block of vectors of another length is reranked whole.
 Equal vectors are one vector in the index and stand for their ids afterwards; a query needs no more than the
 ``k + 1`` smallest ids of each, so no list grows with the copies.
 
@@ -85,11 +86,12 @@ def _searching(pivots: dict[int, np.ndarray], prefix: int, share: float, k: int)
             vectors, queries = stacked(left, "vector"), stacked(right, "vector")
             ids, query_ids = left.column("rep").to_numpy(), right.column("query").to_numpy()
             own = pivots.get(vectors.shape[1], vectors[:1])
+            part = share if vectors.shape[1] in pivots else 1.0  # without pivots, all are reranked
             length = min(prefix, len(own))
             always = left.column("copies").to_numpy() * 2 >= k
             block = Postings(ids, vectors, always, own, length)
             for query_id, query, ranks in zip(query_ids, queries, nearest_ranks(queries, own, length)):
-                at, scores = block.nearest(query, ranks, share, k)
+                at, scores = block.nearest(query, ranks, part, k)
                 out.append((np.full(len(at), query_id), ids[at], scores))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(["query", "rep", "score"], map(pa.array, columns))))

@@ -37,6 +37,17 @@ def test_all_found_when_everything_is_reranked(spark):
     assert found == expected
 
 
+def test_lengths_without_pivots_are_searched_whole(spark):
+    draw = np.random.default_rng(1)
+    rows = [(d * 10_000 + i, draw.normal(size=d).tolist()) for d in (3, 4, 5, 6, 7) for i in range(2010 if d < 7 else 2000)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>").repartition(4)
+    found = {}
+    for r in sorted(ann.search(df, df.where("id >= 70000 and id % 100 = 0"), k=9).collect(), key=lambda r: (r.query_id, r["rank"])):
+        found.setdefault(r.query_id, []).append(r.id)
+    expected = brute_nearest(rows[-2000:], set(range(70_000, 72_000, 100)), 9)
+    assert found == {q: [i for i, _ in v] for q, v in expected.items()}
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "id long, vector array<float>")
     assert ann.search(df, df).count() == 0
