@@ -90,8 +90,10 @@ def longest_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def url_key(url: Column) -> Column:
-    """Name of a resource: host, path and query; scheme and fragment do not tell resources apart."""
+    """Name of a resource: host, path and query; scheme and fragment do not tell resources apart, and an empty path is
+    the path ``/``."""
     rest = F.regexp_extract(after_scheme(url), "^[^/?#]*([^#]*)", 1)
+    rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
     return F.when(F.instr(url, "://") > 0, F.concat(host_of(url), rest))
 
 
@@ -111,7 +113,11 @@ def resolved(link: Column, base: Column) -> Column:
     )
 
 
-CANONICAL_TAG = r"(?i)(<link\s[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>)"
+# canonical as any of the words of rel
+CANONICAL_TAG = (
+    r"(?i)(<link\s[^>]*\brel\s*=\s*"
+    r"""(?:"(?:[^">]*\s)?canonical[\s"]|'(?:[^'>]*\s)?canonical[\s']|canonical(?=[\s/>]))[^>]*>)"""
+)
 HREF = r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]*)"
 REFRESH_TAG = r"(?i)(<meta\s[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>)"
 REFRESH_URL = r"(?i)\burl\s*=\s*[\"']?([^\"'>\s]*)"

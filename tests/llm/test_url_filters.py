@@ -105,6 +105,26 @@ def test_aliases(judged):
     assert judged[8].verdict == judged[9].verdict == judged[11].verdict == "allow"
 
 
+def test_empty_paths_and_rel_lists(spark):
+    blocked = "http://x.com/de/y"
+    cases = [
+        ("https://a.net/", f'<link rel="canonical" href="{blocked}">', "block"),
+        ("http://b.net/1", '<link rel="canonical" href="https://a.net">', "block"),  # the page https://a.net/
+        ("http://c.net?q=1", f'<link rel="shortlink canonical" href="{blocked}">', "block"),
+        ("http://d.net/1", '<meta http-equiv=refresh content="0;url=http://c.net/?q=1">', "block"),
+        ("http://e.net/1", f"<link rel='Canonical shortlink' href='{blocked}'>", "block"),
+        ("http://f.net/1", f"<link href={blocked} rel=canonical>", "block"),
+        ("http://g.net/1", f'<link rel="not-canonical" href="{blocked}">', "allow"),
+        ("http://h.net/1", f'<link rel="canonicals" href="{blocked}">', "allow"),
+        ("http://a.net?q=1", "", "allow"),
+    ]
+    rows = [(i, u, h) for i, (u, h, _) in enumerate(cases)] + [(100, "http://a.net", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r for r in judge_urls(pages, URL_RULES).collect()}
+    assert [found[i].verdict for i in range(len(cases))] == [v for _, _, v in cases]
+    assert found[100].verdict == "block" and found[100].path == "" and found[0].path == "/"
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert judge_urls(pages, URL_RULES).count() == 0
