@@ -73,6 +73,23 @@ def test_query_recall(spark, sf):
     assert np.mean(recall) >= 0.95
 
 
+@pytest.mark.parametrize("spread", [1.0, 0.2, 0.02])
+def test_recall_over_several_blocks(spark, monkeypatch, spread):
+    """Directions of one length around a common one, in three blocks of more than 2,000 each."""
+    monkeypatch.setattr(ann, "BLOCK", 2600)
+    draw = np.random.default_rng(2)
+    x = draw.normal(size=(7500, 64)) * spread + draw.normal(size=64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>").repartition(4)
+    found = {}
+    for r in ann.search(df, df.where("id % 100 = 0")).collect():
+        found.setdefault(r.query_id, set()).add(r.id)
+    best = {q: set([i for i in np.argsort(-(x @ x[q])).tolist() if i != q][:20]) for q in range(0, 7500, 100)}
+    recall = np.mean([len(best[q] & found[q]) / 20 for q in best])
+    print("recall", spread, recall)
+    assert recall >= 0.95
+
+
 def test_classifier_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
