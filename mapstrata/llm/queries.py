@@ -15,6 +15,9 @@ from mapstrata.llm.line_dedup import dedup_lines
 from mapstrata.llm.mixing import allocated, mix_plan, sized
 from mapstrata.llm.near_dedup import near_duplicates
 from mapstrata.llm.packing import pack
+from mapstrata.llm.periodic_runs import find_runs, run_digest
+from mapstrata.llm.pii import BASE_KINDS, KINDS, count_of, pii_spans, spans_text
+from mapstrata.llm.prefix_trie import conversation_paths, trie_nodes
 from mapstrata.llm.substring_dedup import remove_repeats
 from mapstrata.llm.token_files import read_token_files, write_token_files
 from mapstrata.llm.tokens import crc32_of, vocabulary_dtype
@@ -125,3 +128,25 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "documents").select("doc_id", pii_spans("text").alias("pii"))
+    spans = F.col("pii")
+    return found.select(
+        "doc_id",
+        *[count_of(spans, kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(spans_text(spans, BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
+        spans_text(spans, KINDS).alias("spans"),
+    )
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_nodes(conversation_paths(table(spark, sf_dir, "conversations"), rebuild=True))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(find_runs(table(spark, sf_dir, "documents")))
