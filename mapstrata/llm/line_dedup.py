@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mapstrata.llm.carried import set_aside
 from mapstrata.llm.words import as_bytes, map_rows
 from mapstrata.session import cut_lineage
 
@@ -278,27 +279,29 @@ def _without(docs: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def dedup_lines(docs: DataFrame, rare: int | None = None, least_words: int = LEAST_WORDS) -> DataFrame:
-    """The columns of ``docs`` with shortened texts, and ``__removed``, the number of lines deleted. With ``rare`` given, lines
-    in more documents pair each of them with the first one only, and what other pairs have in common stays."""
-    keyed = docs.withColumn("__place", F.coalesce("doc_id", F.lit(LAST))).withColumn("__text_key", F.xxhash64("text"))
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The columns of ``docs`` with shortened texts, and ``__removed``, the number of lines deleted. Other columns pass under
+    names of their own; one that is called ``__removed`` itself gives way to the number."""
+    renamed, _ = set_aside(docs, ("doc_id", "text"))
+    keyed = renamed.withColumn("__place", F.coalesce("doc_id", F.lit(LAST))).withColumn("__text_key", F.xxhash64("text"))
     slim = keyed.select("text", F.col("__place").alias("place"), F.col("__text_key").alias("text_key"))
     lines = cut_lineage(_lines(slim))
     once = lines.dropDuplicates(["place", "text_key"]).select(F.struct("place", "text_key").alias("doc"), "hashes", "sizes")
     shared = cut_lineage(_shared(lines))
-    most = RARE if rare is None else rare
-    few = cut_lineage(_all_pairs(shared, most))
-    pairs = few.union(_with_first(shared, most)).distinct()
+    few = cut_lineage(_all_pairs(shared, RARE))
+    pairs = few.union(_with_first(shared, RARE)).distinct()
     full = pairs.join(once.withColumnRenamed("doc", "later"), "later").join(
         once.select(F.col("doc").alias("earlier"), F.col("hashes").alias("earlier_hashes")), "earlier"
     )
     found = _aligned(full, least_words).where(F.size("lines") > 0)
     gone = found.select("later", F.explode("lines").alias("line")).groupBy("later").agg(F.collect_set("line").alias("lines"))
-    if rare is None:
-        gone = cut_lineage(gone)
-        common = shared.where(F.col("n") > most).groupBy("doc").agg(F.collect_list("line").alias("common"))
-        views = cut_lineage(_views(once.join(common, "doc"), least_words))
-        more = gone.union(_by_views(views, gone, few, least_words))
-        gone = more.groupBy("later").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
+    gone = cut_lineage(gone)
+    common = shared.where(F.col("n") > RARE).groupBy("doc").agg(F.collect_list("line").alias("common"))
+    views = cut_lineage(_views(once.join(common, "doc"), least_words))
+    more = gone.union(_by_views(views, gone, few, least_words))
+    gone = more.groupBy("later").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
     gone = gone.select(F.col("later.place").alias("__place"), F.col("later.text_key").alias("__text_key"), F.col("lines").alias("__lines"))
-    return _without(keyed.join(gone, ["__place", "__text_key"], "left"), docs.columns)
+    found = _without(keyed.join(gone, ["__place", "__text_key"], "left"), renamed.columns)
+    kept = [c for c in docs.columns if c != "__removed"]
+    names = dict(zip(docs.columns, renamed.columns))
+    return found.select(*[F.col(names[c]).alias(c) for c in kept], "__removed")

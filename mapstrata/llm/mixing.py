@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mapstrata.llm.carried import carries_columns
 from mapstrata.llm.words import map_rows, split_words, word_count
 from mapstrata.session import cut_lineage
 
@@ -161,11 +162,12 @@ def _copies(columns: list[str]) -> Callable[[pa.RecordBatch], Iterator[pa.Record
             if "n_chars" in columns:
                 lengths = pa.array([len(x.decode("utf-8", "replace")) for x in shortened], pa.int64())
                 new["n_chars"] = lengths.cast(docs.schema.field("n_chars").type)
-            yield pa.RecordBatch.from_arrays([new.get(c, docs.column(c)) for c in columns], columns)
+            yield pa.RecordBatch.from_arrays([new.get(c, docs.column(c)) for c in columns], schema=docs.schema)
 
     return copies
 
 
+@carries_columns("doc_id", "text", "source", "n_chars")
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The mixed corpus: rows of ``docs`` once per whole epoch, and once more, whole or up to the last word
     that the budget holds, where the partial epoch takes them. Columns as in ``docs``; documents without a word go."""

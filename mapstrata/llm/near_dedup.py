@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mapstrata.llm.carried import carries_columns
 from mapstrata.llm.components import connected_components
 from mapstrata.llm.storage import release
 from mapstrata.llm.words import Rolling, as_bytes, map_rows, mixed, signed, split_words, word_hashes, worker_state
@@ -332,6 +333,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+@carries_columns("doc_id", "text")
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of every class: the smallest doc_id. Rows without a word all stay. Columns as in ``docs``."""
     found = near_duplicates(docs)

@@ -87,8 +87,8 @@ def test_patience_finds_moved_and_kept_lines():
     assert [i for i, _ in line_dedup.patience(list(range(1, 300)), list(range(1, 300)))] == list(range(299))
 
 
-def brute_lines(rows, rare, least):
-    """rows: (doc_id, text) with distinct pairs; pairs of documents by the documented rule, aligned one by one."""
+def brute_lines(rows, least):
+    """rows: (doc_id, text) with distinct pairs; all pairs of documents that share a line, aligned one by one."""
     docs = sorted({(line_dedup.LAST if i is None else i, t) for i, t in rows if t is not None}, key=lambda d: d[0])
     numbers = {}
     ids = lambda t: [numbers.setdefault(x, len(numbers) + 1) if x.split() else 0 for x in t.split("\n")]
@@ -99,7 +99,7 @@ def brute_lines(rows, rare, least):
             holders[x].append(d)
     pairs = set()
     for held in holders.values():
-        pairs |= {(b, a) for i, a in enumerate(held) for b in held[i + 1 :]} if len(held) <= rare else {(b, held[0]) for b in held[1:]}
+        pairs |= {(b, a) for i, a in enumerate(held) for b in held[i + 1 :]}
     gone = collections.defaultdict(set)
     for later, earlier in pairs:
         sizes = [len(x.split()) for x in later[1].split("\n")]
@@ -112,28 +112,19 @@ def brute_lines(rows, rare, least):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_lines(spark, documents, seed):
+def test_lines(spark, documents, monkeypatch, seed):
+    monkeypatch.setattr(line_dedup, "RARE", 5)
     draw = random.Random(seed)
     pool = [" ".join(f"{k}w{j}" for j in range(draw.choice([1, 2, 6, 9]))) for k in range(40)] + ["", "  ", "\t"]
     rows = [(i if i % 17 else None, "\n".join(draw.choice([*pool, *pool[:3] * 8]) for _ in range(draw.randrange(1, 12)))) for i in range(1, 140)]
     rows = [r for k, r in enumerate(rows) if r[0] is not None or k < 20]  # one row without id: their order is by hash
     rows += [(300, rows[3][1]), (301, rows[3][1]), (302, None), (303, ""), (304, "\n".join(f"line number {i} is long enough" for i in range(3000))), rows[5]]
-    found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows]), rare=5).collect()
+    found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows])).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
-    assert sorted(((r.doc_id, r.text, r["__removed"]) for r in found), key=key) == sorted(brute_lines(rows, 5, 5), key=key)
+    assert sorted(((r.doc_id, r.text, r["__removed"]) for r in found), key=key) == sorted(brute_lines(rows, 5), key=key)
     assert found[0]["size"] == "x"
 
 
-def test_query_lines(spark):
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
-    found = {(r.doc_id, r.n_removed, r.kept_md5) for r in QUERIES["op6_line_dedup"](spark, SF_DIR).collect()}
-    expected = brute_lines(rows, line_dedup.RARE, line_dedup.LEAST_WORDS)
-    assert found == {(i, n, hashlib.md5(t.encode()).hexdigest()) for i, t, n in expected}
-
-
-EVERY = 1 << 60  # holders of a line up to which brute_lines pairs all: every pair that shares a line
-
-
 @pytest.mark.parametrize("seed", range(6))
 @pytest.mark.parametrize("rare", [1, 3, 16])
 def test_common_lines_align_with_every_earlier_document(spark, documents, monkeypatch, seed, rare):
@@ -147,7 +138,7 @@ def test_common_lines_align_with_every_earlier_document(spark, documents, monkey
         rows.append((i, "\n".join(lines)))
     rows += [(200, rows[3][1]), (201, rows[3][1]), (202, None), (203, "")]
     found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows])).collect()
-    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, EVERY, 5))
+    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, 5))
 
 
 @pytest.mark.parametrize("first", ["B\nA", "A\nx\nA", "A", "A\nx\nB"])
@@ -158,13 +149,13 @@ def test_first_holder_that_does_not_align(spark, documents, first):
     rows = [(0, text(first, 0)), *((i, text("A\nB", i)) for i in range(1, 30))]
     found = line_dedup.dedup_lines(documents([(i, t, "s") for i, t in rows])).collect()
     assert {r.doc_id: r["__removed"] for r in found} == {0: 0, 1: 0, **{i: 2 for i in range(2, 30)}}
-    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, EVERY, 5))
+    assert {(r.doc_id, r.text, r["__removed"]) for r in found} == set(brute_lines(rows, 5))
 
 
 def test_query_lines_whole(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     found = {(r.doc_id, r.n_removed, r.kept_md5) for r in QUERIES["op6_line_dedup"](spark, SF_DIR).collect()}
-    assert found == {(i, n, hashlib.md5(t.encode()).hexdigest()) for i, t, n in brute_lines(rows, EVERY, line_dedup.LEAST_WORDS)}
+    assert found == {(i, n, hashlib.md5(t.encode()).hexdigest()) for i, t, n in brute_lines(rows, line_dedup.LEAST_WORDS)}
 
 
 def test_aligned_lines_agree_with_difflib_on_unique_lines():
