@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapstrata.llm import rules
+from mapstrata.llm.carried import set_aside
 from mapstrata.llm.line_dedup import dedup_lines
 from mapstrata.llm.mixing import mix_documents
 from mapstrata.llm.near_dedup import drop_near_duplicates
@@ -27,18 +28,20 @@ TOKENIZER, END_ID = "byte_bpe_50k.json", 1
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps."""
     small_batches(spark)
-    ledger = rules.quality_ledger(docs.withColumn("__raw", F.col("text")), docs.columns, text="__raw")
-    return ledger.where(~rules.fails(rules.POLICY)).select(*docs.columns)
+    own, back = set_aside(docs, ("text",))
+    ledger = rules.quality_ledger(own.withColumn("__raw", F.col("text")), own.columns, text="__raw")
+    return back(ledger.where(~rules.fails(rules.POLICY)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that align with an earlier one; those left without a word go."""
-    kept = dedup_lines(docs)
+    own, back = set_aside(docs, ("doc_id", "text", "n_chars"))
+    kept = dedup_lines(own)
     changed = F.col("__removed") > 0
-    return (
-        kept.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-        .withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-        .select(*docs.columns)
+    return back(
+        kept.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).withColumn(
+            "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        )
     )
 
 
