@@ -1,4 +1,4 @@
-"""Wide aggregates per scale to quantile bins with the units in each of them.
+"""Aggregates per scale, wide or long, to quantile bins with the units in each of them.
 
 All requested variables of all scales are cut in one plan; nothing loops over variables.
 """
@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from mapstrata.functions.numbers import finite_or_fail, is_numeric_type
 from mapstrata.operators import binning, cells, translate
-from mapstrata.operators.columns import columns_by_regex, compiled
+from mapstrata.operators.columns import compiled
 from mapstrata.operators.joins import joined_with_few
+from mapstrata.plans.long_scale import LongScale, gathered, spread
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
 from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted
 from mapstrata.sinks.files import write_table
-from mapstrata.sources import read_scale, read_translations
+from mapstrata.sources import read_long_scale, read_scale, read_translations
 
 log = logging.getLogger(__name__)
 
@@ -34,11 +35,15 @@ class Request:
 
 
 class Stratifier:
-    """Scale tables, names of their codes, and what must not be cut."""
+    """Scale tables, names of their codes, and what must not be cut.
+
+    A scale is a wide table, or a ``LongScale`` for any number of codes: these are never columns, so plans do not grow with
+    them. Its codes and their names are on the driver, as the column names of a wide table are.
+    """
 
     def __init__(
         self,
-        scales: dict[str, DataFrame],
+        scales: dict[str, DataFrame | LongScale],
         dictionary: DataFrame,
         names_column: str,
         alias_column: str,
@@ -49,7 +54,7 @@ class Stratifier:
         expect(scales, dict, "scales")
         for scale, table in scales.items():
             expect(scale, str, "every key of scales")
-            expect(table, DataFrame, "every value of scales")
+            expect(table, (DataFrame, LongScale), "every value of scales")
         expect(dictionary, DataFrame, "dictionary")
         for name in (names_column, alias_column):
             expect(name, str, "the columns of the dictionary")
@@ -58,7 +63,7 @@ class Stratifier:
         expect_texts(ids, "ids")
         for scale, table in scales.items():
             for name in ids:
-                if name not in table.columns:
+                if name not in (table.table if isinstance(table, LongScale) else table).columns:
                     raise ValueError(f"scale {scale} has no id column {name}")
         patterns = expect_texts(excluded_regex if excluded_regex is not None else [], "excluded_regex")
         for pattern in patterns:
@@ -68,23 +73,33 @@ class Stratifier:
         self.sparkSession = dictionary.sparkSession
         self.ids = ids
         self._unit_counts: dict[str, int] = {}
+        self._gathered: dict[tuple, DataFrame] = {}
+        self._columns = {
+            scale: [*ids, *table.codes()] if isinstance(table, LongScale) else table.columns for scale, table in scales.items()
+        }
+        self._present = {scale: set(names) for scale, names in self._columns.items()}
         self.names = self._names_of_columns(dictionary, alias_column, names_column)
-        present = {name for table in scales.values() for name in table.columns}
+        present = {name for names in self._columns.values() for name in names}
         self.missing_in_dictionary = sorted(present - set(self.names))
         banned = set(expect_texts(excluded if excluded is not None else [], "excluded")) | set(ids)
         for pattern in patterns:
-            for table in scales.values():
-                banned.update(columns_by_regex(table, pattern))
+            banned.update(name for name in present if compiled(pattern).search(name))
         self.excluded = sorted(banned | set(self.missing_in_dictionary))
         self._excluded_names = set(self.excluded)
-        self._types = {scale: {f.name: f.dataType for f in table.schema} for scale, table in scales.items()}
+        self._numbers = {
+            scale: self._present[scale] - set(ids)
+            if isinstance(table, LongScale)
+            else {f.name for f in table.schema if is_numeric_type(f.dataType)}
+            for scale, table in scales.items()
+        }
         if self.missing_in_dictionary:
             log.warning("columns without a dictionary entry: %s", self.missing_in_dictionary)
 
     def _names_of_columns(self, dictionary: DataFrame, alias_column: str, names_column: str) -> dict[str, str]:
         """Names of existing columns only, so at most one entry per column reaches the driver."""
-        present = sorted({name for table in self.scales.values() for name in table.columns})
-        names = translate.last_names(dictionary.filter(column(alias_column).isin(present)), alias_column, names_column)
+        present = sorted({name for names in self._columns.values() for name in names})
+        wanted = local_table(self.sparkSession, ["code"], [(name,) for name in present])
+        names = translate.last_names(dictionary, alias_column, names_column).join(F.broadcast(wanted), "code", "left_semi")
         return {row["code"]: row["name"] for row in names.collect()}
 
     # Checks
@@ -107,10 +122,10 @@ class Stratifier:
             expect(request.base, str, "a base")
             self._check_not_excluded(request.base)
         for name in filter(None, (request.code, request.base)):
-            types = [self._types[scale][name] for scale in scales if name in self._types[scale]]
-            if not types:
+            holding = [scale for scale in scales if name in self._present[scale]]
+            if not holding:
                 raise ValueError(f"variable {name} is in none of the scales")
-            if not all(is_numeric_type(t) for t in types):
+            if not all(name in self._numbers[scale] for scale in holding):
                 raise TypeError(f"variable {name} is not numeric")
 
     def _check_in_scale(self, scale: str, request: Request) -> None:
@@ -118,7 +133,7 @@ class Stratifier:
         self._check_scales([scale])
         for name in filter(None, (request.code, request.base)):
             expect(name, str, "a variable")
-            if name not in self.scales[scale].columns:
+            if name not in self._present[scale]:
                 raise ValueError(f"scale {scale} has no variable {name}")
         self._check_request([scale], request)
 
@@ -132,19 +147,40 @@ class Stratifier:
         base = f"cast({quoted(request.base)} AS double)"
         return f"CASE WHEN {base} <> 0D THEN {code} / {base} END"
 
+    def _asked(self, scale: str, requests: list[Request]) -> list[tuple[int, str | None, str]]:
+        """Number, base and code of the requests that a scale can answer."""
+        present = self._present[scale]
+        return [(n, r.base, r.code) for n, r in enumerate(requests) if r.code in present and (r.base is None or r.base in present)]
+
+    def _table(self, scale: str, requests: list[Request]) -> DataFrame:
+        """One row per unit: a wide scale as it is, of a long one what is asked for, written once for all steps of a cut."""
+        table = self.scales[scale]
+        if isinstance(table, DataFrame):
+            return table
+        key = (scale, tuple(requests))
+        if key not in self._gathered:
+            self._gathered = {k: v for k, v in self._gathered.items() if k[1] == key[1]}
+            self._gathered[key] = cut_lineage(gathered(table, self.ids, self._asked(scale, requests)))
+            self._unit_counts[scale] = self._gathered[key].count()
+        return self._gathered[key]
+
     def _values(self, table: DataFrame, scale: str, requests: list[Request], kept: list[str]) -> DataFrame:
-        """One row per unit and request that this scale can answer; the base is in the same row, so
-        no join is needed to divide by it.
+        """One row per unit and request that this scale can answer, from the rows of ``_table``."""
+        if isinstance(self.scales[scale], LongScale):
+            each = spread(table, self.scales[scale], self._asked(scale, requests), kept)
+            number = F.when(~F.isnan("x"), F.col("x"))
+            return each.select(
+                F.lit(scale).alias("scale"), *[column(c) for c in kept], "request", "as_percent", finite_or_fail(number).alias("x")
+            )
+        return self._wide_values(table, scale, requests, kept)
+
+    def _wide_values(self, table: DataFrame, scale: str, requests: list[Request], kept: list[str]) -> DataFrame:
+        """The base is in the same row, so no join is needed to divide by it.
 
         With a thousand requests this expression decides how long planning takes: the row becomes
         one array of plain quotients, and everything else about a value is done after it is spread.
         """
-        available = set(table.columns)
-        asked = [
-            (number, request)
-            for number, request in enumerate(requests)
-            if request.code in available and (request.base is None or request.base in available)
-        ]
+        asked = [(number, requests[number]) for number, _, _ in self._asked(scale, requests)]
         if not asked:
             numbers, shares, values = "array(0)", "array(false)", "cast(array() AS array<double>)"
         else:
@@ -165,6 +201,10 @@ class Stratifier:
     def normalize(self, scale: str, code: str, base: str | None = None) -> DataFrame:
         """ids and ``value``: the variable, divided by its base if there is one."""
         self._check_in_scale(scale, Request(base, code))
+        if isinstance(self.scales[scale], LongScale):
+            asked = [Request(base, code)]
+            each = spread(self._table(scale, asked), self.scales[scale], self._asked(scale, asked), self.ids)
+            return each.select(*[column(i) for i in self.ids], F.when(~F.isnan("x"), F.col("x")).alias("value"))
         value = F.expr(self._value(Request(base, code)))
         return self.scales[scale].select(
             *[column(i) for i in self.ids], F.when(~F.isnan(value), value).alias("value")
@@ -173,15 +213,17 @@ class Stratifier:
     # Bins
 
     def _units(self, scale: str) -> int:
-        """Rows of a scale table, counted once; no variable has more values than that."""
+        """Units of a scale, counted once; no variable has more values than that."""
         if scale not in self._unit_counts:
-            self._unit_counts[scale] = self.scales[scale].count()
+            table = self.scales[scale]
+            rows = table.table.select(*[column(i) for i in self.ids]).distinct() if isinstance(table, LongScale) else table
+            self._unit_counts[scale] = rows.count()
         return self._unit_counts[scale]
 
     def _edges(self, scales: list[str], requests: list[Request], q: int) -> DataFrame:
         """One row per scale and request. Labels and memberships both start from these few rows, so
         they are written once instead of being worked out in both branches."""
-        values = [self._values(self.scales[s], s, requests, []) for s in scales]
+        values = [self._values(self._table(s, requests), s, requests, []) for s in scales]
         keys = ["scale", "request", "as_percent"]
         most_rows = max(self._units(s) for s in scales)
         edges = binning.quantile_edges(reduce(DataFrame.unionByName, values), keys, "x", q, most_rows)
@@ -193,7 +235,7 @@ class Stratifier:
         extra = ["slice"] if sliced else []
         rows = [
             self._values(
-                cells.sliced_by_unit(self.scales[s], self.ids, self._units(s)) if sliced else self.scales[s],
+                cells.sliced_by_unit(self._table(s, requests), self.ids, self._units(s)) if sliced else self._table(s, requests),
                 s,
                 requests,
                 [*self.ids, *extra],
@@ -377,10 +419,11 @@ class Stratifier:
         self._check_bases(chosen, "the expressions")
         requests = []
         for base, pattern in chosen.items():
-            compiled(pattern)
+            compiled(pattern)  # also of a base that is not processed
             if not self._usable(base):
                 continue
-            matches = {c for scale in scales for c in columns_by_regex(self.scales[scale], pattern)}
+            matcher = compiled(pattern)
+            matches = {c for scale in scales for c in self._columns[scale] if matcher.search(c)}
             if not matches:
                 log.warning("%s matches no variable", pattern)
             requests += [Request(base, code) for code in sorted(matches) if self._usable(code)]
@@ -455,7 +498,10 @@ def run_stratification(spark: SparkSession, spec: dict | str, write: bool = True
 
     with case_sensitive_names(spark):
         multiline = spec.get("multilinea", True)
-        scales = {scale: read_scale(spark, path, ids, multiline) for scale, path in paths.items()}
+        if spec.get("forma_larga", False):
+            scales = {scale: LongScale(read_long_scale(spark, path, ids)) for scale, path in paths.items()}
+        else:
+            scales = {scale: read_scale(spark, path, ids, multiline) for scale, path in paths.items()}
         dictionary = read_translations(spark, dictionary_path, names_column, alias_column, positions=True)
         stratifier = Stratifier(
             scales, dictionary, names_column, alias_column, ids,

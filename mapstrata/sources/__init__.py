@@ -3,6 +3,7 @@
 from mapstrata.sources.tables import (
     read_bin_table,
     read_catalogs,
+    read_long_scale,
     read_metadata,
     read_microdata,
     read_scale,
@@ -12,6 +13,7 @@ from mapstrata.sources.tables import (
 __all__ = [
     "read_bin_table",
     "read_catalogs",
+    "read_long_scale",
     "read_metadata",
     "read_microdata",
     "read_scale",

@@ -84,6 +84,19 @@ def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool =
     return table.select(*picked)
 
 
+def read_long_scale(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
+    """ids, ``code`` and ``value`` as ``forma_larga`` writes them; ids stay text, a value that is no number fails the job."""
+    table = _read(spark, path, multiline=False)
+    for required in (*ids, "code", "value"):
+        if required not in table.columns:
+            raise ValueError(f"the long scale at {path} has no column {required}")
+    raw = F.col("value")
+    number = as_double(raw, table.schema["value"].dataType)
+    failure = F.raise_error(F.concat(F.lit("a value of a long scale is no number: "), raw.cast("string")))
+    value = F.when(raw.isNotNull() & number.isNull() & ~F.lower(raw.cast("string")).eqNullSafe("nan"), failure).otherwise(number)
+    return table.select(*[column(i).cast("string").alias(i) for i in ids], F.col("code").cast("string").alias("code"), value.alias("value"))
+
+
 def read_translations(
     spark: SparkSession, path: str, names_column: str, alias_column: str, positions: bool = False
 ) -> DataFrame:

@@ -221,6 +221,9 @@ ORACLES["process_multiscale"] = bin_table_sql(
     6,
     names_sql(),
 )
+ORACLES["long_scale_bins"] = ORACLES["process_regex"]
+ORACLES["long_scale_shares"] = ORACLES["process_multiscale"]
+ORACLES["long_scale_counts"] = ORACLES["bin_frequencies"]
 STACKED = bin_table_sql(
     {"mun": units_sql("mun")},
     [*[(TOTAL, f"o_orderstatus-{s}") for s in "FOP"], (None, "o_orderstatus-F"), (None, "max::urgente")],

@@ -19,6 +19,7 @@ from mapstrata.functions.text import (
 )
 from mapstrata.operators import aggregate, binning, casts, cleaning, columns, gate, metadata, translate
 from mapstrata.operators.order_stats import medians
+from mapstrata.plans.long_scale import LongScale
 from mapstrata.plans.prepare import (
     Block,
     Preparation,
@@ -403,6 +404,43 @@ def process_multiscale(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_table(stratifier(spark, sf_dir, *levels).process_list(levels, chosen, 6))
 
 
+def long_scale(spark: SparkSession, sf_dir: str, level: str) -> LongScale:
+    """The same aggregates as rows of unit, code and value, counts of zero and missing maxima having none."""
+    wide = units(spark, sf_dir, level)
+    long = aggregate.lengthened(wide, ["unidad"], [c for c in wide.columns if c != "unidad"])
+    return LongScale(cut_lineage(long.where("value <> 0")), r"^(suma|media|mediana|max)::")
+
+
+@query
+def long_scale_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No code is a column."""
+    scales = {"cus": long_scale(spark, sf_dir, "cus")}
+    strata = Stratifier(scales, names(spark), "traduccion", "variable", ["unidad"])
+    return bin_table(strata.process_regex(["cus"], {None: "^.*"}, BINS))
+
+
+@query
+def long_scale_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long scales beside a wide one, with a base that is a code of each."""
+    scales = {
+        "cus": long_scale(spark, sf_dir, "cus"),
+        "mun": long_scale(spark, sf_dir, "mun"),
+        "ent": cut_lineage(units(spark, sf_dir, "ent")),
+    }
+    strata = Stratifier(scales, names(spark), "traduccion", "variable", ["unidad"])
+    chosen = {None: ["max::urgente", "fijo"], TOTAL: ["o_orderstatus-O"]}
+    return bin_table(strata.process_list(list(scales), chosen, 6))
+
+
+@query
+def long_scale_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units per interval of quotients on a long scale, also of empty intervals."""
+    codes = ["o_orderstatus-F", TOTAL, "max::c_acctbal"]
+    strata = Stratifier({"cus": long_scale(spark, sf_dir, "cus")}, names(spark), "traduccion", "variable", ["unidad"])
+    requests = strata.requests_from_lists(["cus"], {TOTAL: codes, None: codes})
+    return strata.bin_counts(["cus"], requests, 20).select("request", "code", "bin", "units")
+
+
 def stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches of expressions, then lists, as one job."""
     strata = stratifier(spark, sf_dir, "mun")
