@@ -12,6 +12,7 @@ from mapstrata.functions.text import missing_to_null
 from mapstrata.operators.columns import POSITION, drop_index_column
 from mapstrata.operators.gate import numeric_variables
 from mapstrata.session import column, exact_names
+from mapstrata.sources.records import READER, read_delimited
 
 CATALOG_COLUMNS = ("catalog", "pos", "clave", "clasificacion", "descripcion")
 
@@ -24,21 +25,14 @@ def _positioned(table: DataFrame) -> DataFrame:
 
 
 @exact_names
-def _read(spark: SparkSession, path: str, multiline: bool, positions: bool = False) -> DataFrame:
+def _read(spark: SparkSession, path: str, splits: bool, positions: bool = False, multiline: bool = True) -> DataFrame:
+    """With ``splits`` delimited files of any size, else small ones, of which each is read by one task in its own order.
+    Without ``multiline`` the caller vouches that no cell has a line break, and quotes are not counted."""
     try:
         if path.rstrip("/").endswith(".parquet"):
             table = spark.read.parquet(path)
             return drop_index_column(_positioned(table) if positions else table)
-        raw = spark.read.csv(
-            path,
-            header=True,
-            inferSchema=False,
-            multiLine=multiline,
-            quote='"',
-            escape='"',
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
+        raw = read_delimited(spark, path, multiline) if splits else spark.read.csv(path, header=True, inferSchema=False, multiLine=True, **READER)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no table at {path}") from None
@@ -51,25 +45,21 @@ def _read(spark: SparkSession, path: str, multiline: bool, positions: bool = Fal
 
 
 def read_microdata(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Microdata, every delimited column as text and missing-value texts as null.
-
-    Quoted line breaks need ``multiline``, which makes one file one task. Large files without
-    quoted line breaks should be read with ``multiline=False`` (or converted to Parquet once),
-    so that Spark splits them.
-    """
-    return _read(spark, path, multiline)
+    """Microdata in splits, every delimited column as text and missing-value texts as null. Cells may hold line breaks unless
+    ``multiline`` is off, which saves counting the quotes."""
+    return _read(spark, path, splits=True, multiline=multiline)
 
 
 def read_metadata(spark: SparkSession, path: str, positions: bool = False) -> DataFrame:
     """One row per variable, all text; descriptions hold line breaks and doubled quotes. With ``positions`` a column
     ``row_position`` keeps the file order, by which the first or last of equal names counts."""
-    return _read(spark, path, multiline=True, positions=positions)
+    return _read(spark, path, splits=False, positions=positions)
 
 
 @exact_names
 def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool = True) -> DataFrame:
-    """Wide aggregate table: ids stay text (leading zeros), number-like columns become double."""
-    table = _read(spark, path, multiline)
+    """Wide aggregate table: ids stay text (leading zeros), number-like columns become double. ``multiline`` as for microdata."""
+    table = _read(spark, path, splits=True, multiline=multiline)
     others = [name for name in table.columns if name not in ids]
     numeric = set(numeric_variables(table, others))
     types = {field.name: field.dataType for field in table.schema}
@@ -86,7 +76,7 @@ def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool =
 
 def read_long_scale(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:
     """ids, ``code`` and ``value`` as ``forma_larga`` writes them; ids stay text, a value that is no number fails the job."""
-    table = _read(spark, path, multiline=False)
+    table = _read(spark, path, splits=True)
     for required in (*ids, "code", "value"):
         if required not in table.columns:
             raise ValueError(f"the long scale at {path} has no column {required}")
@@ -101,7 +91,7 @@ def read_translations(
     spark: SparkSession, path: str, names_column: str, alias_column: str, positions: bool = False
 ) -> DataFrame:
     """Translation dictionary; both named columns must exist. ``positions`` as for metadata."""
-    table = _read(spark, path, multiline=True, positions=positions)
+    table = _read(spark, path, splits=False, positions=positions)
     for required in (names_column, alias_column):
         if required not in table.columns:
             raise ValueError(f"the translation dictionary has no column {required}")
@@ -110,7 +100,7 @@ def read_translations(
 
 def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
     """All catalogues in one long table, ``pos`` being the order within a catalogue."""
-    table = _read(spark, path, multiline=True)
+    table = _read(spark, path, splits=False)
     for required in CATALOG_COLUMNS:
         if required not in table.columns:
             raise ValueError(f"the catalogue table has no column {required}")
@@ -121,6 +111,6 @@ def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
 
 def read_bin_table(spark: SparkSession, path: str) -> DataFrame:
     """Bin table as written by the stratification; ``bin`` and ``part`` are integers, the rest text."""
-    table = _read(spark, path, multiline=True)
+    table = _read(spark, path, splits=True)
     whole = {"bin": "int", "part": "bigint"}
     return table.select(*[(column(c).cast(whole[c]) if c in whole else column(c)).alias(c) for c in table.columns])

@@ -1,0 +1,105 @@
+"""Delimited files read in splits, against Python's reader of such files."""
+
+import csv
+import random
+
+import pytest
+
+from mapstrata.sinks.files import write_table
+from mapstrata.sources import read_bin_table, read_microdata, read_scale
+from mapstrata.sources.records import read_delimited
+
+SPLITS = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+
+@pytest.fixture
+def splits_of(spark):
+    """Sets the bytes of a split until the test ends."""
+    before = {name: spark.conf.get(name) for name in SPLITS}
+
+    def set_bytes(n):
+        spark.conf.set(SPLITS[0], str(n))
+        spark.conf.set(SPLITS[1], "1")
+
+    yield set_bytes
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def written(cell):
+    if not cell:
+        return ""
+    return '"' + cell.replace('"', '""') + '"' if set(cell) & set('",\n\r') else cell
+
+
+def make_files(folder, seed, eol, header):
+    draw = random.Random(seed)
+    cell = lambda: draw.choice(
+        ["a", "b c", "", 'x"y', "l1\nl2", "l1\r\nl2,", '"', '""\n', "\n\n\n", "é\n" * draw.randint(1, 60), "1", " ", "long " * 40]
+    )
+    for f in range(draw.randint(1, 3)):
+        rows = [header] + [[cell() for _ in header] for _ in range(draw.choice([0, 3, 200]))]
+        text = eol.join(",".join(map(written, row)) for row in rows) + draw.choice([eol, ""])
+        (folder / f"f{f}.csv").write_text(text, newline="", encoding="utf-8")
+
+
+def expected_rows(folder):
+    out = []
+    for path in folder.glob("*.csv"):
+        with open(path, newline="", encoding="utf-8") as file:
+            out += [tuple(c or None for c in row) for row in list(csv.reader(file))[1:] if row]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("split", [97, 700, 1 << 27])
+@pytest.mark.parametrize(("seed", "eol"), [(1, "\n"), (2, "\r\n"), (3, "\n"), (4, "\r\n")])
+def test_quoted_breaks(spark, splits_of, tmp_path, seed, eol, split):
+    header = ["a", 'b "q"\nz', "c,d"] if seed % 2 else ["a", "b", "c"]
+    make_files(tmp_path, seed, eol, header)
+    splits_of(split)
+    found = read_delimited(spark, str(tmp_path))
+    assert found.columns == header
+    assert sorted(map(tuple, found.collect()), key=repr) == expected_rows(tmp_path)
+
+
+def test_record_over_many_splits(spark, splits_of, tmp_path):
+    """A cell of 3,000 lines crosses every split between its ends; its neighbours stay apart."""
+    long = "\n".join(f"line {i} of a long cell" for i in range(3000))
+    rows = [["id", "text"], ["1", "x"], ["2", long], ["3", "y\nz"], ["4", long + "\n"], ["5", ""]]
+    (tmp_path / "f.csv").write_text("\n".join(",".join(map(written, r)) for r in rows) + "\n", encoding="utf-8")
+    splits_of(5000)
+    found = read_delimited(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() > 20
+    assert sorted(map(tuple, found.collect())) == [("1", "x"), ("2", long), ("3", "y\nz"), ("4", long + "\n"), ("5", None)]
+
+
+def test_unclosed_quote_and_empty_files(spark, splits_of, tmp_path):
+    splits_of(40)
+    (tmp_path / "f.csv").write_text('a,b\n1,"x\ny\n2,z', encoding="utf-8")
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path)).collect()] == [("1", "x\ny\n2,z")]
+    (tmp_path / "f.csv").write_text("a,b\n", encoding="utf-8")
+    assert read_delimited(spark, str(tmp_path)).collect() == []
+
+
+def test_readers_split_files(spark, splits_of, tmp_path):
+    """Tables of every kind come in several partitions although they hold line breaks."""
+    rows = [(f"{i:04d}", f"first\nsecond {i}", i, i / 7) for i in range(4000)]
+    table = spark.createDataFrame(rows, "id string, note string, n int, x double").coalesce(1)
+    write_table(table, f"{tmp_path}/t")
+    splits_of(20_000)
+    micro = read_microdata(spark, f"{tmp_path}/t")
+    scale = read_scale(spark, f"{tmp_path}/t", ["id"])
+    assert min(micro.rdd.getNumPartitions(), scale.rdd.getNumPartitions()) > 3
+    assert sorted(map(tuple, scale.collect())) == rows
+    assert sorted((r.id, r.note, r.n) for r in micro.collect()) == [(a, b, str(c)) for a, b, c, _ in rows]
+    bins = spark.createDataFrame([("v", 1, i, "a\nb") for i in range(3000)], "code string, bin int, part long, cells_g string")
+    write_table(bins.coalesce(1), f"{tmp_path}/b")
+    read = read_bin_table(spark, f"{tmp_path}/b")
+    assert read.rdd.getNumPartitions() > 1 and read.exceptAll(bins).count() == 0 == bins.exceptAll(read).count()
+
+
+def test_files_without_breaks_need_no_python(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('a,b\n1,"x, ""y"""\n2,z\n', encoding="utf-8")
+    found = read_delimited(spark, str(tmp_path))
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    assert sorted(map(tuple, found.collect())) == [("1", 'x, "y"'), ("2", "z")]
