@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from mapstrata.functions.numbers import as_double, as_integer
 from mapstrata.functions.text import stripped
+from mapstrata.operators.exact_sums import exact_sums
 from mapstrata.operators.gate import passed_gate
 from mapstrata.operators.order_stats import medians
 from mapstrata.session import column, cut_lineage, exact_names
@@ -23,6 +24,9 @@ TOTAL_CODE = "conteo::total_datos"
 SUM, MEAN, MEDIAN = "suma", "media", "mediana"
 OPERATIONS = (SUM, MEAN, MEDIAN)
 
+# Column of long tables with the exact value of integers.
+WHOLE = "whole"
+
 
 def numeric_code(operation: str, variable: str) -> str:
     return f"{operation}::{variable}"
@@ -108,9 +112,10 @@ def widened_counts(counts: DataFrame, ids: list[str], codes: list[str]) -> DataF
     return wide.select(*units, *[F.coalesce(column(c), F.lit(0)).cast("bigint").alias(c) for c in codes])
 
 
-def long_counts(counts: DataFrame, ids: list[str]) -> DataFrame:
-    """ids, code, value of categorical counts; a count of zero has no row."""
-    return counts.select(*[column(i) for i in ids], value_code().alias("code"), F.col("n").cast("double").alias("value"))
+def long_counts(counts: DataFrame, ids: list[str], exact: bool = False) -> DataFrame:
+    """ids, code, value of categorical counts; a count of zero has no row. ``exact`` as for ``lengthened``."""
+    whole = [F.col("n").cast("bigint").alias(WHOLE)] if exact else []
+    return counts.select(*[column(i) for i in ids], value_code().alias("code"), F.col("n").cast("double").alias("value"), *whole)
 
 
 def units_with_all(counts: DataFrame, ids: list[str], blocks: list[list[str]]) -> DataFrame:
@@ -142,11 +147,12 @@ def numeric_values(df: DataFrame, ids: list[str], variables: list[str]) -> DataF
     )
 
 
-def numeric_long(df: DataFrame, ids: list[str], variables: list[str], operation: str) -> DataFrame:
-    """ids, code, value of one operation; a unit without any number gets 0 as sum and no row otherwise."""
+def numeric_long(df: DataFrame, ids: list[str], variables: list[str], operation: str, exact: bool = False) -> DataFrame:
+    """ids, code, value of one operation; a unit without any number gets 0 as sum and no row otherwise. ``exact`` as for
+    ``lengthened``."""
     wide = numeric_wide(df, ids, variables, operation)
     codes = [c for c in wide.columns if c not in ids]
-    return lengthened(wide, ids, codes)
+    return lengthened(wide, ids, codes, exact)
 
 
 def numeric_wide(df: DataFrame, ids: list[str], variables: list[str], operation: str) -> DataFrame:
@@ -169,24 +175,40 @@ def numeric_blocks(
     most_rows: int | None = None,
     integers: frozenset[str] = frozenset(),
 ) -> DataFrame:
-    """Totals, sums and means of all variables in one aggregation; medians are joined to it.
+    """Totals, and sums of integers, in one aggregation; exact sums of other numbers, and medians, are joined to it.
 
     ``most_rows`` bounds the rows of the table, hence of any unit, if that is known. ``integers`` names variables
-    that hold integers only; a sum of them beyond 64 bits fails.
+    that hold integers only; a sum of them beyond 64 bits fails. Other sums are exact before they are rounded to a double,
+    and means divide such a sum, so neither depends on how the rows are spread.
     """
     types = {field.name: field.dataType for field in df.schema}
     units = [column(i) for i in ids]
     known = known_units(df, ids)
     aggregates: list[Column] = [F.count(F.lit(1)).alias(TOTAL_CODE)] if with_total else []
-    for v in by_operation.get(SUM, []):
+    sums, means = by_operation.get(SUM, []), by_operation.get(MEAN, [])
+    for v in sums:
         if v in integers:
             total = F.coalesce(F.sum(as_integer(column(v), types[v])), F.lit(0)).cast("bigint")
             aggregates.append(total.alias(numeric_code(SUM, v)))
-            continue
-        aggregates.append(F.coalesce(F.sum(as_double(column(v), types[v])), F.lit(0.0)).alias(numeric_code(SUM, v)))
-    for v in by_operation.get(MEAN, []):
-        aggregates.append(F.avg(as_double(column(v), types[v])).alias(numeric_code(MEAN, v)))
+    for v in means:
+        if v in integers:
+            number = as_integer(column(v), types[v])
+            aggregates.append((F.sum(number).cast("double") / F.count(number)).alias(numeric_code(MEAN, v)))
     base = known.groupBy(*units).agg(*aggregates) if aggregates else known.select(*units).distinct()
+    parts = [v for v in dict.fromkeys([*sums, *means]) if v not in integers]
+    if parts:
+        found = exact_sums(numeric_values(df, ids, parts), [*ids, "variable"], "x")
+        wide = found.groupBy(*units).agg(
+            *[F.max(F.when(F.col("variable") == v, F.struct("total", "n"))).alias(f"_{n}") for n, v in enumerate(parts)]
+        )
+        joined = base.join(wide, ids, "left")
+        place = {v: f"_{n}" for n, v in enumerate(parts)}
+        totals = [F.coalesce(F.col(place[v])["total"], F.lit(0.0)).alias(numeric_code(SUM, v)) for v in sums if v in place]
+        averages = [(F.col(place[v])["total"] / F.col(place[v])["n"]).alias(numeric_code(MEAN, v)) for v in means if v in place]
+        made = {**{numeric_code(SUM, v): v for v in sums}, **{numeric_code(MEAN, v): v for v in means}}
+        joined = joined.select(*[column(c) for c in base.columns], *totals, *averages)
+        first = [c for c in base.columns if c not in made]
+        base = joined.select(*[column(c) for c in [*first, *made]])
     middle = by_operation.get(MEDIAN, [])
     if middle:
         found = medians(numeric_values(df, ids, middle), [*ids, "variable"], "x", most_rows)
@@ -198,12 +220,17 @@ def numeric_blocks(
 
 
 @exact_names
-def lengthened(wide: DataFrame, ids: list[str], codes: list[str]) -> DataFrame:
-    """Wide aggregates to ids, code, value; missing values have no row."""
-    pairs = [F.struct(F.lit(c).alias("code"), column(c).cast("double").alias("value")) for c in codes]
-    return wide.select(*[column(i) for i in ids], F.inline(F.array(*pairs)).alias("code", "value")).filter(
-        F.col("value").isNotNull()
-    )
+def lengthened(wide: DataFrame, ids: list[str], codes: list[str], exact: bool = False) -> DataFrame:
+    """Wide aggregates to ids, code, value; missing values have no row. With ``exact`` a column ``whole`` has the value of integer
+    columns as it is, since a double holds integers up to 2**53 only; it is null for other numbers."""
+    integers = {f.name for f in wide.schema if isinstance(f.dataType, T.IntegralType)}
+    whole = [(column(c) if c in integers else F.lit(None)).cast("bigint").alias(WHOLE) for c in codes]
+    pairs = [
+        F.struct(F.lit(c).alias("code"), column(c).cast("double").alias("value"), *([w] if exact else []))
+        for c, w in zip(codes, whole)
+    ]
+    names = ["code", "value", *([WHOLE] if exact else [])]
+    return wide.select(*[column(i) for i in ids], F.inline(F.array(*pairs)).alias(*names)).filter(F.col("value").isNotNull())
 
 
 def joined_on_units(blocks: list[DataFrame], ids: list[str]) -> DataFrame:

@@ -207,15 +207,15 @@ def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Bloc
 
 
 def aggregate_blocks_long(
-    preparation: Preparation, ids: list[str], blocks: list[Block]
+    preparation: Preparation, ids: list[str], blocks: list[Block], exact: bool = False
 ) -> tuple[DataFrame, list[str]]:
     """The same values as ids, code, value, for any number of observed categories: no code becomes a column, so a
-    count of zero has no row."""
+    count of zero has no row. With ``exact`` also ``whole``, counts and integer sums as they are."""
     base, counts, skipped = _aggregated(preparation, ids, blocks)
-    long = aggregate.lengthened(base, ids, [c for c in base.columns if c not in ids])
+    long = aggregate.lengthened(base, ids, [c for c in base.columns if c not in ids], exact)
     if counts is not None:
         units = aggregate.units_with_all(counts, ids, _categorical(blocks))
-        long = long.unionByName(aggregate.long_counts(counts, ids)).join(units, ids, "left_semi")
+        long = long.unionByName(aggregate.long_counts(counts, ids, exact)).join(units, ids, "left_semi")
     return long, skipped
 
 
@@ -280,7 +280,10 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
         preparation = replace(preparation, df=narrow)
 
         long = spec.get("forma_larga", False)
-        wide, skipped = (aggregate_blocks_long if long else aggregate_blocks)(preparation, ids, blocks)
+        if long:
+            wide, skipped = aggregate_blocks_long(preparation, ids, blocks, exact=True)
+        else:
+            wide, skipped = aggregate_blocks(preparation, ids, blocks)
         dictionary = block_dictionaries(preparation, blocks, alias_column, value_alias_column)
         if write:
             if long:

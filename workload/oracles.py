@@ -98,16 +98,34 @@ FROM known GROUP BY ent, mun HAVING {ANY_CATEGORY}"""
 ORACLES["observed_domain"] = f"""
 WITH {KNOWN} SELECT DISTINCT variable, value FROM ({melted_sql("ent, mun")})
 WHERE ent IS NOT NULL AND mun IS NOT NULL"""
+def exact_sum_sql(value: str, bits: int = 64) -> str:
+    """Sum of doubles as integers of 128 bits, rounded once: exact for multiples of 2 ** -bits."""
+    return f"sum(({value} * {float(2**bits)!r})::HUGEINT)::DOUBLE / {float(2**bits)!r}"
+
+
 ORACLES["numeric_sum"] = f"""
-WITH {KNOWN} SELECT ent, mun, round(coalesce(sum(precio::DECIMAL(18,2)), 0)::DOUBLE, 2) AS "suma::precio",
-       round(coalesce(sum(saldo::DECIMAL(18,2)), 0)::DOUBLE, 2) AS "suma::saldo" FROM known GROUP BY ent, mun"""
+WITH {KNOWN} SELECT ent, mun, coalesce({exact_sum_sql("precio")}, 0) AS "suma::precio",
+       coalesce({exact_sum_sql("saldo")}, 0) AS "suma::saldo" FROM known GROUP BY ent, mun"""
 ORACLES["integer_sum"] = """
 SELECT l_returnflag, l_linestatus, sum(l_suppkey)::BIGINT AS "suma::l_suppkey", sum(l_linenumber)::BIGINT AS "suma::l_linenumber",
        sum(l_orderkey * 1000000007::BIGINT + l_partkey)::BIGINT AS "suma::texto"
 FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 ORACLES["numeric_mean"] = f"""
-WITH {KNOWN} SELECT ent, mun, round(sum(precio::DECIMAL(18,2))::DOUBLE / count(precio), 5) AS "media::precio",
-       round(sum(saldo::DECIMAL(18,2))::DOUBLE / count(saldo), 5) AS "media::saldo" FROM known GROUP BY ent, mun"""
+WITH {KNOWN} SELECT ent, mun, {exact_sum_sql("precio")} / count(precio) AS "media::precio",
+       {exact_sum_sql("saldo")} / count(saldo) AS "media::saldo" FROM known GROUP BY ent, mun"""
+SIGNED = "CASE WHEN l_suppkey % 2 = 0 THEN l_extendedprice ELSE -l_extendedprice END"
+BIG = "l_orderkey * 1000000007::BIGINT + l_partkey"
+ORACLES["numeric_long_exact"] = f"""
+SELECT l_returnflag, l_linestatus, 'suma::entero' AS code, sum({BIG})::BIGINT::DOUBLE AS value, sum({BIG})::BIGINT AS whole
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+UNION ALL SELECT l_returnflag, l_linestatus, 'suma::saldo', {exact_sum_sql(SIGNED)}, NULL FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+APART = "CASE l_linenumber % 3 WHEN 0 THEN 1e20 WHEN 1 THEN 1e0 ELSE 1e-20 END"
+# The largest terms are multiples of 1 and decide the sum down to its last bit, far above 2 ** -20.
+ORACLES["numeric_sum_spread"] = f"""
+SELECT l_returnflag, count(*) AS "{TOTAL}", {exact_sum_sql(SIGNED)} AS "suma::saldo",
+       {exact_sum_sql(f"l_discount * {APART}", 20)} AS "suma::disperso", {exact_sum_sql(SIGNED)} / count(*) AS "media::saldo",
+       sum({BIG})::DOUBLE / count(*) AS "media::entero"
+FROM lineitem GROUP BY l_returnflag"""
 
 MEDIANS = f"""
 places AS (SELECT DISTINCT ent, mun FROM known),

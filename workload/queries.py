@@ -213,8 +213,7 @@ def observed_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def numeric_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo", "nota"], "suma")
-    return wide.select(*IDS, *[F.round(column(c), 2).alias(c) for c in wide.columns if c not in IDS])
+    return prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo", "nota"], "suma")
 
 
 @query
@@ -230,8 +229,7 @@ def integer_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def numeric_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo"], "media")
-    return wide.select(*IDS, *[F.round(column(c), 5).alias(c) for c in wide.columns if c not in IDS])
+    return prepared(spark, sf_dir).group_numeric(IDS, ["precio", "saldo"], "media")
 
 
 @query
@@ -253,6 +251,31 @@ def numeric_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.numeric_long(preparation.df, IDS, ["precio", "saldo"], "mediana")
 
 
+def big_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integers whose sums no double holds, and numbers between 1e-20 and 1e20."""
+    apart = F.element_at(F.array(F.lit(1e20), F.lit(1.0), F.lit(1e-20)), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        "l_linestatus",
+        (F.col("l_orderkey") * 1_000_000_007 + F.col("l_partkey")).alias("entero"),
+        F.when(F.col("l_suppkey") % 2 == 0, F.col("l_extendedprice")).otherwise(-F.col("l_extendedprice")).alias("saldo"),
+        (F.col("l_discount") * apart).alias("disperso"),
+    )
+
+
+@query
+def numeric_long_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums in long form, integers also as they are."""
+    return aggregate.numeric_long(big_numbers(spark, sf_dir), ["l_returnflag", "l_linestatus"], ["entero", "saldo"], "suma", exact=True)
+
+
+@query
+def numeric_sum_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and means of numbers of both signs, and of numbers 40 orders of magnitude apart."""
+    blocks = {"suma": ["saldo", "disperso"], "media": ["saldo", "entero"]}
+    return aggregate.numeric_blocks(big_numbers(spark, sf_dir), ["l_returnflag"], blocks, with_total=True, integers=frozenset(["entero"]))
+
+
 @query
 def numeric_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = ["precio", "saldo", "nota", "estado"]
