@@ -153,8 +153,10 @@ WIDE = f"""
 counts AS (SELECT ent, mun, count(*) AS "{TOTAL}",
                   {", ".join(f'{sql} AS "{code}"' for code, sql in COUNT_COLUMNS.items())}
            FROM known GROUP BY ent, mun HAVING {ANY_CATEGORY}),
-wide AS (SELECT counts.*, "mediana::precio" FROM counts LEFT JOIN mp USING (ent, mun))"""
-WIDE_CODES = [TOTAL, *COUNT_COLUMNS, "mediana::precio"]
+means AS (SELECT ent, mun, {exact_sum_sql("precio")} / count(precio) AS "media::precio" FROM known GROUP BY ent, mun),
+wide AS (SELECT counts.*, "media::precio", "mediana::precio"
+         FROM counts LEFT JOIN means USING (ent, mun) LEFT JOIN mp USING (ent, mun))"""
+WIDE_CODES = [TOTAL, *COUNT_COLUMNS, "media::precio", "mediana::precio"]
 ORACLES["joined_aggregates"] = f"WITH {WIDE} SELECT * FROM wide"
 ORACLES["joined_aggregates_long"] = f"WITH {WIDE} " + " UNION ALL ".join(
     f"SELECT ent, mun, '{c}' AS code, \"{c}\"::DOUBLE AS value FROM wide WHERE \"{c}\" IS NOT NULL" for c in WIDE_CODES
@@ -326,7 +328,7 @@ SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 'municipio' ELSE p_name END AS
        CASE WHEN p_size < 15 THEN '[]' ELSE '[''Sí'', ''' || p_type || ''', None]' END AS posibles_valores,
        'str' AS dtype, CASE WHEN p_size >= 15 THEN 'k' || p_size END AS second_option FROM part"""
 
-REGISTRY_NAMES = [(TOTAL, TOTAL), *DICTIONARY, ("mediana::precio", "mediana::Precio")]
+REGISTRY_NAMES = [(TOTAL, TOTAL), *DICTIONARY, ("media::precio", "media::Precio"), ("mediana::precio", "mediana::Precio")]
 REGISTRY_REQUESTS = [(None, code) for code, _ in REGISTRY_NAMES]
 ORACLES["registry_run"] = bin_table_sql(
     {"mun": f"WITH {WIDE} SELECT ent || mun AS unidad, * FROM wide"},
@@ -335,19 +337,21 @@ ORACLES["registry_run"] = bin_table_sql(
     "VALUES " + ", ".join(f"('{c}', '{n}')" for c, n in REGISTRY_NAMES),
 )
 
+ORACLES["registry_files_long"] = ORACLES["registry_run"]
+
 EVENT_NAMES = {"click": "Clic", "error": "Error", "purchase": "Compra", "view": "Vista"}
 SURVEY_WIDE = f"""
 WITH e AS (SELECT lpad(user_id::VARCHAR, greatest(4, length(user_id::VARCHAR))::INTEGER, '0') AS unidad, event_type, value FROM events),
 md AS ({median_sql("value", "unidad", "e", "mediana::value")}),
-c AS (SELECT unidad, count(*) AS "{TOTAL}",
+c AS (SELECT unidad, count(*) AS "{TOTAL}", {exact_sum_sql("value")} / count(value) AS "media::value",
              {", ".join(f"count(*) FILTER (event_type = '{v}') AS \"event_type-{v}\"" for v in EVENT_NAMES)}
       FROM e GROUP BY unidad)
 SELECT c.*, "mediana::value" FROM c LEFT JOIN md USING (unidad)"""
 SURVEY_NAMES = [(f"event_type-{v}", f"Evento-{n}") for v, n in EVENT_NAMES.items()]
 ORACLES["survey_run"] = bin_table_sql(
     {"geo": SURVEY_WIDE},
-    [*[(TOTAL, code) for code, _ in SURVEY_NAMES], (None, TOTAL), (None, "mediana::value")],
+    [*[(TOTAL, code) for code, _ in SURVEY_NAMES], (None, TOTAL), (None, "media::value"), (None, "mediana::value")],
     4,
     "VALUES "
-    + ", ".join(f"('{c}', '{n}')" for c, n in [*SURVEY_NAMES, (TOTAL, TOTAL), ("mediana::value", "mediana::Valor")]),
+    + ", ".join(f"('{c}', '{n}')" for c, n in [*SURVEY_NAMES, (TOTAL, TOTAL), ("media::value", "media::Valor"), ("mediana::value", "mediana::Valor")]),
 )

@@ -27,9 +27,10 @@ from mapstrata.plans.prepare import (
     aggregate_blocks_long,
     block_dictionaries,
     resolve_block,
+    run_preparation,
     staged,
 )
-from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins
+from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins, run_stratification
 from mapstrata.session import checkpoint_folder, column, cut_lineage, local_table
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
 from mapstrata.sources import read_bin_table, read_catalogs, read_metadata, read_microdata, read_scale, read_translations
@@ -289,12 +290,15 @@ REGISTRY_BLOCKS = [
         "variables_a_agrupar_list": [],
         "variables_a_agrupar_regex": ["^(?!folio)(?!precio)(?!saldo)(?!nota).*"],
     },
-    {
-        "tipo_variables": "numerico",
-        "operacion": "mediana",
-        "variables_a_agrupar_list": ["precio", "nota"],
-        "variables_a_agrupar_regex": [],
-    },
+    *(
+        {
+            "tipo_variables": "numerico",
+            "operacion": operation,
+            "variables_a_agrupar_list": ["precio", "nota"],
+            "variables_a_agrupar_regex": [],
+        }
+        for operation in ("media", "mediana")
+    ),
 ]
 
 
@@ -712,6 +716,45 @@ def registry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_table(strata.process_regex(["mun"], {None: "^.*"}, BINS))
 
 
+@query
+def registry_files_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from specifications and files, aggregates and scale in long form."""
+    folder = work_path(spark, "registry")
+    write_table(microdata(spark, sf_dir), f"{folder}/microdata")
+    write_table(described(spark).coalesce(1), f"{folder}/metadata")
+    run_preparation(
+        spark,
+        {
+            "ruta_csv_dataset": f"{folder}/microdata",
+            "ruta_csv_metadatos": f"{folder}/metadata",
+            "ruta_salida_dataset": f"{folder}/aggregates",
+            "ruta_salida_diccionario_traducciones": f"{folder}/dictionary",
+            "columna_metadatos_nombres": "var",
+            "columna_metadatos_posibles_valores": "valores",
+            "columna_metadatos_alias": "alias",
+            "columna_metadatos_posibles_valores_alias": "etiquetas",
+            "variables_identificadoras_list": IDS,
+            "variables_a_agrupar": REGISTRY_BLOCKS,
+            "forma_larga": True,
+        },
+    )
+    result = run_stratification(
+        spark,
+        {
+            "rutas_csv_escalas": {"mun": f"{folder}/aggregates"},
+            "ruta_csv_diccionario_traducciones": f"{folder}/dictionary",
+            "columna_diccionario_traducciones_nombres": "traduccion",
+            "columna_diccionario_traducciones_alias": "variable",
+            "variables_identificadoras": IDS,
+            "variables_a_procesar_regex": {"None": "^.*"},
+            "q": BINS,
+            "ruta_csv_salida": f"{folder}/bins",
+            "forma_larga": True,
+        },
+    )
+    return bin_table(result)
+
+
 def survey_blocks() -> list[dict]:
     by_class = {"variables_a_agrupar_list": [], "variables_a_agrupar_regex": []}
     return [
@@ -720,12 +763,15 @@ def survey_blocks() -> list[dict]:
             "tipo_variables": "categorico",
             "variables_a_agrupar_clasificacion_metadatos": {"columna_metadatos_filtro": "clase", "valores": ["options"]},
         },
-        {
-            **by_class,
-            "tipo_variables": "numerico",
-            "operacion": "mediana",
-            "variables_a_agrupar_clasificacion_metadatos": {"columna_metadatos_filtro": "clase", "valores": ["abierta"]},
-        },
+        *(
+            {
+                **by_class,
+                "tipo_variables": "numerico",
+                "operacion": operation,
+                "variables_a_agrupar_clasificacion_metadatos": {"columna_metadatos_filtro": "clase", "valores": ["abierta"]},
+            }
+            for operation in ("media", "mediana")
+        ),
     ]
 
 
@@ -746,5 +792,5 @@ def survey_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide, _ = aggregate_blocks(preparation, ["municipio"], blocks)
     dictionary = block_dictionaries(preparation, blocks, "alias", "etiquetas")
     strata = Stratifier({"geo": cut_lineage(wide)}, dictionary, "traduccion", "variable", ["municipio"])
-    requests = strata.requests_from_regex(["geo"], {TOTAL: "^event_type", None: "^(mediana|conteo)"})
+    requests = strata.requests_from_regex(["geo"], {TOTAL: "^event_type", None: "^(media|mediana|conteo)"})
     return bin_table(strata.cut(["geo"], requests, 4))
