@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,8 +73,127 @@ def rounded_to_significant(value: Column, precision: Column) -> Column:
     return F.when(value == 0, value).otherwise(F.rint(value * scale) / scale)
 
 
+def _named(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# In this range the engine's text may end in a digit beside the nearest one; its numbers are integers that decimals hold.
+ROUNDED_FROM, ROUNDED_BELOW = 1e17, 1e37
+DIGITS = "decimal(38,0)"
+
+# So many digits name every double.
+MOST_DIGITS = 17
+
+
+def _exact(size: Column) -> Column:
+    """The integer that a number of this range is."""
+    top = F.floor(size / 2.0**64)
+    rest = size - top.cast("double") * 2.0**64
+    middle = F.floor(rest / 2.0**32)
+    low = rest - middle.cast("double") * 2.0**32
+    power = {k: F.lit(str(1 << k)).cast("decimal(20,0)") for k in (32, 64)}
+    wide = [(part.cast("bigint").cast("decimal(18,0)") * factor).cast(DIGITS) for part, factor in ((top, power[64]), (middle, power[32]))]
+    return (wide[0] + wide[1] + low.cast("bigint").cast("decimal(18,0)")).cast(DIGITS)
+
+
+def _digits(size: Column) -> Column:
+    """``d`` (digits as an integer), ``n`` (how many) and ``s`` (exponent of the first one) of the engine's text, which names the
+    number but need not be the shortest text that does, or of the number itself where it is known."""
+    raw = size.cast("string")
+    exponent = F.when(raw.contains("E"), F.substring_index(raw, "E", -1).cast("int")).otherwise(0)
+    mantissa = F.substring_index(raw, "E", 1)
+
+    def parts(m: Column) -> Column:
+        whole, fraction = F.substring_index(m["text"], ".", 1), F.substring_index(m["text"], ".", -1)
+        every = F.concat(whole, fraction)
+        held = F.regexp_replace(every, "^0+", "")
+        first = F.length(whole) + m["exponent"] - 1 - (F.length(every) - F.length(held))
+        return F.struct(F.regexp_replace(held, "0+$", "").alias("text"), first.alias("s"))
+
+    def numbered(p: Column) -> Column:
+        n = F.length(p["text"])
+        known = (n >= 16) & (size >= ROUNDED_FROM) & (size < ROUNDED_BELOW)
+        return F.struct(
+            F.when(known, _exact(size)).otherwise(p["text"].cast(DIGITS)).alias("d"), F.when(known, p["s"] + 1).otherwise(n).alias("n"), p["s"].alias("s")
+        )
+
+    return _named(_named(F.struct(mantissa.alias("text"), exponent.alias("exponent")), parts), numbered)
+
+
+def _shortest(size: Column) -> Column:
+    """``text`` (digits) and ``s`` (exponent of the first one) of the shortest number that reads as ``size``."""
+
+    def candidates(p: Column, k: Column) -> Column:
+        """The two numbers of ``k`` digits around it, the nearer one first, halves to even. Below a power of two doubles lie
+        closer, so that the other one may read as it and the nearer one not."""
+
+        def around(u: Column) -> Column:
+            def ordered(q: Column) -> Column:
+                twice = ((p["d"] - q.cast(DIGITS) * u).cast(DIGITS) * 2).cast(DIGITS)
+                above = (twice > u) | ((twice == u) & (q % 2 == 1))
+                return F.when(above, F.array(q + 1, q)).otherwise(F.array(q, q + 1))
+
+            return _named(F.call_function("div", p["d"], u), ordered)
+
+        unit = F.concat(F.lit("1"), F.repeat(F.lit("0"), p["n"] - k)).cast(DIGITS)
+        return F.transform(_named(unit, around), lambda q: F.struct(q.alias("q"), (p["s"] - k + 1).alias("e")))
+
+    def reads(c: Column) -> Column:
+        return F.concat(c["q"].cast("string"), F.lit("E"), c["e"].cast("string")).try_cast("double") == size
+
+    def chosen(p: Column) -> Column:
+        # two numbers of 15 digits never read as one double that has all its bits, so a shorter text is one of 15 with zeros
+        first = F.when(size < 1e-300, 1).otherwise(F.least(p["n"], F.lit(15)))
+        tried = F.flatten(F.transform(F.sequence(first, F.least(p["n"], F.lit(MOST_DIGITS))), lambda k: candidates(p, k)))
+        return F.get(F.filter(tried, reads), F.lit(0))
+
+    def trimmed(c: Column) -> Column:
+        text = c["q"].cast("string")
+        return F.struct(F.regexp_replace(text, "0+$", "").alias("text"), (F.length(text) - 1 + c["e"]).alias("s"))
+
+    return _named(_named(_digits(size), chosen), trimmed)
+
+
 def float_text(value: Column) -> Column:
-    """Shortest usual text of a double: ``0.001``, ``12.5``, ``10000000.0``, ``1e-05``, ``1e+17``."""
+    """Shortest text that reads as the same double, in the usual form: ``0.001``, ``12.5``, ``10000000.0``, ``1e-05``, ``1e+17``."""
+
+    def written(t: Column) -> Column:
+        text, s, zeros = t["text"], t["s"], lambda n: F.repeat(F.lit("0"), n)
+        n = F.length(text)
+        small = F.concat(F.lit("0."), zeros(-s - 1), text)
+        large = F.concat(text, zeros(s - n + 1), F.lit(".0"))
+        between = F.concat(F.substring(text, F.lit(1), s + 1), F.lit("."), F.substring(text, s + 2, n))
+        exponent = F.abs(s).cast("string")
+        scientific = F.concat(
+            F.substring(text, 1, 1),
+            F.when(n > 1, F.concat(F.lit("."), F.substring(text, F.lit(2), n))).otherwise(""),
+            F.when(s < 0, "e-").otherwise("e+"),
+            F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent),
+        )
+        return (
+            F.when((s < -4) | (s >= 16), scientific).when(s < 0, small).when(s >= n - 1, large).otherwise(between)
+        )
+
+    def signed(x: Column) -> Column:
+        sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+        return F.concat(sign, F.when(F.abs(x) == float("inf"), "inf").otherwise(_named(_shortest(F.abs(x)), written)))
+
+    return (
+        F.when(F.isnan(value), "nan")
+        .when(_is_shortest(value), _engine_text(value))
+        .otherwise(_named(value.cast("double"), signed))
+    )
+
+
+def _is_shortest(value: Column) -> Column:
+    """Whether the engine's digits are surely the shortest ones: up to 15 of them, of a number that has all its bits."""
+    mantissa = F.substring_index(F.abs(value).cast("string"), "E", 1)
+    return (F.length(mantissa) <= 16) & ((F.abs(value) >= 1e-300) | (value == 0)) & (F.abs(value) < float("inf"))
+
+
+def _engine_text(value: Column) -> Column:
+    """The engine's digits in the usual form."""
     size = F.abs(value)
     raw = value.cast("string")
     mantissa = F.regexp_replace(F.substring_index(raw, "E", 1), r"\.0$", "")

@@ -1,6 +1,8 @@
 """Column functions against the plain Python behaviour they stand for."""
 
 import math
+import random
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +76,19 @@ def test_float_texts(spark):
     assert apply(spark, float_text, values, "double") == [str(v) for v in values]
 
 
+def test_float_texts_are_the_shortest(spark):
+    """Over all exponents, beside powers of two, where digits end in halves, and below the smallest number of full precision."""
+    draw = random.Random(7)
+    bits = [struct.unpack(">d", struct.pack(">Q", draw.getrandbits(64)))[0] for _ in range(20_000)]
+    values = [x for x in bits if math.isfinite(x)]
+    values += [draw.uniform(-1, 1) * 10 ** draw.uniform(14, 40) for _ in range(20_000)]
+    values += [10 ** draw.uniform(25, 25.6) for _ in range(3000)]
+    values += [2.0**i for i in range(-1074, 1024)] + [5e-324 * i for i in range(1, 300)]
+    values += [float(f"{d}e{i}") for d in (1, 2, 9, 99, 123) for i in range(-323, 306)]
+    values += [9007199254740993.0, 1e16, 9999999999999998.0, 9.655709520753062e16, 5e-324, 0.0001, 0.00009999, 0.0, -0.0, math.inf, -math.inf]
+    assert apply(spark, float_text, values, "double") == [repr(v) for v in values]
+
+
 def test_percent(spark):
     values = [0.12345, -0.0004, 0.0005, 1.0, 0.25050000000000006]
     found = apply(spark, lambda c: float_text(percent(c)), values, "double")

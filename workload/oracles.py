@@ -204,7 +204,8 @@ ORACLES["interval_labels"] = labels_sql("l_extendedprice * l_discount", "false")
 ORACLES["percent_labels"] = labels_sql("l_tax / l_quantity", "true")
 ORACLES["number_texts"] = """
 SELECT l_orderkey, l_linenumber, (l_discount / 4096e0)::VARCHAR AS small, (l_extendedprice * 128e0)::VARCHAR AS large,
-       (round_even((l_tax - l_discount) * 100e0 * 10e0, 0) / 10e0)::VARCHAR AS share FROM lineitem"""
+       (round_even((l_tax - l_discount) * 100e0 * 10e0, 0) / 10e0)::VARCHAR AS share,
+       (l_extendedprice * 1e14 / 7e0)::VARCHAR AS huge, ((l_tax + l_quantity) * 1e-320)::VARCHAR AS tiny FROM lineitem"""
 
 ORACLES["cells_per_bin"] = bin_table_sql({"cus": units_sql("cus")}, [(None, "max::c_acctbal")], 4, names_sql())
 

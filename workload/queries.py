@@ -384,6 +384,8 @@ def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         float_text(small).alias("small"),
         float_text(large).alias("large"),
         float_text(percent(F.col("l_tax") - F.col("l_discount"))).alias("share"),
+        float_text(F.col("l_extendedprice") * 1e14 / 7).alias("huge"),
+        float_text((F.col("l_tax") + F.col("l_quantity")) * 1e-320).alias("tiny"),
     )
 
 
