@@ -1,7 +1,7 @@
 """Bulk append to a database table.
 
-Each task inserts its partition in one transaction. There is no transaction over all partitions:
-where readers must never see half a load, write to a staging table and swap it in the database.
+Each task inserts its partition in one transaction. There is no transaction over all partitions, and a task that runs twice
+inserts twice: where readers must never see half a load, use ``staged.staged_load`` and its statements.
 """
 
 from __future__ import annotations
@@ -25,15 +25,16 @@ def database_type(data_type: T.DataType) -> str:
     return DATABASE_TYPES.get(type(data_type), "TEXT")
 
 
-def _identifier(name: str) -> str:
+def identifier(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def create_table_statement(df: DataFrame, table: str) -> str:
-    """Statement for a target table with a surrogate key, to be run once before loading; ``table`` may name a schema."""
-    table = ".".join(map(_identifier, table.split(".")))
-    columns = ["id SERIAL PRIMARY KEY"]
-    columns += [f"{_identifier(f.name)} {database_type(f.dataType)}" for f in df.schema]
+def create_table_statement(df: DataFrame, table: str, key: str = "SERIAL") -> str:
+    """Statement for a target table with a surrogate key, to be run once before loading; ``table`` may name a schema. A key of
+    the type ``SERIAL`` ends at 2**31 rows, ``BIGSERIAL`` does not."""
+    table = ".".join(map(identifier, table.split(".")))
+    columns = [f"id {key} PRIMARY KEY"]
+    columns += [f"{identifier(f.name)} {database_type(f.dataType)}" for f in df.schema]
     return f"CREATE TABLE IF NOT EXISTS {table} (\n    " + ",\n    ".join(columns) + "\n)"
 
 

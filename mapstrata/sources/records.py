@@ -12,17 +12,22 @@ reader reads it. The number of splits bounds what is broadcast: 17 bytes for eac
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mapstrata.session import cut_lineage
 
+# Tasks get the functions below with the job, so executors need no copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 READER = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 # Parts of a record that crosses splits, in the order in which one split may hold them.

@@ -251,6 +251,9 @@ STACKED = bin_table_sql(
     5,
     names_sql(),
 )
+ORACLES["staged_load"] = bin_table_sql(
+    {"mun": units_sql("mun")}, [(None, "max::urgente"), (None, "fijo"), (TOTAL, "o_orderstatus-O")], 5, names_sql()
+)
 ORACLES["concat_results"] = STACKED
 ORACLES["bin_table_file_scan"] = STACKED
 ORACLES["duplicate_bins"] = f"""

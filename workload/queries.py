@@ -32,6 +32,7 @@ from mapstrata.plans.prepare import (
 )
 from mapstrata.plans.strata import Request, Stratifier, bin_table, duplicated_bins, run_stratification
 from mapstrata.session import checkpoint_folder, column, cut_lineage, local_table
+from mapstrata.sinks import staged as staged_files
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
 from mapstrata.sources import read_bin_table, read_catalogs, read_metadata, read_microdata, read_scale, read_translations
 from workload.tables import TOTAL, microdata, names, table, units
@@ -488,6 +489,21 @@ def duplicate_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicated_bins(stacked(spark, sf_dir))
 
 
+@query
+def staged_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of places added in two loads. A third one, in which a task fails after others have staged their rows, leaves none."""
+    folder = work_path(spark, "loads")
+    strata = stratifier(spark, sf_dir, "mun")
+    bins = cut_lineage(bin_table(strata.process_list(["mun"], {None: ["max::urgente", "fijo"], TOTAL: ["o_orderstatus-O"]}, 5)))
+    doubtful = F.when(F.col("bin") == 3, F.raise_error(F.lit("a task fails"))).otherwise(F.col("name"))
+    try:
+        staged_files.staged_load(bins.repartition(5, "bin").withColumn("name", doubtful), folder)
+    except Exception:  # noqa: BLE001
+        staged_files.staged_load(bins.where("bin <= 2"), folder)
+        staged_files.staged_load(bins.where("bin > 2"), folder)
+    return staged_files.read_loads(spark, folder)
+
+
 @query
 def bin_table_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "bins")
