@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,5 +63,41 @@ def passed_gate(df: DataFrame, variables: list[str]) -> Gate:
     return Gate(kept, integers, rows)
 
 
+# Variables whose outcomes fit in one number.
+BITS = 62
+
+
+@exact_names
+def watched(df: DataFrame, variables: list[str]) -> tuple[DataFrame, Callable[[], Gate]]:
+    """``df`` and the gate of its variables once a job has read all of it. The outcomes are metrics of that job, bits of a few
+    numbers whatever the number of variables, so that a table which is written anyway is not read for the gate."""
+    types = {field.name: field.dataType for field in df.schema}
+    texts = [v for v in dict.fromkeys(variables) if isinstance(types[v], T.StringType)]
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for start in range(0, len(texts), BITS):
+        rejected, fractional = F.lit(0).cast("bigint"), F.lit(0).cast("bigint")
+        for bit, v in enumerate(texts[start : start + BITS]):
+            text = stripped(column(v))
+            mask = F.lit(1 << bit).cast("bigint")
+            rejected = rejected + F.when(text.isNotNull() & ~is_number_text(text), mask).otherwise(0)
+            fractional = fractional + F.when(~text.rlike(INTEGER_PATTERN), mask).otherwise(0)
+        metrics += [F.bit_or(rejected).alias(f"rejected_{start}"), F.bit_or(fractional).alias(f"fractional_{start}")]
+    observation = Observation()
+    observed = df.observe(observation, *metrics)
+
+    def gate() -> Gate:
+        found = observation.get
+        flagged = {
+            kind: {v for n, v in enumerate(texts) if (found[f"{kind}_{n - n % BITS}"] or 0) >> (n % BITS) & 1}
+            for kind in ("rejected", "fractional")
+        }
+        kept = [v for v in variables if (v in texts and v not in flagged["rejected"]) or is_numeric_type(types[v])]
+        whole = {v for v in texts if v not in flagged["fractional"]}
+        integers = frozenset(v for v in kept if v in whole or isinstance(types[v], T.IntegralType))
+        return Gate(kept, integers, found["rows"])
+
+    return observed, gate
+
+
 def numeric_variables(df: DataFrame, variables: list[str]) -> list[str]:
     return passed_gate(df, variables).passed

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
-import uuid
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mapstrata.operators import aggregate, casts, cleaning, columns, gate, translate
 from mapstrata.plans.spec import existing, expect, expect_texts, load_spec, required, required_column
-from mapstrata.session import case_sensitive_names, checkpoint_folder, column, cut_lineage, exact_names
+from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, removed, written_once
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
 from mapstrata.sources import read_metadata, read_microdata
 
@@ -141,12 +140,12 @@ def resolve_block(preparation: Preparation, block: dict) -> Block:
 
 
 def _aggregated(
-    preparation: Preparation, ids: list[str], blocks: list[Block]
+    preparation: Preparation, ids: list[str], blocks: list[Block], checked: gate.Gate | None
 ) -> tuple[DataFrame, DataFrame | None, list[str]]:
     """Totals and numeric aggregates per unit, counts of all categorical blocks, and the variables that failed the gate.
 
-    The microdata is read once for the gate of all numeric variables, once for totals, sums and
-    means together, once for all medians and once for all categorical blocks.
+    The microdata is read once for the gate of all numeric variables, unless the write of the table has checked them, once for
+    totals and integer sums, once each for other sums and medians and once for all categorical blocks.
     """
     df = preparation.df
     numeric = [b for b in blocks if b.operation is not None]
@@ -154,7 +153,7 @@ def _aggregated(
     if len(set(pairs)) < len(pairs):
         raise ValueError("the same operation is asked for twice on one variable")
     candidates = list(dict.fromkeys(v for _, v in pairs))
-    checked = gate.passed_gate(df, candidates)
+    checked = checked or gate.passed_gate(df, candidates)
     skipped = [v for v in candidates if v not in checked.passed]
     for variable in skipped:
         log.warning("%s holds values that are not numbers and is not aggregated", variable)
@@ -200,18 +199,21 @@ def _joined_blocks(base: DataFrame, counts: DataFrame | None, ids: list[str], bl
     return columns.project(joined, [*ids, *order])
 
 
-def aggregate_blocks(preparation: Preparation, ids: list[str], blocks: list[Block]) -> tuple[DataFrame, list[str]]:
-    """All blocks joined on the units, one column per code, with the variables that failed the numeric gate."""
-    base, counts, skipped = _aggregated(preparation, ids, blocks)
+def aggregate_blocks(
+    preparation: Preparation, ids: list[str], blocks: list[Block], checked: gate.Gate | None = None
+) -> tuple[DataFrame, list[str]]:
+    """All blocks joined on the units, one column per code, with the variables that failed the numeric gate, which is read
+    from the table unless it is given."""
+    base, counts, skipped = _aggregated(preparation, ids, blocks, checked)
     return _joined_blocks(base, counts, ids, blocks), skipped
 
 
 def aggregate_blocks_long(
-    preparation: Preparation, ids: list[str], blocks: list[Block], exact: bool = False
+    preparation: Preparation, ids: list[str], blocks: list[Block], exact: bool = False, checked: gate.Gate | None = None
 ) -> tuple[DataFrame, list[str]]:
     """The same values as ids, code, value, for any number of observed categories: no code becomes a column, so a
     count of zero has no row. With ``exact`` also ``whole``, counts and integer sums as they are."""
-    base, counts, skipped = _aggregated(preparation, ids, blocks)
+    base, counts, skipped = _aggregated(preparation, ids, blocks, checked)
     long = aggregate.lengthened(base, ids, [c for c in base.columns if c not in ids], exact)
     if counts is not None:
         units = aggregate.units_with_all(counts, ids, _categorical(blocks))
@@ -234,10 +236,7 @@ def block_dictionaries(
 def staged(df: DataFrame) -> DataFrame:
     """Delimited microdata written once as Parquet in the shared folder: later passes read only
     the columns they need, in splits, instead of parsing every line again."""
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/microdata-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written_once(df, "microdata")[0]
 
 
 def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -> Prepared:
@@ -274,16 +273,24 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
             )
         blocks = [resolve_block(preparation, block) for block in block_specs]
         needed = [*ids, *(v for block in blocks for v in block.variables)]
-        narrow = columns.project(preparation.df, needed)
-        if not data_path.rstrip("/").endswith(".parquet"):
-            narrow = staged(narrow)
-        preparation = replace(preparation, df=narrow)
-
+        narrow, copy, checked = columns.project(preparation.df, needed), None, None
         long = spec.get("forma_larga", False)
-        if long:
-            wide, skipped = aggregate_blocks_long(preparation, ids, blocks, exact=True)
-        else:
-            wide, skipped = aggregate_blocks(preparation, ids, blocks)
+        try:
+            if not data_path.rstrip("/").endswith(".parquet"):
+                numeric = [v for block in blocks if block.operation is not None for v in block.variables if v not in ids]
+                observed, outcome = gate.watched(narrow, list(dict.fromkeys(numeric)))
+                narrow, copy = written_once(observed, "microdata")
+                checked = outcome()
+            preparation = replace(preparation, df=narrow)
+            if long:
+                wide, skipped = aggregate_blocks_long(preparation, ids, blocks, exact=True, checked=checked)
+            else:
+                wide, skipped = aggregate_blocks(preparation, ids, blocks, checked)
+            # the copy of the microdata goes with the run, so what comes back must not need it
+            wide = cut_lineage(wide)
+        finally:
+            if copy is not None:
+                removed(spark, copy)
         dictionary = block_dictionaries(preparation, blocks, alias_column, value_alias_column)
         if write:
             if long:

@@ -18,9 +18,9 @@ from mapstrata.operators.columns import compiled
 from mapstrata.operators.joins import joined_with_few
 from mapstrata.plans.long_scale import LongScale, gathered, spread
 from mapstrata.plans.spec import expect, expect_texts, load_spec, required
-from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted
+from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, local_table, quoted, removed
 from mapstrata.sinks.files import write_table
-from mapstrata.sources import read_long_scale, read_scale, read_translations
+from mapstrata.sources import read_long_scale, read_translations, staged_scale
 
 log = logging.getLogger(__name__)
 
@@ -50,7 +50,9 @@ class Stratifier:
         ids: list[str],
         excluded: list[str] | None = None,
         excluded_regex: list[str] | None = None,
+        unit_counts: dict[str, int] | None = None,
     ) -> None:
+        """``unit_counts``: units per scale where they are known."""
         expect(scales, dict, "scales")
         for scale, table in scales.items():
             expect(scale, str, "every key of scales")
@@ -72,7 +74,7 @@ class Stratifier:
         self.scales = scales
         self.sparkSession = dictionary.sparkSession
         self.ids = ids
-        self._unit_counts: dict[str, int] = {}
+        self._unit_counts = dict(unit_counts or {})
         self._gathered: dict[tuple, DataFrame] = {}
         self._columns = {
             scale: [*ids, *table.codes()] if isinstance(table, LongScale) else table.columns for scale, table in scales.items()
@@ -496,26 +498,45 @@ def run_stratification(spark: SparkSession, spec: dict | str, write: bool = True
     binning.check_bins(q)
     output = required(spec, "ruta_csv_salida", str)
 
+    units_per_part = spec.get("unidades_por_parte", cells.UNITS_PER_PART)
+    copies: list[str] = []
     with case_sensitive_names(spark):
-        multiline = spec.get("multilinea", True)
-        if spec.get("forma_larga", False):
-            scales = {scale: LongScale(read_long_scale(spark, path, ids)) for scale, path in paths.items()}
-        else:
-            scales = {scale: read_scale(spark, path, ids, multiline) for scale, path in paths.items()}
-        dictionary = read_translations(spark, dictionary_path, names_column, alias_column, positions=True)
-        stratifier = Stratifier(
-            scales, dictionary, names_column, alias_column, ids,
-            spec.get("variables_excluidas_list", []), spec.get("variables_excluidas_regex", []),
-        )
-        requests: list[Request] = []
-        if by_regex:
-            requests += stratifier.requests_from_regex(list(scales), _with_no_base_last(by_regex))
-        if by_list:
-            requests += stratifier.requests_from_lists(list(scales), _with_no_base_last(by_list))
-        units_per_part = spec.get("unidades_por_parte", cells.UNITS_PER_PART)
-        result = stratifier.cut(list(scales), requests, q, units_per_part)
+        try:
+            scales, counts = _read_scales(spark, paths, ids, spec, copies)
+            dictionary = read_translations(spark, dictionary_path, names_column, alias_column, positions=True)
+            stratifier = Stratifier(
+                scales, dictionary, names_column, alias_column, ids,
+                spec.get("variables_excluidas_list", []), spec.get("variables_excluidas_regex", []), counts,
+            )
+            requests: list[Request] = []
+            if by_regex:
+                requests += stratifier.requests_from_regex(list(scales), _with_no_base_last(by_regex))
+            if by_list:
+                requests += stratifier.requests_from_lists(list(scales), _with_no_base_last(by_list))
+            result = stratifier.cut(list(scales), requests, q, units_per_part)
+            if copies:  # they go with the run, so what comes back must not need them
+                result = cut_lineage(result)
+        finally:
+            for copy in copies:
+                removed(spark, copy)
         if len(set(requests)) < len(requests) or len({r.code for r in requests}) < len(requests):
             log.warning("some variables are cut more than once; see duplicated_bins()")
         if write:
             write_table(bin_table(result.orderBy("request", "bin", "part")), output)
     return result
+
+
+def _read_scales(
+    spark: SparkSession, paths: dict[str, str], ids: list[str], spec: dict, copies: list[str]
+) -> tuple[dict[str, DataFrame | LongScale], dict[str, int]]:
+    """Scale tables, and the units of those that were counted while they were copied; adds the folders of the copies."""
+    multiline, scales, counts = spec.get("multilinea", True), {}, {}
+    for scale, path in paths.items():
+        if spec.get("forma_larga", False):
+            scales[scale] = LongScale(read_long_scale(spark, path, ids))
+            continue
+        scales[scale], rows, copy = staged_scale(spark, path, ids, multiline)
+        if copy is not None:
+            copies.append(copy)
+            counts[scale] = rows
+    return scales, counts

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -37,6 +38,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read from there, and the folder it takes up."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    with case_sensitive_names(spark):
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate data, in whatever store it is."""
+    java = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(java, True)
+
+
 def column(name: str) -> Column:
     """Reference to a column whose name may hold dots, dashes, colons or back-ticks."""
     return F.col(quoted(name))

@@ -8,6 +8,7 @@ from mapstrata.sources.tables import (
     read_microdata,
     read_scale,
     read_translations,
+    staged_scale,
 )
 
 __all__ = [
@@ -18,4 +19,5 @@ __all__ = [
     "read_microdata",
     "read_scale",
     "read_translations",
+    "staged_scale",
 ]

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 from mapstrata.functions.numbers import as_double
 from mapstrata.functions.text import missing_to_null
 from mapstrata.operators.columns import POSITION, drop_index_column
-from mapstrata.operators.gate import numeric_variables
-from mapstrata.session import column, exact_names
+from mapstrata.operators.gate import Gate, passed_gate, watched
+from mapstrata.session import column, exact_names, written_once
 from mapstrata.sources.records import READER, read_delimited
 
 CATALOG_COLUMNS = ("catalog", "pos", "clave", "clasificacion", "descripcion")
@@ -60,8 +60,30 @@ def read_metadata(spark: SparkSession, path: str, positions: bool = False) -> Da
 def read_scale(spark: SparkSession, path: str, ids: list[str], multiline: bool = True) -> DataFrame:
     """Wide aggregate table: ids stay text (leading zeros), number-like columns become double. ``multiline`` as for microdata."""
     table = _read(spark, path, splits=True, multiline=multiline)
-    others = [name for name in table.columns if name not in ids]
-    numeric = set(numeric_variables(table, others))
+    return _typed_scale(table, ids, passed_gate(table, _without(table, ids)))
+
+
+@exact_names
+def staged_scale(
+    spark: SparkSession, path: str, ids: list[str], multiline: bool = True
+) -> tuple[DataFrame, int | None, str | None]:
+    """The same table, its number of units and the folder of its copy. A delimited file is parsed once: the write of the copy
+    finds the number-like columns and counts the units. Parquet is read where it is, and its units are not counted."""
+    if path.rstrip("/").endswith(".parquet"):
+        return read_scale(spark, path, ids), None, None
+    table = _read(spark, path, splits=True, multiline=multiline)
+    observed, outcome = watched(table, _without(table, ids))
+    copied, copy = written_once(observed, "scale")
+    gate = outcome()
+    return _typed_scale(copied, ids, gate), gate.rows, copy
+
+
+def _without(table: DataFrame, ids: list[str]) -> list[str]:
+    return [name for name in table.columns if name not in ids]
+
+
+def _typed_scale(table: DataFrame, ids: list[str], gate: Gate) -> DataFrame:
+    numeric = set(gate.passed)
     types = {field.name: field.dataType for field in table.schema}
     picked = []
     for name in table.columns:
