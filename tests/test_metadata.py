@@ -129,3 +129,27 @@ def test_order_over_files(spark, tmp_path, suffix):
     table = read_translations(spark, path, "traduccion", "variable", positions=True)
     assert translate.last_names(table, "variable", "traduccion").first()["name"] == "last" * 5000
     assert translate.first_description(table, "variable").first()["traduccion"] == "first"
+
+
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_catalog_pages_are_the_lists(spark, size):
+    """Pages in order give the list of each catalogue, one of which has half of all entries; no page is longer than asked."""
+    rows = [(f"Cat {'Uno' if i % 2 else i % 7}", i // 3, str(i), None if i % 14 in (0, 7) else f"c{i}", "d" if i % 14 else None) for i in range(400)]
+    rows += [("Cat Nada", 1, "1", None, None), ("Cat Nada", 2, None, None, None), ("Cat Uno", None, None, "z", None)] * 2
+    schema = "catalog string, pos bigint, clave string, clasificacion string, descripcion string"
+    catalogs = spark.createDataFrame(rows, schema).repartition(6)
+    whole = {r.catalog: (r.labels, r["keys"]) for r in metadata.catalog_lists(catalogs).collect()}
+    labels, keys = {c: [] for c in whole}, {c: [] for c in whole}
+    pages = sorted(metadata.catalog_pages(catalogs, size).collect(), key=lambda r: (r.catalog, r.page))
+    for r in pages:
+        labels[r.catalog] += r.labels
+        keys[r.catalog] += r["keys"]
+        assert 0 < len(r["keys"]) <= size
+    assert whole == {c: (labels[c], keys[c]) for c in whole}
+    assert [r.page for r in pages if r.catalog == "CATALOGO UNO"] == list(range(-(-len(keys["CATALOGO UNO"]) // size)))
+
+
+@pytest.mark.parametrize(("size", "error"), [(0, ValueError), (True, TypeError), ("3", TypeError)])
+def test_page_sizes(spark, size, error):
+    with pytest.raises(error):
+        metadata.catalog_pages(spark.createDataFrame([], "catalog string, pos bigint, clave string, clasificacion string, descripcion string"), size)

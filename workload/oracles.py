@@ -320,6 +320,17 @@ WITH lists AS (
 SELECT c_name AS var, 'CATALOGO CLIENTE ' || c_custkey AS fuente, coalesce(valores, '[]') AS valores,
        coalesce(claves, '[]') AS claves
 FROM customer LEFT JOIN lists ON o_custkey = c_custkey"""
+ORACLES["catalog_lookup_pages"] = """
+WITH placed AS (SELECT *, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 7 AS page FROM orders),
+lists AS (
+  SELECT o_custkey, page, '[' || string_agg('''' || o_orderkey || '''', ', ' ORDER BY o_orderkey) || ']' AS claves,
+         '[' || string_agg(CASE WHEN o_custkey >= 500 THEN '''' || o_orderpriority || ''''
+                                WHEN o_custkey >= 100 THEN '"' || o_orderstatus || '''s"' END,
+                           ', ' ORDER BY o_orderkey) || ']' AS valores
+  FROM placed GROUP BY o_custkey, page)
+SELECT c_name AS var, 'CATALOGO CLIENTE ' || c_custkey AS fuente, coalesce(page, 0)::BIGINT AS page,
+       coalesce(valores, '[]') AS valores, coalesce(claves, '[]') AS claves
+FROM customer LEFT JOIN lists ON o_custkey = c_custkey"""
 
 ORACLES["normalize_names"] = """
 SELECT p_partkey, 'Cat Arbol ' || p_name || '_' || p_brand || ' Nandu' AS source,

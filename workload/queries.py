@@ -633,9 +633,8 @@ def named_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translate.named(coded, translate.last_names(dictionary, "variable", "traduccion"))
 
 
-@query
-def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalogue per customer with orders; some have both label columns, one or none."""
+def customer_catalogs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Variables, one per customer, and one catalogue per customer with orders; some have both label columns, one or none."""
     orders = table(spark, sf_dir, "orders")
     catalogs = orders.select(
         F.concat(F.lit("Cat Cliénte "), F.col("o_custkey").cast("string")).alias("catalog"),
@@ -648,13 +647,22 @@ def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("var"),
         F.concat(F.lit(" CATÁLOGO: CLIENTE "), F.col("c_custkey").cast("string"), F.lit(":")).alias("fuente"),
     )
+    return rows, catalogs
+
+
+@query
+def catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, catalogs = customer_catalogs(spark, sf_dir)
     found = metadata.with_catalog_values(rows, "fuente", catalogs)
-    return found.select(
-        "var",
-        "fuente",
-        column(metadata.LABELS).alias("valores"),
-        column(metadata.KEYS).alias("claves"),
-    )
+    return found.select("var", "fuente", column(metadata.LABELS).alias("valores"), column(metadata.KEYS).alias("claves"))
+
+
+@query
+def catalog_lookup_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lists, seven entries to a row."""
+    rows, catalogs = customer_catalogs(spark, sf_dir)
+    found = metadata.with_catalog_values(rows, "fuente", catalogs, entries_per_page=7)
+    return found.select("var", "fuente", "page", column(metadata.LABELS).alias("valores"), column(metadata.KEYS).alias("claves"))
 
 
 @query
