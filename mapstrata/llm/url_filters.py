@@ -1,7 +1,8 @@
 """URL filter with redirect equivalence, in DataFrame functions only.
 
 Rules judge single urls; connected components over redirect and canonical-link edges carry block
-decisions to the aliases of a blocked url. Precedence: the url's own rule; else allow if any alias has an
+decisions to the aliases of a blocked url. Of the rules that fit a url the longest counts, of equally long ones an allow rule,
+then the one that sorts last. Precedence: the url's own rule; else allow if any alias has an
 allow rule; else block if any alias has a block rule; else allow.
 
 Null or broken urls have empty host and path, no rule and no alias, so they are allowed. Equal urls get
@@ -11,13 +12,15 @@ than the id, url and html are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mapstrata.llm.components import connected_components
+from mapstrata.operators.joins import bytes_of, joined_with_few
+from mapstrata.session import cut_lineage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,46 +50,45 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(after_scheme(url), "^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def longest_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
-    """struct(text, action) of the longest rule that fits, or null. Cost: labels of the host, not rules."""
-    by_host: dict[str, list[Rule]] = defaultdict(list)
-    for rule in rules:
-        by_host[rule.host].append(rule)
-    if not rules:
-        return F.lit(None).cast("struct<size:int,allow:boolean,text:string>")
-    table = F.create_map(
-        *(
-            x
-            for name, own in by_host.items()
-            for x in (
-                F.lit(name),
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(len(r.text)).alias("size"),
-                            F.lit(r.action == "allow").alias("allow"),
-                            F.lit(r.text).alias("text"),
-                            F.lit(r.path).alias("path"),
-                        )
-                        for r in own
-                    )
-                ),
-            )
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """action, host, path of listed rules: one literal of the plan, however many they are."""
+    text = json.dumps([{"action": r.action, "host": r.host, "path": r.path} for r in rules])
+    kind = "array<struct<action:string,host:string,path:string>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), kind)))
+
+
+def longest_rules(sites: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, path, ``own`` (size, allow and text of the longest rule that fits) of the rows of ``sites`` (host, path) that a rule
+    fits. ``rules``: action, host, path.
+
+    The host's suffixes meet the hosts of rules, and the path's beginnings, of the lengths that a host's rules have, meet the rules, so
+    the work of a url grows with its labels and not with the rules. Rules are broadcast when few, else salted; each
+    distinct site is matched once.
+    """
+    text = F.concat("host", "path")
+    known = cut_lineage(
+        rules.select(
+            F.col("host").alias("suffix"), F.col("path").alias("prefix"),
+            F.struct(F.length(text).alias("size"), (F.col("action") == "allow").alias("allow"), text.alias("text")).alias("rule"),
         )
-    )
-    labels = F.split(host, "\\.")
-    most = max(name.count(".") + 1 for name in by_host)
+        .groupBy("suffix", "prefix")
+        .agg(F.max("rule").alias("rule"))
+    )
+    size = bytes_of(known)
+    hosts = known.groupBy("suffix").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    most = known.agg(F.max(F.size(F.split("suffix", "\\.")))).first()[0] or 0
+    labels = F.split("host", "\\.")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(most), F.size(labels))),
-        lambda k: F.array_join(F.slice(labels, -k, k), "."),
-    )
-    known = F.filter(F.transform(suffixes, lambda s: F.try_element_at(table, s)), lambda r: r.isNotNull())
-    fitting = F.filter(F.flatten(known), lambda r: F.startswith(path, r["path"]))
-    return F.array_max(
-        F.transform(
-            fitting, lambda r: F.struct(r["size"].alias("size"), r["allow"].alias("allow"), r["text"].alias("text"))
-        )
+        F.sequence(F.lit(1), F.least(F.lit(max(most, 1)), F.size(labels))), lambda k: F.array_join(F.slice(labels, -k, k), ".")
     )
+    tried = sites.select("host", "path").distinct().select("host", "path", F.explode(suffixes).alias("suffix"))
+    spread = [F.col("host"), F.col("path")]
+    begun = joined_with_few(tried, hosts, ["suffix"], spread, size=size)
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    cut = begun.select("host", "path", "suffix", F.explode(fitting).alias("n"))
+    cut = cut.select("host", "path", "suffix", F.expr("left(path, n)").alias("prefix"))
+    found = joined_with_few(cut, known, ["suffix", "prefix"], spread, size=size)
+    return found.groupBy("host", "path").agg(F.max("rule").alias("own"))
 
 
 def url_key(url: Column) -> Column:
@@ -140,38 +142,42 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[Rule], redirects: DataFrame | None = None, page_id: str = "page_id"
+    pages: DataFrame, rules: list[Rule] | DataFrame, redirects: DataFrame | None = None, page_id: str = "page_id"
 ) -> DataFrame:
-    """(id, host, path, rule, verdict, propagated) for every row of ``pages``. ``redirects``: further
-    (from_url, to_url) pairs, such as a crawler's redirect log; both ends are judged by the rules."""
+    """(id, host, path, rule, verdict, propagated) for every row of ``pages``. ``rules``: a list, or a table of action, host and
+    path of any size. ``redirects``: further (from_url, to_url) pairs, such as a crawler's redirect log; both ends are judged
+    by the rules. Without canonical links and redirects the verdicts are those of the rules alone."""
+    listed = rules if isinstance(rules, DataFrame) else rule_table(pages.sparkSession, rules)
     links = link_edges(pages)
     if redirects is not None:
         links = links.union(redirects.select("from_url", "to_url"))
     ends = links.select(
         url_key(F.col("from_url")).alias("a"), url_key(F.col("to_url")).alias("b"), "from_url", "to_url"
     ).where("a <> b")
+    ends = cut_lineage(ends)
     groups = connected_components(ends)
 
     named = ends.select(F.col("a").alias("node"), F.col("from_url").alias("u")).union(ends.select("b", "to_url"))
-    ruled = named.select("node", longest_rule(host_of(F.col("u")), path_of(F.col("u")), rules)["allow"].alias("allow"))
-    decided = (
-        ruled.where("allow is not null")
-        .join(groups, "node")
-        .groupBy("component")
-        .agg(F.bool_or("allow").alias("alias_allow"))
+    named = named.select("node", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path")).distinct()
+    judged = pages.select(
+        page_id, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), url_key(F.col("url")).alias("key")
     )
+    own = longest_rules(judged.select("host", "path").union(named.select("host", "path")), listed)
+    own = cut_lineage(own)
+    ruled = named.join(own, ["host", "path"]).select("node", F.col("own.allow").alias("allow"))
+    decided = ruled.join(groups, "node").groupBy("component").agg(F.bool_or("allow").alias("alias_allow"))
     propagated = groups.join(decided, "component").select(F.col("node").alias("key"), "alias_allow")
 
-    judged = pages.select(F.col(page_id), F.col("url")).select(
-        page_id, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), url_key(F.col("url")).alias("key")
-    )
-    judged = judged.withColumn("own", longest_rule(F.col("host"), F.col("path"), rules))
-    allow = F.coalesce(F.col("own")["allow"], F.col("alias_allow"), F.lit(True))
-    return judged.join(propagated, "key", "left").select(
+    # urls without a key have no alias: a name of their own each keeps them from meeting in one task
+    lone = F.concat(F.lit("\0"), F.xxhash64(F.col(page_id), F.rand(0)).cast("string"))
+    placed = judged.withColumn("key", F.coalesce("key", lone))
+    placed = placed.join(own, ["host", "path"], "left").join(propagated, "key", "left")
+    allow = F.coalesce(F.col("own.allow"), F.col("alias_allow"), F.lit(True))
+    return placed.select(
         page_id,
         "host",
         "path",
-        F.col("own")["text"].alias("rule"),
+        F.col("own.text").alias("rule"),
         F.when(allow, "allow").otherwise("block").alias("verdict"),
         (F.col("own").isNull() & F.col("alias_allow").isNotNull()).alias("propagated"),
     )

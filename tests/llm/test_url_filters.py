@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapstrata.llm.components import connected_components
-from mapstrata.llm.queries import URL_RULES
-from mapstrata.llm.url_filters import judge_urls
+from mapstrata.llm.queries import QUERIES, URL_RULES
+from mapstrata.llm.url_filters import Rule, judge_urls, rule_table
 
 
 def brute_components(edges):
@@ -134,3 +134,77 @@ def test_native(spark):
     pages = spark.range(1).select(F.col("id").alias("page_id"), F.lit("http://x").alias("url"), F.lit("").alias("html"))
     plan = judge_urls(pages, URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_verdicts(pages, rules, redirects=()):
+    """Rules by trying all of them, aliases by plain components."""
+
+    def fitting(url):
+        host, path = split_url(url)
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fits, key=lambda r: (len(r.text), r.action == "allow", r.text), default=None)
+
+    def key(url):
+        rest = re.match(r"[^/?#]*([^#]*)", url.split("://", 1)[1], re.S).group(1)
+        return split_url(url)[0] + (rest if rest.startswith("/") else "/" + rest)
+
+    groups = brute_components([(key(a), key(b)) for a, b in redirects])
+    decided = {}
+    for url in {u for pair in redirects for u in pair}:
+        rule = fitting(url)
+        if rule and key(url) in groups:
+            decided[groups[key(url)]] = decided.get(groups[key(url)], False) or rule.action == "allow"
+    out = {}
+    for page_id, url in pages:
+        host, path = split_url(url)
+        rule = fitting(url)
+        alias = decided.get(groups.get(key(url))) if url and "://" in url else None
+        allow = rule.action == "allow" if rule else True if alias is None else alias
+        out[page_id] = (host, path, rule and rule.text, "allow" if allow else "block")
+    return out
+
+
+def test_query_with_edges(spark, tmp_path):
+    """The registered query on the given pages, some of which get a canonical link or a redirect to another one."""
+    given = [(r.page_id, r.url, r.html) for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html").collect()]
+    draw, edges, pages = random.Random(3), [], []
+    whole = [u for _, u, _ in given if u and "://" in u and not set(u) & set("\"'<>& \n")]
+    for page_id, url, html in given:
+        if url in whole and draw.random() < 0.3:
+            to = draw.choice(whole)
+            edges.append((url, to))
+            html = (html or "") + draw.choice(['<link rel="canonical" href="%s">', '<meta http-equiv="refresh" content="0; url=%s">']) % to
+        pages.append((page_id, url, html))
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in QUERIES["op10_url_filters"](spark, str(tmp_path)).collect()}
+    assert found == brute_verdicts([(i, u) for i, u, _ in pages], URL_RULES, edges)
+    assert len(edges) > 20
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_many_rules(spark, monkeypatch, broadcast):
+    """Rules at every depth of host and path, one host with most of them, broadcast and salted."""
+    if not broadcast:
+        monkeypatch.setattr("mapstrata.operators.joins.BROADCAST_BYTES", -1)
+        monkeypatch.setattr("mapstrata.operators.joins.SALTS", 3)
+    draw = random.Random(2)
+    host = lambda: ".".join(draw.choice("abc") for _ in range(draw.randint(1, 4)))
+    path = lambda: "/" + "".join(draw.choice("xy/") for _ in range(draw.randint(0, 5)))
+    rules = [Rule(draw.choice(["allow", "block"]), draw.choice([host(), "a"]), path()) for _ in range(400)]
+    pages = [(i, f"http://{host()}{draw.choice([path(), '', '?q'])}") for i in range(600)] + [(1000, None), (1001, "x"), (1002, "://"), (1003, None)]
+    table = spark.createDataFrame([(i, u, None) for i, u in pages], "page_id long, url string, html string")
+    expected = brute_verdicts(pages, rules)
+    for given in (rules, rule_table(spark, rules).repartition(3)):
+        assert {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judge_urls(table, given).collect()} == expected
+    assert {r.verdict for r in judge_urls(table, []).collect()} == {"allow"}
+
+
+def test_plan_does_not_grow_with_rules(spark):
+    pages = spark.range(20).select(F.col("id").alias("page_id"), F.format_string("http://h%d.net/p%d/x", "id", "id").alias("url"), F.lit("").alias("html"))
+    sizes = []
+    for n in (10, 100_000):
+        rules = [Rule("block", f"h{i}.net", f"/p{i}/") for i in range(n)]
+        judged = judge_urls(pages, rules)
+        sizes.append(len(judged._jdf.queryExecution().optimizedPlan().toString()))
+        assert judged.where("verdict = 'block'").count() == min(n, 20)
+    assert sizes[1] < 2 * sizes[0]
