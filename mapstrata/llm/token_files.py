@@ -7,7 +7,8 @@ task that is repeated writes shards of other names; files that ``keys`` does not
 
 Null texts have no ids but the end id. A null doc_id is a key like any other and comes first. Rows that repeat
 a doc_id are told apart by their ordinal, in order of their texts. Other columns are not read. An empty table
-gives an empty data set. A shard is closed at ``SHARD_BYTES``, so a task holds the index of one shard at most.
+gives an empty data set. A shard is closed at ``SHARD_BYTES`` or ``SHARD_ROWS``, so a task holds the index of one shard at most,
+also of very short documents. Folders of object stores are opened by their own library, under the scheme that it knows.
 """
 
 from __future__ import annotations
@@ -28,10 +29,22 @@ from mapstrata.llm.perfect_hash import PerfectHash
 from mapstrata.llm.tokens import encoder, vocabulary_dtype
 
 SHARD_BYTES = 256 << 20
+SHARD_ROWS = 1_000_000
+# Schemes that Spark and the file library call differently.
+SCHEMES = {"s3a://": "s3://", "s3n://": "s3://"}
 KEYS = "doc_id long, ordinal long, hash long, fingerprint int, shard string, writer int, number int, shard_ids long"
 
 
+def library_uri(folder: str) -> str:
+    """The folder by the name that the file library has for its scheme."""
+    for spark_name, name in SCHEMES.items():
+        if folder.startswith(spark_name):
+            return name + folder.removeprefix(spark_name)
+    return folder
+
+
 def _open(folder: str) -> tuple[pafs.FileSystem, str]:
+    folder = library_uri(folder)
     return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
 
 
@@ -133,7 +146,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
                 if shard is None:
                     shard = _ShardWriter(folder, me, number, kind)
                 shard.add((doc_id, ordinal, *key_of(doc_id, ordinal)), encode(text) + end)
-                if shard.ends[-1] * kind.itemsize >= SHARD_BYTES:
+                if shard.ends[-1] * kind.itemsize >= SHARD_BYTES or len(shard.rows) >= SHARD_ROWS:
                     yield shard.close()
                     shard, number = None, number + 1
         if shard is not None:

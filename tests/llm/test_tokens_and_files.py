@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from mapstrata.llm import packing
+from mapstrata.llm import packing, token_files
 from mapstrata.llm.perfect_hash import PerfectHash
 from mapstrata.llm.queries import QUERIES
 from mapstrata.llm.token_files import ShardReader, key_of, read_token_files, write_token_files
@@ -82,6 +82,21 @@ def test_token_files_round_trip(spark, documents, library):
     assert sorted(found, key=lambda r: r[2]) == expected
 
 
+def test_shards_are_closed_by_rows(spark, documents, library, monkeypatch):
+    monkeypatch.setattr(token_files, "SHARD_ROWS", 7)
+    folder = f"{checkpoint_folder(spark)}/files-short"
+    rows = [(i, "a" * (i % 3), "s") for i in range(100)]
+    write_token_files(documents(rows, parts=1), folder, PATH, 2)
+    assert spark.read.parquet(f"{folder}/keys").groupBy("shard").count().agg({"count": "max"}).first()[0] <= 7
+    found = {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in read_token_files(spark, folder).collect()}
+    assert found == {i: library.encode(t, add_special_tokens=False).ids + [2] for i, t, _ in rows}
+
+
+def test_schemes_of_object_stores():
+    assert token_files.library_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert token_files.library_uri("file:///tmp/s3a://x") == "file:///tmp/s3a://x"
+
+
 def test_keys_that_a_shard_lacks(spark, documents):
     folder = f"{checkpoint_folder(spark)}/files-keys"
     write_token_files(documents([(i, f"text {i}", "a") for i in range(50)]).coalesce(1), folder, PATH, 2)
