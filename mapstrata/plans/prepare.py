@@ -11,6 +11,7 @@ from mapstrata.operators import aggregate, casts, cleaning, columns, gate, trans
 from mapstrata.plans.spec import existing, expect, expect_texts, load_spec, required, required_column
 from mapstrata.session import case_sensitive_names, column, cut_lineage, exact_names, removed, written_once
 from mapstrata.sinks.files import write_dictionary, write_table, write_units
+from mapstrata.sinks.versions import new_version, publish
 from mapstrata.sources import read_metadata, read_microdata
 
 log = logging.getLogger(__name__)
@@ -240,7 +241,8 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -> Prepared:
-    """Read, clean, aggregate and translate as specified, and write both results."""
+    """Read, clean, aggregate and translate as specified, and write both results. With ``carpeta_salida`` their paths are names in
+    that folder, and readers of ``carpeta_salida#name`` get both of one run, also if a later run ends between them."""
     spec = load_spec(spec)
     data_path = required(spec, "ruta_csv_dataset", str)
     metadata_path = required(spec, "ruta_csv_metadatos", str)
@@ -248,6 +250,8 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
     dictionary_path = required(spec, "ruta_salida_diccionario_traducciones", str)
     ids = expect_texts(required(spec, "variables_identificadoras_list"), "variables_identificadoras_list")
     block_specs = required(spec, "variables_a_agrupar", list)
+    folder = spec.get("carpeta_salida")
+    expect(folder, (str, type(None)), "carpeta_salida")
 
     with case_sensitive_names(spark):
         df = read_microdata(spark, data_path, multiline=spec.get("multilinea", True))
@@ -293,9 +297,16 @@ def run_preparation(spark: SparkSession, spec: dict | str, write: bool = True) -
                 removed(spark, copy)
         dictionary = block_dictionaries(preparation, blocks, alias_column, value_alias_column)
         if write:
+            version = None
+            if folder is not None:
+                version = new_version(folder)
+                names = [wide_path, dictionary_path]
+                wide_path, dictionary_path = f"{version}/{wide_path}", f"{version}/{dictionary_path}"
             if long:
                 write_table(wide.orderBy(*[column(i) for i in ids], "code"), wide_path)
             else:
                 write_units(wide, ids, wide_path)
             write_dictionary(dictionary, dictionary_path)
+            if version is not None:
+                publish(folder, version, names)
     return Prepared(wide, dictionary, skipped)

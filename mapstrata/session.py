@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +54,11 @@ def removed(spark: SparkSession, path: str) -> None:
     java.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(java, True)
 
 
+def located(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system of a folder, and the folder's path in it."""
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
 def column(name: str) -> Column:
     """Reference to a column whose name may hold dots, dashes, colons or back-ticks."""
     return F.col(quoted(name))

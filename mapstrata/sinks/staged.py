@@ -23,21 +23,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from mapstrata.session import column, quoted
-from mapstrata.sources.records import READER
+from mapstrata import session
+from mapstrata.session import column, located, quoted
 from mapstrata.sinks.jdbc import create_table_statement, identifier
+from mapstrata.sources.records import READER
 
 # Tasks get the classes below with the job, so executors need no copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(session)
 
 FORMAT = "mapstrata_staged"
 MANIFEST = ".load.json"
 
 
-def _located(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-
-
 @dataclass
 class Staged(WriterCommitMessage):
     """The file of one accepted task attempt; none where the task had no row."""
@@ -55,7 +53,7 @@ class StagedWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Staged:
         task = TaskContext.get()
         name = f"{self.load}-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex}.csv"
-        files, folder = _located(self.folder)
+        files, folder = located(self.folder)
         rows, out = 0, None
         try:
             for batch in iterator:
@@ -71,7 +69,7 @@ class StagedWriter(DataSourceArrowWriter):
         return Staged(name if rows else None, rows)
 
     def commit(self, messages: list[Staged | None]) -> None:
-        files, folder = _located(self.folder)
+        files, folder = located(self.folder)
         accepted = [m for m in messages if m is not None]
         manifest = {"load": self.load, "fields": self.fields, "rows": sum(m.rows for m in accepted), "files": sorted(m.file for m in accepted if m.file)}
         draft = f"{folder}/.{self.load}.draft"
@@ -80,7 +78,7 @@ class StagedWriter(DataSourceArrowWriter):
         files.move(draft, f"{folder}/{self.load}{MANIFEST}")
 
     def abort(self, messages: list[Staged | None]) -> None:
-        files, folder = _located(self.folder)
+        files, folder = located(self.folder)
         for message in messages:
             if message is not None and message.file:
                 files.delete_file(f"{folder}/{message.file}")
@@ -100,7 +98,7 @@ def staged_load(df: DataFrame, folder: str, load: str | None = None) -> str:
     published already is refused, so a driver that starts again can repeat its load."""
     spark = df.sparkSession
     load = load or uuid.uuid4().hex
-    files, path = _located(folder)
+    files, path = located(folder)
     files.create_dir(path)
     if files.get_file_info(f"{path}/{load}{MANIFEST}").type != fs.FileType.NotFound:
         raise ValueError(f"the load {load} is published already")
@@ -113,7 +111,7 @@ def staged_load(df: DataFrame, folder: str, load: str | None = None) -> str:
 
 def published(folder: str) -> list[dict]:
     """Manifests of the published loads of a folder, by name."""
-    files, path = _located(folder)
+    files, path = located(folder)
     found = files.get_file_info(fs.FileSelector(path, allow_not_found=True))
     out = []
     for info in sorted(found, key=lambda i: i.base_name):

@@ -12,6 +12,7 @@ from mapstrata.functions.text import missing_to_null
 from mapstrata.operators.columns import POSITION, drop_index_column
 from mapstrata.operators.gate import Gate, passed_gate, watched
 from mapstrata.session import column, exact_names, written_once
+from mapstrata.sinks.versions import resolved
 from mapstrata.sources.records import READER, read_delimited
 
 CATALOG_COLUMNS = ("catalog", "pos", "clave", "clasificacion", "descripcion")
@@ -27,7 +28,9 @@ def _positioned(table: DataFrame) -> DataFrame:
 @exact_names
 def _read(spark: SparkSession, path: str, splits: bool, positions: bool = False, multiline: bool = True) -> DataFrame:
     """With ``splits`` delimited files of any size, else small ones, of which each is read by one task in its own order.
-    Without ``multiline`` the caller vouches that no cell has a line break, and quotes are not counted."""
+    Without ``multiline`` the caller vouches that no cell has a line break, and quotes are not counted. ``folder#name`` is an
+    output of the version of a folder that counts."""
+    path = resolved(path)
     try:
         if path.rstrip("/").endswith(".parquet"):
             table = spark.read.parquet(path)

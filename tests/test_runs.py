@@ -8,9 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from mapstrata.operators import gate
+from mapstrata.plans import prepare
 from mapstrata.plans.prepare import run_preparation
 from mapstrata.plans.strata import run_stratification
 from mapstrata.session import checkpoint_folder
+from mapstrata.sinks import versions
+from mapstrata.sources import read_scale, read_translations
 
 
 def copies(spark):
@@ -114,3 +117,47 @@ def test_watched_gate_is_the_gate(spark, tmp_path, n):
     observed, outcome = gate.watched(df.where(F.col("k") > 5), variables)
     observed.write.parquet(f"{tmp_path}/u")
     assert outcome().rows == 0 and outcome().passed == variables
+
+
+def test_both_outputs_of_one_run(spark, tmp_path, monkeypatch):
+    """A run that ends between its outputs leaves the pair before it; the next one replaces both; a stratification finds them."""
+    frame, spec = specification(tmp_path, 3)
+    folder = f"{tmp_path}/salida"
+    spec |= {"carpeta_salida": folder, "ruta_salida_dataset": "amplia", "ruta_salida_diccionario_traducciones": "diccionario.parquet"}
+
+    def pair():
+        wide = read_scale(spark, f"{folder}#amplia", ["geo"])
+        names = read_translations(spark, f"{folder}#diccionario.parquet", "traduccion", "variable")
+        return sorted(map(tuple, wide.collect())), sorted(map(tuple, names.collect()))
+
+    with pytest.raises(FileNotFoundError, match="no published output"):
+        pair()
+    run_preparation(spark, spec)
+    first = pair()
+    assert len(first[0]) == frame.geo.nunique() and first[1]
+
+    frame.iloc[:300].to_csv(spec["ruta_csv_dataset"], index=False)
+    with monkeypatch.context() as broken:
+        broken.setattr(prepare, "write_dictionary", lambda *_: (_ for _ in ()).throw(RuntimeError("ended")))
+        with pytest.raises(RuntimeError, match="ended"):
+            run_preparation(spark, spec)
+    assert pair() == first
+    run_preparation(spark, spec)
+    second = pair()
+    assert second != first and second[1] == first[1]
+    assert len(versions.remove_old_versions(folder)) == 2
+    assert pair() == second
+    bins = run_stratification(
+        spark,
+        {
+            "rutas_csv_escalas": {"g": f"{folder}#amplia"},
+            "ruta_csv_diccionario_traducciones": f"{folder}#diccionario.parquet",
+            "columna_diccionario_traducciones_nombres": "traduccion",
+            "columna_diccionario_traducciones_alias": "variable",
+            "variables_identificadoras": ["geo"],
+            "variables_a_procesar_list": {"None": ["conteo::total_datos"]},
+            "q": 3,
+            "ruta_csv_salida": f"{tmp_path}/bins",
+        },
+    )
+    assert bins.where("part = 0").count() == 3

@@ -95,3 +95,21 @@ def test_statements_are_one_transaction(spark, tmp_path):
     assert all(s.startswith('COPY "mapas"."bins" ("id", "a.b", "x", "ok", "d") FROM \'') for s in statements[2:-1])
     with pytest.raises(ValueError, match="not published"):
         load_statements(df, "bins", str(tmp_path), "other")
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """What tasks get can be loaded, and run, where the package is not installed."""
+    from pyspark import cloudpickle
+
+    from mapstrata.sinks.staged import StagedSource, StagedWriter
+    from mapstrata.sources.records import _parts
+
+    (tmp_path / "job").write_bytes(cloudpickle.dumps((_parts, StagedSource, StagedWriter(str(tmp_path), "x", []))))
+    code = (
+        "import pickle, sys; sys.modules['mapstrata'] = None; import pyarrow as pa; "
+        "parts, source, writer = pickle.load(open('job', 'rb')); "
+        "row = pa.RecordBatch.from_arrays([pa.array(['a']), pa.array([1]), pa.array([False]), pa.array([False])], ['value', 'split', 'inside', 'first']); "
+        "print([b.num_rows for b in parts(iter([row]))], source.name()); writer.commit([None])"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=100)
+    assert done.stdout.strip() == "[1] mapstrata_staged", done.stderr[-1500:]
