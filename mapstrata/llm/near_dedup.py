@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from mapstrata.llm.carried import carries_columns
 from mapstrata.llm.components import connected_components
 from mapstrata.llm.storage import release
-from mapstrata.llm.words import Rolling, as_bytes, map_rows, mixed, signed, split_words, word_hashes, worker_state
+from mapstrata.llm.words import Rolling, as_bytes, give_back, map_rows, mixed, signed, split_words, word_hashes, worker_state
 from mapstrata.session import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -195,6 +195,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
             if b != hub:  # pairs of one hub come together
                 hub, known = b, weights(split_words(text_b))
             keep.append(weighted_jaccard(weights(split_words(text_a)), known) >= SIMILARITY)
+        give_back()
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     a, b = (texts.select(F.col("print").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
@@ -259,6 +260,8 @@ def _linking(weights: Weights) -> Callable[[tuple, pa.Table], pa.Table]:
         prints = block.column("print").to_pylist()
         sides = block.column("chunk").to_numpy() == key[2].as_py()
         found = block_links(block.column("text").to_pylist(), block.column("c").to_pylist(), sides, weights)
+        if len(prints) >= BLOCK // 4:  # tables of a large block are many times its texts
+            give_back()
         return pa.table({"a": pa.array([prints[i] for i, _ in found], pa.binary()), "b": pa.array([prints[j] for _, j in found], pa.binary())})
 
     return link

@@ -23,7 +23,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST_CACHED = 200_000
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system, which long-lived workers otherwise keep."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -42,7 +42,7 @@ def worker_state(name: str, build: Callable[[], object]) -> object:
         for other in others:
             delattr(state, other)
         if others:
-            _give_back()
+            give_back()
         setattr(state, name, build())
     return getattr(state, name)
 
