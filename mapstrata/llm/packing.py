@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mapstrata.llm.tokens import encoder, vocabulary_dtype
+from mapstrata.llm.words import give_back
 from mapstrata.session import cut_lineage
 
 CAPACITY, SMALLEST, FAN_IN = 2048, 64, 64
@@ -103,7 +104,10 @@ def _packing_again(level: int, last: bool, capacity: int) -> Callable[[tuple, pa
         for piece in sorted(pieces, key=lambda p: (-p[2], p[0] is None, p[0] or 0, p[1], p[4])):
             rows += classes.add(piece)
         rows += classes.close() if last else classes.left()
-        return pa.Table.from_batches([_with_group(_batch(rows), group)])
+        packed = pa.Table.from_batches([_with_group(_batch(rows), group)])
+        del pieces, rows
+        give_back()
+        return packed
 
     return again
 
@@ -141,6 +145,7 @@ def pack(
         rows += classes.left()
         if rows:
             yield _with_group(_batch(rows), group)
+        give_back()
 
     done = cut_lineage(source.mapInArrow(first, PIECES + ", group long"))
     out = [done.where("sequence_id is not null").drop("group")]
