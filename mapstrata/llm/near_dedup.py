@@ -1,8 +1,9 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
 A document is the weighted set of its five-word shingles: how often one occurs, times the mean inverse document
-frequency of its words. Words in fewer than one of ``1 / COMMON`` documents count as that rare, so only the words in
-more documents need a table, of at most ``1 / COMMON`` times the mean number of distinct words of a document.
+frequency of its words, counted over all documents. Words in more than one of ``1 / COMMON`` documents are a table of at
+most ``1 / COMMON`` times the mean number of distinct words of a document, which every task gets; the counts of all other
+words meet their documents in a join, which no word can skew, and travel with the texts from then on.
 Samples (Ioffe's scheme) fall in ``BANDS`` bands of ``ROWS``; documents that agree on a band are candidates, and a
 link needs an exact weighted Jaccard similarity of ``SIMILARITY`` or more. Classes are connected components.
 
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mapstrata.llm.carried import carries_columns
@@ -34,62 +35,83 @@ from mapstrata.session import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 3, 12
-COMMON = 0.01
+COMMON = 0.01  # share of all documents from which on a word's count is sent to all tasks instead of joined
+BUCKET_BYTES = 16 << 20  # texts that meet the counts of their words in one group of a task
 BLOCK = 256  # texts of a bucket that a task compares with as many others at a time
 BAND_NAMES = [f"band{i}" for i in range(BANDS)]
 
 
-def common_words(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
-    """Sorted hashes and inverse document frequencies of the words in more than ``COMMON`` of all documents, and the
-    value for all other words."""
+def distinct_hashes(text: bytes | None) -> np.ndarray:
+    return np.unique(word_hashes(list(set(split_words(text)))))
+
+
+def common_words(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray, int]:
+    """Number of documents with a word; sorted hashes of the words in more than ``COMMON`` of them, and in how many each
+    one is; bytes of all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n, size = [], 0, 0
+        held, documents, length, size = [], 0, 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = list(set(split_words(text)))
-                n += bool(words)
-                held.append(word_hashes(words))
+                words = distinct_hashes(text)
+                documents += bool(len(words))
+                length += len(text or b"")
+                held.append(words)
                 size += len(words)
                 if size > 1 << 20:  # bounds what a task holds
                     yield summed(held)
                     held, size = [], 0
         held.append(np.zeros(0, np.uint64))
         yield summed(held)
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], ["word", "n"])
+        yield of([None], [documents], [length])
+
+    def of(words: object, n: object, length: object) -> pa.RecordBatch:
+        columns = [pa.array(c, pa.int64()) for c in (words, n, length)]
+        return pa.RecordBatch.from_arrays(columns, ["word", "n", "length"])
 
     def summed(held: list[np.ndarray]) -> pa.RecordBatch:
         words, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(signed(words)), pa.array(n.astype(np.int64))], ["word", "n"])
+        return of(signed(words), n.astype(np.int64), np.zeros(len(n), np.int64))
 
-    counts = cut_lineage(docs.select(as_bytes("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    total = counts.where("word is null").agg(F.sum("n")).first()[0] or 0
-    floor = total * COMMON
-    table = counts.where("word is not null").where(F.col("n") > floor).toPandas()
+    rows = docs.select(as_bytes("text")).mapInArrow(count, "word long, n long, length long")
+    counts = cut_lineage(rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("length").alias("length")))
+    total, length = (counts.where("word is null").select("n", "length").first() or (0, 0))
+    table = counts.where("word is not null").where(F.col("n") > total * COMMON).toPandas()
     words = table["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
-    idf = lambda df: 1 + np.log((total + 1) / (df + 1))
-    return words[order], idf(table["n"].to_numpy(np.float64))[order], float(idf(floor))
+    return total, words[order], table["n"].to_numpy(np.int64)[order], length
 
 
 class Weights:
-    """Weighted shingles of texts, given the words' inverse document frequencies."""
+    """Weighted shingles of texts. Every text comes with the counts of its words that are neither common nor in no other
+    document: their hashes in order, then as many 32-bit counts."""
 
-    def __init__(self, words: np.ndarray, idf: np.ndarray, rare: float) -> None:
-        self.words = np.append(words, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.idf, self.rare = np.append(idf, rare), rare
+    def __init__(self, total: int, words: np.ndarray, n: np.ndarray) -> None:
+        self.total, self.words, self.n = total, words, n
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, words: list[bytes], own: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingles and their weights."""
-        shingles, counts, values = self.counted(words)
+        shingles, counts, values = self.counted(words, own)
         return shingles, counts * values
 
-    def counted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def documents(self, hashes: np.ndarray, own: bytes) -> np.ndarray:
+        """In how many documents each word is."""
+        n = np.ones(len(hashes), np.int64)
+        k = len(own) // 12
+        for known, counts in (
+            (self.words, self.n),
+            (np.frombuffer(own, np.uint64, k), np.frombuffer(own, np.uint32, k, 8 * k)),
+        ):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                n = np.where(known[at] == hashes, counts[at], n)
+        return n
+
+    def counted(self, words: list[bytes], own: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct shingles, how often they occur, and the value of one occurrence."""
         if not words:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
         hashes = word_hashes(words)
-        at = np.searchsorted(self.words[:-1], hashes)
-        idf = np.where(self.words[at] == hashes, self.idf[at], self.rare)
+        idf = 1 + np.log((self.total + 1) / (self.documents(hashes, own) + 1))
         width = min(SHINGLE, len(words))
         shingles = Rolling(hashes).all(width)
         shingles = shingles if len(shingles) else Rolling(hashes).runs(np.array([0]), width)
@@ -99,6 +121,23 @@ class Weights:
         return distinct, n, mean[first]
 
 
+def _other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(row, word, n) for every word of every row of ``docs`` (text, row) that is in several documents, ``n``, and not
+    among the ``common`` ones."""
+
+    def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        held, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for text, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            hashes = distinct_hashes(text)
+            held.append(hashes[~np.isin(hashes, common, assume_unique=True)])
+            rows.append(np.full(len(held[-1]), row, np.int64))
+        columns = [pa.array(np.concatenate(rows)), pa.array(signed(np.concatenate(held)))]
+        yield pa.RecordBatch.from_arrays(columns, ["row", "word"])
+
+    pairs = map_rows(docs.select(as_bytes("text"), "row"), words, "row long, word long")
+    return pairs.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("n > 1")
+
+
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     both = np.minimum(a[1][i], b[1][j]).sum()
@@ -160,30 +199,41 @@ def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, of(F.col("text").cast("binary")))
 
 
-def _signatures(docs: DataFrame, weights: Weights) -> DataFrame:
-    """(doc_id, print, weight, band0...) of every row; only the id where there is no word."""
+def _signatures(docs: DataFrame, weights: Weights, length: int) -> DataFrame:
+    """(doc_id, print, own, weight, band0...) of every row, ``own`` the counts that its ``Weights`` need; only the id where
+    there is no word."""
 
-    def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def sign(left: pa.Table, right: pa.Table) -> pa.Table:
         sampler = worker_state("words sampler", Sampler)
-        prints, totals, bands = [], [], []
-        for text in batch.column(0).to_pylist():
+        row, word, n = (right.column(c).to_numpy() for c in ("row", "word", "n"))
+        order = np.lexsort((word.view(np.uint64), row))
+        row, word, n = row[order], word.view(np.uint64)[order], n[order].astype(np.uint32)
+        names = left.column("row").to_numpy()
+        begins, ends = np.searchsorted(row, names, "left"), np.searchsorted(row, names, "right")
+        prints, tables, totals, bands = [], [], [], []
+        for text, begin, end in zip(left.column("text").to_pylist(), begins, ends):
             words = split_words(text)
             prints.append(fingerprint(words))
+            tables.append(word[begin:end].tobytes() + n[begin:end].tobytes())
             if words:
-                shingles, values = weights(words)
+                shingles, values = weights(words, tables[-1])
                 totals.append(float(values.sum()))
                 bands.append(sampler.bands(shingles, values))
             else:
                 totals.append(0.0)
                 bands.append(np.zeros(BANDS, np.int64))
-        table = np.array(bands, dtype=np.int64).reshape(len(bands), BANDS)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(1), pa.array(prints, pa.binary()), pa.array(totals, pa.float64()), *map(pa.array, np.ascontiguousarray(table.T))],
-            ["doc_id", "print", "weight", *BAND_NAMES],
+        found = np.array(bands, dtype=np.int64).reshape(len(bands), BANDS)
+        return pa.table(
+            [left.column("doc_id"), pa.array(prints, pa.binary()), pa.array(tables, pa.binary()), pa.array(totals, pa.float64()), *map(pa.array, np.ascontiguousarray(found.T))],
+            names=["doc_id", "print", "own", "weight", *BAND_NAMES],
         )
 
-    schema = ", ".join(["doc_id long, print binary, weight double", *(f"{b} long" for b in BAND_NAMES)])
-    return map_rows(docs.select(as_bytes("text"), "doc_id"), rows, schema)
+    schema = ", ".join(["doc_id long, print binary, own binary, weight double", *(f"{b} long" for b in BAND_NAMES)])
+    # the id is part of the name, so that rows of one text are dealt over all buckets; rows of one name share their counts
+    named = docs.select(as_bytes("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", "doc_id").alias("row"))
+    bucket = F.pmod("row", F.lit(1 + length // BUCKET_BYTES)).alias("bucket")
+    counts = _other_words(named, weights.words).select("row", "word", "n", bucket).groupBy("bucket")
+    return named.select("*", bucket).groupBy("bucket").cogroup(counts).applyInArrow(sign, schema)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame:
@@ -191,33 +241,33 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
 
     def rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep, hub, known = [], None, None
-        for b, text_a, text_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b"))):
+        for b, text_a, text_b, own_a, own_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b", "own_a", "own_b"))):
             if b != hub:  # pairs of one hub come together
-                hub, known = b, weights(split_words(text_b))
-            keep.append(weighted_jaccard(weights(split_words(text_a)), known) >= SIMILARITY)
+                hub, known = b, weights(split_words(text_b), own_b)
+            keep.append(weighted_jaccard(weights(split_words(text_a), own_a), known) >= SIMILARITY)
         give_back()
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    a, b = (texts.select(F.col("print").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    a, b = (texts.select(F.col("print").alias(x), F.col("text").alias(f"text_{x}"), F.col("own").alias(f"own_{x}")) for x in "ab")
     full = pairs.join(a, "a").join(b, "b")
-    return map_rows(full.select("a", "b", "text_a", "text_b"), rows, "a binary, b binary")
+    return map_rows(full.select("a", "b", "text_a", "text_b", "own_a", "own_b"), rows, "a binary, b binary")
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(print, text) of the ``wanted`` (print, doc_id) rows, one per print."""
+    """(print, text, own) of the ``wanted`` (print, doc_id, own) rows, one per print."""
     keyed = with_fingerprint(docs.select("doc_id", "text"), "print").where("print is not null")
-    wanted = wanted.select(F.col("print").alias("__p"), F.col("doc_id").alias("__d"))
+    wanted = wanted.select(F.col("print").alias("__p"), F.col("doc_id").alias("__d"), "own")
     found = keyed.join(wanted, (F.col("print") == F.col("__p")) & F.col("doc_id").eqNullSafe(F.col("__d")))
-    return found.select("print", F.col("text").cast("binary").alias("text")).dropDuplicates(["print"])
+    return found.select("print", F.col("text").cast("binary").alias("text"), "own").dropDuplicates(["print"])
 
 
-def block_links(texts: list[bytes], classes: list, sides: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
+def block_links(texts: list[bytes], owns: list[bytes], classes: list, sides: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
     """Links that join classes of one block: a spanning set of the similar pairs, one from either side of the block (or
     any, where it has one side only). Intersections of all pairs come from products of a few thousand shingles at
     a time; the second occurrence of a shingle in a text is a feature of its own, so that sums of minima are exact."""
     features, rows, values, totals = [], [], [], np.zeros(len(texts))
-    for row, text in enumerate(texts):
-        shingles, counts, value = weights.counted(split_words(text))
+    for row, (text, own) in enumerate(zip(texts, owns)):
+        shingles, counts, value = weights.counted(split_words(text), own)
         totals[row] = float((counts * value).sum())
         levels = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         features.append(mixed(np.repeat(shingles, counts) + mixed(levels)))
@@ -259,7 +309,8 @@ def _linking(weights: Weights) -> Callable[[tuple, pa.Table], pa.Table]:
     def link(key: tuple, block: pa.Table) -> pa.Table:
         prints = block.column("print").to_pylist()
         sides = block.column("chunk").to_numpy() == key[2].as_py()
-        found = block_links(block.column("text").to_pylist(), block.column("c").to_pylist(), sides, weights)
+        texts, owns, classes = (block.column(c).to_pylist() for c in ("text", "own", "c"))
+        found = block_links(texts, owns, classes, sides, weights)
         if len(prints) >= BLOCK // 4:  # tables of a large block are many times its texts
             give_back()
         return pa.table({"a": pa.array([prints[i] for i, _ in found], pa.binary()), "b": pa.array([prints[j] for _, j in found], pa.binary())})
@@ -298,14 +349,20 @@ def _with_classes(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Data
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, print, class_id, first_print) for every row of ``docs``. ``class_id`` is the smallest doc_id of the
     class; ``first_print`` the print of the text that stands for it."""
-    weights = Weights(*common_words(docs))
-    rows = cut_lineage(_signatures(docs, weights))
+    *known, length = common_words(docs)
+    weights = Weights(*known)
+    rows = cut_lineage(_signatures(docs, weights, length))
     texts = rows.where("print is not null").groupBy("print").agg(
         F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), *(F.first(b).alias(b) for b in BAND_NAMES)
     )
     texts = cut_lineage(texts)
     named = texts.select("print", "doc_id")
     members = _buckets(texts)
+    owns = rows.select(F.col("print").alias("__q"), F.col("doc_id").alias("__i"), "own")
+
+    def with_own(wanted: DataFrame) -> DataFrame:
+        match = (F.col("print") == F.col("__q")) & F.col("doc_id").eqNullSafe(F.col("__i"))
+        return wanted.join(owns, match).dropDuplicates(["print"]).select("print", "doc_id", "own")
 
     # first every text of a bucket with its hub
     near = F.least("weight", "hub_weight") >= SIMILARITY * 0.999999 * F.greatest("weight", "hub_weight")
@@ -313,7 +370,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = members.where("print <> hub").select("print", "hub", "weight").distinct().join(hub_weight, "hub")
     star = cut_lineage(star.where(near).select(F.col("print").alias("a"), F.col("hub").alias("b")))
     involved = star.select(F.col("a").alias("print")).union(star.select("b")).distinct().join(named, "print")
-    links = cut_lineage(_verified(star, _texts_of(docs, involved), weights))
+    links = cut_lineage(_verified(star, _texts_of(docs, with_own(involved)), weights))
     release(docs.sparkSession)
     classes, placed = _with_classes(members, links)
 
@@ -323,7 +380,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     still_open = cut_lineage(still_open)
     if not still_open.isEmpty():
         involved = still_open.select("print").distinct().join(named, "print")
-        more = cut_lineage(_links_within(still_open, _texts_of(docs, involved), weights))
+        more = cut_lineage(_links_within(still_open, _texts_of(docs, with_own(involved)), weights))
         release(docs.sparkSession)
         if not more.isEmpty():
             classes, _ = _with_classes(members, links.union(more))

@@ -173,7 +173,7 @@ def brute_classes(rows):
     n = sum(bool((t or "").split()) for _, t in rows)
     df = collections.Counter(w for _, t in rows for w in set((t or "").encode().split()))
     idf = lambda k: 1 + np.log((n + 1) / (k + 1))
-    value = {w: idf(max(k, n * near_dedup.COMMON)) for w, k in df.items()}
+    value = {w: idf(k) for w, k in df.items()}
     sets = []
     for words in texts:
         width = min(5, len(words))
