@@ -1,9 +1,9 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
 A document is the weighted set of its five-word shingles: how often one occurs, times the mean inverse document
-frequency of its words, counted over all documents. Words in more than one of ``1 / COMMON`` documents are a table of at
-most ``1 / COMMON`` times the mean number of distinct words of a document, which every task gets; the counts of all other
-words meet their documents in a join, which no word can skew, and travel with the texts from then on.
+frequency of its words, counted over all documents. The counts of the most frequent words are a table of at most
+``TABLE`` words, which every task gets: all words that make up more than one of ``TABLE`` pairs of a document and a word.
+The others' counts meet their documents in a shuffle, which none of them can skew, and travel with the texts from then on.
 Samples (Ioffe's scheme) fall in ``BANDS`` bands of ``ROWS``; documents that agree on a band are candidates, and a
 link needs an exact weighted Jaccard similarity of ``SIMILARITY`` or more. Classes are connected components.
 
@@ -35,7 +35,7 @@ from mapstrata.session import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
 ROWS, BANDS = 3, 12
-COMMON = 0.01  # share of all documents from which on a word's count is sent to all tasks instead of joined
+TABLE = 1 << 22  # most words whose counts every task gets, of 16 bytes each
 BUCKET_BYTES = 16 << 20  # texts that meet the counts of their words in one group of a task
 BLOCK = 256  # texts of a bucket that a task compares with as many others at a time
 BAND_NAMES = [f"band{i}" for i in range(BANDS)]
@@ -46,8 +46,8 @@ def distinct_hashes(text: bytes | None) -> np.ndarray:
 
 
 def common_words(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray, int]:
-    """Number of documents with a word; sorted hashes of the words in more than ``COMMON`` of them, and in how many each
-    one is; bytes of all texts."""
+    """Number of documents with a word; sorted hashes of the at most ``TABLE`` most frequent words, and in how many
+    documents each one is; bytes of all texts."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, documents, length, size = [], 0, 0, 0
         for batch in batches:
@@ -75,12 +75,22 @@ def common_words(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray, int]:
     rows = docs.select(as_bytes("text")).mapInArrow(count, "word long, n long, length long")
     counts = cut_lineage(rows.groupBy("word").agg(F.sum("n").alias("n"), F.sum("length").alias("length")))
     total, length = (counts.where("word is null").select("n", "length").first() or (0, 0))
-    table = counts.where("word is not null").where(F.col("n") > total * COMMON).toPandas()
+    counts = counts.where("word is not null").select("word", "n")
+    pairs = counts.agg(F.sum("n")).first()[0] or 0
+    table = counts.where(F.col("n") * TABLE > pairs).toPandas()  # fewer than TABLE, as no more fit in all pairs
     words = table["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
     return total, words[order], table["n"].to_numpy(np.int64)[order], length
 
 
+def places(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each hash stands among the sorted ``known`` ones, and whether it does."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return at, known[at] == hashes
+
+
 class Weights:
     """Weighted shingles of texts. Every text comes with the counts of its words that are neither common nor in no other
     document: their hashes in order, then as many 32-bit counts."""
@@ -95,15 +105,13 @@ class Weights:
 
     def documents(self, hashes: np.ndarray, own: bytes) -> np.ndarray:
         """In how many documents each word is."""
+        at, common = places(self.words, hashes)
         n = np.ones(len(hashes), np.int64)
-        k = len(own) // 12
-        for known, counts in (
-            (self.words, self.n),
-            (np.frombuffer(own, np.uint64, k), np.frombuffer(own, np.uint32, k, 8 * k)),
-        ):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                n = np.where(known[at] == hashes, counts[at], n)
+        n[common] = self.n[at[common]]
+        if own:
+            k = len(own) // 12
+            at, found = places(np.frombuffer(own, np.uint64, k), hashes)
+            n[found] = np.frombuffer(own, np.uint32, k, 8 * k)[at[found]]
         return n
 
     def counted(self, words: list[bytes], own: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -126,13 +134,11 @@ def _other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
     among the ``common`` ones."""
 
     def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        held, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for text, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            hashes = distinct_hashes(text)
-            held.append(hashes[~np.isin(hashes, common, assume_unique=True)])
-            rows.append(np.full(len(held[-1]), row, np.int64))
-        columns = [pa.array(np.concatenate(rows)), pa.array(signed(np.concatenate(held)))]
-        yield pa.RecordBatch.from_arrays(columns, ["row", "word"])
+        held = [distinct_hashes(text) for text in batch.column(0).to_pylist()]
+        rows = np.repeat(batch.column(1).to_numpy(), [len(hashes) for hashes in held])
+        hashes = np.concatenate([np.zeros(0, np.uint64), *held])
+        other = ~places(common, hashes)[1]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[other]), pa.array(signed(hashes[other]))], ["row", "word"])
 
     pairs = map_rows(docs.select(as_bytes("text"), "row"), words, "row long, word long")
     return pairs.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("word"))).where("n > 1")

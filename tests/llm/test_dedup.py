@@ -230,8 +230,11 @@ def near_rows(seed):
     return rows + [(900, None), (901, ""), (902, " \n"), (None, rows[4][1]), (None, "only here without id"), (903, "z " * 9000), (904, "z " * 9100), rows[6], (6, rows[9][1])]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_near_duplicates(spark, documents, seed):
+@pytest.mark.parametrize("seed, table", [(0, 1 << 22), (1, 1 << 22), (2, 300), (3, 0)])
+def test_near_duplicates(spark, documents, monkeypatch, seed, table):
+    """Counts of words in a table, some of them, and all of them with the texts."""
+    monkeypatch.setattr(near_dedup, "TABLE", table)
+    monkeypatch.setattr(near_dedup, "BUCKET_BYTES", 20_000)
     rows = near_rows(seed)
     found = near_dedup.near_duplicates(documents([(i, t, "s") for i, t in rows])).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)
@@ -248,7 +251,9 @@ def test_one_of_each_class_stays(spark, documents):
     assert ids.keys() == classes | {900, 901, 902} and max(ids.values()) == 1
 
 
-def test_query_near_duplicates(spark):
+@pytest.mark.parametrize("table", [1 << 22, 2000])
+def test_query_near_duplicates(spark, monkeypatch, table):
+    monkeypatch.setattr(near_dedup, "TABLE", table)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
     found = {(r.doc_id, r.class_id) for r in QUERIES["op1_near_dedup"](spark, SF_DIR).collect()}
     assert found == set(brute_classes(rows))
