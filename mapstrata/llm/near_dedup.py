@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from mapstrata.llm.carried import carries_columns
 from mapstrata.llm.components import connected_components
 from mapstrata.llm.storage import release
-from mapstrata.llm.words import Rolling, as_bytes, give_back, map_rows, mixed, signed, split_words, word_hashes, worker_state
+from mapstrata.llm.words import Rolling, as_bytes, give_back, map_rows, mixed, signed, split_words, worker_state
 from mapstrata.session import cut_lineage
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -41,8 +41,32 @@ BLOCK = 256  # texts of a bucket that a task compares with as many others at a t
 BAND_NAMES = [f"band{i}" for i in range(BANDS)]
 
 
-def distinct_hashes(text: bytes | None) -> np.ndarray:
-    return np.unique(word_hashes(list(set(split_words(text)))))
+# Whether a byte is part of a word; numbers that stand for a byte (none for blanks) and for a place in a word.
+SOLID = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+BYTES, PLACES = mixed(np.arange(1, 257, dtype=np.uint64)) * SOLID, mixed(np.arange(1001, 1257, dtype=np.uint64)) | np.uint64(1)
+
+
+def words_of(text: bytes | None) -> np.ndarray:
+    """64-bit hashes of the words of a text: sums of products of byte and place, of all words at once."""
+    data = np.frombuffer(text or b"", np.uint8)
+    solid = SOLID.take(data)
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    starts = np.flatnonzero(begins)
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = np.diff(starts, append=len(data))  # with the blanks behind a word, which add nothing
+    longest = lengths.max()
+    places = PLACES if longest <= len(PLACES) else mixed(np.arange(1001, 1001 + longest, dtype=np.uint64)) | np.uint64(1)
+    at = np.arange(starts[0], len(data))
+    at -= np.repeat(starts, lengths)
+    products = BYTES.take(data[starts[0] :])
+    products *= places.take(at)
+    return mixed(np.add.reduceat(products, starts - starts[0]))
+
+
+def distinct_words(text: bytes | None) -> np.ndarray:
+    return np.unique(words_of(text))
 
 
 def common_words(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray, int]:
@@ -52,7 +76,7 @@ def common_words(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray, int]:
         held, documents, length, size = [], 0, 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = distinct_hashes(text)
+                words = distinct_words(text)
                 documents += bool(len(words))
                 length += len(text or b"")
                 held.append(words)
@@ -98,7 +122,7 @@ class Weights:
     def __init__(self, total: int, words: np.ndarray, n: np.ndarray) -> None:
         self.total, self.words, self.n = total, words, n
 
-    def __call__(self, words: list[bytes], own: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, words: np.ndarray, own: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingles and their weights."""
         shingles, counts, values = self.counted(words, own)
         return shingles, counts * values
@@ -114,15 +138,14 @@ class Weights:
             n[found] = np.frombuffer(own, np.uint32, k, 8 * k)[at[found]]
         return n
 
-    def counted(self, words: list[bytes], own: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counted(self, words: np.ndarray, own: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct shingles, how often they occur, and the value of one occurrence."""
-        if not words:
+        if not len(words):
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
-        hashes = word_hashes(words)
-        idf = 1 + np.log((self.total + 1) / (self.documents(hashes, own) + 1))
+        idf = 1 + np.log((self.total + 1) / (self.documents(words, own) + 1))
         width = min(SHINGLE, len(words))
-        shingles = Rolling(hashes).all(width)
-        shingles = shingles if len(shingles) else Rolling(hashes).runs(np.array([0]), width)
+        shingles = Rolling(words).all(width)
+        shingles = shingles if len(shingles) else Rolling(words).runs(np.array([0]), width)
         sums = np.concatenate([[0.0], np.cumsum(idf)])
         mean = (sums[width:] - sums[:-width]) / width
         distinct, first, n = np.unique(shingles, return_index=True, return_counts=True)
@@ -134,7 +157,7 @@ def _other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
     among the ``common`` ones."""
 
     def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        held = [distinct_hashes(text) for text in batch.column(0).to_pylist()]
+        held = [distinct_words(text) for text in batch.column(0).to_pylist()]
         rows = np.repeat(batch.column(1).to_numpy(), [len(hashes) for hashes in held])
         hashes = np.concatenate([np.zeros(0, np.uint64), *held])
         other = ~places(common, hashes)[1]
@@ -217,17 +240,15 @@ def _signatures(docs: DataFrame, weights: Weights, length: int) -> DataFrame:
         names = left.column("row").to_numpy()
         begins, ends = np.searchsorted(row, names, "left"), np.searchsorted(row, names, "right")
         prints, tables, totals, bands = [], [], [], []
+        known = {None: (0.0, np.zeros(BANDS, np.int64))}  # by print: texts of equal words are signed once a group
         for text, begin, end in zip(left.column("text").to_pylist(), begins, ends):
-            words = split_words(text)
-            prints.append(fingerprint(words))
+            prints.append(fingerprint(split_words(text)))
             tables.append(word[begin:end].tobytes() + n[begin:end].tobytes())
-            if words:
-                shingles, values = weights(words, tables[-1])
-                totals.append(float(values.sum()))
-                bands.append(sampler.bands(shingles, values))
-            else:
-                totals.append(0.0)
-                bands.append(np.zeros(BANDS, np.int64))
+            if prints[-1] not in known:
+                shingles, values = weights(words_of(text), tables[-1])
+                known[prints[-1]] = float(values.sum()), sampler.bands(shingles, values)
+            totals.append(known[prints[-1]][0])
+            bands.append(known[prints[-1]][1])
         found = np.array(bands, dtype=np.int64).reshape(len(bands), BANDS)
         return pa.table(
             [left.column("doc_id"), pa.array(prints, pa.binary()), pa.array(tables, pa.binary()), pa.array(totals, pa.float64()), *map(pa.array, np.ascontiguousarray(found.T))],
@@ -249,8 +270,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
         keep, hub, known = [], None, None
         for b, text_a, text_b, own_a, own_b in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b", "own_a", "own_b"))):
             if b != hub:  # pairs of one hub come together
-                hub, known = b, weights(split_words(text_b), own_b)
-            keep.append(weighted_jaccard(weights(split_words(text_a), own_a), known) >= SIMILARITY)
+                hub, known = b, weights(words_of(text_b), own_b)
+            keep.append(weighted_jaccard(weights(words_of(text_a), own_a), known) >= SIMILARITY)
         give_back()
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -273,7 +294,7 @@ def block_links(texts: list[bytes], owns: list[bytes], classes: list, sides: np.
     a time; the second occurrence of a shingle in a text is a feature of its own, so that sums of minima are exact."""
     features, rows, values, totals = [], [], [], np.zeros(len(texts))
     for row, (text, own) in enumerate(zip(texts, owns)):
-        shingles, counts, value = weights.counted(split_words(text), own)
+        shingles, counts, value = weights.counted(words_of(text), own)
         totals[row] = float((counts * value).sum())
         levels = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         features.append(mixed(np.repeat(shingles, counts) + mixed(levels)))

@@ -259,6 +259,19 @@ def test_query_near_duplicates(spark, monkeypatch, table):
     assert found == set(brute_classes(rows))
 
 
+def test_hashes_of_words():
+    draw = random.Random(4)
+    texts = [bytes(draw.choice(b"ab\xc3\xa9 \t\n\x0b\r\x1c\x00") for _ in range(draw.randrange(40))) for _ in range(500)]
+    texts += [b"x" * 1000 + b" " + b"x" * 999, b"", b" ", b"a" * 300]
+    known = {}
+    for text in texts:
+        hashes = near_dedup.words_of(text).tolist()
+        assert len(hashes) == len(text.split())
+        for word, value in zip(text.split(), hashes):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known) > 500 and not len(near_dedup.words_of(None))
+
+
 def test_samples_estimate_weighted_similarity():
     draw = np.random.default_rng(3)
     sampler = near_dedup.Sampler()
