@@ -85,3 +85,18 @@ def test_integers_in_long_form_are_exact(spark):
     }
     means = aggregate.numeric_wide(df, ["u"], ["a"], "media").collect()
     assert {r.u: r["media::a"] for r in means} == {"1": float(total) / 2, "2": 1.0}
+
+
+def test_integer_sums_beyond_64_bits(spark):
+    """A column of sums is wider than 64 bits if one of them needs it, and only then."""
+    big = 2**63 - 1
+    rows = [("1", str(big), big, 1), ("1", "18446744073709551615", big, 2), ("2", "5", -big, 3), ("2", None, -2, 4), ("3", None, None, 5)]
+    df = spark.createDataFrame(rows, "u string, a string, b bigint, c int")
+    wide = aggregate.numeric_wide(df, ["u"], ["a", "b", "c"], "suma")
+    assert [t for _, t in wide.dtypes] == ["string", "decimal(38,0)", "decimal(38,0)", "bigint"]
+    found = {r.u: (r["suma::a"], r["suma::b"], r["suma::c"]) for r in wide.collect()}
+    assert found == {"1": (big + 2**64 - 1, 2 * big, 3), "2": (5, -big - 2, 7), "3": (0, 0, 5)}
+    edges = spark.createDataFrame([("1", big - 1), ("1", 1), ("2", -big), ("2", -1)], "u string, b bigint")
+    fitting = aggregate.numeric_wide(edges, ["u"], ["b"], "suma")
+    assert fitting.dtypes == [("u", "string"), ("suma::b", "bigint")]
+    assert {r.u: r["suma::b"] for r in fitting.collect()} == {"1": big, "2": -big - 1}
