@@ -239,9 +239,13 @@ def numeric_blocks(
 @exact_names
 def lengthened(wide: DataFrame, ids: list[str], codes: list[str], exact: bool = False) -> DataFrame:
     """Wide aggregates to ids, code, value; missing values have no row. With ``exact`` a column ``whole`` has the value of integer
-    columns as it is, since a double holds integers up to 2**53 only; it is null for other numbers."""
-    integers = {f.name for f in wide.schema if isinstance(f.dataType, T.IntegralType)}
-    whole = [(column(c) if c in integers else F.lit(None)).cast("bigint").alias(WHOLE) for c in codes]
+    columns as it is, since a double holds integers up to 2**53 only; it is null for other numbers. It is of 64 bits unless one
+    of those columns is wider."""
+    types = {f.name: f.dataType for f in wide.schema}
+    wider = {c for c in codes if types[c] == T.DecimalType(38, 0)}
+    integers = {c for c in codes if isinstance(types[c], T.IntegralType)} | wider
+    held = WIDE_INTEGER if wider else "bigint"
+    whole = [(column(c) if c in integers else F.lit(None)).cast(held).alias(WHOLE) for c in codes]
     pairs = [
         F.struct(F.lit(c).alias("code"), column(c).cast("double").alias("value"), *([w] if exact else []))
         for c, w in zip(codes, whole)

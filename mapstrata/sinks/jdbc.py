@@ -15,6 +15,7 @@ DATABASE_TYPES = {
     T.ShortType: "INTEGER",
     T.IntegerType: "INTEGER",
     T.LongType: "BIGINT",
+    T.DecimalType: "NUMERIC",
     T.FloatType: "FLOAT",
     T.DoubleType: "FLOAT",
     T.BooleanType: "BOOLEAN",

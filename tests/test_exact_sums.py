@@ -8,6 +8,7 @@ import pytest
 
 from mapstrata.operators import aggregate
 from mapstrata.operators.exact_sums import exact_sums
+from mapstrata.plans.prepare import Block, Preparation, aggregate_blocks_long
 
 
 def nearest(fraction):
@@ -100,3 +101,15 @@ def test_integer_sums_beyond_64_bits(spark):
     fitting = aggregate.numeric_wide(edges, ["u"], ["b"], "suma")
     assert fitting.dtypes == [("u", "string"), ("suma::b", "bigint")]
     assert {r.u: r["suma::b"] for r in fitting.collect()} == {"1": big, "2": -big - 1}
+
+
+def test_long_form_with_sums_beyond_64_bits(spark):
+    """Counts and smaller sums stand beside sums that need more than 64 bits."""
+    df = spark.createDataFrame([("1", "x", 2**62, 1), ("1", "y", 2**62, 2), ("1", "x", 2**62 + 1, 3)], "u string, v string, a bigint, b int")
+    total = 3 * 2**62 + 1
+    sums = aggregate.numeric_long(df, ["u"], ["a", "b"], "suma", exact=True)
+    assert {r.code: (r.value, r.whole) for r in sums.collect()} == {"suma::a": (float(total), total), "suma::b": (6.0, 6)}
+    metadata = spark.createDataFrame([("v", "[]")], "var string, valores string")
+    blocks = [Block(["v"], None), Block(["a"], "suma")]
+    long, _ = aggregate_blocks_long(Preparation(df, metadata, "var", "valores"), ["u"], blocks, exact=True)
+    assert {r.code: r.whole for r in long.collect()} == {"conteo::total_datos": 3, "suma::a": total, "v-x": 2, "v-y": 1}
