@@ -29,16 +29,15 @@ from mapstrata.session import column, cut_lineage
 # Groups proven to have no more rows than this are sorted as one array each.
 SMALL_GROUP = 50_000
 
-# Groups with more rows than this are cut in slices of about this many rows each.
-LARGE_GROUP = 5_000_000
+# Groups with more rows than this are cut in slices of about this many rows, divided by FINER, each: the finer they are, the
+# fewer rows share a slice with a wanted rank, and only those are moved and held to be ranked.
+LARGE_GROUP = 500_000
+FINER = 8
 
 # Most slices a group is cut in at a time, and the accuracy of the cuts between them.
 MOST_SLICES = 1024
 CUT_ACCURACY = 10 * MOST_SLICES
 
-# Cuts of a group are searched in blocks of this many.
-CUT_BLOCK = 32
-
 # Up to this many large groups (out of at least LARGE_GROUP times as many rows) their cuts are
 # broadcast; more of them are joined with salted keys.
 BROADCAST_GROUPS = 100_000
@@ -124,14 +123,14 @@ def _joined(rows: DataFrame, few: DataFrame, keys: list[str], x: Column, count:
 
 
 def _cuts(rows: DataFrame, large: DataFrame, count: int, keys: list[str], x: Column) -> DataFrame:
-    """keys, ``_n``, ``_base``, ``_cuts`` and every CUT_BLOCK-th of them in ``_blocks``, for each large piece.
+    """keys, ``_n``, ``_base`` and the ascending ``_cuts``, for each large piece.
 
     A piece gets as many slices as its size asks for, so all cuts together are at most as many as
-    the table has rows, divided by LARGE_GROUP.
+    the table has rows, divided by LARGE_GROUP and times FINER, and one a piece.
     """
     groups = [column(key) for key in keys]
     levels = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
-    slices = F.least(F.ceil(F.col("_held") / LARGE_GROUP), F.lit(MOST_SLICES)).cast("int")
+    slices = F.least(F.ceil(F.col("_held") * FINER / LARGE_GROUP), F.lit(MOST_SLICES)).cast("int")
     picked = F.transform(
         F.sequence(F.lit(1), slices - 1),
         lambda i: F.get("_levels", F.floor(i * MOST_SLICES / slices).cast("int") - 1),
@@ -143,18 +142,17 @@ def _cuts(rows: DataFrame, large: DataFrame, count: int, keys: list[str], x: Col
         .agg(F.percentile_approx(x, levels, CUT_ACCURACY).alias("_levels"))
         .select(*groups, "_n", "_base", F.array_distinct(picked).alias("_cuts"))
     )
-    return cut_lineage(
-        cuts.withColumn("_blocks", F.filter("_cuts", lambda _, i: (i + 1) % CUT_BLOCK == 0))
-    )
+    return cut_lineage(cuts)
 
 
-def _slice_of(x: Column) -> Column:
-    """Number of cuts below a value: whole blocks first, then within the block; 0 without cuts."""
-    blocks = F.size(F.filter("_blocks", lambda cut: cut < x))
-    rest = F.slice("_cuts", blocks * CUT_BLOCK + 1, CUT_BLOCK)
-    return F.when(F.col("_cuts").isNull(), 0).otherwise(
-        blocks * CUT_BLOCK + F.size(F.filter(rest, lambda cut: cut < x))
-    )
+def _located(rows: DataFrame, x: Column) -> DataFrame:
+    """``rows`` with ``_inner``, the number of cuts below the value, 0 without cuts. It is found by halving in plain generated
+    code, one column a step, since each step uses the one before more than once."""
+    located = rows.withColumn("_inner", F.lit(0))
+    for bit in reversed(range(MOST_SLICES.bit_length())):
+        further = F.col("_inner") + (1 << bit)
+        located = located.withColumn("_inner", F.when(F.get("_cuts", further - 1) < x, further).otherwise(F.col("_inner")))
+    return located
 
 
 def _wanted_slices(
@@ -167,7 +165,7 @@ def _wanted_slices(
     ``_n`` (rows of its group), ``_base`` (rows of the group below it).
     """
     groups, at = [column(key) for key in keys], [*keys, "_slice"]
-    located = _joined(rows, _cuts(rows, large, count, at, x), at, x, count).withColumn("_inner", _slice_of(x))
+    located = _located(_joined(rows, _cuts(rows, large, count, at, x), at, x, count), x)
 
     piece = Window.partitionBy(*groups, "_slice")
     ahead = F.sum("_held").over(piece.orderBy("_inner").rowsBetween(Window.unboundedPreceding, -1))

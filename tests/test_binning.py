@@ -119,6 +119,23 @@ def test_slices_cover_a_group_evenly(spark, monkeypatch):
     assert kept.select("_slice").distinct().count() == 1
 
 
+def test_rows_held_to_rank_a_group_stay_few(spark, monkeypatch):
+    """However large a group is, the rows that are moved and sorted for seven bins do not grow with it."""
+    kept, wanted = [], order_stats._wanted_slices
+
+    def counted(*args):
+        kept.append(wanted(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(order_stats, "_wanted_slices", counted)
+    for size in (1_500_000, 6_000_000):
+        values = spark.range(size).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % size).cast("double").alias("x"))
+        edges = quantile_edges(values, ["g"], "x", 7).first()["edges"]
+        assert np.allclose(edges, np.linspace(0, size - 1, 8), rtol=1e-12)
+    assert len(kept) == 2
+    assert all(0 < rows.count() < 1_000_000 for rows in kept)
+
+
 def test_grid_keeps_empty_intervals(spark):
     values = spark.createDataFrame([("a", 0.0), ("a", 0.0), ("a", 0.0), ("a", 10.0)], "g string, x double")
     grid = bin_grid(quantile_edges(values, ["g"], "x", 10), ["g"], F.lit(False))
