@@ -61,16 +61,24 @@ class Postings:
         """Positions and scores of the ``k`` best, best first. The footrule distance of two prefixes is
         L (L + 1) - 2 sum(L - max(rank, rank')) over the pivots of both, so the largest sums are nearest."""
         near = np.flatnonzero(ranks < self.prefix)
-        sums = np.zeros(len(self.ids), dtype=np.int32)
-        for begin in range(0, len(near), 32):  # 32 files add up below 2 ** 15
-            part = np.zeros(len(self.ids), dtype=np.int16)
-            for p in near[begin : begin + 32]:
-                part += np.minimum(self.files[p], self.prefix - ranks[p])
-            sums += part
+        # the ranks of one order differ, so that all files together add up to L (L + 1) / 2 at most
+        sums = np.zeros(len(self.ids), dtype=np.int16 if self.prefix <= 255 else np.int32)
+        level, least = np.empty_like(self.files[0]), np.empty_like(self.files[0])
+        for p, ahead in zip(near.tolist(), (self.prefix - ranks[near]).tolist()):
+            level.fill(ahead)  # the minimum of two arrays takes a quarter of that of an array and a number
+            np.minimum(self.files[p], level, out=least)
+            np.add(sums, least, out=sums)
         keep = max(k, LEAST_RERANKED, int(np.ceil(share * len(sums))))
-        best = np.argpartition(-sums, keep - 1)[:keep] if keep < len(sums) else np.arange(len(sums))
-        best = np.union1d(best, self.always) if len(self.always) else best
+        reranked = np.ones(len(sums), dtype=bool)
+        if keep < len(sums):
+            reranked[:] = False
+            reranked[np.argpartition(-sums.astype(np.int32), keep - 1)[:keep]] = True
+            reranked[self.always] = True
+        best = np.flatnonzero(reranked)
         scores = np.einsum("ij,j->i", self.vectors[best], query)
+        if k < len(scores):  # only what may be among the best is put in order; not a number comes last
+            some = np.flatnonzero(~(-scores > np.partition(-scores, k - 1)[k - 1]))
+            best, scores = best[some], scores[some]
         order = np.lexsort((self.ids[best], -scores))[:k]
         return best[order], scores[order]
 

@@ -53,6 +53,29 @@ def test_no_vectors(spark):
     assert ann.search(df, df).count() == 0
 
 
+@pytest.mark.parametrize(("prefix", "share"), [(20, 0.3), (60, 0.1), (20, 1.0)])
+def test_postings_follow_the_footrule_distance(monkeypatch, prefix, share):
+    """Against sums over ranks written out, with tied scores and vectors that are always reranked."""
+    monkeypatch.setattr(ann, "LEAST_RERANKED", 5)
+    rng = np.random.default_rng(9)
+    vectors = rng.integers(-2, 3, size=(400, 6)).astype(float)
+    pivots, ids = rng.normal(size=(60, 6)), rng.permutation(400)
+    always = rng.random(400) < 0.02
+    block = ann.Postings(ids, vectors, always, pivots, prefix)
+    queries = rng.normal(size=(20, 6))
+    orders = ann.nearest_ranks(vectors, pivots, prefix).astype(int)
+    for query, ranks in zip(queries, ann.nearest_ranks(queries, pivots, prefix)):
+        at, scores = block.nearest(query, ranks, share, 21)
+        sums = (prefix - np.maximum(orders, ranks.astype(int))).sum(axis=1)
+        least = np.sort(sums)[::-1][int(np.ceil(share * 400)) - 1]
+        products = vectors @ query
+        assert np.allclose(scores, products[at]) and len(set(at)) == 21
+        assert list(zip(-scores, ids[at])) == sorted(zip(-scores, ids[at]))
+        assert all(sums[i] >= least or always[i] for i in at)
+        left = [i for i in range(400) if (sums[i] > least or always[i]) and i not in at]
+        assert all(products[i] <= scores[-1] + 1e-9 for i in left)
+
+
 @pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
 def test_query_recall(spark, sf):
     folder = f"/root/testdata/{sf}"
