@@ -35,6 +35,7 @@ class _Words(dict):
     def __init__(self, owner: ByteLevelEncoder, prefix: str, most: int) -> None:
         super().__init__()
         self.owner, self.prefix, self.most, self.older = owner, prefix, most, {}
+        self.lead = prefix.translate(owner.alphabet)
 
     def __missing__(self, word: str) -> bytes | None:
         value = self.older.get(word)
@@ -49,8 +50,11 @@ class _Words(dict):
         return value
 
     def _encoded(self, word: str) -> bytes | None:
-        if word.isalpha() and (word.isascii() or max(word) <= LAST_LETTER):
-            return self.owner.letters(self.prefix + word)
+        if word.isalpha():
+            if word.isascii():  # these letters stand for themselves in the model
+                return self.owner.spelled(self.lead + word)
+            if max(word) <= LAST_LETTER:
+                return self.owner.letters(self.prefix + word)
         if not word or word[0].isspace() or word[-1].isspace():
             return None
         head = word.rstrip(MARKS)
@@ -97,8 +101,11 @@ class ByteLevelEncoder:
 
     def letters(self, word: str) -> bytes:
         """Ids of a word of letters, which is one part to the tokenizer."""
-        found = self.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))
-        return self._packed([token.id for token in found])
+        return self.spelled(word.encode().decode("latin-1").translate(self.alphabet))
+
+    def spelled(self, word: str) -> bytes:
+        """The same of a word in characters of the byte-level alphabet."""
+        return self._packed([token.id for token in self.model.tokenize(word)])
 
     def __call__(self, text: str | None) -> bytes:
         """The ids as little-endian bytes of ``dtype``; null and empty texts have none."""
