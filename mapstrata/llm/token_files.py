@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from mapstrata.llm.perfect_hash import PerfectHash
 from mapstrata.llm.tokens import encoder, vocabulary_dtype
+from mapstrata.llm.words import give_back
 
 SHARD_BYTES = 256 << 20
 SHARD_ROWS = 1_000_000
@@ -140,17 +141,18 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         me, number, shard = TaskContext.get().partitionId(), 0, None
         last, ordinal = object(), 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1))):
                 ordinal = ordinal + 1 if doc_id == last else 0
                 last = doc_id
                 if shard is None:
                     shard = _ShardWriter(folder, me, number, kind)
-                shard.add((doc_id, ordinal, *key_of(doc_id, ordinal)), encode(text) + end)
+                shard.add((doc_id, ordinal, *key_of(doc_id, ordinal)), ids + end)
                 if shard.ends[-1] * kind.itemsize >= SHARD_BYTES or len(shard.rows) >= SHARD_ROWS:
                     yield shard.close()
                     shard, number = None, number + 1
         if shard is not None:
             yield shard.close()
+        give_back()
 
     placed.mapInArrow(write, KEYS).write.parquet(f"{folder}/keys")
 

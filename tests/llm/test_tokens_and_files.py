@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +55,32 @@ def test_cached_encoding_equals_library(text):
 test_cached_encoding_equals_library.pair = (ByteLevelEncoder(PATH), Tokenizer.from_file(PATH))
 
 
+PARTS = ["a", "Wörter", "thed", "don't", "x.y", "123", "\n", "\n\n", "\n\n\n", " ", "  ", "\t", "\r\n", ".", "...", ",!", "é", "Ċb", "漢", "\x85", "<|endoftext|>"]
+MANY = st.lists(st.none() | TEXTS | st.lists(st.sampled_from(PARTS), max_size=12).map("".join) | st.lists(st.sampled_from(PARTS), max_size=12).map(" ".join), max_size=20)
+
+
+@settings(max_examples=300, deadline=None)
+@given(MANY)
+def test_texts_encoded_together_equal_library(texts):
+    encode, library = test_cached_encoding_equals_library.pair
+    found = [np.frombuffer(ids, encode.dtype).tolist() for ids in encode.many(pa.array(texts, pa.string()))]
+    assert found == [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+
+
+def test_words_of_letters_are_encoded_together_and_forgotten(monkeypatch, library):
+    monkeypatch.setattr("mapstrata.llm.tokens.MOST_CACHED", 500)
+    monkeypatch.setattr("mapstrata.llm.tokens.AT_ONCE", 4_000)
+    encode, calls = ByteLevelEncoder(PATH), []
+    for name in ("spelled", "letters", "library"):
+        monkeypatch.setattr(encode, name, lambda text, f=getattr(encode, name): calls.append(text) or f(text))
+    letters = "abcdefghijklmnopqrstuvwxyzäö"
+    texts = ["\n".join(" ".join(letters[i % 28] + letters[j] + letters[k] + "," * (j % 2) for j in range(28)) + "." for k in range(28)) for i in range(40)]
+    found = [np.frombuffer(ids, encode.dtype).tolist() for ids in encode.many(pa.array(texts))]
+    assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(set(calls)) < 10  # marks only
+    assert max(len(encode.spaced), len(encode.spaced.older)) <= 500 + 2 * 28 * 28  # and the words of one slice
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 50_000])
 def test_perfect_hash_is_minimal(n):
     keys = np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64)
