@@ -131,8 +131,8 @@ def pack(
         group = TaskContext.get().partitionId()
         classes, rows, held = _Classes(capacity, _first_id(0, group)), [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text) + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1))):
+                ids += end
                 total, start = len(ids) // size, 0
                 for length in cuts(total, capacity, smallest):
                     rows += classes.add((doc_id, start, length, total, ids[start * size : (start + length) * size]))
