@@ -19,6 +19,7 @@ no class id. Other columns are not read. An empty table gives no row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,7 +56,9 @@ def words_of(text: bytes | None) -> np.ndarray:
     starts = np.flatnonzero(begins)
     if not len(starts):
         return np.zeros(0, np.uint64)
-    lengths = np.diff(starts, append=len(data))  # with the blanks behind a word, which add nothing
+    lengths = np.empty_like(starts)  # with the blanks behind a word, which add nothing
+    np.subtract(starts[1:], starts[:-1], out=lengths[:-1])
+    lengths[-1] = len(data) - starts[-1]
     longest = lengths.max()
     places = PLACES if longest <= len(PLACES) else mixed(np.arange(1001, 1001 + longest, dtype=np.uint64)) | np.uint64(1)
     at = np.arange(starts[0], len(data))
@@ -115,12 +118,37 @@ def places(known: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return at, known[at] == hashes
 
 
+class Places:
+    """The same for many calls. The first bits of a hash tell where those that begin with them stand, of which there are
+    few, as the bits of hashes are even."""
+
+    def __init__(self, known: np.ndarray) -> None:
+        bits = len(known).bit_length() + 1
+        self.known, self.shift = known, np.uint64(64 - bits)
+        counts = np.bincount((known >> self.shift).view(np.int64), minlength=1 << bits)
+        self.most = int(counts.max(initial=0))
+        self.begins = (np.cumsum(counts) - counts).astype(np.int32) if 0 < self.most <= 16 else None
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.begins is None:
+            return places(self.known, hashes)
+        at = self.begins.take((hashes >> self.shift).view(np.int64))
+        for _ in range(self.most):
+            less = self.known.take(at, mode="clip") < hashes
+            if not less.any():
+                break
+            at += less
+        np.minimum(at, len(self.known) - 1, out=at)
+        return at, self.known.take(at) == hashes
+
+
 class Weights:
     """Weighted shingles of texts. Every text comes with the counts of its words that are neither common nor in no other
     document: their hashes in order, then as many 32-bit counts."""
 
     def __init__(self, total: int, words: np.ndarray, n: np.ndarray) -> None:
         self.total, self.words, self.n = total, words, n
+        self.name = uuid.uuid4().hex  # of the table, which the tasks of a worker share
 
     def __call__(self, words: np.ndarray, own: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingles and their weights."""
@@ -129,7 +157,7 @@ class Weights:
 
     def documents(self, hashes: np.ndarray, own: bytes) -> np.ndarray:
         """In how many documents each word is."""
-        at, common = places(self.words, hashes)
+        at, common = worker_state(f"words places {self.name}", lambda: Places(self.words))(hashes)
         n = np.ones(len(hashes), np.int64)
         n[common] = self.n[at[common]]
         if own:
@@ -148,19 +176,23 @@ class Weights:
         shingles = shingles if len(shingles) else Rolling(words).runs(np.array([0]), width)
         sums = np.concatenate([[0.0], np.cumsum(idf)])
         mean = (sums[width:] - sums[:-width]) / width
-        distinct, first, n = np.unique(shingles, return_index=True, return_counts=True)
-        return distinct, n, mean[first]
+        order = shingles.argsort(kind="stable")
+        ordered = shingles[order]
+        begins = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        ends = np.append(begins[1:], len(ordered))
+        return ordered[begins], ends - begins, mean[order[begins]]
 
 
 def _other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """(row, word, n) for every word of every row of ``docs`` (text, row) that is in several documents, ``n``, and not
     among the ``common`` ones."""
+    name = uuid.uuid4().hex
 
     def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = [distinct_words(text) for text in batch.column(0).to_pylist()]
         rows = np.repeat(batch.column(1).to_numpy(), [len(hashes) for hashes in held])
         hashes = np.concatenate([np.zeros(0, np.uint64), *held])
-        other = ~places(common, hashes)[1]
+        other = ~worker_state(f"words common {name}", lambda: Places(common))(hashes)[1]
         yield pa.RecordBatch.from_arrays([pa.array(rows[other]), pa.array(signed(hashes[other]))], ["row", "word"])
 
     pairs = map_rows(docs.select(as_bytes("text"), "row"), words, "row long, word long")
@@ -191,25 +223,44 @@ class Sampler:
         self.factors = (mixed(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1))[:, None]
 
     def bands(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        return self.keys(*(x[None] for x in self.samples(shingles, weights)))[0]
+
+    def samples(self, shingles: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chosen shingles and their levels. Only shingles that may be the least are computed in full: the logarithm
+        that is compared, log c - r (t + 1 - beta), is at least log c - r - log w."""
         k = len(self.factors)
         best, pick, level = np.full(k, np.inf, np.float32), np.zeros(k, np.uint64), np.zeros(k, np.float32)
-        logs = np.log(weights).astype(np.float32)
-        for at in range(0, len(shingles), 512):  # blocks that stay in a core's cache
-            s, log_w = shingles[at : at + 512], logs[at : at + 512]
+        logs, row = np.log(weights).astype(np.float32), np.arange(k)
+        for at in range(0, len(shingles), 1024):  # blocks that stay in a core's cache
+            s, log_w = shingles[at : at + 1024], logs[at : at + 1024]
             bits = (s * self.factors).view(np.uint16).reshape(k, len(s), 4)
-            beta = bits[:, :, 1] * np.float32(2**-16)
-            r = self.r.take(bits[:, :, 3])
-            t = np.floor(log_w / r + beta)
-            log_a = (beta - t - 1) * r + self.log_c.take(bits[:, :, 2])
-            i = log_a.argmin(axis=1)
-            row = np.arange(k)
-            better = log_a[row, i] < best
-            best = np.where(better, log_a[row, i], best)
-            pick = np.where(better, s[i], pick)
-            level = np.where(better, t[row, i], level)
+            least = self.log_c.take(bits[:, :, 2])
+            least -= self.r.take(bits[:, :, 3])
+            least -= log_w
+
+            def full(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                own = bits[i, j]
+                beta, r = own[:, 1] * np.float32(2**-16), self.r.take(own[:, 3])
+                t = np.floor(log_w[j] / r + beta)
+                return (beta - t - 1) * r + self.log_c.take(own[:, 2]), t
+
+            bound = np.minimum(full(row, least.argmin(axis=1))[0], best)
+            bound += np.abs(bound) * np.float32(1e-4) + np.float32(1e-3)  # more than the rounding of either side
+            i, j = np.divmod(np.flatnonzero(least <= bound[:, None]), len(s))
+            log_a, t = full(i, j)
+            # the first of the least ones of every sample that has any
+            lows = np.full(k, np.inf, np.float32)
+            np.minimum.at(lows, i, log_a)
+            hits = np.flatnonzero((log_a == lows[i]) & (log_a < best[i]))
+            of, first = i[hits[::-1]], hits[::-1]  # of equal ones the last to be written is the first in order
+            best[of], pick[of], level[of] = log_a[first], s[j[first]], t[first]
+        return pick, level
+
+    def keys(self, pick: np.ndarray, level: np.ndarray) -> np.ndarray:
+        """Keys of the bands of each row of samples."""
         samples = mixed(pick + mixed(level.astype(np.int64).view(np.uint64) + np.uint64(1)))
         keys = np.arange(BANDS, dtype=np.uint64)
-        for step in samples.reshape(BANDS, ROWS).T:
+        for step in np.moveaxis(samples.reshape(-1, BANDS, ROWS), 2, 0):
             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + step)
         return signed(keys)
 
@@ -228,9 +279,15 @@ def with_fingerprint(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, of(F.col("text").cast("binary")))
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """(text, doc_id, row), ``row`` a hash that names the row."""
+    # the id is part of the name, so that rows of one text are dealt over all buckets; rows of one name share their counts
+    return docs.select(as_bytes("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", "doc_id").alias("row"))
+
+
 def _signatures(docs: DataFrame, weights: Weights, length: int) -> DataFrame:
-    """(doc_id, print, own, weight, band0...) of every row, ``own`` the counts that its ``Weights`` need; only the id where
-    there is no word."""
+    """(doc_id, row, print, own, weight, band0...) of every row, ``own`` the counts that its ``Weights`` need; only the id and
+    name where there is no word."""
 
     def sign(left: pa.Table, right: pa.Table) -> pa.Table:
         sampler = worker_state("words sampler", Sampler)
@@ -239,25 +296,30 @@ def _signatures(docs: DataFrame, weights: Weights, length: int) -> DataFrame:
         row, word, n = row[order], word.view(np.uint64)[order], n[order].astype(np.uint32)
         names = left.column("row").to_numpy()
         begins, ends = np.searchsorted(row, names, "left"), np.searchsorted(row, names, "right")
-        prints, tables, totals, bands = [], [], [], []
-        known = {None: (0.0, np.zeros(BANDS, np.int64))}  # by print: texts of equal words are signed once a group
+        prints, tables, totals, numbers, picks, levels = [], [], [], [], [], []
+        known: dict = {None: (0.0, 0)}  # by print: texts of equal words are signed once a group
         for text, begin, end in zip(left.column("text").to_pylist(), begins, ends):
             prints.append(fingerprint(split_words(text)))
             tables.append(word[begin:end].tobytes() + n[begin:end].tobytes())
             if prints[-1] not in known:
                 shingles, values = weights(words_of(text), tables[-1])
-                known[prints[-1]] = float(values.sum()), sampler.bands(shingles, values)
+                known[prints[-1]] = float(values.sum()), len(known)
+                pick, level = sampler.samples(shingles, values)
+                picks.append(pick)
+                levels.append(level)
             totals.append(known[prints[-1]][0])
-            bands.append(known[prints[-1]][1])
-        found = np.array(bands, dtype=np.int64).reshape(len(bands), BANDS)
+            numbers.append(known[prints[-1]][1])
+        keys = [np.zeros((1, BANDS), np.int64)]
+        if picks:
+            keys.append(sampler.keys(np.array(picks), np.array(levels)))
+        found = np.concatenate(keys)[np.array(numbers, np.int64)]
         return pa.table(
-            [left.column("doc_id"), pa.array(prints, pa.binary()), pa.array(tables, pa.binary()), pa.array(totals, pa.float64()), *map(pa.array, np.ascontiguousarray(found.T))],
-            names=["doc_id", "print", "own", "weight", *BAND_NAMES],
+            [left.column("doc_id"), left.column("row"), pa.array(prints, pa.binary()), pa.array(tables, pa.binary()), pa.array(totals, pa.float64()), *map(pa.array, np.ascontiguousarray(found.T))],
+            names=["doc_id", "row", "print", "own", "weight", *BAND_NAMES],
         )
 
-    schema = ", ".join(["doc_id long, print binary, own binary, weight double", *(f"{b} long" for b in BAND_NAMES)])
-    # the id is part of the name, so that rows of one text are dealt over all buckets; rows of one name share their counts
-    named = docs.select(as_bytes("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text", "doc_id").alias("row"))
+    schema = ", ".join(["doc_id long, row long, print binary, own binary, weight double", *(f"{b} long" for b in BAND_NAMES)])
+    named = _named(docs)
     bucket = F.pmod("row", F.lit(1 + length // BUCKET_BYTES)).alias("bucket")
     counts = _other_words(named, weights.words).select("row", "word", "n", bucket).groupBy("bucket")
     return named.select("*", bucket).groupBy("bucket").cogroup(counts).applyInArrow(sign, schema)
@@ -281,11 +343,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights) -> DataFrame
 
 
 def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(print, text, own) of the ``wanted`` (print, doc_id, own) rows, one per print."""
-    keyed = with_fingerprint(docs.select("doc_id", "text"), "print").where("print is not null")
-    wanted = wanted.select(F.col("print").alias("__p"), F.col("doc_id").alias("__d"), "own")
-    found = keyed.join(wanted, (F.col("print") == F.col("__p")) & F.col("doc_id").eqNullSafe(F.col("__d")))
-    return found.select("print", F.col("text").cast("binary").alias("text"), "own").dropDuplicates(["print"])
+    """(print, text, own) of the ``wanted`` (print, doc_id, row, own) rows, one per print."""
+    wanted = wanted.select("print", F.col("doc_id").alias("__d"), F.col("row").alias("__r"), "own")
+    found = _named(docs).join(wanted, (F.col("row") == F.col("__r")) & F.col("doc_id").eqNullSafe(F.col("__d")))
+    return found.select("print", "text", "own").dropDuplicates(["print"])
 
 
 def block_links(texts: list[bytes], owns: list[bytes], classes: list, sides: np.ndarray, weights: Weights) -> list[tuple[int, int]]:
@@ -385,11 +446,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = cut_lineage(texts)
     named = texts.select("print", "doc_id")
     members = _buckets(texts)
-    owns = rows.select(F.col("print").alias("__q"), F.col("doc_id").alias("__i"), "own")
+    owns = rows.select(F.col("print").alias("__q"), F.col("doc_id").alias("__i"), "row", "own")
 
     def with_own(wanted: DataFrame) -> DataFrame:
         match = (F.col("print") == F.col("__q")) & F.col("doc_id").eqNullSafe(F.col("__i"))
-        return wanted.join(owns, match).dropDuplicates(["print"]).select("print", "doc_id", "own")
+        return wanted.join(owns, match).dropDuplicates(["print"]).select("print", "doc_id", "row", "own")
 
     # first every text of a bucket with its hub
     near = F.least("weight", "hub_weight") >= SIMILARITY * 0.999999 * F.greatest("weight", "hub_weight")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from mapstrata.llm import line_dedup, near_dedup, substring_dedup
 from mapstrata.llm.queries import QUERIES
@@ -291,3 +292,44 @@ def test_blocks_of_a_bucket_lose_no_link(spark, documents, monkeypatch, block):
     found = near_dedup.near_duplicates(documents([(i, t, "s") for i, t in rows])).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0)
     assert sorted(((r.doc_id, r.class_id) for r in found), key=key) == sorted(brute_classes(rows), key=key)
+
+
+def plain_samples(sampler, shingles, weights):
+    """Every shingle of every sample computed in full."""
+    bits = (shingles * sampler.factors).view(np.uint16).reshape(len(sampler.factors), len(shingles), 4)
+    beta, r = bits[:, :, 1] * np.float32(2**-16), sampler.r[bits[:, :, 3]]
+    t = np.floor(np.log(weights).astype(np.float32) / r + beta)
+    log_a = (beta - t - 1) * r + sampler.log_c[bits[:, :, 2]]
+    i, row = log_a.argmin(axis=1), np.arange(len(log_a))
+    return shingles[i], t[row, i]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 511, 1024, 5000])
+def test_samples_of_likely_shingles_are_those_of_all(n):
+    sampler, rng = near_dedup.Sampler(), np.random.default_rng(n)
+    shingles = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+    for weights in (np.ones(n), rng.lognormal(0, 3, n), rng.lognormal(8, 1, n)):
+        pick, level = sampler.samples(shingles, weights)
+        if n:
+            expected = plain_samples(sampler, shingles, weights)
+            assert (pick == expected[0]).all() and (level == expected[1]).all()
+        assert (sampler.keys(np.array([pick, pick]), np.array([level, level])) == sampler.bands(shingles, weights)).all()
+
+
+@pytest.mark.parametrize("known", [[], [0], [5, 6, 7], range(40), [0, 1 << 63, (1 << 64) - 1], np.random.default_rng(1).integers(0, 1 << 64, 5000, dtype=np.uint64)])
+def test_places_by_first_bits_equal_a_search(known):
+    known = np.unique(np.array(list(known), np.uint64))
+    asked = np.concatenate([known, known + np.uint64(1), np.random.default_rng(2).integers(0, 1 << 64, 1000, dtype=np.uint64)])
+    at, found = near_dedup.Places(known)(asked)
+    expected, there = near_dedup.places(known, asked)
+    assert (found == there).all() and (at[found] == expected[found]).all()
+
+
+def test_texts_are_found_by_the_hash_of_their_row(documents):
+    rows = [(1, "a b c", "x"), (1, "a  b c", "x"), (None, "a b c", "x"), (2, "d", None), (3, None, "x")]
+    docs = documents(rows)
+    named = near_dedup._named(docs).where("doc_id is null or text = 'd'")
+    wanted = named.select(F.concat(F.lit("p"), "text").cast("binary").alias("print"), "doc_id", "row", F.lit(b"").alias("own"))
+    found = near_dedup._texts_of(docs, wanted)
+    assert sorted((bytes(r["print"]), bytes(r["text"])) for r in found.collect()) == [(b"pa b c", b"a b c"), (b"pd", b"d")]
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
