@@ -123,7 +123,7 @@ class Places:
     few, as the bits of hashes are even."""
 
     def __init__(self, known: np.ndarray) -> None:
-        bits = len(known).bit_length() + 1
+        bits = max(1, len(known).bit_length())
         self.known, self.shift = known, np.uint64(64 - bits)
         counts = np.bincount((known >> self.shift).view(np.int64), minlength=1 << bits)
         self.most = int(counts.max(initial=0))
@@ -142,13 +142,22 @@ class Places:
         return at, self.known.take(at) == hashes
 
 
+def held_places(name: str, known: np.ndarray) -> Places:
+    """Places of the table of that name, which the tasks of a worker share; a worker holds those of one table."""
+    held = worker_state("words places", dict)
+    if name not in held:
+        held.clear()
+        held[name] = Places(known)
+    return held[name]
+
+
 class Weights:
     """Weighted shingles of texts. Every text comes with the counts of its words that are neither common nor in no other
     document: their hashes in order, then as many 32-bit counts."""
 
     def __init__(self, total: int, words: np.ndarray, n: np.ndarray) -> None:
         self.total, self.words, self.n = total, words, n
-        self.name = uuid.uuid4().hex  # of the table, which the tasks of a worker share
+        self.name = uuid.uuid4().hex  # of the table of words
 
     def __call__(self, words: np.ndarray, own: bytes) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct shingles and their weights."""
@@ -157,7 +166,7 @@ class Weights:
 
     def documents(self, hashes: np.ndarray, own: bytes) -> np.ndarray:
         """In how many documents each word is."""
-        at, common = worker_state(f"words places {self.name}", lambda: Places(self.words))(hashes)
+        at, common = held_places(self.name, self.words)(hashes)
         n = np.ones(len(hashes), np.int64)
         n[common] = self.n[at[common]]
         if own:
@@ -183,16 +192,16 @@ class Weights:
         return ordered[begins], ends - begins, mean[order[begins]]
 
 
-def _other_words(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def _other_words(docs: DataFrame, weights: Weights) -> DataFrame:
     """(row, word, n) for every word of every row of ``docs`` (text, row) that is in several documents, ``n``, and not
-    among the ``common`` ones."""
-    name = uuid.uuid4().hex
+    among the common ones that all ``weights`` know."""
+    name, common = weights.name, weights.words
 
     def words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         held = [distinct_words(text) for text in batch.column(0).to_pylist()]
         rows = np.repeat(batch.column(1).to_numpy(), [len(hashes) for hashes in held])
         hashes = np.concatenate([np.zeros(0, np.uint64), *held])
-        other = ~worker_state(f"words common {name}", lambda: Places(common))(hashes)[1]
+        other = ~held_places(name, common)(hashes)[1]
         yield pa.RecordBatch.from_arrays([pa.array(rows[other]), pa.array(signed(hashes[other]))], ["row", "word"])
 
     pairs = map_rows(docs.select(as_bytes("text"), "row"), words, "row long, word long")
@@ -321,7 +330,7 @@ def _signatures(docs: DataFrame, weights: Weights, length: int) -> DataFrame:
     schema = ", ".join(["doc_id long, row long, print binary, own binary, weight double", *(f"{b} long" for b in BAND_NAMES)])
     named = _named(docs)
     bucket = F.pmod("row", F.lit(1 + length // BUCKET_BYTES)).alias("bucket")
-    counts = _other_words(named, weights.words).select("row", "word", "n", bucket).groupBy("bucket")
+    counts = _other_words(named, weights).select("row", "word", "n", bucket).groupBy("bucket")
     return named.select("*", bucket).groupBy("bucket").cogroup(counts).applyInArrow(sign, schema)
 
 

@@ -325,6 +325,15 @@ def test_places_by_first_bits_equal_a_search(known):
     assert (found == there).all() and (at[found] == expected[found]).all()
 
 
+def test_a_worker_holds_the_places_of_one_table():
+    first, second = (near_dedup.Weights(9, np.array(words, np.uint64), np.array([5, 6])) for words in ([3, 4], [4, 8]))
+    asked = np.array([8, 4, 3], np.uint64)
+    for _ in range(2):
+        assert first.documents(asked, b"").tolist() == [1, 6, 5]
+        assert second.documents(asked, b"").tolist() == [6, 5, 1]
+    assert list(near_dedup.worker_state("words places", dict)) == [second.name]
+
+
 def test_texts_are_found_by_the_hash_of_their_row(documents):
     rows = [(1, "a b c", "x"), (1, "a  b c", "x"), (None, "a b c", "x"), (2, "d", None), (3, None, "x")]
     docs = documents(rows)
